@@ -255,6 +255,33 @@ def _declared_tests() -> str:
 
 
 
+URL_PARTS = """WITH parts AS (SELECT page_id, url, regexp_replace(url, '#.*$', '') AS base, regexp_extract(url, '(#.*)$', 1) AS fragment FROM pages)"""
+
+
+def plain(c: str) -> str:
+    """Text of a markup fragment: tags out, outer blanks off, the entities used in the pages decoded."""
+    stripped = f"regexp_replace(regexp_replace({c}, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g')"
+    for entity, char in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+        stripped = f"replace({stripped}, '{entity}', '{char}')"
+    return stripped
+
+
+def quoted(c: str) -> str:
+    return f"CAST(to_json({c}) AS VARCHAR)"
+
+
+# The pages in pieces: article heading and paragraphs, menu entries, advertisement, footer.
+PIECES = f"""WITH pieces AS (
+    SELECT page_id, url, article, {plain("regexp_extract(article, '(?s)<h1>(.*?)</h1>', 1)")} AS heading,
+           list_transform(string_split(article, '<p>')[2:], lambda x: {plain('x')}) AS paragraphs,
+           list_transform(string_split(article, '<p>')[2:], lambda x: starts_with(x, '<b>')) AS bold,
+           list_transform(regexp_extract_all(nav, '(?s)<a [^>]*>(.*?)</a>', 1), lambda x: {plain('x')}) AS menu,
+           list_transform(regexp_extract_all(nav, '<a href="([^"]*)"', 1), lambda x: {plain('x')}) AS links,
+           {plain("regexp_extract(html, '(?s)<div class=.ad.>(.*?)</div>', 1)")} AS ad,
+           {plain("regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1)")} AS footer
+    FROM (SELECT *, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS article,
+                 regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1) AS nav FROM pages))"""
+
 CONTENT = with_relations("fct_content")
 UNIFIED = with_relations("int_content_unified")
 
@@ -506,6 +533,36 @@ ORACLE: dict[str, str] = {
                CASE WHEN kind = 0 THEN o_orderkey % 10 ELSE 0 END AS votes,
                CASE WHEN kind = 2 THEN concat(o_orderstatus, ',Drama') ELSE '' END AS genres,
                CASE WHEN kind = 2 THEN concat('Plot of ', o_orderpriority) ELSE '' END AS plot FROM o""",
+    "extract_news_articles": f"""{PIECES}
+        SELECT page_id, url, 0 AS item_no, heading AS title, url AS article_url, '' AS source, '' AS author,
+               array_to_string(paragraphs, ' ') AS content, left(array_to_string(paragraphs, ' '), 200) AS summary, '' AS tags,
+               'page' AS url_source FROM pieces""",
+    "extract_fields": f"""{PIECES}
+        SELECT page_id, 0 AS item_no, nullif(heading, '') AS heading, nullif(ad, '') AS ad, array_to_string(links, ' ') AS links,
+               nullif(menu[1], '') AS first_link FROM pieces""",
+    "extract_source_preset": f"""{PIECES}
+        SELECT page_id, url, 0 AS item_no, CAST(NULL AS VARCHAR) AS headline, nullif(paragraphs[1], '') AS summary,
+               CAST(NULL AS VARCHAR) AS published, CAST(NULL AS VARCHAR) AS author, CAST(NULL AS VARCHAR) AS link FROM pieces""",
+    "extract_text_links_images": f"""{PIECES}
+        SELECT page_id, array_to_string(list_filter(menu, lambda x: x <> ''), ' ') AS text, array_to_string(links[1:5], ' ') AS links FROM pieces""",
+    "extract_cascading": f"""{PIECES}, parts AS (SELECT *,
+            array_to_string(list_transform(list_zip(menu, links), lambda x:
+                '{{"li": {{"children": [{{"a": {{"text": ' || {quoted('x[1]')} || ', "attrs": {{"href": ' || {quoted('x[2]')} || '}}}}}}]}}}}'), ', ') AS menu_json,
+            array_to_string(list_transform(list_filter(list_zip(paragraphs, bold), lambda x: x[1] <> ''), lambda x: CASE WHEN x[2]
+                THEN '{{"p": {{"children": [{{"b": {{"text": ' || {quoted('x[1]')} || '}}}}]}}}}' ELSE '{{"p": {{"text": ' || {quoted('x[1]')} || '}}}}' END), ', ') AS body_json
+            FROM pieces)
+        SELECT page_id, url, item_no, record FROM (
+            SELECT page_id, url, 0 AS item_no, '{{"nav": {{"children": [{{"ul": {{"children": [' || menu_json || ']}}}}]}}}}' AS record FROM parts
+            UNION ALL SELECT page_id, url, 1, '{{"div": {{"text": ' || {quoted('ad')} || '}}}}' FROM parts
+            UNION ALL SELECT page_id, url, 2, '{{"article": {{"children": [{{"h1": {{"text": ' || {quoted('heading')} || '}}}}' ||
+                CASE WHEN body_json <> '' THEN ', ' ELSE '' END || body_json || ']}}}}' FROM parts
+            UNION ALL SELECT page_id, url, 3, '{{"footer": {{"text": ' || {quoted('footer')} || '}}}}' FROM parts)""",
+    "crawl_summary": f"""{PIECES}
+        SELECT regexp_extract(url, '^https?://[^/]+/([^/?]*)', 1) AS profile, count(*) FILTER (page_id % 40 <> 7) AS pages_fetched,
+               CAST(sum(len(list_filter(paragraphs, lambda x: x <> ''))) AS BIGINT) AS records_extracted,
+               count(*) FILTER (page_id % 40 = 7) AS errors, CAST(max(page_id) AS DOUBLE) AS duration_seconds,
+               CASE WHEN count(*) FILTER (page_id % 40 = 7) = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status
+        FROM pieces GROUP BY 1""",
     "html_boilerplate_strip": "SELECT page_id, left("
     + "regexp_replace(" * 5
     + "html"
@@ -514,14 +571,14 @@ ORACLE: dict[str, str] = {
     "page_title": "SELECT page_id, nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') AS title FROM pages",
     "next_page_link": r"""SELECT page_id, CASE page_id % 4 WHEN 0 THEN concat('https://next.example/', page_id)
             WHEN 1 THEN concat(regexp_extract(url, '^(https?://[^/]+)', 1), '/n/', page_id)
-            WHEN 2 THEN concat(regexp_replace(url, '\?.*$', ''), '?page=', page_id) END AS next_url FROM pages""",
-    "page_urls": r"""SELECT page_id, n AS page_no, CASE WHEN n = 1 THEN url
-            WHEN regexp_matches(url, '[?&]page=') THEN regexp_replace(url, '([?&]page=)[^&]*', concat('\1', n))
-            WHEN contains(url, '?') THEN concat(url, '&page=', n) ELSE concat(url, '?page=', n) END AS page_url
-        FROM pages, (VALUES (1), (2), (3), (4)) plan(n)""",
-    "cursor_urls": """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN concat('c ', page_id, '&') END AS "cursor",
-            CASE WHEN page_id % 3 = 0 THEN concat(url, CASE WHEN contains(url, '?') THEN '&' ELSE '?' END, 'cursor=c+', page_id, '%26') END AS next_url
-        FROM pages""",
+            WHEN 2 THEN concat(regexp_replace(url, '[?#].*$', ''), '?page=', page_id) END AS next_url FROM pages""",
+    "page_urls": f"""{URL_PARTS} SELECT page_id, n AS page_no, CASE WHEN n = 1 THEN url
+            WHEN regexp_matches(base, '[?&]page=') THEN concat(regexp_replace(base, '([?&]page=)[^&]*', concat('\\1', n)), fragment)
+            WHEN contains(base, '?') THEN concat(base, '&page=', n, fragment) ELSE concat(base, '?page=', n, fragment) END AS page_url
+        FROM parts, (VALUES (1), (2), (3), (4)) plan(n)""",
+    "cursor_urls": f"""{URL_PARTS} SELECT page_id, CASE WHEN page_id % 3 = 0 THEN concat('c ', page_id, '&') END AS "cursor",
+            CASE WHEN page_id % 3 = 0 THEN concat(base, CASE WHEN contains(base, '?') THEN '&' ELSE '?' END, 'cursor=c+', page_id, '%26', fragment) END AS next_url
+        FROM parts""",
     "robots_filter": """
         WITH p AS (SELECT page_id, url, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, regexp_extract(url, '^https?://[^/?#]+([^#]*)', 1) AS path FROM pages)
         SELECT page_id, url, CASE WHEN length(host) % 2 = 1 THEN true WHEN starts_with(path, '/en/') THEN true

@@ -21,14 +21,21 @@ SOURCE_METADATA = [
 ]
 
 
+def _values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A literal relation: its size is known to the optimizer, and filters on it fold at planning time."""
+
+    def literal(value) -> str:
+        return f"'{value}'" if isinstance(value, str) else str(value).lower()
+
+    listed = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {listed} AS seed({columns})")
+
+
 def content_categories(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        CONTENT_CATEGORIES, "source_name string, category string, subcategory string, is_active boolean"
-    )
+    return _values(spark, CONTENT_CATEGORIES, "source_name, category, subcategory, is_active")
 
 
 def source_metadata(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        SOURCE_METADATA,
-        "source_name string, display_name string, base_url string, crawl_frequency_hours int, is_active boolean",
+    return _values(
+        spark, SOURCE_METADATA, "source_name, display_name, base_url, crawl_frequency_hours, is_active"
     )
