@@ -48,12 +48,12 @@ def _warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(spark, work_dir(spark, "warehouse"), f"wh_{uuid.uuid4().hex[:12]}")
 
 
-def _staged(spark, sf):
-    return stage_all(fx.raw_sources(spark, sf), AS_OF)
+def _staged(spark, sf, source):
+    return stage_all({source: fx.RAW[source](spark, sf)}, AS_OF)[source]
 
 
 def _unified(spark, sf):
-    return intermediate.int_content_unified(_staged(spark, sf))
+    return intermediate.int_content_unified(stage_all(fx.raw_sources(spark, sf), AS_OF))
 
 
 def _content(spark, sf):
@@ -321,32 +321,32 @@ def log_source(spark, sf):
 
 @query
 def stg_reddit_posts(spark, sf):
-    return _staged(spark, sf)["reddit"]
+    return _staged(spark, sf, "reddit")
 
 
 @query
 def stg_steam_games(spark, sf):
-    return _staged(spark, sf)["steam"]
+    return _staged(spark, sf, "steam")
 
 
 @query
 def stg_imdb_titles(spark, sf):
-    return _staged(spark, sf)["imdb"]
+    return _staged(spark, sf, "imdb")
 
 
 @query
 def stg_news_articles(spark, sf):
-    return _staged(spark, sf)["news"]
+    return _staged(spark, sf, "news")
 
 
 @query
 def int_reddit_posts_enriched(spark, sf):
-    return intermediate.int_reddit_posts_enriched(_staged(spark, sf)["reddit"], content_categories(spark))
+    return intermediate.int_reddit_posts_enriched(_staged(spark, sf, "reddit"), content_categories(spark))
 
 
 @query
 def int_steam_games_enriched(spark, sf):
-    return intermediate.int_steam_games_enriched(_staged(spark, sf)["steam"], content_categories(spark))
+    return intermediate.int_steam_games_enriched(_staged(spark, sf, "steam"), content_categories(spark))
 
 
 @query
@@ -700,7 +700,7 @@ def test_unique(spark, sf):
 
 @query
 def test_not_null(spark, sf):
-    return quality.test_not_null(_staged(spark, sf)["reddit"], "score").select("id")
+    return quality.test_not_null(_staged(spark, sf, "reddit"), "score").select("id")
 
 
 @query
@@ -723,7 +723,7 @@ def test_positive_score(spark, sf):
 @query
 def test_not_future_date(spark, sf):
     at = datetime(2024, 1, 15)
-    return quality.test_not_future_date(_staged(spark, sf)["reddit"], "created_at", at).select("id", "created_at")
+    return quality.test_not_future_date(_staged(spark, sf, "reddit"), "created_at", at).select("id", "created_at")
 
 
 @query
@@ -742,14 +742,20 @@ def test_event_unique(spark, sf):
 
 @query
 def dq_results(spark, sf):
-    """Every declared test on every relation."""
-    return quality.run_tests(build_models(spark, fx.raw_sources(spark, sf), AS_OF), AS_OF)
+    """Every declared test on every relation, the stored ones read back from their tables."""
+    folder = work_dir(spark, "models")
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    return quality.run_tests(build_models(spark, fx.raw_sources(spark, sf), AS_OF, store), AS_OF)
 
 
 @query
 def dq_summary(spark, sf):
     """Outcome of the staging tests, with one column that does have missing values."""
-    staged = _staged(spark, sf)
+    staged = {source: _staged(spark, sf, source) for source in ("reddit", "imdb")}
     tests = {
         "reddit": quality.TableTests(("id", "author"), ("id", "title", "score")),
         "imdb": quality.TableTests(("id",), ("id", "year"), accepted={"type": ["movie"]}),

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from lakeweave.functions.keys import surrogate_key
+from lakeweave.session import path_exists
 
 EVENT_COLUMNS = ["content_id", "source_name", "natural_key", "title", "score", "created_at", "loaded_at"]
 
@@ -59,10 +59,9 @@ class EventLog:
         self.spark, self.path = spark, path
 
     def read(self) -> DataFrame | None:
-        try:
-            return self.spark.read.option("mergeSchema", True).parquet(self.path)
-        except AnalysisException:
+        if not path_exists(self.spark, self.path):
             return None
+        return self.spark.read.option("mergeSchema", True).parquet(self.path)
 
     def run(self, unified: DataFrame, full_refresh: bool = False) -> DataFrame:
         """Add the new events (or rebuild) and return the log as it is afterwards.
@@ -106,21 +105,21 @@ def _slot(updated_at: str, slot_seconds: int) -> Column:
 def with_next_value(df: DataFrame, key: str, updated_at: str, name: str, slot_seconds: int = 3600) -> DataFrame:
     """``lead(updated_at)`` per key, computed inside (key, hour) and stitched across hours.
 
-    A key that holds a third of all rows is spread over its hours; only one row per key and
-    hour meets in the per-key window that links an hour to the next one in use.
+    A key that holds a third of all rows is spread over its hours. Only the last row of each
+    (key, hour) enters the per-key window that links an hour to the next one in use; both
+    branches read the same shuffled rows.
     """
-    slotted = df.withColumn("__slot", _slot(updated_at, slot_seconds))
-    firsts = slotted.groupBy(key, "__slot").agg(F.min(updated_at).alias("__first"))
-    links = firsts.select(
-        key, "__slot", F.lead("__first").over(Window.partitionBy(key).orderBy("__slot")).alias("__next_slot_first")
-    )
-    inner = F.lead(updated_at).over(Window.partitionBy(key, "__slot").orderBy(updated_at))
-    return (
-        slotted.withColumn("__inner", inner)
-        .join(links, [key, "__slot"])
-        .withColumn(name, F.coalesce("__inner", "__next_slot_first"))
-        .drop("__slot", "__inner", "__next_slot_first")
+    group = Window.partitionBy(key, "__slot")
+    windowed = df.withColumn("__slot", _slot(updated_at, slot_seconds)).withColumns(
+        {
+            name: F.lead(updated_at).over(group.orderBy(updated_at)),
+            "__slot_first": F.min(updated_at).over(group),
+        }
     )
+    inner = windowed.where(F.col(name).isNotNull())
+    edges = windowed.where(F.col(name).isNull())
+    linked = edges.withColumn(name, F.lead("__slot_first").over(Window.partitionBy(key).orderBy("__slot")))
+    return inner.unionByName(linked).drop("__slot", "__slot_first")
 
 
 def _with_scd_columns(df: DataFrame, key: str, updated_at: str) -> DataFrame:
@@ -160,39 +159,46 @@ def scd2_from_history(
 def _changed_only(rows: DataFrame, key: str, updated_at: str, check_cols: list[str], slot_seconds: int = 3600) -> DataFrame:
     """Rows whose tracked values differ from the key's previous row, with the same (key, hour) split."""
     state = F.md5(F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in check_cols]))
-    slotted = rows.withColumn("__state", state).withColumn("__slot", _slot(updated_at, slot_seconds))
-    lasts = slotted.groupBy(key, "__slot").agg(F.max_by("__state", updated_at).alias("__last"))
-    before = lasts.select(
-        key, "__slot", F.lag("__last").over(Window.partitionBy(key).orderBy("__slot")).alias("__before_slot")
-    )
-    inner = F.lag("__state").over(Window.partitionBy(key, "__slot").orderBy(updated_at))
-    return (
-        slotted.withColumn("__inner", inner)
-        .join(before, [key, "__slot"])
-        .where(~F.col("__state").eqNullSafe(F.coalesce("__inner", "__before_slot")))
-        .select(*rows.columns)
+    group = Window.partitionBy(key, "__slot")
+    windowed = rows.withColumn("__state", state).withColumn("__slot", _slot(updated_at, slot_seconds)).withColumns(
+        {
+            "__before": F.lag("__state").over(group.orderBy(updated_at)),
+            "__slot_last": F.max_by("__state", updated_at).over(group),
+        }
     )
+    inner = windowed.where(F.col("__before").isNotNull())
+    edges = windowed.where(F.col("__before").isNull())
+    linked = edges.withColumn("__before", F.lag("__slot_last").over(Window.partitionBy(key).orderBy("__slot")))
+    changed = ~F.col("__state").eqNullSafe(F.col("__before"))
+    return inner.unionByName(linked).where(changed).select(*rows.columns)
 
 
 def scd2_apply(snapshot: DataFrame, batch: DataFrame, key: str, updated_at: str = "loaded_at") -> DataFrame:
     """Snapshot after one load (at most one row per key): close the open version of each newer key, open a new one.
 
-    Keys absent from the batch keep their open version; rows not newer than the open version change nothing.
+    Keys absent from the batch keep their open version; rows not newer than the open version change
+    nothing. Closed versions pass through without a shuffle; open ones are unique per key, so the
+    join has no hot key however long a key's history is.
     """
-    new = batch.where(F.col(key).isNotNull())
-    incoming = new.select(F.col(key), F.col(updated_at).alias("__at"))
-    matched = snapshot.join(incoming, key, "left")
-    closes = F.col("dbt_valid_to").isNull() & (F.col("dbt_valid_from") < F.col("__at"))
-    kept = matched.withColumn("dbt_valid_to", F.when(closes, F.col("__at")).otherwise(F.col("dbt_valid_to"))).drop("__at")
-    kept = kept.withColumn("dbt_is_current", F.col("dbt_valid_to").isNull())
-    open_rows = snapshot.where(F.col("dbt_valid_to").isNull()).select(key, F.col("dbt_valid_from").alias("__open"))
-    opened = (
-        new.join(open_rows, key, "left")
-        .where(F.col("__open").isNull() | (F.col(updated_at) > F.col("__open")))
-        .drop("__open")
-        .withColumn("dbt_valid_to", F.lit(None).cast("timestamp"))
+    columns = snapshot.columns
+    closed = snapshot.where(F.col("dbt_valid_to").isNotNull())
+    old = snapshot.where(F.col("dbt_valid_to").isNull()).select(F.col(key).alias("__key"), F.struct(*columns).alias("o"))
+    fresh = batch.where(F.col(key).isNotNull()).withColumn("dbt_valid_to", F.lit(None).cast("timestamp"))
+    fresh = _with_scd_columns(fresh, key, updated_at)
+    new = fresh.select(F.col(key).alias("__key"), F.struct(*[fresh[c] for c in columns]).alias("n"))
+    both = old.join(new, "__key", "full_outer")
+    opens = F.col("n").isNotNull() & (
+        F.col("o").isNull() | (F.col("n")["dbt_valid_from"] > F.col("o")["dbt_valid_from"])
+    )
+    closing = opens & F.col("o").isNotNull()
+    kept = (
+        F.col("o")
+        .withField("dbt_valid_to", F.when(closing, F.col("n")["dbt_valid_from"]))
+        .withField("dbt_is_current", ~closing)
     )
-    return kept.unionByName(_with_scd_columns(opened, key, updated_at))
+    versions = F.array_compact(F.array(F.when(F.col("o").isNotNull(), kept), F.when(opens, F.col("n"))))
+    current = both.select(F.explode(versions).alias("v")).select("v.*")
+    return closed.unionByName(current)
 
 
 def scd2_as_of(snapshot: DataFrame, at: Column) -> DataFrame:

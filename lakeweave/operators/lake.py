@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeweave.session import path_exists
+
 # Lake layers, in promotion order.
 LAYERS = ["raw", "bronze", "silver", "gold"]
 
@@ -36,8 +38,10 @@ def version_name(at: datetime) -> str:
     return at.astimezone(UTC).isoformat().replace(":", "-")
 
 
-def _or_none(load):
+def or_none(spark: SparkSession, path: str, load):
     """The loaded DataFrame, or None when there is nothing at the path."""
+    if not path_exists(spark, path):
+        return None
     try:
         return load()
     except AnalysisException as exc:
@@ -86,7 +90,7 @@ class Lake:
     def _read_paths(self, root: str, paths: list[str], schema=None, with_version: bool = False) -> DataFrame | None:
         reader = self.spark.read.option("recursiveFileLookup", True)
         reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
-        df = _or_none(lambda: reader.parquet(*paths))
+        df = or_none(self.spark, paths[0], lambda: reader.parquet(*paths))
         if df is None or not with_version:
             return df
         file_path = F.col("_metadata.file_path")
@@ -102,12 +106,14 @@ class Lake:
 
     def _files(self, root: str) -> DataFrame | None:
         """One row per Parquet file below ``root``; the listing reads no file content."""
-        return _or_none(
+        return or_none(
+            self.spark,
+            root,
             lambda: self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.parquet")
             .load(root)
-            .select("path", "modificationTime", "length")
+            .select("path", "modificationTime", "length"),
         )
 
     def versions(self, layer: str, source: str) -> DataFrame:
@@ -211,8 +217,9 @@ class Lake:
         """First rows of the dataset ``name`` in the first layer that has it (the limit stops the scan early)."""
         name = re.sub(r"\.parquet$", "", name)
         for layer in LAYERS:
-            found = _or_none(
-                lambda layer=layer: self.spark.read.parquet(f"{self.path(layer, source)}/ingest_date=*/version={name}")
+            root = self.path(layer, source)
+            found = or_none(
+                self.spark, root, lambda root=root: self.spark.read.parquet(f"{root}/ingest_date=*/version={name}")
             )
             if found is not None:
                 return found.limit(rows)

@@ -6,15 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeweave.functions.numbers import growth, round_half_up, stable_sum
+from lakeweave.session import materialized
 
 
 def score_histogram(content: DataFrame) -> DataFrame:
-    """Rows per source and distinct score (NULL is its own bin).
+    """Rows per source and distinct score (NULL is its own bin), stored because it is read twice.
 
     Partial aggregation collapses repeated scores before the shuffle, so a source with a
-    third of all rows sends its distinct scores, not its rows.
+    third of all rows sends its distinct scores, not its rows; the content is scanned once.
     """
-    return content.groupBy("source_name", "score").agg(F.count("*").alias("n"))
+    return materialized(content.groupBy("source_name", "score").agg(F.count("*").alias("n")))
 
 
 def _score_slot(score: Column) -> Column:
@@ -78,13 +79,14 @@ def score_percentiles_approx(content: DataFrame, accuracy: int = 10_000) -> Data
 
 
 def content_distribution(content: DataFrame) -> DataFrame:
-    """Count, share, mean, median and range of the score per source."""
+    """Count, share, mean, median and range of the score per source, all from the score histogram."""
     histogram = score_histogram(content)
-    summary = content.groupBy("source_name").agg(
-        F.count("*").alias("content_count"),
-        round_half_up(F.avg("score"), 2).alias("avg_score"),
-        F.max("score").alias("max_score"),
-        F.min("score").alias("min_score"),
+    n, score = F.col("n"), F.col("score")
+    summary = histogram.groupBy("source_name").agg(
+        F.sum(n).alias("content_count"),
+        round_half_up(F.sum(score * n) / F.sum(F.when(score.isNotNull(), n)), 2).alias("avg_score"),
+        F.max(score).alias("max_score"),
+        F.min(score).alias("min_score"),
     )
     medians = _ranked_histogram(histogram).groupBy("source_name").agg(
         round_half_up(_continuous_percentile(0.5), 2).alias("median_score")

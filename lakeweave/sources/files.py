@@ -5,37 +5,27 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeweave.operators.lake import Lake
+from lakeweave.operators.lake import Lake, or_none
+from lakeweave.session import path_exists
 
 CORRUPT = "_corrupt_record"
 
 
 def parquet_load(spark: SparkSession, path: str) -> DataFrame:
     """One Parquet file or folder; FileNotFoundError when it does not exist."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(path) from exc
-        raise
+    if not path_exists(spark, path):
+        raise FileNotFoundError(path)
+    return spark.read.parquet(path)
 
 
 def parquet_load_dir(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame | None:
     """All matching files below a folder, columns united; None when there are none."""
-    try:
-        return (
-            spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-            .option("mergeSchema", True).parquet(path)
-        )
-    except AnalysisException as exc:
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    return or_none(spark, path, lambda: reader.option("mergeSchema", True).parquet(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, encoding: str = "UTF-8") -> DataFrame:
@@ -56,16 +46,10 @@ def csv_to_parquet(
 
 def list_files(spark: SparkSession, path: str, pattern: str) -> list[str]:
     """Names of the matching files below a folder (a listing, no content)."""
-    try:
-        found = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", True)
-            .option("pathGlobFilter", pattern).load(path).select("path")
-        )
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-    return sorted(row.path for row in found.collect())
+    if not path_exists(spark, path):
+        return []
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    return sorted(row.path for row in found.load(path).select("path").collect())
 
 
 STATUS_SCHEMA = "path string, output_path string, rows bigint, success boolean, error string"
