@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime, timedelta
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from lakeweave.plans import analyses, intermediate, marts, reports
 from lakeweave.plans.build import build_content, build_models, stage_all
 from lakeweave.plans.pipeline import run_pipeline
 from lakeweave.schemas import SOURCES
-from lakeweave.session import work_dir
+from lakeweave.session import materialized, work_dir
 from lakeweave.sources import files
 from lakeweave.sources.adapters import split_sentinel_keys
 from lakeweave.sources.seeds import content_categories, source_metadata
@@ -52,10 +53,13 @@ def _staged(spark, sf, source):
     return stage_all({source: fx.RAW[source](spark, sf)}, AS_OF)[source]
 
 
+@cache
 def _unified(spark, sf):
+    """The lazy plan, built once per session and folder."""
     return intermediate.int_content_unified(stage_all(fx.raw_sources(spark, sf), AS_OF))
 
 
+@cache
 def _content(spark, sf):
     return build_content(spark, fx.raw_sources(spark, sf), AS_OF)
 
@@ -543,7 +547,7 @@ def scd2_apply(spark, sf):
     first, *later = _steam_history(spark, sf)
     snapshot = history.scd2_from_history(first, "app_id")
     for load in later:
-        snapshot = history.scd2_apply(snapshot, load, "app_id")
+        snapshot = history.scd2_apply(materialized(snapshot), load, "app_id")
     return snapshot
 
 
@@ -742,14 +746,8 @@ def test_event_unique(spark, sf):
 
 @query
 def dq_results(spark, sf):
-    """Every declared test on every relation, the stored ones read back from their tables."""
-    folder = work_dir(spark, "models")
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
-
-    return quality.run_tests(build_models(spark, fx.raw_sources(spark, sf), AS_OF, store), AS_OF)
+    """Every declared test on every relation; each reads only the columns it tests."""
+    return quality.run_tests(build_models(spark, fx.raw_sources(spark, sf), AS_OF), AS_OF)
 
 
 @query

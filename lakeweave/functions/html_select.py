@@ -1,6 +1,6 @@
 """Per-page helper: which elements match which selectors, and with what text or attribute.
 
-One streaming pass over a page with the standard HTML tokenizer. No tree is kept: the helper
+One streaming pass over a page. No tree is kept: the helper
 holds the stack of open elements and the values of the open matches. Record assembly,
 fallbacks, casts and validation are column expressions in ``operators.extract``.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import re
 from dataclasses import dataclass
-from html.parser import HTMLParser
+from html import unescape
 
 # Fixed values from the HTML standard: elements without content, and start tags that end an open element.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -28,6 +28,8 @@ ENDED_BY = {
     "td": {"td", "th", "tr", "tbody", "tfoot"},
     "th": {"td", "th", "tr", "tbody", "tfoot"},
 }
+# Start tag -> the open elements it ends.
+ENDS = {tag: [e for e, by in ENDED_BY.items() if tag in by] for tag in set().union(*ENDED_BY.values())}
 # An element is only closed implicitly inside the nearest of these.
 SCOPE = {"p": {"td", "th", "button", "body", "table"}, "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"},
          "option": {"select", "datalist"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
@@ -88,12 +90,31 @@ def compile_selector(text: str) -> list[list[tuple[str, list[tuple]]]]:
     return alternatives
 
 
+# A comment, a tag with its raw attributes, or a declaration. Quoted attribute values may hold ``>``.
+_MARKUP = re.compile(
+    r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|[!?][^>]*>)", re.DOTALL
+)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in ("script", "style")}
+
+
+def parse_attributes(raw: str) -> dict[str, str]:
+    """Attributes by lower-case name; the first of a repeated name wins, one without a value is empty."""
+    values: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(raw):
+        if value[:1] in ("'", '"'):
+            value = value[1:-1]
+        values.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return values
+
+
 class Element:
     __slots__ = ("tag", "attrs", "classes", "open_hits", "first_text")
 
-    def __init__(self, tag: str, attrs: dict[str, str], first_text: int):
-        self.tag, self.attrs, self.first_text = tag, attrs, first_text
-        self.classes = attrs.get("class", "").split()
+    def __init__(self, tag: str, raw_attributes: str, first_text: int):
+        self.tag, self.first_text = tag, first_text
+        self.attrs = parse_attributes(raw_attributes) if raw_attributes else {}
+        self.classes = self.attrs["class"].split() if "class" in self.attrs else ()
         self.open_hits: list = []
 
     def satisfies(self, conditions: list[tuple]) -> bool:
@@ -131,21 +152,32 @@ def matches(stack: list[Element], steps: list, step: int = -1, depth: int = -1)
     return any(matches(stack, steps, step - 1, d) for d in nearest if d >= 0)
 
 
-class PageScan(HTMLParser):
+class PageScan:
     """Open-element stack and text runs of one page; subclasses react to elements opening and closing."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.texts: list[str] = []  # stripped, non-empty text runs in document order
-        self.pending: list[str] = []
         self.stack: list[Element] = []
         self.open_tags: dict[str, int] = {}
 
     def scan(self, html: str):
-        self._open(Element(":root", {}, 0))
-        self.feed(html)
-        self.close()
-        self._flush()
+        self._open(Element(":root", "", 0))
+        position = start = 0
+        while match := _MARKUP.search(html, position):
+            self._text(html[start : match.start()])
+            position = start = match.end()
+            closing, name, raw = match.groups()
+            if not name:
+                continue
+            tag = name.lower()
+            if closing:
+                self._end(tag)
+                continue
+            self._start(tag, raw)
+            if tag in _RAW_END and not raw.endswith("/"):
+                end = _RAW_END[tag].search(html, position)
+                position = start = end.start() if end else len(html)
+        self._text(html[start:])
         while self.stack:
             self._pop()
         return self
@@ -154,12 +186,10 @@ class PageScan(HTMLParser):
 
     def closed(self, element: Element) -> None: ...
 
-    def _flush(self) -> None:
-        if self.pending:
-            run = "".join(self.pending).strip()
-            self.pending = []
-            if run and self.stack[-1].tag not in NO_TEXT:
-                self.texts.append(run)
+    def _text(self, run: str) -> None:
+        run = (unescape(run) if "&" in run else run).strip()
+        if run and self.stack[-1].tag not in NO_TEXT:
+            self.texts.append(run)
 
     def _open(self, element: Element) -> None:
         self.stack.append(element)
@@ -177,52 +207,23 @@ class PageScan(HTMLParser):
         while self._pop().tag != tag:
             pass
 
-    def _implied_ends(self, tag: str) -> None:
-        for ended, starters in ENDED_BY.items():
-            if tag in starters and self.open_tags.get(ended):
+    def _start(self, tag: str, raw: str) -> None:
+        for ended in ENDS.get(tag, ()):
+            if self.open_tags.get(ended):
                 for element in reversed(self.stack):
                     if element.tag == ended:
                         self._close_to(ended)
                         break
                     if element.tag in SCOPE[ended]:
                         break
-
-    def handle_starttag(self, tag, attrs):
-        self._flush()
-        self._implied_ends(tag)
-        values = {}
-        for name, value in attrs:
-            values.setdefault(name, value or "")
-        self._open(Element(tag, values, len(self.texts)))
-        if tag in VOID:
+        self._open(Element(tag, raw, len(self.texts)))
+        if tag in VOID or raw.endswith("/"):
             self._pop()
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self._flush()
-            self._pop()
-
-    def handle_endtag(self, tag):
-        self._flush()
+    def _end(self, tag: str) -> None:
         if tag not in VOID and self.open_tags.get(tag):
             self._close_to(tag)
 
-    def handle_data(self, data):
-        self.pending.append(data)
-
-    def handle_comment(self, data):
-        self._flush()
-
-    def handle_decl(self, decl):
-        self._flush()
-
-    def handle_pi(self, data):
-        self._flush()
-
-    def unknown_decl(self, data):
-        self._flush()
-
 
 class SelectPlan:
     """Field specs with their selectors compiled and indexed by what an element must have to match."""
@@ -244,10 +245,13 @@ class SelectPlan:
 
     def matching(self, stack: list[Element]) -> set[str]:
         """Selectors that the innermost open element matches."""
-        top = stack[-1]
-        keys = [("tag", top.tag), ("tag", "*"), ("id", top.attrs.get("id")), ("root",)]
-        keys += [("class", c) for c in top.classes] + [("attr", a) for a in top.attrs]
-        found = set().union(*(self.index.get(k, ()) for k in keys))
+        top, index = stack[-1], self.index
+        found = index.get(("tag", top.tag), set()) | index.get(("tag", "*"), set())
+        if top.attrs:
+            keys = [("id", top.attrs.get("id")), *(("class", c) for c in top.classes), *(("attr", a) for a in top.attrs)]
+            found = found.union(*(index[k] for k in keys if k in index))
+        elif len(stack) == 1:
+            found = index.get(("root",), set())
         return {s for s in found if any(matches(stack, steps) for steps in self.compiled[s])}
 
 

@@ -33,34 +33,30 @@ def _node(edge: Column) -> Column:
     return F.coalesce(F.get_json_object(edge, "$.node"), edge)
 
 
-def _below_data(value: Column) -> Column:
-    """Records of one ``data.*`` object: its edges' nodes, else the first non-empty list; NULL when it has neither."""
-    obj = _object(value)
+def _nested_records(obj: Column) -> Column:
+    """Records of one ``data.*`` object: its edges' nodes, else the first filled list; NULL when it has neither."""
     edges = _array(_get(obj, "edges"))
     filled = [F.when(~_get(obj, k).isin("[]", "", "0", "false", "{}"), _get(obj, k)) for k in NESTED_KEYS]
     chosen = _array(F.coalesce(*filled, _get(obj, NESTED_KEYS[-1])))
-    return F.when(edges.isNotNull(), F.transform(_objects_only(edges), _node)).otherwise(_objects_only(chosen))
-
-
-def record_array(response: Column) -> Column:
-    """Records of a response as JSON texts."""
-    top = _object(response)
-    nested = F.filter(
-        F.transform(F.map_values(_object(_get(top, "data"))), _below_data), lambda found: found.isNotNull()
-    )
-    listed = [_objects_only(_array(_get(top, key))) for key in LIST_KEYS]
-    from_object = F.coalesce(F.try_element_at(nested, F.lit(1)), *listed, F.array(response))
-    return (
-        F.when(top.isNotNull(), from_object)
-        .when(_array(response).isNotNull(), _objects_only(_array(response)))
-        .otherwise(F.array().cast("array<string>"))
-    )
+    return F.coalesce(F.transform(_objects_only(edges), _node), _objects_only(chosen))
 
 
 def json_records(responses: DataFrame, column: str = "response") -> DataFrame:
-    """One row per record: the other columns, ``record_no`` (from 0) and ``record`` (JSON text)."""
+    """One row per record: the other columns, ``record_no`` (from 0) and ``record`` (JSON text).
+
+    Each level is parsed once, in its own projection: the response, then ``data``, then its values.
+    """
     others = [c for c in responses.columns if c != column]
-    return responses.select(*others, F.posexplode(record_array(F.col(column))).alias("record_no", "record"))
+    response = F.col(column)
+    top = responses.withColumns({"__top": _object(response), "__list": _array(response)})
+    data = top.withColumn("__data", F.map_values(_object(_get(F.col("__top"), "data"))))
+    below = data.withColumn("__below", F.transform("__data", _object))
+    nested = F.filter(F.transform("__below", _nested_records), lambda found: found.isNotNull())
+    listed = [_objects_only(_array(_get(F.col("__top"), key))) for key in LIST_KEYS]
+    records = F.when(
+        F.col("__top").isNotNull(), F.coalesce(F.try_element_at(nested, F.lit(1)), *listed, F.array(response))
+    ).otherwise(_objects_only(F.col("__list")))
+    return below.select(*others, F.posexplode(records).alias("record_no", "record"))
 
 
 def json_cursor(response: Column) -> Column:

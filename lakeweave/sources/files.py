@@ -139,25 +139,24 @@ def parse_log_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Structured entries (timestamp, level, message, pipeline_id) of JSON log lines.
 
     The entry may be wrapped in ``record``; time and level may be objects or plain text.
-    Blank and unparsable lines are dropped.
+    Blank and unparsable lines are dropped. Every part is its own path lookup, so a filter on one
+    part that moves below the projection does not parse the others.
     """
     line = F.trim(F.col(column))
-    parsed = lines.select(F.from_json(line, "map<string,string>").alias("outer"), line.alias("line")).where(
-        (F.length("line") > 0) & F.col("outer").isNotNull()
-    )
-    entry = F.coalesce(F.from_json(F.try_element_at("outer", F.lit("record")), "map<string,string>"), F.col("outer"))
-    entries = parsed.select(entry.alias("e"), "line")
+    wrapped = F.get_json_object(line, "$.record").isNotNull()
+
+    def entry(path: str) -> Column:
+        return F.when(wrapped, F.get_json_object(line, f"$.record.{path}")).otherwise(F.get_json_object(line, f"$.{path}"))
 
     def part(name: str, inner: str, default: str) -> Column:
-        value = F.try_element_at("e", F.lit(name))
-        nested = F.coalesce(F.get_json_object(value, f"$.{inner}"), F.lit(default))
-        return F.when(value.isNull(), F.lit(default)).when(value.startswith("{"), nested).otherwise(value)
+        value = entry(name)
+        return F.coalesce(entry(f"{name}.{inner}"), F.when(~value.startswith("{"), value), F.lit(default))
 
-    return entries.select(
+    return lines.where(F.json_object_keys(line).isNotNull()).select(
         part("time", "repr", "").alias("timestamp"),
         part("level", "name", "INFO").alias("level"),
-        F.coalesce(F.try_element_at("e", F.lit("message")), F.col("line")).alias("message"),
-        F.nullif(F.get_json_object(F.try_element_at("e", F.lit("extra")), "$.pipeline_id"), F.lit("")).alias("pipeline_id"),
+        F.coalesce(entry("message"), line).alias("message"),
+        F.nullif(entry("extra.pipeline_id"), F.lit("")).alias("pipeline_id"),
     )
 
 
