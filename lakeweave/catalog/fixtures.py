@@ -131,13 +131,18 @@ def reddit_load(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
 # --- pages with known records ------------------------------------------------------------------
 
 
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The test tables are one file with one row group; spread the narrow rows before pages are built from them."""
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
 def _html(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
 def reddit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One listing page per event with its post and a reply post; every fifth uses the other markup."""
-    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    e = _spread(spark, table(spark, sf_dir, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
     c = F.col
     opening = F.when(c("event_id") % 5 == 0, F.lit('<div data-type="link"')).otherwise(F.lit('<div class="thing link odd"'))
 
@@ -181,7 +186,7 @@ def steam_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '</div></div><span class="search_review_summary" data-tooltip-html="Mixed&lt;br&gt;', c("p_size"), '% of reviews"></span></a></div>',
     )
     even = c("p_partkey") % 2 == 0
-    return table(spark, sf_dir, "part").select(
+    return _spread(spark, table(spark, sf_dir, "part")).select(
         c("p_partkey").alias("page_id"),
         _html("https://store.example/app/", c("p_partkey"), "/").alias("url"),
         F.when(even, app).otherwise(row).alias("html"),
@@ -211,7 +216,7 @@ def imdb_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         c("o_orderstatus"), "</a><a>Drama</a></div>",
     )
     kind = c("o_orderkey") % 3
-    return table(spark, sf_dir, "orders").select(
+    return _spread(spark, table(spark, sf_dir, "orders")).select(
         c("o_orderkey").alias("page_id"),
         F.concat(F.lit("https://i.example/title/"), tid, F.lit("/")).alias("url"),
         F.when(kind == 0, classic).when(kind == 1, chart).otherwise(single).alias("html"),

@@ -95,6 +95,8 @@ _MARKUP = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|[!?][^>]*>)", re.DOTALL
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+_UNQUOTED_END = re.compile(r"=[^\s\"']+$")
+MAX_SEEN = 4096
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in ("script", "style")}
 
 
@@ -109,12 +111,10 @@ def parse_attributes(raw: str) -> dict[str, str]:
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "classes", "open_hits", "first_text")
+    __slots__ = ("tag", "raw", "attrs", "classes", "open_hits", "first_text")
 
-    def __init__(self, tag: str, raw_attributes: str, first_text: int):
-        self.tag, self.first_text = tag, first_text
-        self.attrs = parse_attributes(raw_attributes) if raw_attributes else {}
-        self.classes = self.attrs["class"].split() if "class" in self.attrs else ()
+    def __init__(self, tag: str, raw: str, attrs: dict[str, str], classes, first_text: int):
+        self.tag, self.raw, self.attrs, self.classes, self.first_text = tag, raw, attrs, classes, first_text
         self.open_hits: list = []
 
     def satisfies(self, conditions: list[tuple]) -> bool:
@@ -155,13 +155,14 @@ def matches(stack: list[Element], steps: list, step: int = -1, depth: int = -1)
 class PageScan:
     """Open-element stack and text runs of one page; subclasses react to elements opening and closing."""
 
-    def __init__(self):
+    def __init__(self, seen: dict):
+        self.seen = seen  # (tag, raw attributes) -> parsed, shared by the pages of a task: templates repeat
         self.texts: list[str] = []  # stripped, non-empty text runs in document order
         self.stack: list[Element] = []
         self.open_tags: dict[str, int] = {}
 
     def scan(self, html: str):
-        self._open(Element(":root", "", 0))
+        self._open(Element(":root", "", {}, (), 0))
         position = start = 0
         while match := _MARKUP.search(html, position):
             self._text(html[start : match.start()])
@@ -187,6 +188,8 @@ class PageScan:
     def closed(self, element: Element) -> None: ...
 
     def _text(self, run: str) -> None:
+        if not run:
+            return
         run = (unescape(run) if "&" in run else run).strip()
         if run and self.stack[-1].tag not in NO_TEXT:
             self.texts.append(run)
@@ -216,10 +219,20 @@ class PageScan:
                         break
                     if element.tag in SCOPE[ended]:
                         break
-        self._open(Element(tag, raw, len(self.texts)))
-        if tag in VOID or raw.endswith("/"):
+        attrs, classes = self._parsed(raw) if raw else ({}, ())
+        self._open(Element(tag, raw, attrs, classes, len(self.texts)))
+        if tag in VOID or (raw.endswith("/") and not _UNQUOTED_END.search(raw)):
             self._pop()
 
+    def _parsed(self, raw: str) -> tuple[dict[str, str], tuple]:
+        known = self.seen.get(raw)
+        if known is None:
+            if len(self.seen) >= MAX_SEEN:
+                self.seen.clear()
+            attrs = parse_attributes(raw)
+            known = self.seen[raw] = (attrs, tuple(attrs["class"].split()) if "class" in attrs else ())
+        return known
+
     def _end(self, tag: str) -> None:
         if tag not in VOID and self.open_tags.get(tag):
             self._close_to(tag)
@@ -230,6 +243,8 @@ class SelectPlan:
 
     def __init__(self, fields: tuple[FieldSpec, ...]):
         self.fields = fields
+        self.candidates: dict[tuple[str, str], tuple[str, ...]] = {}
+        self.seen: dict = {}
         self.compiled: dict[str, list] = {}
         self.index: dict[tuple, set[str]] = {}
         self._add(fields)
@@ -243,23 +258,28 @@ class SelectPlan:
             for steps in self.compiled[spec.selector]:
                 self.index.setdefault(steps[-1][1][-1][:2], set()).add(spec.selector)
 
-    def matching(self, stack: list[Element]) -> set[str]:
+    def _candidates(self, element: Element) -> tuple[str, ...]:
+        """Selectors whose last part could match an element with this tag and these attributes."""
+        keys = [("tag", element.tag), ("tag", "*"), ("id", element.attrs.get("id")), *(("class", c) for c in element.classes)]
+        keys += [("attr", a) for a in element.attrs] + ([("root",)] if element.tag == ":root" else [])
+        return tuple(set().union(*(self.index[k] for k in keys if k in self.index)))
+
+    def matching(self, stack: list[Element]) -> list[str]:
         """Selectors that the innermost open element matches."""
-        top, index = stack[-1], self.index
-        found = index.get(("tag", top.tag), set()) | index.get(("tag", "*"), set())
-        if top.attrs:
-            keys = [("id", top.attrs.get("id")), *(("class", c) for c in top.classes), *(("attr", a) for a in top.attrs)]
-            found = found.union(*(index[k] for k in keys if k in index))
-        elif len(stack) == 1:
-            found = index.get(("root",), set())
-        return {s for s in found if any(matches(stack, steps) for steps in self.compiled[s])}
+        top = stack[-1]
+        found = self.candidates.get((top.tag, top.raw))
+        if found is None:
+            if len(self.candidates) >= MAX_SEEN:
+                self.candidates.clear()
+            found = self.candidates[top.tag, top.raw] = self._candidates(top)
+        return [s for s in found if any(matches(stack, steps) for steps in self.compiled[s])]
 
 
 class SelectScan(PageScan):
     """Collects the values of field specs; ``out`` is the record of the page itself."""
 
     def __init__(self, plan: SelectPlan):
-        super().__init__()
+        super().__init__(plan.seen)
         self.plan = plan
         self.out = self._empty(plan.fields)
         self.searches: list[tuple[Element | None, dict, tuple[FieldSpec, ...]]] = [(None, self.out, plan.fields)]
@@ -320,7 +340,7 @@ class CascadeScan(PageScan):
     """
 
     def __init__(self, container: list | None):
-        super().__init__()
+        super().__init__({})
         self.container = container
         self.found: list[tuple[int, str, str]] = []  # (position, tag of the parent, JSON)
         self.open_nodes: list[tuple] = []  # per open element: (children JSON, inside a record, position if a record)

@@ -86,7 +86,7 @@ DECLARED_TESTS: dict[str, TableTests] = {
     "stg_imdb_titles": TableTests(("id",), ("id", "title")),
     "stg_news_articles": TableTests(("url",), ("url", "title", "published_at"), not_future=("published_at",)),
     "int_reddit_posts_enriched": TableTests(("id",), ("id", "title")),
-    "int_steam_games_enriched": TableTests(("app_id",), ("app_id", "name")),
+    "int_steam_games_enriched": TableTests(("app_id",), ("app_id",)),
     "int_content_unified": TableTests(
         ("content_id",), ("content_id", "source_name"), accepted={"source_name": SOURCE_NAMES}
     ),
