@@ -393,6 +393,9 @@ ORACLE: dict[str, str] = {
         tail=f"WHERE loaded_at > (SELECT max(loaded_at) FROM content_events WHERE loaded_at <= {SPLIT})",
     ),
     "incr_content_events_replay": relation("content_events"),
+    "incr_event_upsert": relation(
+        "content_events", "* EXCLUDE (title), CASE WHEN source_name = 'steam' THEN upper(title) ELSE title END AS title"
+    ),
     "incr_full_refresh": relation("content_events", tail=f"WHERE loaded_at <= {SPLIT}"),
     "incr_content_events_stream": relation("content_events"),
     "incr_upsert_by_key": f"""{with_relations('steam_loads')}

@@ -484,6 +484,16 @@ def incr_full_refresh(spark, sf):
     return log.run(first, full_refresh=True)
 
 
+@query
+def incr_event_upsert(spark, sf):
+    """Corrected titles of the games replace the stored events of the same id."""
+    unified = _unified(spark, sf)
+    log = history.EventLog(spark, work_dir(spark, "events") + "/log")
+    log.run(unified)
+    games = history.content_events(unified.where(F.col("source_name") == "steam"))
+    return log.upsert(games.withColumn("title", F.upper("title")))
+
+
 @query
 def incr_upsert_by_key(spark, sf):
     """Games of the second load replace those of the first; the first load has only even keys."""

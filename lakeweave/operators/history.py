@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeweave.functions.keys import surrogate_key
-from lakeweave.session import path_exists
+from lakeweave.session import or_none
 
 EVENT_COLUMNS = ["content_id", "source_name", "natural_key", "title", "score", "created_at", "loaded_at"]
 
@@ -59,36 +59,39 @@ class EventLog:
         self.spark, self.path = spark, path
 
     def read(self) -> DataFrame | None:
-        if not path_exists(self.spark, self.path):
-            return None
-        return self.spark.read.option("mergeSchema", True).parquet(self.path)
+        return or_none(self.spark, self.path, lambda: self.spark.read.option("mergeSchema", True).parquet(self.path))
+
+    def _write(self, events: DataFrame, mode: str, partitions: str = "static") -> None:
+        """Write by day. Rebalancing gathers a day's rows into few files and splits a crowded day over tasks."""
+        writer = events.hint("rebalance", F.col("event_date")).write.mode(mode).partitionBy("event_date")
+        writer.option("partitionOverwriteMode", partitions).parquet(self.path)
 
     def run(self, unified: DataFrame, full_refresh: bool = False) -> DataFrame:
-        """Add the new events (or rebuild) and return the log as it is afterwards.
+        """Append the events above the high-water mark (or rebuild) and return the log as it is afterwards.
 
-        New events replace stored ones of the same id: only the days they fall on are rewritten,
-        and the rewritten days are staged first because a folder cannot be read and replaced at once.
+        An event id covers the load time, so an id above the mark cannot be stored yet: appending is
+        the upsert, and a repeated run appends nothing.
         """
         stored = None if full_refresh else self.read()
-        events = content_events_increment(unified, stored)
+        self._write(content_events_increment(unified, stored), "overwrite" if stored is None else "append")
+        return self.read()
+
+    def upsert(self, events: DataFrame) -> DataFrame:
+        """Replace stored events by corrected ones of the same id and add the rest.
+
+        Only the days of the given events are rewritten; they are staged first because a folder
+        cannot be read and replaced at once.
+        """
+        stored = self.read()
         if stored is None:
-            events.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-                "event_date"
-            ).parquet(self.path)
+            self._write(events, "overwrite")
             return self.read()
-        staging = f"{self.path}__staging"
-        events.write.mode("overwrite").parquet(staging)
-        staged = self.spark.read.parquet(staging)
         # Calendar days are few, so broadcasting them is bounded and prunes the stored partitions.
-        days = F.broadcast(staged.select("event_date").distinct())
-        touched = stored.join(days, "event_date", "left_semi")
-        merged = f"{self.path}__merged"
-        upsert_by_key(sync_columns(touched, staged.dtypes), staged, "event_id").write.mode("overwrite").partitionBy(
-            "event_date"
-        ).parquet(merged)
-        self.spark.read.parquet(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "event_date"
-        ).parquet(self.path)
+        days = F.broadcast(events.select("event_date").distinct())
+        touched = sync_columns(stored.join(days, "event_date", "left_semi"), events.dtypes)
+        staging = f"{self.path}__staging"
+        upsert_by_key(touched, events, "event_id").write.mode("overwrite").parquet(staging)
+        self._write(self.spark.read.schema(events.schema).parquet(staging), "overwrite", "dynamic")
         return self.read()
 
 

@@ -10,12 +10,11 @@ from __future__ import annotations
 import re
 from datetime import UTC, date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeweave.session import path_exists
+from lakeweave.session import or_none
 
 # Lake layers, in promotion order.
 LAYERS = ["raw", "bronze", "silver", "gold"]
@@ -38,18 +37,6 @@ def version_name(at: datetime) -> str:
     return at.astimezone(UTC).isoformat().replace(":", "-")
 
 
-def or_none(spark: SparkSession, path: str, load):
-    """The loaded DataFrame, or None when there is nothing at the path."""
-    if not path_exists(spark, path):
-        return None
-    try:
-        return load()
-    except AnalysisException as exc:
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 class Lake:
     """Reads and writes the layers below one base path (any Hadoop file system, object stores included)."""
 

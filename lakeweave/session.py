@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -68,3 +69,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file exists on its file system."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def or_none(spark: SparkSession, path: str, load):
+    """The loaded DataFrame, or None when there is nothing at the path."""
+    if not path_exists(spark, path):
+        return None
+    try:
+        return load()
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeweave.operators.lake import Lake, or_none
-from lakeweave.session import path_exists
+from lakeweave.operators.lake import Lake
+from lakeweave.session import or_none, path_exists
 
 CORRUPT = "_corrupt_record"
 
