@@ -61,17 +61,17 @@ def json_records(responses: DataFrame, column: str = "response") -> DataFrame:
 
 def json_cursor(response: Column) -> Column:
     """Cursor of the next request: the first non-empty flat text key, else the first open page's end cursor."""
-    top = _object(response)
+    is_object = F.ltrim(response).startswith("{")
 
     def text(key: str) -> Column:
-        # A text value appears with its quotes in the raw response only; numbers and objects are no cursors.
+        # Numbers and objects are no cursors, so the value's own type decides.
         value = F.get_json_object(response, f"$.{key}")
-        quoted = response.rlike(rf'"{key}"\s*:\s*"')
-        return F.when(quoted, F.nullif(value, F.lit("")))
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(response), f"$.{key}", "variant"))
+        return F.when((value != "") & (kind == "STRING"), value)
 
     infos = F.filter(
-        F.map_values(_object(_get(top, "data"))),
+        F.map_values(_object(F.get_json_object(response, "$.data"))),
         lambda v: F.get_json_object(v, "$.pageInfo.hasNextPage") == "true",
     )
     paged = F.get_json_object(F.try_element_at(infos, F.lit(1)), "$.pageInfo.endCursor")
-    return F.when(top.isNotNull(), F.coalesce(*[text(k) for k in CURSOR_KEYS], paged))
+    return F.when(is_object, F.coalesce(*[text(k) for k in CURSOR_KEYS], paged))
