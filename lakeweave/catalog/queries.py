@@ -313,13 +313,17 @@ def catalog_info(spark, sf):
     return info.where(F.col("table_name") != "load_log").select("table_name", "ordinal", "column_name", "row_count")
 
 
-@query
-def log_source(spark, sf):
+def _logs(spark, sf):
     path = work_dir(spark, "logs")
     fx.log_lines(spark, sf).select("value").write.text(path)
     return files.log_source(spark, path)
 
 
+@query
+def log_source(spark, sf):
+    return _logs(spark, sf)
+
+
 # --- models ------------------------------------------------------------------------------------
 
 
@@ -874,8 +878,7 @@ def crawl_summary(spark, sf):
 
 @query
 def log_query(spark, sf):
-    logs = files.parse_log_lines(fx.log_lines(spark, sf))
-    return monitor.log_query(logs, 50, "error", "p3")
+    return monitor.log_query(_logs(spark, sf), 50, "error", "p3")
 
 
 @query

@@ -228,6 +228,18 @@ class Lake:
         paths = [self.version_path(source_layer, source, r.ingest_date, r.version) for r in pending]
         return self._read_paths(self.path(source_layer, source), paths, None, with_version) if paths else None
 
+    def copy_versions(self, source_layer: str, dest_layer: str, source: str, versions: list[tuple[date, str]]) -> DataFrame:
+        """Copy whole versions to another layer in one job and return the copied rows.
+
+        Only the folders of these versions are replaced, so a repeated copy changes nothing.
+        """
+        paths = [self.version_path(source_layer, source, day, version) for day, version in versions]
+        rows = self._read_paths(self.path(source_layer, source), paths, None, with_version=True)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("ingest_date", "version").parquet(self.path(dest_layer, source))
+        copies = [self.version_path(dest_layer, source, day, version) for day, version in versions]
+        return self._read_paths(self.path(dest_layer, source), copies)
+
     def latest_version(self, layer: str, source: str) -> DataFrame | None:
         """Rows of the newest version only: the current snapshot of a layer that stores snapshots."""
         newest = self.versions(layer, source).orderBy(F.desc("ingest_date"), F.desc("version")).limit(1).collect()
@@ -261,13 +273,7 @@ def promote_source(lake: Lake, source: str, key: str, at: datetime) -> int:
     )
     if not pending:
         return 0
-    root = lake.path("bronze", source)
-    bronze_paths = []
-    for row in pending:
-        raw = lake._read_paths(root, [lake.version_path("raw", source, row.ingest_date, row.version)])
-        day = datetime(row.ingest_date.year, row.ingest_date.month, row.ingest_date.day, tzinfo=UTC)
-        bronze_paths.append(lake.promote("raw", "bronze", source, raw, day, row.version))
-    fresh = lake._read_paths(root, bronze_paths)
+    fresh = lake.copy_versions("raw", "bronze", source, [(r.ingest_date, r.version) for r in pending])
     current = lake.latest_version("silver", source)
     merged = fresh if current is None else current.unionByName(fresh, allowMissingColumns=True)
     lake.promote("bronze", "silver", source, latest_per_key(merged, key), at)

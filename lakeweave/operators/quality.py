@@ -1,4 +1,4 @@
-"""Declarative data tests: every test returns its failing rows, and a table's row tests run in one pass."""
+"""Declarative data tests: each one alone returns its failing rows; together they share one pass per relation."""
 
 from __future__ import annotations
 
@@ -113,70 +113,82 @@ DECLARED_TESTS: dict[str, TableTests] = {
 }
 
 
-def _row_checks(tests: TableTests, as_of: datetime) -> dict[tuple[str, str], Column]:
-    """Failing-row conditions that need no other row."""
+def _checks(tests: TableTests, as_of: datetime) -> list[tuple[str, str, Column, Column]]:
+    """(test, column, condition under which a row is an entry, value the entry is counted by).
+
+    A row test makes an entry of a failing row; a uniqueness test makes one of every value.
+    """
     limit = F.lit(as_of).cast("timestamp") + F.expr("interval 1 hour")
-    checks = {("not_null", c): F.col(c).isNull() for c in tests.not_null}
-    checks |= {("accepted_values", c): ~F.col(c).isin(v) for c, v in tests.accepted.items()}
-    checks |= {("not_future_date", c): F.col(c) > limit for c in tests.not_future}
-    checks |= {("positive_score", c): F.col(c) < 0 for c in tests.positive}
+    no_value = F.lit(None).cast("string")
+    checks = [("unique", c, F.col(c).isNotNull(), F.col(c).cast("string")) for c in tests.unique]
+    checks += [("not_null", c, F.col(c).isNull(), no_value) for c in tests.not_null]
+    checks += [("accepted_values", c, ~F.col(c).isin(v), no_value) for c, v in tests.accepted.items()]
+    checks += [("not_future_date", c, F.col(c) > limit, no_value) for c in tests.not_future]
+    checks += [("positive_score", c, F.col(c) < 0, no_value) for c in tests.positive]
     return checks
 
 
-RESULT_COLUMNS = ["relation", "test", "column_name", "failures"]
+def _entry(test: str, column: str, value: Column) -> Column:
+    return F.struct(F.lit(test).alias("test"), F.lit(column).alias("column_name"), value.alias("value"))
 
 
-def run_table_tests(name: str, df: DataFrame, tests: TableTests, relations: dict[str, DataFrame], as_of: datetime) -> DataFrame:
-    """Result rows (relation, test, column_name, failures) of all tests on one relation.
+def table_entries(name: str, df: DataFrame, tests: TableTests, relations: dict[str, DataFrame], as_of: datetime) -> DataFrame:
+    """Entries (relation, test, column_name, value) of all tests on one relation, from a single pass over it.
 
-    All row tests share a single aggregation; each uniqueness test aggregates its own column,
-    with partial counts before the shuffle; references are anti joins.
+    Only references need a second pass, an anti join against the parent's keys.
     """
-    results = []
-    checks = _row_checks(tests, as_of)
-    if checks:
-        counts = df.agg(
-            *[F.count_if(cond).alias(f"c{i}") for i, cond in enumerate(checks.values())]
-        )
-        entries = [
-            F.struct(F.lit(test).alias("test"), F.lit(col).alias("column_name"), F.col(f"c{i}").alias("failures"))
-            for i, (test, col) in enumerate(checks)
-        ]
-        results.append(counts.select(F.explode(F.array(*entries)).alias("r")).select("r.*"))
-
-    def counted(failing: DataFrame, test: str, column: str) -> DataFrame:
-        return failing.agg(F.count("*").alias("failures")).select(
-            F.lit(test).alias("test"), F.lit(column).alias("column_name"), "failures"
-        )
+    found = [F.when(condition, _entry(test, c, value)) for test, c, condition, value in _checks(tests, as_of)]
+    entries = df.select(F.explode(F.array_compact(F.array(*found))).alias("e")).select("e.*")
+    for column, (parent, parent_column) in tests.references.items():
+        missing = test_relationships(df, column, relations[parent], parent_column)
+        entries = entries.unionByName(missing.select(_entry("relationships", column, F.lit(None).cast("string")).alias("e")).select("e.*"))
+    return entries.select(F.lit(name).alias("relation"), "*")
 
-    results += [counted(test_unique(df, c), "unique", c) for c in tests.unique]
-    results += [
-        counted(test_relationships(df, c, relations[parent], parent_col), "relationships", c)
-        for c, (parent, parent_col) in tests.references.items()
-    ]
-    return reduce(DataFrame.unionByName, results).select(F.lit(name).alias("relation"), "test", "column_name", "failures")
+
+def _declared_rows(declared: dict[str, TableTests], singular: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+    rows = []
+    for name, t in declared.items():
+        rows += [(name, test, c) for test, cs in (
+            ("unique", t.unique), ("not_null", t.not_null), ("accepted_values", t.accepted),
+            ("not_future_date", t.not_future), ("positive_score", t.positive), ("relationships", t.references),
+        ) for c in cs]
+    return rows + singular
 
 
 def run_tests(relations: dict[str, DataFrame], as_of: datetime, declared: dict[str, TableTests] | None = None) -> DataFrame:
-    """Results of every declared test on the given relations, plus the two singular tests where they apply."""
+    """Failures (relation, test, column_name, failures) of every declared test on the given relations,
+    plus the two singular tests where they apply.
+
+    All relations share two aggregations: entries per value, whose partial counts collapse failing rows
+    and repeated values before the shuffle, then failures per test. A value seen once is no failure.
+    """
     declared = DECLARED_TESTS if declared is None else declared
-    results = [
-        run_table_tests(name, relations[name], tests, relations, as_of)
-        for name, tests in declared.items()
-        if name in relations and tests.size
-    ]
+    declared = {n: t for n, t in declared.items() if n in relations and t.size}
+    entries = [table_entries(n, relations[n], t, relations, as_of) for n, t in declared.items()]
+    singular = []
+
+    def add_singular(relation: str, test: str, column: str, found: DataFrame) -> None:
+        singular.append((relation, test, column))
+        value = F.col(column).cast("string") if test == "event_unique" else F.lit(None).cast("string")
+        entries.append(found.select(F.lit(relation).alias("relation"), _entry(test, column, value).alias("e")).select("relation", "e.*"))
+
     if {"fct_content", "dim_sources"} <= set(relations):
         orphans = test_orphans(relations["fct_content"], relations["dim_sources"])
-        results.append(_singular(orphans, "fct_content", "no_orphans", "source_name"))
+        add_singular("fct_content", "no_orphans", "source_name", orphans)
     if "incr_content_events" in relations:
-        repeated = test_event_unique(relations["incr_content_events"])
-        results.append(_singular(repeated, "incr_content_events", "event_unique", "event_id"))
-    return reduce(DataFrame.unionByName, results)
-
-
-def _singular(failing: DataFrame, relation: str, test: str, column: str) -> DataFrame:
-    return failing.agg(F.count("*").alias("failures")).select(
-        F.lit(relation).alias("relation"), F.lit(test).alias("test"), F.lit(column).alias("column_name"), "failures"
+        add_singular("incr_content_events", "event_unique", "event_id", relations["incr_content_events"])
+    by_value = reduce(DataFrame.unionByName, entries).groupBy("relation", "test", "column_name", "value").agg(
+        F.count("*").alias("n")
+    )
+    repeated = F.col("test").isin("unique", "event_unique")
+    failures = by_value.groupBy("relation", "test", "column_name").agg(
+        F.sum(F.when(repeated, (F.col("n") > 1).cast("bigint")).otherwise(F.col("n"))).alias("failures")
+    )
+    listed = ", ".join(f"('{r}', '{t}', '{c}')" for r, t, c in _declared_rows(declared, singular))
+    session = by_value.sparkSession
+    wanted = session.sql(f"SELECT * FROM VALUES {listed} AS declared(relation, test, column_name)")
+    return wanted.join(failures, ["relation", "test", "column_name"], "left").select(
+        "relation", "test", "column_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")
     )
 
 

@@ -177,12 +177,22 @@ def test_data_tests_find_failures(frame):
     assert [r.k for r in q.test_relationships(df, "k", parent, "key").collect()] == ["b"]
     dates = frame([(AS_OF + timedelta(minutes=59),), (AS_OF + timedelta(minutes=61),)], "at timestamp")
     assert q.test_not_future_date(dates, "at", AS_OF).count() == 1
-    results = q.run_table_tests("t", df, q.TableTests(("k",), ("k", "v"), {"k": ["a"]}, positive=("v",)), {}, AS_OF)
+    results = q.run_tests({"t": df}, AS_OF, {"t": q.TableTests(("k",), ("k", "v"), {"k": ["a"]}, positive=("v",))})
     got = {(r.test, r.column_name): r.failures for r in results.collect()}
     assert got == {("unique", "k"): 1, ("not_null", "k"): 2, ("not_null", "v"): 0, ("accepted_values", "k"): 1, ("positive_score", "v"): 1}
     assert tuple(q.dq_summary(results).first()) == (1, 4, 5)
 
 
+def test_all_tests_share_one_pass(spark):
+    """One scan per relation and two shuffles for any number of tests."""
+    df = fx.table(spark, SF_DIR, "orders")
+    tests = q.TableTests(("o_orderkey", "o_custkey"), tuple(df.columns), {"o_orderstatus": ["F"]}, positive=("o_totalprice",))
+    results = q.run_tests({"orders": df}, AS_OF, {"orders": tests})
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 2
+    assert results.count() == 10
+
+
 def test_source_freshness_limits(frame):
     hours = {"reddit": 12, "steam": 49, "imdb": 145, "news": None}
     raw = {
