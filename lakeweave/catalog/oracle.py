@@ -540,6 +540,15 @@ ORACLE: dict[str, str] = {
         SELECT page_id, url, 0 AS item_no, heading AS title, url AS article_url, '' AS source, '' AS author,
                array_to_string(paragraphs, ' ') AS content, left(array_to_string(paragraphs, ' '), 200) AS summary, '' AS tags,
                'page' AS url_source FROM pieces""",
+    "land_pages": f"""{PIECES}
+        SELECT trim(url) AS url, {norm('heading')} AS title, '' AS author, '' AS source, CAST(NULL AS INTEGER) AS score,
+               CAST(NULL AS TIMESTAMP) AS published_at,
+               {untag("regexp_replace(array_to_string(paragraphs, ' '), '^\\s+|\\s+$', '', 'g')")} AS body, {AS_OF} AS loaded_at FROM pieces""",
+    "land_pages_summary": """
+        SELECT 'reddit' AS profile, count(*) AS pages_fetched, 2 * count(*) AS records_extracted, 0 AS errors,
+               CAST(0 AS DOUBLE) AS duration_seconds, 'SUCCESS' AS status FROM events
+        UNION ALL SELECT 'steam', count(*), count(*), 0, 0, 'SUCCESS' FROM part
+        UNION ALL SELECT 'imdb', count(*), count(*), 0, 0, 'SUCCESS' FROM orders""",
     "extract_fields": f"""{PIECES}
         SELECT page_id, 0 AS item_no, nullif(heading, '') AS heading, nullif(ad, '') AS ad, array_to_string(links, ' ') AS links,
                nullif(menu[1], '') AS first_link FROM pieces""",
@@ -590,6 +599,11 @@ ORACLE: dict[str, str] = {
         WITH e AS (SELECT event_id, event_id % 8 AS shape, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
         SELECT event_id, 0 AS record_no, k FROM e WHERE shape <> 7
         UNION ALL SELECT event_id, 1, k + 1 FROM e WHERE shape NOT IN (5, 7)""",
+    "json_records_source": """
+        WITH e AS (SELECT event_id % 8 AS shape, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+        r AS (SELECT shape, k FROM e WHERE shape <> 7 UNION ALL SELECT shape, k + 1 FROM e WHERE shape NOT IN (5, 7))
+        SELECT CASE shape WHEN 1 THEN 'e' WHEN 3 THEN 'n' WHEN 4 THEN 'a' END AS cursor_kind, count(*) AS records,
+               CAST(sum(k) AS BIGINT) AS sum_k FROM r GROUP BY 1""",
     "json_cursor": """SELECT event_id, CASE event_id % 8 WHEN 1 THEN concat('e', user_id) WHEN 3 THEN concat('n', user_id)
             WHEN 4 THEN concat('a', user_id) END AS "cursor" FROM events""",
     "request_bodies": """

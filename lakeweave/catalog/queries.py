@@ -17,7 +17,7 @@ from lakeweave.operators import extract, history, json_records, lake as lake_ops
 from lakeweave.functions.html_select import FieldSpec
 from lakeweave.operators.lake import Lake
 from lakeweave.operators.warehouse import Warehouse, register_view, stamp_loaded_at
-from lakeweave.plans import analyses, intermediate, marts, reports
+from lakeweave.plans import analyses, crawl, intermediate, marts, reports
 from lakeweave.plans.build import build_content, build_models, stage_all
 from lakeweave.plans.pipeline import run_pipeline
 from lakeweave.schemas import SOURCES
@@ -915,6 +915,22 @@ def extract_news_articles(spark, sf):
     return articles.withColumn("tags", F.array_join("tags", ",")).drop("published_at", "error")
 
 
+@query
+def land_pages(spark, sf):
+    """News pages through extraction, validation and cleaning into the raw layer, then staged."""
+    lake = _lake(spark)
+    crawl.land_pages(lake, "news", fx.table(spark, sf, "pages"), AS_OF.replace(tzinfo=UTC))
+    return stage_all({"news": lake.read("raw", "news")}, AS_OF)["news"]
+
+
+@query
+def land_pages_summary(spark, sf):
+    """Store, film and post pages landed: pages, records and status per source."""
+    lake, at = _lake(spark), AS_OF.replace(tzinfo=UTC)
+    made = {"reddit": fx.reddit_pages, "steam": fx.steam_pages, "imdb": fx.imdb_pages}
+    return intermediate.union_frames([crawl.land_pages(lake, name, make(spark, sf), at) for name, make in made.items()])
+
+
 @query
 def extract_fields(spark, sf):
     """Headings, paragraphs and the navigation as nested records of every page."""
@@ -999,6 +1015,19 @@ def json_records_query(spark, sf):
 QUERIES["json_records"] = QUERIES.pop("json_records_query")
 
 
+@query
+def json_records_source(spark, sf):
+    """The same responses landed as text files, one response per line, with records per cursor kind."""
+    path = work_dir(spark, "responses")
+    fx.api_responses(spark, sf).select("response").write.text(path)
+    lines = spark.read.text(path).withColumnRenamed("value", "response")
+    kind = F.substring(json_records.json_cursor(F.col("response")), 1, 1).alias("cursor_kind")
+    found = json_records.json_records(lines.select("response", kind))
+    return found.groupBy("cursor_kind").agg(
+        F.count("*").alias("records"), F.sum(F.get_json_object("record", "$.k").cast("bigint")).alias("sum_k")
+    )
+
+
 @query
 def json_cursor(spark, sf):
     return fx.api_responses(spark, sf).select("event_id", json_records.json_cursor(F.col("response")).alias("cursor"))

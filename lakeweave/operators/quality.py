@@ -128,31 +128,31 @@ def _checks(tests: TableTests, as_of: datetime) -> list[tuple[str, str, Column,
     return checks
 
 
-def _entry(test: str, column: str, value: Column) -> Column:
-    return F.struct(F.lit(test).alias("test"), F.lit(column).alias("column_name"), value.alias("value"))
+@dataclass
+class TestPlan:
+    """Numbers the tests of a run, so that entries carry one integer instead of three names."""
 
+    rows: list[tuple[int, str, str, str]] = field(default_factory=list)
 
-def table_entries(name: str, df: DataFrame, tests: TableTests, relations: dict[str, DataFrame], as_of: datetime) -> DataFrame:
-    """Entries (relation, test, column_name, value) of all tests on one relation, from a single pass over it.
+    def entry(self, relation: str, test: str, column: str, value: Column) -> Column:
+        self.rows.append((len(self.rows), relation, test, column))
+        return F.struct(F.lit(self.rows[-1][0]).alias("test_no"), value.alias("value"))
+
+
+def table_entries(
+    plan: TestPlan, name: str, df: DataFrame, tests: TableTests, relations: dict[str, DataFrame], as_of: datetime
+) -> list[DataFrame]:
+    """Entries (test_no, value) of all tests on one relation, from a single pass over it.
 
     Only references need a second pass, an anti join against the parent's keys.
     """
-    found = [F.when(condition, _entry(test, c, value)) for test, c, condition, value in _checks(tests, as_of)]
-    entries = df.select(F.explode(F.array_compact(F.array(*found))).alias("e")).select("e.*")
+    found = [F.when(condition, plan.entry(name, test, c, value)) for test, c, condition, value in _checks(tests, as_of)]
+    entries = [df.select(F.explode(F.array_compact(F.array(*found))).alias("e")).select("e.*")]
     for column, (parent, parent_column) in tests.references.items():
         missing = test_relationships(df, column, relations[parent], parent_column)
-        entries = entries.unionByName(missing.select(_entry("relationships", column, F.lit(None).cast("string")).alias("e")).select("e.*"))
-    return entries.select(F.lit(name).alias("relation"), "*")
-
-
-def _declared_rows(declared: dict[str, TableTests], singular: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
-    rows = []
-    for name, t in declared.items():
-        rows += [(name, test, c) for test, cs in (
-            ("unique", t.unique), ("not_null", t.not_null), ("accepted_values", t.accepted),
-            ("not_future_date", t.not_future), ("positive_score", t.positive), ("relationships", t.references),
-        ) for c in cs]
-    return rows + singular
+        entry = plan.entry(name, "relationships", column, F.lit(None).cast("string"))
+        entries.append(missing.select(entry.alias("e")).select("e.*"))
+    return entries
 
 
 def run_tests(relations: dict[str, DataFrame], as_of: datetime, declared: dict[str, TableTests] | None = None) -> DataFrame:
@@ -162,32 +162,27 @@ def run_tests(relations: dict[str, DataFrame], as_of: datetime, declared: dict[s
     All relations share two aggregations: entries per value, whose partial counts collapse failing rows
     and repeated values before the shuffle, then failures per test. A value seen once is no failure.
     """
-    declared = DECLARED_TESTS if declared is None else declared
-    declared = {n: t for n, t in declared.items() if n in relations and t.size}
-    entries = [table_entries(n, relations[n], t, relations, as_of) for n, t in declared.items()]
-    singular = []
-
-    def add_singular(relation: str, test: str, column: str, found: DataFrame) -> None:
-        singular.append((relation, test, column))
-        value = F.col(column).cast("string") if test == "event_unique" else F.lit(None).cast("string")
-        entries.append(found.select(F.lit(relation).alias("relation"), _entry(test, column, value).alias("e")).select("relation", "e.*"))
-
+    plan, entries = TestPlan(), []
+    for name, tests in (DECLARED_TESTS if declared is None else declared).items():
+        if name in relations and tests.size:
+            entries += table_entries(plan, name, relations[name], tests, relations, as_of)
     if {"fct_content", "dim_sources"} <= set(relations):
         orphans = test_orphans(relations["fct_content"], relations["dim_sources"])
-        add_singular("fct_content", "no_orphans", "source_name", orphans)
+        entry = plan.entry("fct_content", "no_orphans", "source_name", F.lit(None).cast("string"))
+        entries.append(orphans.select(entry.alias("e")).select("e.*"))
     if "incr_content_events" in relations:
-        add_singular("incr_content_events", "event_unique", "event_id", relations["incr_content_events"])
-    by_value = reduce(DataFrame.unionByName, entries).groupBy("relation", "test", "column_name", "value").agg(
-        F.count("*").alias("n")
-    )
-    repeated = F.col("test").isin("unique", "event_unique")
-    failures = by_value.groupBy("relation", "test", "column_name").agg(
-        F.sum(F.when(repeated, (F.col("n") > 1).cast("bigint")).otherwise(F.col("n"))).alias("failures")
+        entry = plan.entry("incr_content_events", "event_unique", "event_id", F.col("event_id"))
+        entries.append(relations["incr_content_events"].select(entry.alias("e")).select("e.*"))
+
+    repeated = [no for no, _, test, _ in plan.rows if test in ("unique", "event_unique")]
+    by_value = reduce(DataFrame.unionByName, entries).groupBy("test_no", "value").agg(F.count("*").alias("n"))
+    failing = F.when(F.col("test_no").isin(repeated), (F.col("n") > 1).cast("bigint")).otherwise(F.col("n"))
+    failures = by_value.groupBy("test_no").agg(F.sum(failing).alias("failures"))
+    listed = ", ".join(f"({no}, '{relation}', '{test}', '{column}')" for no, relation, test, column in plan.rows)
+    declared_tests = by_value.sparkSession.sql(
+        f"SELECT * FROM VALUES {listed} AS declared(test_no, relation, test, column_name)"
     )
-    listed = ", ".join(f"('{r}', '{t}', '{c}')" for r, t, c in _declared_rows(declared, singular))
-    session = by_value.sparkSession
-    wanted = session.sql(f"SELECT * FROM VALUES {listed} AS declared(relation, test, column_name)")
-    return wanted.join(failures, ["relation", "test", "column_name"], "left").select(
+    return declared_tests.join(failures, "test_no", "left").select(
         "relation", "test", "column_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")
     )
 

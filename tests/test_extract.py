@@ -165,6 +165,24 @@ def test_text_links_images(pages):
     assert got[1].text == "plain" and got[1].links is None and got[1].images is None
 
 
+def test_landing_splits_records(spark, pages):
+    """Valid records, rule breakers and placeholder keys end up in their places; the pages are parsed once."""
+    from datetime import UTC
+
+    from lakeweave.operators.lake import Lake
+    from lakeweave.plans.crawl import land_pages
+    from lakeweave.session import work_dir
+
+    row = '<li class="ipc-metadata-list-summary-item"><a href="/{0}">N</a><span class="ipc-rating-star--rating">{1}</span></li>'
+    html = row.format("title/tt1/", "9.0") + row.format("title/tt2/", "11.0") + row.format("name/x", "5")
+    lake = Lake(spark, work_dir(spark, "test-land"))
+    summary = land_pages(lake, "imdb", pages(("u", html), ("v", "<p>none</p>")), datetime(2024, 2, 1, tzinfo=UTC)).first()
+    assert (summary.profile, summary.pages_fetched, summary.records_extracted, summary.errors, summary.status) == ("imdb", 2, 3, 0, "SUCCESS")
+    assert [(r.id, r.rating) for r in lake.read("raw", "imdb").collect()] == [("tt1", "9.0")]
+    rejects = {json.loads(r.record)["id"]: r.violations for r in lake.read("raw", "imdb_rejects").collect()}
+    assert rejects == {"tt2": ["range:rating"], "unknown": ["placeholder key"]}
+
+
 def test_a_failing_page_gives_an_error_row(pages, monkeypatch):
     df = pages(("good", "<h1>a</h1>"), ("bad", "<h1>boom</h1>"))
 
