@@ -405,6 +405,7 @@ ORACLE: dict[str, str] = {
     "incr_schema_sync": relation("reddit_posts", "id, score, CAST(NULL AS VARCHAR) AS flair"),
     "scd_steam_game_prices": relation("steam_scd"),
     "scd2_apply": relation("steam_scd"),
+    "scd2_stored": relation("steam_scd"),
     "scd_steam_price_changes": f"{with_relations('steam_changes')} SELECT * EXCLUDE (valid_to) FROM ({scd('steam_changes', 'app_id')})",
     "scd_reddit_post_scores": relation("reddit_scd"),
     "scd2_as_of": relation(

@@ -565,6 +565,15 @@ def scd2_apply(spark, sf):
     return snapshot
 
 
+@query
+def scd2_stored(spark, sf):
+    """The same history as a stored table, one load at a time, the last one twice."""
+    table = history.HistoryTable(spark, work_dir(spark, "history"), "app_id")
+    for k, load in enumerate(_steam_history(spark, sf)):
+        table.apply(load, f"load{k}")
+    return table.apply(load, f"load{k}")
+
+
 @query
 def scd2_as_of(spark, sf):
     snapshot = history.scd2_from_history(intermediate.union_frames(_steam_history(spark, sf)), "app_id")

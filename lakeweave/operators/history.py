@@ -6,8 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeweave.functions.keys import surrogate_key
+from lakeweave.operators.lake import latest_per_key
 from lakeweave.session import or_none
 
+EVENT_SCHEMA = (
+    "event_id string, content_id string, source_name string, natural_key string, title string, score double, "
+    "created_at timestamp, loaded_at timestamp, event_date date"
+)
 EVENT_COLUMNS = ["content_id", "source_name", "natural_key", "title", "score", "created_at", "loaded_at"]
 
 
@@ -53,13 +58,17 @@ def sync_columns(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
 
 
 class EventLog:
-    """The event log as a Parquet folder partitioned by ``event_date``."""
+    """The event log as a Parquet folder partitioned by ``event_date``.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    It is read with a given schema, so no file footer is opened to learn the columns; a column added
+    to the schema is NULL in older files, a dropped one is ignored.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str = EVENT_SCHEMA):
+        self.spark, self.path, self.schema = spark, path, schema
 
     def read(self) -> DataFrame | None:
-        return or_none(self.spark, self.path, lambda: self.spark.read.option("mergeSchema", True).parquet(self.path))
+        return or_none(self.spark, self.path, lambda: self.spark.read.schema(self.schema).parquet(self.path))
 
     def _write(self, events: DataFrame, mode: str, partitions: str = "static") -> None:
         """Write by day. Rebalancing gathers a day's rows into few files and splits a crowded day over tasks."""
@@ -177,13 +186,14 @@ def _changed_only(rows: DataFrame, key: str, updated_at: str, check_cols: list[s
 
 
 def scd2_apply(snapshot: DataFrame, batch: DataFrame, key: str, updated_at: str = "loaded_at") -> DataFrame:
-    """Snapshot after one load (at most one row per key): close the open version of each newer key, open a new one.
+    """Snapshot after one load: close the open version of each newer key and open a new one.
 
-    Keys absent from the batch keep their open version; rows not newer than the open version change
-    nothing. Closed versions pass through without a shuffle; open ones are unique per key, so the
+    A load counts with its newest row per key. Keys absent from it keep their open version; rows not
+    newer than the open version change nothing. Closed versions pass through without a shuffle; open ones are unique per key, so the
     join has no hot key however long a key's history is.
     """
     columns = snapshot.columns
+    batch = latest_per_key(batch, key, updated_at)
     closed = snapshot.where(F.col("dbt_valid_to").isNotNull())
     old = snapshot.where(F.col("dbt_valid_to").isNull()).select(F.col(key).alias("__key"), F.struct(*columns).alias("o"))
     fresh = batch.where(F.col(key).isNotNull()).withColumn("dbt_valid_to", F.lit(None).cast("timestamp"))
@@ -209,3 +219,50 @@ def scd2_as_of(snapshot: DataFrame, at: Column) -> DataFrame:
     return snapshot.where(
         (F.col("dbt_valid_from") <= at) & (F.col("dbt_valid_to").isNull() | (at < F.col("dbt_valid_to")))
     )
+
+
+class HistoryTable:
+    """A stored type-2 history: one folder per load, ``load=at-<name>/dbt_is_current=<true|false>``.
+
+    A load writes the versions it closed and the set of versions open after it. Closed versions never
+    change, so a load costs the open set and the batch, not the whole history. Names sort in load order.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, updated_at: str = "loaded_at"):
+        self.spark, self.path, self.key, self.updated_at = spark, path, key, updated_at
+
+    def _stored(self) -> DataFrame | None:
+        return or_none(self.spark, self.path, lambda: self.spark.read.parquet(self.path))
+
+    def loads(self) -> list[str]:
+        """Names of the stored loads, from the folder listing."""
+        listing = or_none(
+            self.spark, self.path,
+            lambda: self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.parquet").load(self.path),
+        )
+        if listing is None:
+            return []
+        names = listing.select(F.regexp_extract("path", "/load=at-([^/]+)/", 1).alias("load")).distinct()
+        return sorted(r.load for r in names.collect())
+
+    def read(self, before: str | None = None) -> DataFrame | None:
+        """The history, or its state before a load. Only the newest open set is read."""
+        loads = [name for name in self.loads() if before is None or name < before]
+        if not loads:
+            return None
+        load, current = F.col("load"), F.col("dbt_is_current").cast("boolean")
+        newest = f"at-{loads[-1]}"
+        wanted = (~current & (load <= newest)) | (load == newest)
+        return self._stored().where(wanted).withColumn("dbt_is_current", current).drop("load")
+
+    def apply(self, batch: DataFrame, load: str) -> DataFrame:
+        """Add a load under ``load`` and return the history. Repeating the newest load replaces it."""
+        before = self.read(before=load)
+        if before is None:
+            after = scd2_from_history(latest_per_key(batch, self.key, self.updated_at), self.key, self.updated_at)
+        else:
+            after = scd2_apply(before.where(F.col("dbt_is_current")), batch, self.key, self.updated_at)
+        folder = f"{self.path}/load=at-{load}"
+        after.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("dbt_is_current").parquet(folder)
+        return self.read()

@@ -256,7 +256,8 @@ def latest_per_key(df: DataFrame, key: str, updated_at: str = "loaded_at") -> Da
     The rank filter becomes a per-task reduction before the shuffle, so copies of a hot key
     collapse where they are read.
     """
-    rest = [F.desc_nulls_last(c) for c in df.columns if c not in (key, updated_at)]
+    sortable = [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    rest = [F.desc_nulls_last(c) for c in sortable if c not in (key, updated_at)]
     order = Window.partitionBy(key).orderBy(F.desc_nulls_last(updated_at), *rest)
     return df.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") == 1).drop("__rank")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 from datetime import datetime
@@ -18,7 +19,7 @@ from lakeweave.schemas import SOURCES
 
 RUN_SCHEMA = (
     "run_id string, status string, started_at timestamp, rows_fetched bigint, rows_processed bigint, "
-    "rows_saved bigint, rows_skipped bigint, rows_failed bigint, failed_tests int, error string"
+    "rows_saved bigint, rows_skipped bigint, rows_failed bigint, failed_tests int, duration_seconds double, error string"
 )
 
 
@@ -44,7 +45,7 @@ def run_pipeline(spark: SparkSession, lake: Lake, warehouse: Warehouse, as_of: d
 
     A failing source is reported in ``steps`` and left out; any failed data test fails the run.
     """
-    run_id = uuid.uuid4().hex
+    run_id, start = uuid.uuid4().hex, time.monotonic()
     steps = lake_pipeline(lake, {n: s.key for n, s in SOURCES.items()}, as_of)
     outcomes = {r.source: r for r in steps.collect()}
     rows, raw, status_rows = 0, {}, []
@@ -75,6 +76,7 @@ def run_pipeline(spark: SparkSession, lake: Lake, warehouse: Warehouse, as_of: d
         failed = tests.where(F.col("failures") > 0).count()
     errors = [f"{r[1]}: {r[4]}" for r in status_rows if r[2] == "failed"]
     status = "FAILED" if failed or errors else "SUCCESS"
-    record = (run_id, status, as_of, rows, rows, rows, 0, 0, failed, "; ".join(errors) or None)
+    took = time.monotonic() - start
+    record = (run_id, status, as_of, rows, rows, rows, 0, 0, failed, took, "; ".join(errors) or None)
     warehouse.append_rows("pipeline_runs", spark.createDataFrame([record], RUN_SCHEMA))
     return RunResult(run_id, status, steps, tests, models)

@@ -75,6 +75,31 @@ def test_scd2_apply_ignores_old_and_repeated_loads(frame):
     assert versions(same) == versions(older) == [("a", 1, START, None)]
 
 
+def test_repeated_keys_in_a_load_count_once(frame):
+    schema = "id string, v int, loaded_at timestamp"
+    base = history.scd2_from_history(frame([("a", 1, START)], schema), "id")
+    day = timedelta(days=1)
+    got = history.scd2_apply(base, frame([("a", 2, START + day), ("a", 3, START + 2 * day), ("a", 3, START + 2 * day)], schema), "id")
+    assert versions(got) == [("a", 1, START, START + 2 * day), ("a", 3, START + 2 * day, None)]
+
+
+def test_stored_history_equals_one_build(spark, frame):
+    """Loads one by one, the last one repeated; a load rewrites no closed version."""
+    rng = random.Random(11)
+    schema = "id string, v int, loaded_at timestamp"
+    table = history.HistoryTable(spark, work_dir(spark, "test-history"), "id")
+    assert table.read() is None
+    rows = []
+    for day in range(4):
+        load = [(f"k{k}", rng.randrange(3), START + timedelta(days=day)) for k in rng.sample(range(20), 12)]
+        rows += load
+        table.apply(frame(load, schema), f"2024-01-0{day + 1}")
+    assert versions(table.read()) == expected_versions(rows)
+    assert versions(table.apply(frame(load, schema), "2024-01-04")) == expected_versions(rows)
+    assert versions(table.read(before="2024-01-03")) == expected_versions([r for r in rows if r[2] < START + timedelta(days=2)])
+    assert table.loads() == [f"2024-01-0{d}" for d in range(1, 5)]
+
+
 def test_as_of(frame):
     schema = "id string, v int, loaded_at timestamp"
     rows = [("a", 1, START), ("a", 2, START + timedelta(days=2)), ("b", 1, START + timedelta(days=1))]
