@@ -259,10 +259,13 @@ URL_PARTS = """WITH parts AS (SELECT page_id, url, regexp_replace(url, '#.*$', '
 
 
 def plain(c: str) -> str:
-    """Text of a markup fragment: tags out, outer blanks off, the entities used in the pages decoded."""
+    """Text of a markup fragment: tags out, outer blanks off, the entities used in the pages decoded.
+
+    These entities also count without their semicolon, as in a title cut in the middle of one.
+    """
     stripped = f"regexp_replace(regexp_replace({c}, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g')"
-    for entity, char in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        stripped = f"replace({stripped}, '{entity}', '{char}')"
+    for entity, char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        stripped = f"regexp_replace({stripped}, '&{entity};?', '{char}', 'g')"
     return stripped
 
 
