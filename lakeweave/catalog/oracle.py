@@ -137,7 +137,7 @@ RELATIONS: dict[str, str] = {
             FROM fct_content WHERE created_at IS NOT NULL GROUP BY 1, 2)""",
     "rpt_top_content_by_source": """
         SELECT content_id, source_name, natural_key, title, author, score, created_at, url,
-               row_number() OVER (PARTITION BY source_name ORDER BY score DESC NULLS LAST, content_id) AS rank_within_source
+               CAST(row_number() OVER (PARTITION BY source_name ORDER BY score DESC NULLS LAST, content_id) AS INTEGER) AS rank_within_source
         FROM fct_content QUALIFY rank_within_source <= 10""",
     "rpt_content_freshness": f"""
         SELECT source_name, latest_loaded_at, round(h, 1) AS hours_since_last_load, total_records, records_last_24h,
@@ -321,7 +321,7 @@ ORACLE: dict[str, str] = {
     + " AS rows_total, true AS success",
     "count_rows": "SELECT (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM orders) AS row_count",
     "save_records": relation("steam_games"),
-    "warehouse_append": relation("steam_games", "app_id, name, loaded_at, 2 AS copies"),
+    "warehouse_append": relation("steam_games", "app_id, name, loaded_at, CAST(2 AS BIGINT) AS copies"),
     "warehouse_overwrite": relation("steam_games", tail="WHERE rating <> 'Mixed'"),
     "warehouse_incremental": f"""{with_relations('reddit_posts')}, first_load AS (SELECT * FROM reddit_posts WHERE loaded_at <= {SPLIT})
         SELECT id, score, loaded_at FROM first_load UNION ALL
@@ -465,7 +465,7 @@ ORACLE: dict[str, str] = {
     ),
     "test_orphans": relation("fct_content", "content_id, source_name", "WHERE source_name = 'news'"),
     "test_event_unique": relation(
-        "content_events", "event_id, 2 AS occurrence_count", f"WHERE loaded_at <= {SPLIT}"
+        "content_events", "event_id, CAST(2 AS BIGINT) AS occurrence_count", f"WHERE loaded_at <= {SPLIT}"
     ),
     "dq_results": _declared_tests(),
     "dq_summary": f"""{with_relations('stg_reddit_posts', 'stg_imdb_titles')}, results(failures) AS (
@@ -549,7 +549,7 @@ ORACLE: dict[str, str] = {
                CAST(NULL AS TIMESTAMP) AS published_at,
                {untag("regexp_replace(array_to_string(paragraphs, ' '), '^\\s+|\\s+$', '', 'g')")} AS body, {AS_OF} AS loaded_at FROM pieces""",
     "land_pages_summary": """
-        SELECT 'reddit' AS profile, count(*) AS pages_fetched, 2 * count(*) AS records_extracted, 0 AS errors,
+        SELECT 'reddit' AS profile, count(*) AS pages_fetched, 2 * count(*) AS records_extracted, CAST(0 AS BIGINT) AS errors,
                CAST(0 AS DOUBLE) AS duration_seconds, 'SUCCESS' AS status FROM events
         UNION ALL SELECT 'steam', count(*), count(*), 0, 0, 'SUCCESS' FROM part
         UNION ALL SELECT 'imdb', count(*), count(*), 0, 0, 'SUCCESS' FROM orders""",

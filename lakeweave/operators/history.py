@@ -29,12 +29,14 @@ def content_events(unified: DataFrame) -> DataFrame:
 
 
 def newer_than(incoming: DataFrame, target: DataFrame, watermark: str = "loaded_at") -> DataFrame:
-    """Incoming rows above the target's high-water mark; all rows when the target is empty.
+    """Incoming rows above the target's high-water mark (a timestamp); all stamped rows when the target is empty.
 
-    The mark is a scalar subquery, so Spark evaluates it once and pushes it into the scan.
+    The mark is a scalar subquery that is never NULL, so Spark evaluates it once and can push the
+    plain comparison into the scan.
     """
-    mark = target.agg(F.max(watermark).alias("mark")).scalar()
-    return incoming.where((F.col(watermark) > mark) | mark.isNull())
+    start = F.lit("0001-01-01").cast("timestamp")
+    mark = target.agg(F.coalesce(F.max(watermark), start).alias("mark")).scalar()
+    return incoming.where(F.col(watermark) > mark)
 
 
 def content_events_increment(unified: DataFrame, target: DataFrame | None) -> DataFrame:

@@ -24,6 +24,7 @@ def build_session(master: str | None = None, app: str = "lakeweave", **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Call-site capture for every column expression costs more than planning itself.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
