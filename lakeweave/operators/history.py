@@ -77,14 +77,21 @@ class EventLog:
         writer = events.hint("rebalance", F.col("event_date")).write.mode(mode).partitionBy("event_date")
         writer.option("partitionOverwriteMode", partitions).parquet(self.path)
 
+    def newest_day(self) -> DataFrame | None:
+        """The newest partition, which holds the high-water mark: the day is the date of the load time."""
+        stored = self.read()
+        if stored is None:
+            return None
+        return stored.where(F.col("event_date") == stored.agg(F.max("event_date")).scalar())
+
     def run(self, unified: DataFrame, full_refresh: bool = False) -> DataFrame:
         """Append the events above the high-water mark (or rebuild) and return the log as it is afterwards.
 
         An event id covers the load time, so an id above the mark cannot be stored yet: appending is
         the upsert, and a repeated run appends nothing.
         """
-        stored = None if full_refresh else self.read()
-        self._write(content_events_increment(unified, stored), "overwrite" if stored is None else "append")
+        newest = None if full_refresh else self.newest_day()
+        self._write(content_events_increment(unified, newest), "overwrite" if newest is None else "append")
         return self.read()
 
     def upsert(self, events: DataFrame) -> DataFrame:
