@@ -147,7 +147,7 @@ def table_entries(
     Only references need a second pass, an anti join against the parent's keys.
     """
     found = [F.when(condition, plan.entry(name, test, c, value)) for test, c, condition, value in _checks(tests, as_of)]
-    entries = [df.select(F.explode(F.array_compact(F.array(*found))).alias("e")).select("e.*")]
+    entries = [df.select(F.explode(F.array(*found)).alias("e")).where(F.col("e").isNotNull()).select("e.*")]
     for column, (parent, parent_column) in tests.references.items():
         missing = test_relationships(df, column, relations[parent], parent_column)
         entry = plan.entry(name, "relationships", column, F.lit(None).cast("string"))
