@@ -416,10 +416,10 @@ ORACLE: dict[str, str] = {
         "WHERE dbt_valid_from <= TIMESTAMP '2024-01-27' AND (dbt_valid_to IS NULL OR TIMESTAMP '2024-01-27' < dbt_valid_to)",
     ),
     # scalar functions
-    "fn_normalize_text": f"SELECT doc_id, {norm('text')} AS value FROM documents",
-    "fn_clean_html": f"SELECT page_id, {untag('html')} AS value FROM pages",
-    "fn_trim_strings": "SELECT p_partkey, trim(concat(chr(160), ' ', chr(12288), p_name, '  ')) AS value FROM part",
-    "fn_safe_cast": """
+    "normalize_text": f"SELECT doc_id, {norm('text')} AS value FROM documents",
+    "clean_html": f"SELECT page_id, {untag('html')} AS value FROM pages",
+    "trim_strings": "SELECT p_partkey, trim(concat(chr(160), ' ', chr(12288), p_name, '  ')) AS value FROM part",
+    "safe_cast": """
         WITH d AS (SELECT o_orderkey, o_totalprice, concat(' ', CAST(round(o_totalprice / 100, 1) AS VARCHAR),
                 CASE o_orderkey % 7 WHEN 0 THEN 'd' WHEN 1 THEN 'e1' WHEN 2 THEN 'f' WHEN 3 THEN 'x' ELSE ' ' END) AS s,
               concat(strftime(o_orderdate, '%Y/%-m/%-d'), CASE WHEN o_orderkey % 5 = 0 THEN 'x' ELSE '' END) AS day_text FROM orders)
@@ -427,29 +427,29 @@ ORACLE: dict[str, str] = {
                TRY_CAST(day_text AS DATE) AS as_date,
                CASE WHEN o_orderkey % 7 IN (0, 2) THEN TRY_CAST(rtrim(s, 'df') AS DOUBLE) ELSE coalesce(TRY_CAST(s AS DOUBLE), -1.0) END AS as_default
         FROM d""",
-    "fn_calculate_growth": f"SELECT l_orderkey, l_linenumber, {growth('l_linenumber', '(l_orderkey % 5)')} AS growth_pct FROM lineitem",
-    "fn_surrogate_key": f"""
+    "calculate_growth": f"SELECT l_orderkey, l_linenumber, {growth('l_linenumber', '(l_orderkey % 5)')} AS growth_pct FROM lineitem",
+    "surrogate_key": f"""
         WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS s FROM orders)
         SELECT o_orderkey, {key('o_orderkey', 's')} AS "key", md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), coalesce(s, '_null_'))) AS fallback_key FROM o""",
-    "fn_strip_strings": r"SELECT conv_id, turn, role, regexp_replace(text, '^\s+|\s+$', '', 'g') AS text FROM conversations",
-    "fn_slugify": r"""
+    "strip_strings": r"SELECT conv_id, turn, role, regexp_replace(text, '^\s+|\s+$', '', 'g') AS text FROM conversations",
+    "slugify": r"""
         WITH d AS (SELECT doc_id, source, trim(regexp_replace(lower(text), '[^a-z0-9]+', '_', 'g'), '_') AS slug,
                    regexp_replace(lower(regexp_replace(text, '^\s+|\s+$', '', 'g')), '[^a-z0-9_]', '_', 'g') AS proposed FROM documents)
         SELECT doc_id, slug, concat(source, '_dataset') AS dataset_name,
                CASE WHEN trim(proposed[1:40], '_') <> '' THEN trim(proposed[1:40], '_') ELSE concat(source, '_dataset') END AS suggested_name FROM d""",
-    "fn_safe_int": "SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE o_custkey * 1000 END AS value FROM orders",
-    "fn_parse_size": """SELECT doc_id, CAST(floor(n_chars / 4.0 * CASE doc_id % 7 WHEN 0 THEN 1 WHEN 1 THEN 1024 WHEN 2 THEN 1048576
+    "safe_int": "SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE o_custkey * 1000 END AS value FROM orders",
+    "parse_size": """SELECT doc_id, CAST(floor(n_chars / 4.0 * CASE doc_id % 7 WHEN 0 THEN 1 WHEN 1 THEN 1024 WHEN 2 THEN 1048576
         WHEN 3 THEN 1073741824 WHEN 4 THEN 1099511627776 WHEN 5 THEN 1 END) AS BIGINT) AS bytes FROM documents""",
-    "fn_truncate_string": "SELECT doc_id, CASE WHEN length(text) > 200 THEN concat(left(text, 197), '...') ELSE text END AS value FROM documents",
-    "fn_flatten_struct": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS props_k, user_id AS user_id,
+    "truncate_string": "SELECT doc_id, CASE WHEN length(text) > 200 THEN concat(left(text, 197), '...') ELSE text END AS value FROM documents",
+    "flatten_struct": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS props_k, user_id AS user_id,
         event_type AS user_last_type FROM events""",
-    "fn_chunk_rows": """SELECT event_id, event_type,
+    "chunk_rows": """SELECT event_id, event_type,
         (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 7 AS chunk_no FROM events""",
-    "fn_url_ids": """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS app_id, concat('tt', o_custkey) AS title_id,
+    "url_ids": """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS app_id, concat('tt', o_custkey) AS title_id,
         o_custkey * 1000 AS votes, CAST(year(o_orderdate) AS VARCHAR) AS year_text FROM orders""",
-    "fn_iso_timestamp": """SELECT event_id, CASE event_id % 3 WHEN 0 THEN date_trunc('second', CAST(ts AS TIMESTAMP))
+    "iso_timestamp": """SELECT event_id, CASE event_id % 3 WHEN 0 THEN date_trunc('second', CAST(ts AS TIMESTAMP))
         WHEN 1 THEN date_trunc('second', CAST(ts AS TIMESTAMP)) - INTERVAL 2 HOUR END AS at FROM events""",
-    "fn_parse_price": """SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN CAST(0 AS DOUBLE) WHEN p_partkey % 11 = 1 THEN NULL
+    "parse_price": """SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN CAST(0 AS DOUBLE) WHEN p_partkey % 11 = 1 THEN NULL
         ELSE round(p_retailprice, 2) END AS price FROM part""",
     # data quality and monitoring
     "test_unique": relation("reddit_posts", "author, count(*) AS n_records", "GROUP BY author HAVING count(*) > 1"),
@@ -619,5 +619,18 @@ ORACLE: dict[str, str] = {
 }
 
 
+def _columns_of(name: str, columns: str) -> str:
+    return f"SELECT {columns} FROM ({ORACLE[name]})"
+
+
+ORACLE |= {
+    "dataset_name": _columns_of("slugify", "doc_id, dataset_name, suggested_name"),
+    "safe_cast_default": _columns_of("safe_cast", "o_orderkey, as_default"),
+    "extract_app_id": _columns_of("url_ids", "o_orderkey, app_id"),
+    "extract_title_id": _columns_of("url_ids", "o_orderkey, title_id"),
+    "extract_votes": _columns_of("url_ids", "o_orderkey, votes, year_text"),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -33,7 +33,8 @@ DAY1, DAY2 = datetime(2024, 1, 20, tzinfo=UTC), datetime(2024, 1, 21, tzinfo=UTC
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name; ``fn_`` marks those named after a library function or module."""
+    QUERIES[fn.__name__.removeprefix("fn_")] = fn
     return fn
 
 
@@ -276,22 +277,18 @@ def load_parquet(spark, sf):
 
 
 @query
-def stamp_loaded_at_query(spark, sf):
+def fn_stamp_loaded_at(spark, sf):
     posts = fx.reddit_posts(spark, sf)
     kept = F.when(F.col("id") < "t3_5", F.col("loaded_at"))
     return stamp_loaded_at(posts.withColumn("loaded_at", kept), AS_OF).select("id", "loaded_at")
 
 
-QUERIES["stamp_loaded_at"] = QUERIES.pop("stamp_loaded_at_query")
-
 
 @query
-def register_view_query(spark, sf):
+def fn_register_view(spark, sf):
     return register_view(spark, "customer_view", f"{sf}/customer.parquet").select("c_custkey", "c_name", "c_acctbal")
 
 
-QUERIES["register_view"] = QUERIES.pop("register_view_query")
-
 
 @query
 def run_sql(spark, sf):
@@ -648,6 +645,16 @@ def fn_slugify(spark, sf):
     )
 
 
+@query
+def fn_dataset_name(spark, sf):
+    return fn_slugify(spark, sf).select("doc_id", "dataset_name", "suggested_name")
+
+
+@query
+def fn_safe_cast_default(spark, sf):
+    return fn_safe_cast(spark, sf).select("o_orderkey", "as_default")
+
+
 @query
 def fn_safe_int(spark, sf):
     shown = F.when(F.col("o_orderkey") % 9 == 0, F.lit("n/a")).otherwise(
@@ -700,6 +707,21 @@ def fn_url_ids(spark, sf):
     )
 
 
+@query
+def fn_extract_app_id(spark, sf):
+    return fn_url_ids(spark, sf).select("o_orderkey", "app_id")
+
+
+@query
+def fn_extract_title_id(spark, sf):
+    return fn_url_ids(spark, sf).select("o_orderkey", "title_id")
+
+
+@query
+def fn_extract_votes(spark, sf):
+    return fn_url_ids(spark, sf).select("o_orderkey", "votes", "year_text")
+
+
 @query
 def fn_iso_timestamp(spark, sf):
     shown = F.concat(
@@ -804,7 +826,7 @@ def validate_records(spark, sf):
 
 
 @query
-def split_sentinel_keys_query(spark, sf):
+def fn_reject_sentinel_keys(spark, sf):
     """Placeholder keys counted per kind."""
     records = fx.table(spark, sf, "orders").select(
         F.when(F.col("o_orderkey") % 5 == 0, F.lit("unknown")).when(F.col("o_orderkey") % 5 == 1, F.lit(""))
@@ -816,8 +838,6 @@ def split_sentinel_keys_query(spark, sf):
     ).agg(F.count("*").alias("n_rows"), F.count("id").alias("n_ids"))
 
 
-QUERIES["reject_sentinel_keys"] = QUERIES.pop("split_sentinel_keys_query")
-
 
 @query
 def run_metrics(spark, sf):
@@ -1016,13 +1036,11 @@ def robots_filter(spark, sf):
 
 
 @query
-def json_records_query(spark, sf):
+def fn_json_records(spark, sf):
     found = json_records.json_records(fx.api_responses(spark, sf))
     return found.select("event_id", "record_no", F.get_json_object("record", "$.k").cast("int").alias("k"))
 
 
-QUERIES["json_records"] = QUERIES.pop("json_records_query")
-
 
 @query
 def json_records_source(spark, sf):
