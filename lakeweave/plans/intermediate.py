@@ -12,14 +12,12 @@ from lakeweave.functions.numbers import growth
 
 
 def with_category(df: DataFrame, categories: DataFrame, source: str) -> DataFrame:
-    """Attach the category of one source to every row; rows stay when the source has none.
+    """Attach the category of one source to every row, NULL when the source has none.
 
-    The categories are a fixed seed of four rows, so the broadcast has a known bound.
+    One source has one category row, so two scalar subqueries replace a join without keys.
     """
-    one = categories.where(F.col("source_name") == source).select(
-        F.col("source_name").alias("__source"), "category", "subcategory"
-    )
-    return df.join(F.broadcast(one), F.lit(source) == F.col("__source"), "left").drop("__source")
+    one = categories.where(F.col("source_name") == source)
+    return df.withColumns({name: one.select(name).scalar() for name in ("category", "subcategory")})
 
 
 def int_reddit_posts_enriched(staged: DataFrame, categories: DataFrame) -> DataFrame:

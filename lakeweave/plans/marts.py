@@ -22,9 +22,7 @@ def _audit(df: DataFrame, as_of: datetime | None, *names: str) -> DataFrame:
 
 
 def dim_sources(metadata: DataFrame, categories: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    joined = metadata.join(
-        F.broadcast(categories.select("source_name", "category", "subcategory")), "source_name", "left"
-    ).select(
+    joined = metadata.join(categories.select("source_name", "category", "subcategory"), "source_name", "left").select(
         surrogate_key(F.col("source_name")).alias("source_key"),
         "source_name", "display_name", "base_url", "crawl_frequency_hours", "is_active", "category", "subcategory",
     )
@@ -43,8 +41,11 @@ def dim_content_types(categories: DataFrame, as_of: datetime | None = None) -> D
 
 
 def fct_content(unified: DataFrame, sources: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """One row per content item of a known source. The dimension has one row per source (a fixed seed)."""
-    fact = unified.join(F.broadcast(sources.select("source_key", "source_name")), "source_name").select(
+    """One row per content item of a known source.
+
+    The dimension has one row per source; its size is known to the optimizer, which broadcasts it unasked.
+    """
+    fact = unified.join(sources.select("source_key", "source_name"), "source_name").select(
         surrogate_key(F.col("content_id")).alias("content_key"),
         "content_id", "source_key", "source_name", "natural_key", "title", "author", "score",
         "created_at", "url", "body", "loaded_at",

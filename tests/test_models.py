@@ -91,6 +91,14 @@ def test_year_ranges_keep_the_row(frame, spark):
     assert [r.created_at for r in got] == [None, datetime(1999, 1, 1)]
 
 
+def test_dimension_join_is_a_size_checked_broadcast(spark):
+    """No hint, one broadcast hash join over the whole union, no shuffle."""
+    fact = build_models(spark, fx.raw_sources(spark, SF_DIR), AS_OF)["fct_content"]
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert "strategy=broadcast" not in fact._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_fact_drops_unknown_sources(frame, spark):
     unified = frame([item(1), item(2, "blog")], CONTENT)
     dims = marts.dim_sources(seeds.source_metadata(spark), seeds.content_categories(spark))
