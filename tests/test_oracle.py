@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lakeweave.catalog import oracle, queries
 
 from conftest import SF_DIR
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
