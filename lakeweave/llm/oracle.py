@@ -2,6 +2,49 @@
 
 from __future__ import annotations
 
+OP2 = r"""
+WITH docs AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines, row_number() OVER (ORDER BY doc_id NULLS FIRST) AS uid FROM documents
+), counted AS (
+  SELECT *, list_transform(lines, lambda x: len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))) AS words FROM docs
+), summed AS (
+  SELECT *, list_transform(range(1, len(words) + 1), lambda i: list_sum(words[1:i])) AS upto FROM counted
+), places AS (
+  SELECT uid, lines, upto, words, unnest(range(1, len(lines) + 1)) AS pos FROM summed
+), needs AS (
+  SELECT uid, pos, lines, 1 + len(list_filter(upto[pos:], lambda x: x < upto[pos] - words[pos] + 8)) AS need, len(lines) AS n FROM places
+), windows AS (
+  SELECT uid, pos, need, lines[pos:pos + need - 1] AS span FROM needs WHERE pos + need - 1 <= n
+), later AS (
+  SELECT uid, pos, need, row_number() OVER (PARTITION BY span ORDER BY uid, pos) > 1 AS copy FROM windows
+), gone AS (
+  SELECT uid, list(DISTINCT line) AS removed FROM (SELECT uid, unnest(range(pos, pos + need)) AS line FROM later WHERE copy) GROUP BY uid
+)
+SELECT d.doc_id, coalesce(len(d.lines), 0)::BIGINT AS n_lines, coalesce(len(g.removed), 0)::BIGINT AS n_removed,
+       md5(CASE WHEN g.removed IS NULL THEN d.text
+                ELSE array_to_string(list_filter(d.lines, lambda x, i: NOT list_contains(g.removed, i)), chr(10)) END) AS kept_md5
+FROM docs d LEFT JOIN gone g ON d.uid = g.uid
+"""
+
+OP3 = r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT vec_id AS node, vec_id AS seen FROM embeddings
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a
+), roots AS (
+  SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+), counts AS (
+  SELECT a, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(c.n_links, 0)::BIGINT AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+FROM embeddings e JOIN roots r ON e.vec_id = r.node LEFT JOIN counts c ON e.vec_id = c.a
+"""
+
 OP5 = r"""
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -45,6 +88,25 @@ SELECT p.doc_id, p.size, t.source_size, t.target,
 FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source LEFT JOIN counts c ON p.source IS NOT DISTINCT FROM c.source
 """
 
+OP7 = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id NULLS FIRST) AS uid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), places AS (
+  SELECT uid, words, unnest(range(1, len(words) - 18)) AS pos FROM docs WHERE len(words) >= 20
+), windows AS (
+  SELECT uid, pos, md5(array_to_string(words[pos:pos + 19], ' ')) AS span FROM places
+), later AS (
+  SELECT uid, pos FROM (SELECT uid, pos, row_number() OVER (PARTITION BY span ORDER BY uid, pos) AS copy FROM windows) WHERE copy > 1
+), gone AS (
+  SELECT uid, list(DISTINCT word) AS removed FROM (SELECT uid, unnest(range(pos, pos + 20)) AS word FROM later) GROUP BY uid
+), marked AS (
+  SELECT d.doc_id, d.words, g.removed, d.uid FROM docs d LEFT JOIN gone g ON d.uid = g.uid
+), kept AS (
+  SELECT doc_id, words, removed, CASE WHEN removed IS NULL THEN words ELSE list_filter(words, lambda x, i: NOT list_contains(removed, i)) END AS left_over FROM marked
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(removed), 0)::BIGINT AS n_removed, sha256(array_to_string(left_over, ' ')) AS kept_sha256 FROM kept
+"""
+
 OP10 = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -62,7 +124,13 @@ WITH parts AS (
 SELECT s.page_id, s.host, s.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM split s LEFT JOIN fits f ON s.n = f.n
 """
 
-ORACLE = {"op5_source_mix": OP5, "op10_url_filter": OP10}
+ORACLE = {
+    "op2_line_dedup": OP2,
+    "op3_embedding_dedup": OP3,
+    "op5_source_mix": OP5,
+    "op7_substring_dedup": OP7,
+    "op10_url_filter": OP10,
+}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.llm import mix, simhash, urls
+import public_tokenizers
+
+from lakeweave.llm import ann, embed, langid, lines, mix, packing, recompress, simhash, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +38,25 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, removed lines and digest of the kept text of every document."""
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
+
+
+@query
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embed.embedding_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th vector."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mixture takes of every document, summed over its pieces."""
@@ -44,6 +65,35 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.join(taken, "uid", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
+@query
+def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a packed sequence."""
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, removed words and digest of the kept words of every document."""
+    return recompress.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs)
+    return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the files."""
+    docs = table(spark, sf_dir, "documents")
+    manifest = tokens.write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return tokens.read_token_files(manifest, docs.schema["doc_id"].dataType.simpleString()).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page url."""
