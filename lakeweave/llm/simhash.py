@@ -45,19 +45,19 @@ def fingerprint_of(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` of every row: the fingerprint as a signed 64-bit number. Texts are read whole.
+def fingerprints(docs: DataFrame, width: int = SHINGLE, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``(*ids, fp)`` of every row: the fingerprint as a signed 64-bit number. Texts are read whole.
 
     Null texts and texts without words have fingerprint 0. Rows are kept as they are, also repeated ones and null ids.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    wanted = docs.select(*ids, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint_of(shingle_hashes(t, width)) for t in text_bytes(batch.column(1))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.array([fingerprint_of(shingle_hashes(t, width)) for t in text_bytes(batch.column(len(ids)))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found.view(np.int64))], [*ids, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    return wanted.mapInArrow(run, ", ".join(f"`{c}` {wanted.schema[c].dataType.simpleString()}" for c in ids) + ", fp long")
 
 
 class BKTree:
@@ -138,21 +138,36 @@ def linked_fingerprints(distinct: DataFrame, shard_size: int = SHARD_SIZE) -> Da
     return pairs.select(F.col("t.fps").alias("tree"), F.col("q.fps").alias("block"), F.expr("t.block = q.block").alias("same")).mapInArrow(_tree_links, "a long, b long")
 
 
+def component_labels(distinct: DataFrame, shard_size: int = SHARD_SIZE) -> DataFrame:
+    """``(fp, label)``: the smallest ``first`` over the component of each fingerprint, from ``(fp, first)``."""
+    roots = components(linked_fingerprints(distinct, shard_size))
+    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = stored(rooted, "simhash_roots")
+    return rooted.join(rooted.groupBy("root").agg(F.min("first").alias("label")), "root").select("fp", "label")
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, shard_size: int = SHARD_SIZE) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` of every row of ``(doc_id, text)``.
 
     ``fingerprint`` is 16 hex digits. Documents whose fingerprints differ in at most three bits are linked;
     ``component_id`` is the smallest ``doc_id`` reachable (null only if a component has null ids alone). Null and empty
-    texts have fingerprint 0 and are linked like any other. An empty table gives an empty result.
+    texts have fingerprint 0 and are linked like any other. Repeated rows are one more document each. An empty table
+    gives an empty result; other columns are not read.
     """
-    return _components_of(stored(fingerprints(docs, width), "simhash_fps"), shard_size)
+    fps = stored(fingerprints(docs, width), "simhash_fps")
+    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash_distinct")
+    labels = component_labels(distinct, shard_size)
+    return fps.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("label").alias("component_id"))
 
 
-def _components_of(fps: DataFrame, shard_size: int) -> DataFrame:
-    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash_distinct")
-    roots = components(linked_fingerprints(distinct, shard_size))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = stored(rooted, "simhash_roots")
-    label = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = rooted.join(label, "root").select("fp", "component_id")
-    return fps.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+def one_per_component(docs: DataFrame, width: int = SHINGLE, shard_size: int = SHARD_SIZE) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their near-duplicate component (null ids last), one for each component.
+
+    All texts without words are one component. Of rows with the same id the first one read stays.
+    """
+    numbered = stored(docs.withColumn("_uid", F.monotonically_increasing_id()), "simhash_docs")
+    fps = stored(fingerprints(numbered, width, ("doc_id", "_uid")), "simhash_fps")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_uid")
+    distinct = stored(fps.groupBy("fp").agg(F.min(place).alias("first")), "simhash_distinct")
+    kept = component_labels(distinct, shard_size).select(F.col("label._uid").alias("_uid")).distinct()
+    return numbered.join(stored(kept, "simhash_kept"), "_uid", "left_semi").select(*docs.columns)
