@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lakeweave.llm.common import stored
-
 UNKNOWN = "und"
 BUCKETS = 1 << 13
 SAMPLE_PER_LANGUAGE = 800
@@ -154,5 +152,6 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     letter, and all texts if there was nothing to learn from are ``und`` with score 0, and not accepted. Rows, also repeated ones, and
     other columns stay; an empty table stays empty. Equal cosines go to the language that sorts first.
     """
+    docs = docs.select(*[f"`{c}`" for c in docs.columns if c not in ("lang_pred", "score", "accepted")])  # replaced
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(_predict(model), f"{schema}, lang_pred string, score double, accepted boolean")

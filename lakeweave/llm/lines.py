@@ -89,23 +89,33 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     one empty line. Null ids come first; repeated rows are ordered by their place in the input. ``n_chars``, if there,
     follows the text.
     """
-    numbered = stored(docs.withColumn("_uid", F.monotonically_increasing_id()), "line_docs")
-    lines = numbered.select("_uid", "doc_id", "text").mapInArrow(
+    names = docs.columns
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("uid"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), "line_docs")
+    text_at, doc_at = f"c{names.index('text')}", f"c{names.index('doc_id')}"
+    lines = numbered.select("uid", doc_at, text_at).mapInArrow(
         _lines_of(min_words), f"uid long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, pos int, digest binary, need int"
     )
-    lines = stored(lines, "lines")
-    covered = stored(repeated_windows(lines), "line_windows")
-    gone = covered.groupBy("uid").agg(F.collect_list(F.struct("pos", "need")).alias("_gone"))
-    joined = numbered.join(gone.withColumnRenamed("uid", "_uid"), "_uid", "left").drop("_uid")
-    chars = joined.columns.index("n_chars") if "n_chars" in docs.columns else None
-    names = [*docs.columns, "n_lines", "n_removed"]
-    text_at, gone_at, wide = joined.columns.index("text"), joined.columns.index("_gone"), len(docs.columns)
-
-    def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    covered = stored(repeated_windows(stored(lines, "lines")), "line_windows")
+    gone = covered.groupBy("uid").agg(F.collect_list(F.struct("pos", "need")).alias("gone"))
+    joined = numbered.join(gone, "uid", "left").drop("uid")
+    added = ["n_lines", "n_removed"]
+    kept = [i for i, c in enumerate(names) if c not in added]  # columns of these names are replaced
+    fields = [f"c{i} {docs.schema.fields[i].dataType.simpleString()}" for i in kept]
+    out = joined.select(*[f"c{i}" for i in kept], "gone").mapInArrow(
+        _rebuild(kept.index(names.index("text")), kept.index(names.index("n_chars")) if "n_chars" in names else None), ", ".join([*fields, "n_lines long", "n_removed long"])
+    )
+    return out.toDF(*[names[i] for i in kept], *added)
+
+
+def _rebuild(text_at: int, chars_at: int | None):
+    """Texts without the lines of the windows in the last column, with the numbers of lines and of removed lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, lengths, counts, removed = [], [], [], []
-            old = batch.column(chars).to_pylist() if chars is not None else [None] * len(batch)
-            for text, windows, n_chars in zip(batch.column(text_at).to_pylist(), batch.column(gone_at), old, strict=True):
+            columns = batch.columns[:-1]
+            old = columns[chars_at].to_pylist() if chars_at is not None else [None] * len(batch)
+            for text, windows, n_chars in zip(columns[text_at].to_pylist(), batch.column(len(columns)), old, strict=True):
                 kept = [] if text is None else text.split("\n")
                 counts.append(len(kept))
                 drop = np.zeros(len(kept) + 1, dtype=np.int64)
@@ -114,16 +124,15 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     np.add.at(drop, pos, 1)
                     np.add.at(drop, pos + need, -1)
                     drop = np.cumsum(drop)
-                    kept = [x for x, d in zip(kept, drop, strict=False) if not d]
-                    text, n_chars = "\n".join(kept), len("\n".join(kept))
+                    text = "\n".join([x for x, d in zip(kept, drop.tolist(), strict=False) if not d])
+                    n_chars = len(text)
                 removed.append(int((drop[:-1] > 0).sum()))
                 texts.append(text)
                 lengths.append(n_chars)
-            columns = [batch.column(i) for i in range(wide)]
             columns[text_at] = pa.array(texts, pa.string())
-            if chars is not None:
-                columns[chars] = pa.array(lengths, batch.column(chars).type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names)
+            if chars_at is not None:
+                columns[chars_at] = pa.array(lengths, columns[chars_at].type)
+            columns += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [f"x{i}" for i in range(len(columns) - 2)] + ["n_lines", "n_removed"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(rebuild, f"{schema}, n_lines long, n_removed long")
+    return run

@@ -133,12 +133,13 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share
     others keep their text as it is. Columns stay as they are; ``n_chars`` follows the text. Documents without words
     take no part in a mix of words and go.
     """
-    numbered = stored(docs.withColumn("_uid", F.monotonically_increasing_id()), "mix_docs")
-    documents, mixed = mix_sources(numbered, weights, share, repeat, block_words, uid="_uid")
-    taken = mixed.groupBy("uid", "epoch").agg(F.sum("length").alias("_taken"))
-    taken = taken.join(documents.select("uid", "size"), "uid").select("uid", "_taken", F.col("size").alias("_size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("_taken").cast("int")), " ")
-    rows = numbered.join(taken, F.col("_uid") == F.col("uid")).withColumn("text", F.when(F.col("_taken") < F.col("_size"), cut).otherwise(F.col("text")))
+    numbered = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "mix_docs")
+    documents, mixed = mix_sources(numbered.select("row", "doc.doc_id", "doc.text", "doc.source"), weights, share, repeat, block_words, uid="row")
+    taken = mixed.groupBy("uid", "epoch").agg(F.sum("length").alias("taken")).join(documents.select("uid", "size"), "uid")
+    words = F.regexp_extract_all("doc.text", F.lit(WORD), F.lit(0))
+    partly = F.col("taken") < F.col("size")
+    text = F.when(partly, F.array_join(F.slice(words, 1, F.col("taken").cast("int")), " ")).otherwise(F.col("doc.text"))
+    doc = F.col("doc").withField("text", text)
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_taken") < F.col("_size"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        doc = doc.withField("n_chars", F.when(partly, F.length(text).cast("long")).otherwise(F.col("doc.n_chars")))
+    return numbered.join(taken, F.col("row") == F.col("uid")).select(doc.alias("doc")).select("doc.*")

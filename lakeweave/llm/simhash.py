@@ -165,9 +165,9 @@ def one_per_component(docs: DataFrame, width: int = SHINGLE, shard_size: int = S
 
     All texts without words are one component. Of rows with the same id the first one read stays.
     """
-    numbered = stored(docs.withColumn("_uid", F.monotonically_increasing_id()), "simhash_docs")
-    fps = stored(fingerprints(numbered, width, ("doc_id", "_uid")), "simhash_fps")
-    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_uid")
+    numbered = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("uid")), "simhash_docs")
+    fps = stored(fingerprints(numbered.select("uid", "doc.doc_id", "doc.text"), width, ("doc_id", "uid")), "simhash_fps")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
     distinct = stored(fps.groupBy("fp").agg(F.min(place).alias("first")), "simhash_distinct")
-    kept = component_labels(distinct, shard_size).select(F.col("label._uid").alias("_uid")).distinct()
-    return numbered.join(stored(kept, "simhash_kept"), "_uid", "left_semi").select(*docs.columns)
+    kept = component_labels(distinct, shard_size).select("label.uid").distinct()
+    return numbered.join(stored(kept, "simhash_kept"), "uid", "left_semi").select("doc.*")
