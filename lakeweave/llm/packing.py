@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeweave.llm.common import stored
-from lakeweave.llm.tokens import TokenCache, crc_of, spaced_chunks, texts_of
+from lakeweave.llm.tokens import SPACED, TokenCache, crc_of, texts_of
 
 WINDOW = 1024
 SLOT = 128
@@ -105,7 +105,7 @@ def _encode(tokenizer_path: str, end_id: int):
     """Ids of each document in the type of the cache, its length, and its place among the task's ids of its source."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = TokenCache.of(tokenizer_path, spaced_chunks)
+        cache = TokenCache.of(tokenizer_path, SPACED)
         task, used = TaskContext.get().partitionId(), {}
         for batch in batches:
             for low in range(0, len(batch), 512):
@@ -197,7 +197,7 @@ def pack_documents(
     bases = by_queue.select(F.col("source").alias("_s"), F.col("task").alias("_t"), "queue", F.coalesce(F.sum("amount").over(before), F.lit(0)).alias("base"))
     # One row per task and source. As a stored table its size is known, so the ids stay where they are while it is small.
     placed = encoded.join(stored(bases, "pack_bases"), F.col("source").eqNullSafe(F.col("_s")) & (F.col("task") == F.col("_t")))
-    width = TokenCache.of(tokenizer_path, spaced_chunks).width.str
+    width = TokenCache.of(tokenizer_path, SPACED).width.str
     rows = placed.select("doc_id", "source", "n", "ids", "queue", (F.col("base") + F.col("place")).alias("at"))
     schema = f"doc_id {kind}, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return rows.mapInArrow(_cut(schedule, width, with_ids), schema + (", ids binary" if with_ids else ""))

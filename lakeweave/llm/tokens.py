@@ -6,6 +6,8 @@ import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +26,16 @@ from lakeweave.session import work_dir
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 _WORD = re.compile(f"[^{SPACE}]+")
-_SINGLE_SPACED = re.compile(f"[{SPACE}]{{2}}|[\x00\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+# Plain searches for single marks are far faster than a pattern.
+_UNUSUAL = ["  ", " \n", "\n ", "\n\n", "\x00", *"\t\x0b\x0c\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B))]
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 _TEXT_AT_ONCE = 1 << 21
 
 
 def spaced_chunks(text: str) -> list[str]:
     """A text cut before every run of white space. Byte-level patterns give a run to what follows it or keep it alone,
     so no token crosses a cut."""
-    if _SINGLE_SPACED.search(text):
+    if any(mark in text for mark in _UNUSUAL):
         return _CHUNK.findall(text)
     return text.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
 
@@ -40,27 +43,49 @@ def spaced_chunks(text: str) -> list[str]:
 def bare_words(text: str) -> list[str]:
     """The runs between white space, for tokenizers that drop it."""
     # str.split() takes four separators for white space that Unicode does not.
-    return _WORD.findall(text) if _SEPARATORS.search(text) else text.split()
+    return _WORD.findall(text) if any(mark in text for mark in _SEPARATORS) else text.split()
+
+
+@dataclass(frozen=True)
+class Cut:
+    """How texts are cut for a tokenizer, and the cuts whose parts (line end, word, punctuation) it always keeps apart.
+
+    ``simple`` holds Latin letters only: the tokenizer's normalizer does no more to them than ``lower`` says.
+    """
+
+    split: Callable[[str], list[str]]
+    simple: re.Pattern
+    lower: bool
+
+
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+SPACED = Cut(spaced_chunks, re.compile(f"(\n?)( ?[{_LETTERS}]+)([.,;:!?|]*)"), lower=False)
+BARE = Cut(bare_words, re.compile(f"()([{_LETTERS}]+)([.,;:!?|]*)"), lower=True)
 
 
 class TokenCache:
     """Ids by word for one tokenizer file: most words of a corpus repeat, and looking one up is cheaper than merging it anew.
 
+    The parts of a simple cut go straight to the tokenizer's model; any other cut goes through the whole tokenizer.
     Bounded: a full cache starts again, which costs time and changes no id.
     """
 
     LIMIT = 800_000
     _open: dict[tuple, TokenCache] = {}
 
-    def __init__(self, path: str, cut: Callable[[str], list[str]]):
+    def __init__(self, path: str, cut: Cut):
         self.tokenizer = Tokenizer.from_file(path)
         self.cut = cut
+        # The model's alphabet for single characters, as the tokenizer itself maps them.
+        letters = [c for c in map(chr, range(256)) if c in "\n .,;:!?|" or re.fullmatch(f"[{_LETTERS}]", c)]
+        mapped = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c) for c in letters}
+        self.alphabet = {ord(c): found[0][0] for c, found in mapped.items() if len(found) == 1}
         self._clear()
 
     @classmethod
-    def of(cls, path: str, cut: Callable[[str], list[str]]) -> TokenCache:
+    def of(cls, path: str, cut: Cut) -> TokenCache:
         """One per worker process, shared by its tasks."""
-        key = (path, cut.__name__)
+        key = (path, cut.split.__name__)
         if key not in cls._open:
             cls._open[key] = cls(path, cut)
         return cls._open[key]
@@ -83,9 +108,12 @@ class TokenCache:
         if len(self.row) + len(new) > self.LIMIT:
             self._clear()
             new = list(words)
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        found = self._simple(new)
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        for i, encoded in zip(rest, self.tokenizer.encode_batch_fast([new[i] for i in rest], add_special_tokens=False), strict=True):
+            found[i] = encoded.ids
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter((i for ids in found for i in ids), dtype=np.uint32, count=int(lengths.sum()))
+        flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum()))
         first, upto = len(self.row), self.used + len(flat)
         self.ids, self.starts = _room(self.ids, upto), _room(self.starts, first + len(new) + 1)
         self.ids[self.used : upto] = flat
@@ -93,13 +121,31 @@ class TokenCache:
         self.used = upto
         self.row.update(zip(new, range(first, first + len(new)), strict=True))
 
+    def _simple(self, words: list[str]) -> list[list[int] | None]:
+        """Ids of the simple cuts; None for all others."""
+        match, model, alphabet, lower = self.cut.simple.fullmatch, self.tokenizer.model.tokenize, self.alphabet, self.cut.lower
+        found: list[list[int] | None] = []
+        marks = {"": []}  # ids of line ends and punctuation
+        for word in words:
+            parts = match(word)
+            if parts is None:
+                found.append(None)
+                continue
+            before, letters, after = parts.groups()
+            for mark in (before, after):
+                if mark not in marks:
+                    marks[mark] = [t.id for t in model(mark.translate(alphabet))]
+            ids = [t.id for t in model((letters.lower() if lower else letters).translate(alphabet))]
+            found.append(marks[before] + ids + marks[after])
+        return found
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, as the tokenizer gives them for the whole text."""
         at = 0
         while at < len(texts):
             cuts, size = [], 0
             while at < len(texts) and (size < _TEXT_AT_ONCE or not cuts):
-                cuts.append(self.cut(texts[at]))
+                cuts.append(self.cut.split(texts[at]))
                 size += len(texts[at])
                 at += 1
             self._learn(set().union(*cuts))
@@ -130,7 +176,7 @@ def crc_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, cut: Callable[[str], list[str]] = bare_words, folder: str | None = None) -> DataFrame:
+def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, cut: Cut = BARE, folder: str | None = None) -> DataFrame:
     """Write the ids of ``(doc_id, text)`` in ascending ``doc_id`` order; returns the manifest, one row per shard.
 
     Texts are dealt by ranges of ``doc_id``, so shard numbers follow the order, and every task writes one shard:
