@@ -35,7 +35,8 @@ def safe_date(c: Column) -> Column:
 
 def cast_or_default(c: Column, kind: str, default) -> Column:
     """Cast, or the default where the cast fails or the value is NULL."""
-    return F.coalesce(c.try_cast(kind), F.lit(default).cast(kind))
+    value = safe_double(c) if kind in ("double", "float") else c.try_cast(kind)
+    return F.coalesce(value.cast(kind), F.lit(default).cast(kind))
 
 
 def count_or_zero(c: Column) -> Column:

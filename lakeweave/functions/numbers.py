@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 
 def round_half_up(x: Column, places: int = 2) -> Column:
-    """Round the double itself (not its decimal text), halves away from zero.
+    """Round the double itself (not its decimal text), halves away from zero, as SQL ROUND does.
 
-    ``y - y % 1`` is an exact floor in double arithmetic, so large values neither
-    overflow nor turn into decimals; values beyond 1e13 (and inf, NaN) pass through.
+    ``y - y % 1`` is an exact floor in double arithmetic, so values of any size neither
+    overflow nor turn into decimals. Where the scaled value is no finite number (inf, NaN), x is its own rounding.
     """
     scale = float(10**places)
-    y = F.abs(x) * F.lit(scale) + F.lit(0.5)
-    rounded = F.signum(x) * ((y - y % F.lit(1.0)) / F.lit(scale))
-    return F.when(F.abs(x) >= F.lit(1e13), x).otherwise(rounded)
+    y = F.abs(x) * F.lit(scale)
+    fraction = y % F.lit(1.0)
+    whole = (y - fraction) + F.when(fraction >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0))
+    rounded = F.signum(x) * (whole / F.lit(scale))
+    return F.when(F.isnan(fraction), x).otherwise(rounded)
 
 
 def stable_sum(x: Column, places: int = 6) -> Column:

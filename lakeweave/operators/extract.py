@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeweave.functions import html_select
-from lakeweave.functions.casts import count_or_zero, iso_timestamp
+from lakeweave.functions.casts import count_or_zero, iso_timestamp, safe_double
 from lakeweave.functions.html_select import CascadeScan, FieldSpec, SelectPlan, SelectScan, compile_selector
 from lakeweave.functions.keys import extract_app_id, extract_title_id, extract_votes, strip_parentheses
 
@@ -240,7 +240,7 @@ def _title(title_id, title, year, rating, votes, genres, plot) -> Column:
     no_names = F.array().cast("array<string>")
     return F.struct(
         F.coalesce(F.nullif(title_id, F.lit("")), F.lit(UNKNOWN_TITLE)).alias("id"), title.alias("title"),
-        year.alias("year"), F.coalesce(rating.try_cast("double"), F.lit(0.0)).alias("rating"), votes.alias("votes"),
+        year.alias("year"), F.coalesce(safe_double(rating), F.lit(0.0)).alias("rating"), votes.alias("votes"),
         genres.alias("genres"), no_names.alias("directors"), no_names.alias("cast"),
         F.lit(0).cast("bigint").alias("runtime_minutes"), plot.alias("plot"),
     )
