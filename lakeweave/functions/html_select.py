@@ -90,16 +90,57 @@ def compile_selector(text: str) -> list[list[tuple[str, list[tuple]]]]:
     return alternatives
 
 
-# A comment, a tag with its raw attributes, or a declaration. Quoted attribute values may hold ``>``.
-_MARKUP = re.compile(
-    r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|[!?][^>]*>)", re.DOTALL
-)
-_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+# The start of a comment, a declaration or a tag; inside a tag its end or the start of a quoted value.
+_MARKUP = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+_IN_TAG = re.compile(r">|=\s*+([\"'])")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*))?")
 _UNQUOTED_END = re.compile(r"=[^\s\"']+$")
 MAX_SEEN = 4096
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in ("script", "style")}
 
 
+class Markup:
+    """Comments, declarations and tags of a page in one pass forward.
+
+    A tag ends at the first ``>`` outside a quoted value. A quote is one only where a value starts, and only if it is
+    closed; any other quote mark is a plain character. Places where a mark no longer occurs are remembered, so no part of a page
+    is searched twice however broken it is.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.gone: set[str] = set()
+
+    def _find(self, mark: str, position: int) -> int:
+        if mark in self.gone:
+            return -1
+        found = self.html.find(mark, position)
+        if found < 0:
+            self.gone.add(mark)
+        return found
+
+    def _tag_end(self, position: int) -> int:
+        while match := _IN_TAG.search(self.html, position):
+            if not match[1]:
+                return match.start()
+            closed = self._find(match[1], match.end())
+            position = match.end() if closed < 0 else closed + 1
+        return -1
+
+    def next(self, position: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, closing slash, name, raw attributes) of the next piece; the name is empty unless it is a tag."""
+        while match := _MARKUP.search(self.html, position):
+            comment, declaration, closing, name = match.groups()
+            if comment:
+                end = self._find("-->", match.end())
+                return match.start(), len(self.html) if end < 0 else end + 3, "", "", ""
+            end = self._find(">", match.end()) if declaration else self._tag_end(match.end())
+            if end < 0:
+                return None  # nothing that follows can be closed either
+            return match.start(), end + 1, closing or "", name or "", "" if declaration else self.html[match.end() : end]
+        return None
+
+
 def parse_attributes(raw: str) -> dict[str, str]:
     """Attributes by lower-case name; the first of a repeated name wins, one without a value is empty."""
     values: dict[str, str] = {}
@@ -163,11 +204,10 @@ class PageScan:
 
     def scan(self, html: str):
         self._open(Element(":root", "", {}, (), 0))
-        position = start = 0
-        while match := _MARKUP.search(html, position):
-            self._text(html[start : match.start()])
-            position = start = match.end()
-            closing, name, raw = match.groups()
+        position, markup = 0, Markup(html)
+        while piece := markup.next(position):
+            self._text(html[position : piece[0]])
+            _, position, closing, name, raw = piece
             if not name:
                 continue
             tag = name.lower()
@@ -177,8 +217,8 @@ class PageScan:
             self._start(tag, raw)
             if tag in _RAW_END and not raw.endswith("/"):
                 end = _RAW_END[tag].search(html, position)
-                position = start = end.start() if end else len(html)
-        self._text(html[start:])
+                position = end.start() if end else len(html)
+        self._text(html[position:])
         while self.stack:
             self._pop()
         return self
