@@ -8,9 +8,10 @@ and a reader of one day touches one partition.
 from __future__ import annotations
 
 import re
+from dataclasses import astuple, dataclass
 from datetime import UTC, date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,12 +21,17 @@ from lakeweave.session import or_none
 LAYERS = ["raw", "bronze", "silver", "gold"]
 
 ENTRY_SCHEMA = (
-    "layer string, source string, path string, filename string, created_at timestamp, size_bytes bigint"
+    "layer string, source string, path string, filename string, created_at timestamp, size_bytes bigint, row_count bigint"
 )
 PREVIEW_ROWS = 100
 _PARTITION = r"/ingest_date=(\d{4}-\d{2}-\d{2})/version=([^/]+)/"
 
 
+def _one_form(path: str) -> Column:
+    """Listings and file metadata write local paths with a different number of slashes."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
 def check_layer(layer: str) -> str:
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}, expected one of {LAYERS}")
@@ -130,11 +136,13 @@ class Lake:
         )
 
     def entries(self, layer: str, source: str | None = None) -> DataFrame:
-        """One row per data file of a layer: source, path, name, time and size."""
+        """One row per data file of a layer: source, path, name, time, size, and rows from its footer."""
         root = f"{self.base}/{check_layer(layer)}"
-        files = self._files(f"{root}/{source}" if source else root)
+        scan = f"{root}/{source}" if source else root
+        files = self._files(scan)
         if files is None:
             return self.spark.createDataFrame([], ENTRY_SCHEMA)
+        files = files.withColumn("path", _one_form("path")).join(self._row_counts(scan), "path", "left")
         below_layer = F.substring_index(F.col("path"), f"/{layer}/", -1)
         parts = F.split(below_layer, "/")
         return files.select(
@@ -144,8 +152,14 @@ class Lake:
             F.substring_index("path", "/", -1).alias("filename"),
             F.col("modificationTime").alias("created_at"),
             F.col("length").alias("size_bytes"),
+            F.coalesce("row_count", F.lit(0)).alias("row_count"),
         )
 
+    def _row_counts(self, scan: str) -> DataFrame:
+        """Rows of every file below a folder; no column is read, so the footers answer."""
+        rows = self.spark.read.schema("_none string").option("recursiveFileLookup", True).parquet(scan)
+        return rows.groupBy(_one_form("_metadata.file_path").alias("path")).agg(F.count("*").alias("row_count"))
+
     def datasets(self, layer: str, source: str | None = None) -> DataFrame:
         """One row per version: files, bytes and rows. Row counts come from the file footers."""
         root = f"{self.base}/{check_layer(layer)}"
@@ -155,16 +169,9 @@ class Lake:
             return self.spark.createDataFrame(
                 [], "layer string, source string, ingest_date date, name string, n_files bigint, size_bytes bigint, row_count bigint"
             )
-        counts = (
-            self.spark.read.schema("_none string").option("recursiveFileLookup", True).parquet(scan)
-            .groupBy(F.col("_metadata.file_path").alias("path"))
-            .agg(F.count("*").alias("row_count"))
-        )
         pattern = r"/" + layer + r"/([^/]+)" + _PARTITION
-        listed = files.withColumn("path", F.regexp_replace("path", "^file:/+", "file:///"))
-        counts = counts.withColumn("path", F.regexp_replace("path", "^file:/+", "file:///"))
         return (
-            listed.join(counts, "path", "left")
+            files.withColumn("path", _one_form("path")).join(self._row_counts(scan), "path", "left")
             .groupBy(
                 F.lit(layer).alias("layer"),
                 F.regexp_extract("path", pattern, 1).alias("source"),
@@ -251,7 +258,7 @@ class Lake:
 
 
 def latest_per_key(df: DataFrame, key: str, updated_at: str = "loaded_at") -> DataFrame:
-    """The newest row per key; ties by the row's content, so every run picks the same one.
+    """The newest row per key; ties by the row's content, so every run picks the same one. Rows without a key all stay.
 
     The rank filter becomes a per-task reduction before the shuffle, so copies of a hot key
     collapse where they are read.
@@ -259,38 +266,115 @@ def latest_per_key(df: DataFrame, key: str, updated_at: str = "loaded_at") -> Da
     sortable = [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
     rest = [F.desc_nulls_last(c) for c in sortable if c not in (key, updated_at)]
     order = Window.partitionBy(key).orderBy(F.desc_nulls_last(updated_at), *rest)
-    return df.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") == 1).drop("__rank")
+    keyed = df.where(F.col(key).isNotNull())
+    newest = keyed.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") == 1).drop("__rank")
+    return newest.unionByName(df.where(F.col(key).isNull()))
+
 
+# --- silver: the current row of every key, in hash buckets ---------------------------------------
 
-def promote_source(lake: Lake, source: str, key: str, at: datetime) -> int:
-    """raw → bronze (new versions only, under their own names) → silver (latest row per key).
+SILVER_BUCKETS = 64
+VERSIONS_PER_RUN = 1000
+COMMIT_SCHEMA = "seq bigint, ingest_date date, version string, buckets array<int>, taken array<struct<ingest_date: date, version: string>>"
 
-    Returns the number of promoted versions; a second run without new raw data promotes none.
+
+class Silver:
+    """The silver layer of one source: the newest row per key, kept in hash buckets of the key.
+
+    A run writes the buckets that its rows fall into as one silver version, then adds one commit row: sequence number, that
+    version, its buckets, and the bronze versions taken in. The snapshot is the newest committed version of each
+    bucket, in order of the sequence and not of the run's time, so a backfill under an earlier time counts. A run that dies before its
+    commit has changed nothing: the next one takes the same bronze versions again.
     """
-    pending = (
-        lake.versions("raw", source)
-        .join(lake.versions("bronze", source), ["ingest_date", "version"], "left_anti")
-        .collect()
-    )
-    if not pending:
-        return 0
-    fresh = lake.copy_versions("raw", "bronze", source, [(r.ingest_date, r.version) for r in pending])
-    current = lake.latest_version("silver", source)
-    merged = fresh if current is None else current.unionByName(fresh, allowMissingColumns=True)
-    lake.promote("bronze", "silver", source, latest_per_key(merged, key), at)
-    return len(pending)
+
+    def __init__(self, lake: Lake, source: str):
+        self.lake, self.spark, self.source = lake, lake.spark, source
+        self.commits_path = f"{lake.base}/_commits/{source}"
+
+    def commits(self) -> DataFrame:
+        """One row per run. The folder lies beside the layers, so no catalog lists it."""
+        found = or_none(self.spark, self.commits_path, lambda: self.spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", True).parquet(self.commits_path))
+        return self.spark.createDataFrame([], COMMIT_SCHEMA) if found is None else found
+
+    def pending(self) -> DataFrame:
+        """Bronze versions that no commit has taken in."""
+        taken = self.commits().select(F.explode("taken").alias("t")).select("t.*")
+        return self.lake.versions("bronze", self.source).join(taken, ["ingest_date", "version"], "left_anti")
+
+    def snapshot(self, buckets: list[int] | None = None) -> DataFrame | None:
+        """The current rows (of some buckets); None when there are none. Only the folders that hold them are read."""
+        held = self.commits().select("seq", "ingest_date", "version", F.explode("buckets").alias("bucket"))
+        newest = held.groupBy("bucket").agg(F.max_by(F.struct("ingest_date", "version"), "seq").alias("v"))
+        rows = newest.where(F.col("bucket").isin(buckets)).collect() if buckets is not None else newest.collect()  # SILVER_BUCKETS at most
+        paths = [f"{self.lake.version_path('silver', self.source, r.v.ingest_date, r.v.version)}/bucket={r.bucket}" for r in rows]
+        return self.lake._read_paths(self.lake.path("silver", self.source), sorted(paths)) if paths else None
+
+    def merge(self, fresh: DataFrame, key: str, at: datetime, taken: list[tuple[date, str]]) -> int:
+        """Take rows in: rewrite the buckets they touch, then commit. Returns how many of them are current now."""
+        seq = (self.commits().agg(F.max("seq")).first()[0] or 0) + 1
+        bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(SILVER_BUCKETS)).cast("int")
+        touched = sorted(r[0] for r in fresh.select(bucket).distinct().collect())
+        version, day, won = f"{version_name(at)}-{seq:06d}", at.astimezone(UTC).date(), Observation()
+        if touched:
+            current, new = self.snapshot(touched), fresh.withColumn("__new", F.lit(True))
+            merged = new if current is None else current.unionByName(new, allowMissingColumns=True)
+            latest = latest_per_key(merged, key).observe(won, F.count("__new").alias("n")).drop("__new")
+            rows = latest.withColumn("bucket", bucket).hint("rebalance", F.col("bucket"))
+            rows.write.mode("overwrite").partitionBy("bucket").parquet(self.lake.version_path("silver", self.source, day, version))
+        commit = self.spark.createDataFrame([(seq, day, version, touched, taken)], COMMIT_SCHEMA)
+        commit.coalesce(1).write.parquet(f"{self.commits_path}/seq={seq:09d}")  # fails if another run has this number
+        return won.get["n"] if touched else 0
+
+
+@dataclass(frozen=True)
+class Promotion:
+    """What one run took into silver: versions, their rows, those rejected, and those that are current now."""
+
+    versions: int = 0
+    rows: int = 0
+    rejected: int = 0
+    current: int = 0
+
+
+def promote_source(lake: Lake, source: str, key: str, at: datetime, placeholders: tuple[str, ...] = ("",)) -> Promotion:
+    """raw → bronze (new versions only, under their own names) → silver (newest row per key).
+
+    A second run without new raw data promotes nothing. Each step derives
+    what is due from what the next layer has, so a run that failed anywhere is made up for by the next. Rows without a usable key go
+    to ``<source>_rejects``. A backlog is taken in steps of ``VERSIONS_PER_RUN`` versions, oldest first.
+    """
+    silver, oldest = Silver(lake, source), ["ingest_date", "version"]
+    while True:
+        raw = lake.versions("raw", source).join(lake.versions("bronze", source), ["ingest_date", "version"], "left_anti")
+        new = raw.orderBy(*oldest).limit(VERSIONS_PER_RUN).collect()
+        if not new:
+            break
+        lake.copy_versions("raw", "bronze", source, [(r.ingest_date, r.version) for r in new])
+    total = Promotion()
+    while due := [(r.ingest_date, r.version) for r in silver.pending().orderBy(*oldest).limit(VERSIONS_PER_RUN).collect()]:
+        paths = [lake.version_path("bronze", source, day, version) for day, version in due]
+        rows = lake._read_paths(lake.path("bronze", source), paths)
+        usable = F.col(key).isNotNull() & ~F.col(key).cast("string").isin(*placeholders)
+        n, rejected = rows.agg(F.count("*"), F.count_if(~usable)).first()
+        if rejected:
+            lake.write("silver", f"{source}_rejects", rows.where(~usable), at, f"{version_name(at)}-{due[-1][1]}")
+        current = silver.merge(rows.where(usable), key, at, due)
+        total = Promotion(total.versions + len(due), total.rows + n, total.rejected + rejected, total.current + current)
+    return total
 
 
 def lake_pipeline(lake: Lake, sources: dict[str, str], at: datetime) -> DataFrame:
     """Promote every source (name → key column); one source's failure does not stop the others.
 
-    Returns a status row per source.
+    Returns a status row per source, with the whole text of an error.
     """
     rows = []
     for source, key in sources.items():
         try:
-            n = promote_source(lake, source, key, at)
-            rows.append((source, "promoted" if n else "skipped", n, None))
+            done = promote_source(lake, source, key, at)
+            rows.append((source, "promoted" if done.versions else "skipped", *astuple(done), None))
         except Exception as exc:  # noqa: BLE001 - reported in the status row
-            rows.append((source, "failed", 0, str(exc)[:500]))
-    return lake.spark.createDataFrame(rows, "source string, status string, versions int, error string")
+            rows.append((source, "failed", 0, 0, 0, 0, str(exc)))
+    return lake.spark.createDataFrame(
+        rows, "source string, status string, versions bigint, rows bigint, rejected bigint, current bigint, error string"
+    )

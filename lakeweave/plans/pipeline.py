@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweave.operators.history import EventLog
-from lakeweave.operators.lake import Lake, lake_pipeline
+from lakeweave.operators.lake import Lake, Silver, lake_pipeline
 from lakeweave.operators.quality import run_tests
 from lakeweave.operators.warehouse import Warehouse
 from lakeweave.plans.build import build_models
@@ -34,7 +34,7 @@ class RunResult:
 
 def load_silver(lake: Lake, warehouse: Warehouse, source: str, as_of: datetime) -> int:
     """Replace a source's raw table by the current silver snapshot; returns the rows loaded, 0 without data."""
-    silver = lake.latest_version("silver", source)
+    silver = Silver(lake, source).snapshot()
     if silver is None:
         return 0
     return warehouse.load(SOURCES[source].raw_table, silver, as_of, "overwrite").rows_loaded
@@ -48,7 +48,7 @@ def run_pipeline(spark: SparkSession, lake: Lake, warehouse: Warehouse, as_of: d
     run_id, start = uuid.uuid4().hex, time.monotonic()
     steps = lake_pipeline(lake, {n: s.key for n, s in SOURCES.items()}, as_of)
     outcomes = {r.source: r for r in steps.collect()}
-    rows, raw, status_rows = 0, {}, []
+    raw, status_rows = {}, []
     for name, contract in SOURCES.items():
         loaded, status, error = 0, outcomes[name].status, outcomes[name].error
         if status != "failed":
@@ -57,9 +57,9 @@ def run_pipeline(spark: SparkSession, lake: Lake, warehouse: Warehouse, as_of: d
                 if loaded:
                     raw[name] = warehouse.table(contract.raw_table)
             except Exception as exc:  # noqa: BLE001 - reported in the status row
-                status, error = "failed", str(exc)[:500]
-        rows += loaded
+                status, error = "failed", str(exc)
         status_rows.append((run_id, name, status, loaded, error))
+    fetched, rejected, current = (sum(r[c] for r in outcomes.values()) for c in ("rows", "rejected", "current"))
     steps = spark.createDataFrame(status_rows, "run_id string, source string, status string, rows bigint, error string")
 
     models, tests, failed = {}, None, 0
@@ -77,6 +77,8 @@ def run_pipeline(spark: SparkSession, lake: Lake, warehouse: Warehouse, as_of: d
     errors = [f"{r[1]}: {r[4]}" for r in status_rows if r[2] == "failed"]
     status = "FAILED" if failed or errors else "SUCCESS"
     took = time.monotonic() - start
-    record = (run_id, status, as_of, rows, rows, rows, 0, 0, failed, took, "; ".join(errors) or None)
+    # Fetched and processed: the rows of the versions that this run took in. Saved: those that are current in silver;
+    # skipped: those that a newer row of their key outdates; failed: those without a usable key.
+    record = (run_id, status, as_of, fetched, fetched, current, fetched - current - rejected, rejected, failed, took, "; ".join(errors) or None)
     warehouse.append_rows("pipeline_runs", spark.createDataFrame([record], RUN_SCHEMA))
     return RunResult(run_id, status, steps, tests, models)
