@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeweave.functions.keys import surrogate_key
 from lakeweave.operators.lake import latest_per_key
-from lakeweave.session import or_none
+from lakeweave.session import child_names, materialized, or_none, path_exists, remove_folder, replace_folder
 
-EVENT_SCHEMA = (
-    "event_id string, content_id string, source_name string, natural_key string, title string, score double, "
-    "created_at timestamp, loaded_at timestamp, event_date date"
-)
 EVENT_COLUMNS = ["content_id", "source_name", "natural_key", "title", "score", "created_at", "loaded_at"]
 
 
 # --- incremental event log ---------------------------------------------------------------------
 
 
-def content_events(unified: DataFrame) -> DataFrame:
-    """Event rows of the unified content; the id covers the item and its load time."""
+def content_events(unified: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Event rows of the unified content; the id covers the item and its load time. ``columns`` replaces the usual ones."""
     return unified.select(
         surrogate_key(F.col("content_id"), F.col("loaded_at")).alias("event_id"),
-        *EVENT_COLUMNS,
+        *(columns or EVENT_COLUMNS),
         F.to_date("loaded_at").alias("event_date"),
     )
 
@@ -39,10 +39,10 @@ def newer_than(incoming: DataFrame, target: DataFrame, watermark: str = "loaded_
     return incoming.where(F.col(watermark) > mark)
 
 
-def content_events_increment(unified: DataFrame, target: DataFrame | None) -> DataFrame:
+def content_events_increment(unified: DataFrame, target: DataFrame | None, columns: list[str] | None = None) -> DataFrame:
     """Events to add to ``target``; with no target (first run or full refresh) the whole history."""
     source = unified if target is None else newer_than(unified, target)
-    return content_events(source)
+    return content_events(source, columns)
 
 
 def upsert_by_key(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
@@ -62,38 +62,73 @@ def sync_columns(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
 class EventLog:
     """The event log as a Parquet folder partitioned by ``event_date``.
 
-    It is read with a given schema, so no file footer is opened to learn the columns; a column added
-    to the schema is NULL in older files, a dropped one is ignored.
+    Its columns are those of the last write, kept beside the data, so no file footer is opened to learn them: a column
+    that a later run adds is NULL in older rows, one that it drops is gone from the log.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str = EVENT_SCHEMA):
-        self.spark, self.path, self.schema = spark, path, schema
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def columns(self) -> T.StructType | None:
+        """The columns of the log; None when there is no log."""
+        stored = or_none(self.spark, f"{self.path}/_columns", lambda: self.spark.read.text(f"{self.path}/_columns", wholetext=True))
+        return None if stored is None else T.StructType.fromJson(json.loads(stored.first()[0]))
 
     def read(self) -> DataFrame | None:
-        return or_none(self.spark, self.path, lambda: self.spark.read.schema(self.schema).parquet(self.path))
+        columns = self.columns()
+        return None if columns is None else self.spark.read.schema(columns).parquet(self.path)
 
-    def _write(self, events: DataFrame, mode: str, partitions: str = "static") -> None:
+    def _write(self, events: DataFrame, mode: str, partitions: str = "static", path: str | None = None) -> None:
         """Write by day. Rebalancing gathers a day's rows into few files and splits a crowded day over tasks."""
+        path = path or self.path
         writer = events.hint("rebalance", F.col("event_date")).write.mode(mode).partitionBy("event_date")
-        writer.option("partitionOverwriteMode", partitions).parquet(self.path)
+        writer.option("partitionOverwriteMode", partitions).parquet(path)
+        described = self.spark.createDataFrame([(events.schema.json(),)], "value string")
+        described.coalesce(1).write.mode("overwrite").text(f"{path}/_columns")
+
+    def _replace(self, events: DataFrame) -> None:
+        """A new folder first, then the swap: a failed write leaves the log as it was."""
+        new = f"{self.path}__new-{uuid.uuid4().hex[:12]}"
+        self._write(events, "error", path=new)
+        replace_folder(self.spark, new, self.path)
 
     def newest_day(self) -> DataFrame | None:
-        """The newest partition, which holds the high-water mark: the day is the date of the load time."""
+        """The newest partition, which holds the high-water mark: the day is the date of the load time. The listing names it."""
+        days = [n.removeprefix("event_date=") for n in child_names(self.spark, self.path) if n.startswith("event_date=")]
+        days = [d for d in days if d != "__HIVE_DEFAULT_PARTITION__"]
         stored = self.read()
-        if stored is None:
+        if stored is None or not days:
             return None
-        return stored.where(F.col("event_date") == stored.agg(F.max("event_date")).scalar())
+        return stored.where(F.col("event_date") == F.lit(max(days)).cast("date"))
 
-    def run(self, unified: DataFrame, full_refresh: bool = False) -> DataFrame:
+    def run(self, unified: DataFrame, full_refresh: bool = False, columns: list[str] | None = None) -> DataFrame:
         """Append the events above the high-water mark (or rebuild) and return the log as it is afterwards.
 
         An event id covers the load time, so an id above the mark cannot be stored yet: appending is
-        the upsert, and a repeated run appends nothing.
+        the upsert, and a repeated run appends nothing. ``columns`` is the model's column list of this run.
         """
         newest = None if full_refresh else self.newest_day()
-        self._write(content_events_increment(unified, newest), "overwrite" if newest is None else "append")
+        events = content_events_increment(unified, newest, columns)
+        if newest is None:
+            self._replace(events)
+        else:
+            self._write(events, "append")
         return self.read()
 
+    def add(self, events: DataFrame) -> None:
+        """Append the events whose id the log does not hold, whatever their load time; each id once.
+
+        An id covers the load time, so only the days of the given events are searched. Repeating a batch adds nothing.
+        """
+        events = materialized(events.dropDuplicates(["event_id"]))
+        stored = self.read()
+        if stored is None:
+            self._replace(events)
+            return
+        days = [r[0] for r in events.select("event_date").distinct().collect()]  # calendar days of one batch
+        same_days = stored.where(F.col("event_date").isin(days) | F.col("event_date").isNull())
+        self._write(events.join(same_days.select("event_id"), "event_id", "left_anti").select(*events.columns), "append")
+
     def upsert(self, events: DataFrame) -> DataFrame:
         """Replace stored events by corrected ones of the same id and add the rest.
 
@@ -102,14 +137,14 @@ class EventLog:
         """
         stored = self.read()
         if stored is None:
-            self._write(events, "overwrite")
+            self._replace(events)
             return self.read()
-        # Calendar days are few, so broadcasting them is bounded and prunes the stored partitions.
-        days = F.broadcast(events.select("event_date").distinct())
+        days = events.select("event_date").distinct()
         touched = sync_columns(stored.join(days, "event_date", "left_semi"), events.dtypes)
-        staging = f"{self.path}__staging"
-        upsert_by_key(touched, events, "event_id").write.mode("overwrite").parquet(staging)
+        staging = f"{self.path}__staging-{uuid.uuid4().hex[:12]}"
+        upsert_by_key(touched, events, "event_id").write.parquet(staging)
         self._write(self.spark.read.schema(events.schema).parquet(staging), "overwrite", "dynamic")
+        remove_folder(self.spark, staging)
         return self.read()
 
 
@@ -230,48 +265,109 @@ def scd2_as_of(snapshot: DataFrame, at: Column) -> DataFrame:
     )
 
 
+HISTORY_BUCKETS = 64
+HISTORY_COMMIT = "load string, folder string, buckets array<int>"
+
+
 class HistoryTable:
-    """A stored type-2 history: one folder per load, ``load=at-<name>/dbt_is_current=<true|false>``.
+    """A stored type-2 history. Names of loads sort in load order.
 
-    A load writes the versions it closed and the set of versions open after it. Closed versions never
-    change, so a load costs the open set and the batch, not the whole history. Names sort in load order.
+    ``closed/<folder>`` holds the versions that a load closed, ``open/<folder>/bucket=<n>`` the open versions of the key buckets that it
+    touched; the newest load of a bucket holds its current ones. ``commits`` has one row per load, written last: what is not named there does
+    not count, so a load that dies half-way changes nothing. Every version knows the load that opened it, so any earlier
+    state can be read without keeping earlier open sets: those are removed once two newer loads no longer need them.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, updated_at: str = "loaded_at"):
-        self.spark, self.path, self.key, self.updated_at = spark, path, key, updated_at
+        self.spark, self.path, self.key, self.updated_at = spark, path.rstrip("/"), key, updated_at
 
-    def _stored(self) -> DataFrame | None:
-        return or_none(self.spark, self.path, lambda: self.spark.read.parquet(self.path))
+    def _commits(self) -> list:
+        """One row per load; a repeated load counts as last written."""
+        folder = f"{self.path}/commits"
+        found = or_none(self.spark, folder, lambda: self.spark.read.schema(HISTORY_COMMIT).option("recursiveFileLookup", True).parquet(folder))
+        return [] if found is None else sorted(found.collect(), key=lambda r: r.load)
 
     def loads(self) -> list[str]:
-        """Names of the stored loads, from the folder listing."""
-        listing = or_none(
-            self.spark, self.path,
-            lambda: self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet").load(self.path),
+        return [r.load for r in self._commits()]
+
+    @staticmethod
+    def _open_folders(commits: list) -> dict[int, str]:
+        return {bucket: r.folder for r in commits for bucket in r.buckets}
+
+    def _parts(self, paths: list[str]) -> DataFrame | None:
+        paths = [p for p in paths if path_exists(self.spark, p)]
+        return self.spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(*paths) if paths else None
+
+    def _versions(self, commits: list, before: str | None, buckets: list[int] | None = None) -> DataFrame | None:
+        """All versions with the load that opened them, as they were before a load."""
+        closed = self._parts([f"{self.path}/closed/{r.folder}" for r in commits])
+        held = self._open_folders(commits)
+        current = self._parts([f"{self.path}/open/{held[b]}/bucket={b}" for b in sorted(held) if buckets is None or b in buckets])
+        if closed is None or current is None:
+            return closed if current is None else current
+        if buckets is not None:
+            closed = closed.where(self._bucket().isin(buckets))
+        if before is None:
+            return current.unionByName(closed, allowMissingColumns=True)
+        reopened = F.col("__closed_by") >= before
+        everything = current.unionByName(closed, allowMissingColumns=True).where(F.col("__opened_by") < before)
+        return everything.withColumns(
+            {
+                "dbt_valid_to": F.when(~F.coalesce(reopened, F.lit(False)), F.col("dbt_valid_to")),
+                "dbt_is_current": F.coalesce(reopened, F.lit(False)) | F.col("dbt_is_current"),
+            }
         )
-        if listing is None:
-            return []
-        names = listing.select(F.regexp_extract("path", "/load=at-([^/]+)/", 1).alias("load")).distinct()
-        return sorted(r.load for r in names.collect())
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(HISTORY_BUCKETS)).cast("int")
 
     def read(self, before: str | None = None) -> DataFrame | None:
-        """The history, or its state before a load. Only the newest open set is read."""
-        loads = [name for name in self.loads() if before is None or name < before]
-        if not loads:
+        """The history, or its state before a load."""
+        commits = self._commits()
+        if not [r for r in commits if before is None or r.load < before]:
             return None
-        load, current = F.col("load"), F.col("dbt_is_current").cast("boolean")
-        newest = f"at-{loads[-1]}"
-        wanted = (~current & (load <= newest)) | (load == newest)
-        return self._stored().where(wanted).withColumn("dbt_is_current", current).drop("load")
+        found = self._versions(commits, before)
+        return None if found is None else found.drop("__opened_by", "__closed_by")
 
     def apply(self, batch: DataFrame, load: str) -> DataFrame:
-        """Add a load under ``load`` and return the history. Repeating the newest load replaces it."""
-        before = self.read(before=load)
+        """Add a load under ``load`` and return the history. Repeating the newest load replaces it.
+
+        A load that does not sort last is refused: the later ones were built without it. Only the open
+        versions of the touched key buckets are read and written.
+        """
+        commits = self._commits()
+        if commits and load < commits[-1].load:
+            raise ValueError(f"load {load!r} comes before the stored load {commits[-1].load!r}; loads are added in order")
+        batch = batch.where(F.col(self.key).isNotNull())
+        repeated = commits and load == commits[-1].load
+        touched = {r[0] for r in batch.select(self._bucket()).distinct().collect()}
+        touched |= set(commits[-1].buckets) if repeated else set()
+        before = self._versions(commits, load if repeated else None, sorted(touched)) if commits else None
+        mark = {"__opened_by": F.lit(load), "__closed_by": F.lit(None).cast("string")}
         if before is None:
-            after = scd2_from_history(latest_per_key(batch, self.key, self.updated_at), self.key, self.updated_at)
+            after = scd2_from_history(latest_per_key(batch, self.key, self.updated_at), self.key, self.updated_at).withColumns(mark)
         else:
-            after = scd2_apply(before.where(F.col("dbt_is_current")), batch, self.key, self.updated_at)
-        folder = f"{self.path}/load=at-{load}"
-        after.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("dbt_is_current").parquet(folder)
+            opened = before.where(F.col("dbt_is_current"))
+            known = opened.select(F.col("dbt_scd_id").alias("__id"), F.col("__opened_by"))
+            after = scd2_apply(opened.drop("__opened_by", "__closed_by"), batch, self.key, self.updated_at)
+            after = after.join(known, F.col("dbt_scd_id") == F.col("__id"), "left").drop("__id").withColumn("__opened_by", F.coalesce("__opened_by", F.lit(load)))
+            after = after.withColumn("__closed_by", F.when(~F.col("dbt_is_current"), F.lit(load)))
+        after = materialized(after)
+        folder = f"at-{load}-{uuid.uuid4().hex[:8]}"
+        after.where(~F.col("dbt_is_current")).write.parquet(f"{self.path}/closed/{folder}")
+        rows = after.where(F.col("dbt_is_current")).withColumn("bucket", self._bucket()).hint("rebalance", F.col("bucket"))
+        rows.write.partitionBy("bucket").parquet(f"{self.path}/open/{folder}")
+        commit = self.spark.createDataFrame([(load, folder, sorted(touched))], HISTORY_COMMIT)
+        commit.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/at-{load}")
+        self._tidy()
         return self.read()
+
+    def _tidy(self) -> None:
+        """Remove open buckets that neither the state after the newest load nor the one before it needs."""
+        commits = self._commits()
+        needed = {(f, b) for some in (commits, commits[:-1]) for b, f in self._open_folders(some).items()}
+        for r in commits:
+            for bucket in r.buckets:
+                path = f"{self.path}/open/{r.folder}/bucket={bucket}"
+                if (r.folder, bucket) not in needed and path_exists(self.spark, path):
+                    remove_folder(self.spark, path)

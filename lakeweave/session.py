@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -35,19 +34,11 @@ def build_session(master: str | None = None, app: str = "lakeweave", **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    A local session without the setting gets a temporary folder; a cluster session
-    without it is an error, because a machine-local folder would be lost with its host.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or what ``SparkContext.setCheckpointDir`` named."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="lakeweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -66,10 +57,40 @@ def materialized(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a folder or file."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder, from its listing; none when there is no such folder."""
+    system, folder = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that the library wrote and no longer needs."""
+    system, folder = _hadoop(spark, path)
+    system.delete(folder, True)
+
+
+def replace_folder(spark: SparkSession, new: str, dest: str) -> None:
+    """Put a finished folder in the place of another. Until the new one is complete the old one stays as it is."""
+    system, source = _hadoop(spark, new)
+    target = _hadoop(spark, dest)[1]
+    old = f"{dest}__old-{uuid.uuid4().hex[:12]}"
+    if system.exists(target):
+        system.rename(target, _hadoop(spark, old)[1])
+    if not system.rename(source, target):
+        raise OSError(f"cannot move {new} to {dest}")
+    remove_folder(spark, old)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file exists on its file system."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+    system, hadoop_path = _hadoop(spark, path)
+    return system.exists(hadoop_path)
 
 
 def or_none(spark: SparkSession, path: str, load):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeweave.operators.history import content_events
+from lakeweave.operators.history import EventLog, content_events
 
 
 def read_raw_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -17,22 +17,17 @@ def read_raw_stream(spark: SparkSession, path: str, schema: T.StructType, max_fi
     return reader.parquet(path)
 
 
-def incr_content_events_stream(unified: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Events of a streaming union, each id once.
-
-    The watermark bounds the state: ids older than ``delay`` behind the newest load are forgotten.
-    """
-    events = content_events(unified).withWatermark("loaded_at", delay)
-    return events.dropDuplicatesWithinWatermark(["event_id"])
+def incr_content_events_stream(unified: DataFrame) -> DataFrame:
+    """Events of a streaming union. No watermark: sources have clocks of their own, and a late event is an event."""
+    return content_events(unified)
 
 
 def start_event_log(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append everything available now to the partitioned log, then stop; a restart continues from the checkpoint."""
-    return (
-        events.writeStream.outputMode("append")
-        .partitionBy("event_date")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .format("parquet")
-        .start(path)
-    )
+    """Add everything available now to the partitioned log, each id once, then stop; a restart continues from the checkpoint.
+
+    The log itself is the state: a micro-batch adds the ids that its days do not hold yet. So nothing is dropped for being
+    late, no state grows, and a batch that is repeated after a failure adds nothing twice.
+    """
+    log = EventLog(events.sparkSession, path)
+    writer = events.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return writer.foreachBatch(lambda batch, _: log.add(batch)).start()

@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 

@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeweave.catalog import fixtures as fx
@@ -170,8 +171,62 @@ def test_stream_equals_batch(spark):
         df.write.mode("append").parquet(path)
         staged[name] = df
         streams[name] = event_log.read_raw_stream(spark, path, df.schema)
-    events = event_log.incr_content_events_stream(intermediate.int_content_unified(stage_all(streams, fx.AS_OF)), "60 days")
+    events = event_log.incr_content_events_stream(intermediate.int_content_unified(stage_all(streams, fx.AS_OF)))
     event_log.start_event_log(events, f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
     batch = history.content_events(intermediate.int_content_unified(stage_all(staged, fx.AS_OF)))
-    stored = spark.read.parquet(f"{folder}/log").select(*batch.columns)
+    stored = history.EventLog(spark, f"{folder}/log").read().select(*batch.columns)
     assert sorted(map(str, stored.collect())) == sorted(map(str, batch.collect()))
+
+
+def test_stream_keeps_late_rows_of_a_slow_source(spark):
+    """A row of 31 January in one batch, one of 2 January in the next: both are stored, and a replayed batch adds nothing."""
+    folder = work_dir(spark, "test-late")
+    schema = "content_id string, source_name string, natural_key string, title string, score double, created_at timestamp, loaded_at timestamp"
+    stream = None
+    for batch, (source, day) in enumerate([("news", 31), ("reddit", 2), ("news", 31)]):
+        row = (f"{source}-{day}", source, "k", "t", 1.0, None, datetime(2024, 1, day))
+        df = spark.createDataFrame([row], schema)
+        df.coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+        stream = stream or event_log.read_raw_stream(spark, f"{folder}/raw", df.schema, max_files=1)
+        event_log.start_event_log(event_log.incr_content_events_stream(stream), f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
+        assert history.EventLog(spark, f"{folder}/log").read().count() == min(batch + 1, 2)
+
+
+def test_log_follows_the_model_columns(spark):
+    unified = _unified(spark)
+    log = history.EventLog(spark, work_dir(spark, "test-columns") + "/log")
+    usual = history.EVENT_COLUMNS
+    log.run(unified.where(F.col("loaded_at") <= datetime(2024, 1, 20)))
+    wider = log.run(unified.withColumn("flair", F.lit("new")), columns=[*usual, "flair"])
+    assert {r.flair for r in wider.select("flair").distinct().collect()} == {None, "new"}
+    narrow = log.run(unified, columns=[c for c in usual if c != "title"])
+    assert "title" not in narrow.columns and "flair" not in narrow.columns and narrow.count() == unified.count()
+
+
+def test_failed_full_refresh_leaves_the_log(spark):
+    unified = _unified(spark)
+    log = history.EventLog(spark, work_dir(spark, "test-refresh") + "/log")
+    total = log.run(unified).count()
+    broken = unified.withColumn("title", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        log.run(broken, full_refresh=True)
+    assert log.read().count() == total
+
+
+def test_history_refuses_loads_out_of_order_and_grows_by_changes(spark, frame):
+    schema = "id string, v int, loaded_at timestamp"
+    path = work_dir(spark, "test-order")
+    table = history.HistoryTable(spark, path, "id")
+    everyone = [(f"k{i}", 0, START) for i in range(200)]
+    table.apply(frame(everyone, schema), "l1")
+    for day in (2, 3, 4):
+        table.apply(frame([("k1", day, START + timedelta(days=day))], schema), f"l{day}")
+    before = versions(table.read())
+    for late in ("l15", "l2"):
+        with pytest.raises(ValueError, match="in order"):
+            table.apply(frame([("k1", 9, START + timedelta(days=1))], schema), late)
+    assert versions(table.read()) == before and len(before) == 203
+    # The open set of 200 keys is stored once; a load of one key adds its bucket and no more than the load before it is kept.
+    bucket = [r for r in table._versions(table._commits(), None, None).collect() if r.dbt_is_current]
+    stored = spark.read.option("recursiveFileLookup", True).parquet(f"{path}/open").count()
+    assert len(bucket) == 200 and stored < 200 + 2 * 20
