@@ -61,17 +61,19 @@ def json_records(responses: DataFrame, column: str = "response") -> DataFrame:
 
 def json_cursor(response: Column) -> Column:
     """Cursor of the next request: the first non-empty flat text key, else the first open page's end cursor."""
-    is_object = F.ltrim(response).startswith("{")
-
-    def text(key: str) -> Column:
-        # Numbers and objects are no cursors, so the value's own type decides.
-        value = F.get_json_object(response, f"$.{key}")
-        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(response), f"$.{key}", "variant"))
-        return F.when((value != "") & (kind == "STRING"), value)
-
-    infos = F.filter(
-        F.map_values(_object(F.get_json_object(response, "$.data"))),
-        lambda v: F.get_json_object(v, "$.pageInfo.hasNextPage") == "true",
-    )
-    paged = F.get_json_object(F.try_element_at(infos, F.lit(1)), "$.pageInfo.endCursor")
-    return F.when(is_object, F.coalesce(*[text(k) for k in CURSOR_KEYS], paged))
+    # Numbers and objects are no cursors. As a struct of variants the response is parsed once, and a text among them is
+    # the only kind whose JSON form starts with a quote.
+    fields = ", ".join(f"`{k}` variant" for k in [*CURSOR_KEYS, "data"])
+
+    def cursor(parsed: Column) -> Column:
+        def text(key: str) -> Column:
+            return F.when(F.to_json(parsed[key]).startswith('"'), F.nullif(F.try_variant_get(parsed[key], "$", "string"), F.lit("")))
+
+        pages = F.map_values(F.from_json(F.to_json(parsed["data"]), "map<string, variant>"))
+        infos = F.filter(pages, lambda v: F.try_variant_get(v, "$.pageInfo.hasNextPage", "string") == "true")
+        paged = F.try_variant_get(F.try_element_at(infos, F.lit(1)), "$.pageInfo.endCursor", "string")
+        return F.coalesce(*[text(k) for k in CURSOR_KEYS], paged)
+
+    parsed = F.when(F.ltrim(response).startswith("{"), F.from_json(response, fields))
+    # A lambda over one element holds the parsed value, so that no use of it parses again.
+    return F.element_at(F.transform(F.array(parsed), cursor), 1)
