@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeweave.functions.casts import safe_double
 from lakeweave.schemas import SOURCE_NAMES, SOURCES
 
 
@@ -221,34 +222,47 @@ def source_freshness(raw: dict[str, DataFrame], as_of: datetime) -> DataFrame:
 
 @dataclass(frozen=True)
 class RecordRules:
-    """Required fields and value ranges (low, high; None is open) of one record type."""
+    """Required fields, value ranges (low, high; None is open) and number types of one record type."""
 
     required: tuple[str, ...]
     ranges: dict[str, tuple[float | None, float | None]] = field(default_factory=dict)
+    types: dict[str, str] = field(default_factory=dict)
 
 
 # Record rules per extracted type.
 RECORD_RULES: dict[str, RecordRules] = {
-    "reddit_post": RecordRules(("id", "title", "author", "subreddit", "url")),
-    "reddit_comment": RecordRules(("id", "post_id", "author", "body")),
-    "reddit_subreddit": RecordRules(("name",), {"subscribers": (0, None)}),
-    "steam_game": RecordRules(("app_id", "name"), {"review_count": (0, None)}),
-    "steam_review": RecordRules(("app_id", "author", "rating"), {"helpful_votes": (0, None)}),
+    "reddit_post": RecordRules(("id", "title", "author", "subreddit", "url"), {}, {"score": "bigint", "num_comments": "bigint"}),
+    "reddit_comment": RecordRules(("id", "post_id", "author", "body"), {}, {"score": "bigint", "depth": "bigint"}),
+    "reddit_subreddit": RecordRules(("name",), {"subscribers": (0, None)}, {"subscribers": "bigint"}),
+    "steam_game": RecordRules(("app_id", "name"), {"review_count": (0, None)}, {"review_count": "bigint"}),
+    "steam_review": RecordRules(("app_id", "author", "rating"), {"helpful_votes": (0, None)}, {"helpful_votes": "bigint"}),
     "imdb_title": RecordRules(
-        ("id", "title"), {"rating": (0, 10), "votes": (0, None), "runtime_minutes": (0, None)}
+        ("id", "title"), {"rating": (0, 10), "votes": (0, None), "runtime_minutes": (0, None)},
+        {"rating": "double", "votes": "bigint", "runtime_minutes": "bigint"},
     ),
-    "imdb_rating": RecordRules(("title_id", "rating"), {"rating": (1, 10), "votes": (0, None)}),
+    "imdb_rating": RecordRules(("title_id", "rating"), {"rating": (1, 10), "votes": (0, None)}, {"rating": "bigint", "votes": "bigint"}),
     "news_article": RecordRules(("title", "url")),
 }
 
 
 def with_violations(df: DataFrame, rules: RecordRules) -> DataFrame:
-    """Add ``violations``, the names of the broken rules in a fixed order (empty for a valid record)."""
+    """Add ``violations``, the names of the broken rules in a fixed order (empty for a valid record).
+
+    Numbers may come as text; text that is no number of the rule's type breaks it, and no range is checked then.
+    """
+    texts = {c for c, kind in df.dtypes if kind == "string"}
+
+    def number(c: str) -> Column:
+        if c not in texts or c not in rules.types:
+            return F.col(c)
+        return safe_double(F.trim(c)) if rules.types[c] == "double" else F.trim(c).try_cast(rules.types[c])
+
     checks = [F.when(F.col(c).isNull(), f"missing:{c}") for c in rules.required]
+    checks += [F.when(F.col(c).isNotNull() & number(c).isNull(), f"type:{c}") for c in rules.types if c in texts]
     for c, (low, high) in rules.ranges.items():
         if c not in df.columns:
             continue
-        outside = [cond for cond in (low is not None and F.col(c) < low, high is not None and F.col(c) > high) if cond is not False]
+        outside = [cond for cond in (low is not None and number(c) < low, high is not None and number(c) > high) if cond is not False]
         checks.append(F.when(reduce(Column.__or__, outside), f"range:{c}"))
     return df.withColumn("violations", F.array_compact(F.array(*checks)))
 

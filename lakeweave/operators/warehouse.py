@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeweave.operators.history import sync_columns
 from lakeweave.schemas import create_table_sql
+from lakeweave.session import child_names, remove_folder
 
 
 @dataclass(frozen=True)
@@ -108,28 +109,45 @@ class Warehouse:
 
     def _overwrite(self, table: str, df: DataFrame) -> tuple[int, int]:
         """Write a new folder first, then point the table at it: the source may be the table itself,
-        and a failed load leaves the old content in place."""
+        and a failed load leaves the old content in place.
+
+        With unchanged columns the table only changes its location, so there is always a table to read. The folder
+        that it leaves stays for readers that have begun, until the next overwrite.
+        """
         seen = Observation(f"overwrite_{uuid.uuid4().hex}")
         folder = self._new_folder(table)
         df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(folder)
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(table)}")
-        self._create(table, df, folder)
+        before = self._location(table) if self.table_exists(table) else None
+        if before and self.table(table).dtypes == df.dtypes:
+            self.spark.sql(f"ALTER TABLE {self._name(table)} SET LOCATION '{folder}'")
+            self.spark.catalog.refreshTable(self._name(table))
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(table)}")
+            self._create(table, df, folder)
+        root = folder.rsplit("/", 1)[0]
+        for name in child_names(self.spark, root):
+            if name not in (folder.rsplit("/", 1)[1], (before or "").rstrip("/").rsplit("/", 1)[-1]):
+                remove_folder(self.spark, f"{root}/{name}")
         return seen.get["n"], 0
 
+    def _location(self, table: str) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._name(table)}")
+        return described.where("col_name = 'Location'").first().data_type
+
     def _incremental(self, table: str, df: DataFrame, watermark: str) -> tuple[int, int]:
         """Insert rows above the table's newest watermark; everything when the table is empty.
 
-        One pass counts both kinds: rows are flagged, observed, then filtered on the way in.
+        The comparison reaches the scan of the source, so files below the mark are not read. The rows left out are
+        counted from the watermark column alone.
         """
         if not self.table_exists(table):
             return self._append(table, df)
         mark = self.table(table).agg(F.max(watermark)).first()[0]
         if mark is None:
             return self._append(table, df)
-        seen = Observation(f"incremental_{uuid.uuid4().hex}")
-        observed = df.observe(seen, F.count(F.lit(1)).alias("total"))
-        loaded = self._insert(table, observed.where(F.col(watermark) > F.lit(mark)))
-        return loaded, seen.get["total"] - loaded
+        newer = F.col(watermark) > F.lit(mark)
+        loaded = self._insert(table, df.where(newer))
+        return loaded, df.where(~F.coalesce(newer, F.lit(False))).count()
 
     # --- metadata ---
 

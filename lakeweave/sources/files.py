@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
@@ -10,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeweave.operators.lake import Lake
-from lakeweave.session import or_none, path_exists
+from lakeweave.session import materialized, or_none, path_exists
 
 CORRUPT = "_corrupt_record"
+JOBS_AT_ONCE = 8
 
 
 def parquet_load(spark: SparkSession, path: str) -> DataFrame:
@@ -29,18 +33,40 @@ def parquet_load_dir(spark: SparkSession, path: str, pattern: str = "*.parquet")
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """CSV with a header. Types are inferred unless given; undecodable bytes become U+FFFD."""
+    """CSV with a header. Types are inferred unless given; undecodable bytes become U+FFFD.
+
+    Quoted values may hold line ends and doubled quotes. So a file is read by one task: its records cannot be found
+    from the middle. Records that do not fit a given schema keep their text in ``_corrupt_record`` (see ``split_corrupt``).
+    """
     reader = spark.read.option("header", True).option("encoding", encoding).option("mode", "PERMISSIVE")
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
+    reader = reader.option("multiLine", True).option("quote", '"').option("escape", '"')
+    if schema:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).option("columnNameOfCorruptRecord", CORRUPT)
+    else:
+        reader = reader.option("inferSchema", True)
     return reader.csv(path)
 
 
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(records that fit, texts of those that do not); without a corrupt-record column everything fits."""
+    if CORRUPT not in df.columns:
+        return df, None
+    df = materialized(df)  # the column can only be judged once all others are parsed
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+
+
 def csv_to_parquet(
     spark: SparkSession, path: str, dest: str | None = None, schema: T.StructType | None = None, encoding: str = "UTF-8"
 ) -> str:
-    """Convert one CSV file (or folder of equal files) and return the Parquet folder."""
+    """Convert one CSV file (or folder of equal files) and return the Parquet folder.
+
+    With a schema, records that do not fit it go to ``<dest>.rejects``.
+    """
     dest = dest or path.removesuffix(".csv") + ".parquet"
-    read_csv(spark, path, schema, encoding).write.mode("overwrite").parquet(dest)
+    good, bad = split_corrupt(read_csv(spark, path, schema, encoding))
+    good.write.mode("overwrite").parquet(dest)
+    if bad is not None and not bad.isEmpty():
+        bad.write.mode("overwrite").parquet(f"{dest}.rejects")
     return dest
 
 
@@ -55,20 +81,32 @@ def list_files(spark: SparkSession, path: str, pattern: str) -> list[str]:
 STATUS_SCHEMA = "path string, output_path string, rows bigint, success boolean, error string"
 
 
+def relative_name(path: str, root: str) -> str:
+    """Path of a listed file below the folder that was listed."""
+    plain = [re.sub(r"^[a-z0-9]+:/+", "/", p).rstrip("/") for p in (path, root)]
+    return plain[0].removeprefix(plain[1]).lstrip("/") or plain[0].rsplit("/", 1)[-1]
+
+
+def _side_by_side(work: Callable, items: list) -> list:
+    """Small jobs of one driver, several at a time: the files of a folder may each have columns of their own."""
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        return list(pool.map(work, items))
+
+
 def csv_dir_to_parquet(spark: SparkSession, path: str, dest: str) -> DataFrame:
-    """Convert every CSV below a folder, one job per file; a bad file leaves a failed status row."""
-    rows = []
-    for source in list_files(spark, path, "*.csv"):
-        name = source.rstrip("/").rsplit("/", 1)[-1].removesuffix(".csv")
+    """Convert every CSV below a folder under its relative name; a bad file leaves a failed status row."""
+
+    def convert(source: str) -> tuple:
         seen = Observation()
         try:
-            out = f"{dest}/{name}.parquet"
+            out = f"{dest}/{relative_name(source, path).removesuffix('.csv')}.parquet"
             counted = read_csv(spark, source).observe(seen, F.count(F.lit(1)).alias("n"))
             counted.write.mode("overwrite").parquet(out)
-            rows.append((source, out, seen.get["n"], True, None))
+            return source, out, seen.get["n"], True, None
         except Exception as exc:  # noqa: BLE001 - reported in the status row
-            rows.append((source, None, 0, False, str(exc)[:500]))
-    return spark.createDataFrame(rows, STATUS_SCHEMA)
+            return source, None, 0, False, str(exc)
+
+    return spark.createDataFrame(_side_by_side(convert, list_files(spark, path, "*.csv")), STATUS_SCHEMA)
 
 
 def count_rows(spark: SparkSession, paths: list[str]) -> int:
@@ -91,7 +129,7 @@ def _ingest(lake: Lake, source: str, load, at: datetime, version: str | None) ->
         path = lake.write("raw", source, counted, at, version)
         return (source, "raw", 1, seen.get["n"], path, True, None)
     except Exception as exc:  # noqa: BLE001 - reported in the result
-        return (source, "raw", 0, 0, None, False, str(exc)[:500])
+        return (source, "raw", 0, 0, None, False, str(exc))
 
 
 def ingest_dataframe(lake: Lake, source: str, df: DataFrame, at: datetime, version: str | None = None) -> DataFrame:
@@ -107,11 +145,15 @@ def ingest_file(lake: Lake, source: str, path: str, at: datetime) -> DataFrame:
 
 
 def ingest_directory(lake: Lake, source: str, path: str, at: datetime) -> DataFrame:
-    """Ingest every Parquet file below a folder; one summary row, successful if any file was or none existed."""
+    """Ingest every Parquet file below a folder as a version named by its relative path; one summary row, successful if
+    any file was or none existed."""
     files = list_files(lake.spark, path, "*.parquet")
-    results = [
-        _ingest(lake, source, lambda f=f: parquet_load(lake.spark, f), at, f.rsplit("/", 1)[-1]) for f in files
-    ]
+
+    def one(file: str) -> tuple:
+        name = re.sub(r"[^A-Za-z0-9._+-]", "_", relative_name(file, path).replace("/", "__"))
+        return _ingest(lake, source, lambda: parquet_load(lake.spark, file), at, name)
+
+    results = _side_by_side(one, files)
     ok = [r for r in results if r[5]]
     summary = (
         source, "raw", len(ok), sum(r[3] for r in ok), ok[-1][4] if ok else path, bool(ok) or not files,

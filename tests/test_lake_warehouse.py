@@ -2,8 +2,9 @@ from datetime import UTC, date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeweave.operators.lake import Lake, lake_pipeline, latest_per_key
+from lakeweave.operators.lake import Lake, Silver, lake_pipeline, latest_per_key
 from lakeweave.operators.warehouse import Warehouse, register_view, stamp_loaded_at
 from lakeweave.session import work_dir
 from lakeweave.sources import files
@@ -122,7 +123,51 @@ def test_promotion_is_idempotent(spark, lake, frame):
     lake_pipeline(lake, {"s": "id"}, later)
     lake_pipeline(lake, {"s": "id"}, later)
     assert lake.read("bronze", "s").count() == 4
-    assert sorted((r.id, r.v) for r in lake.latest_version("silver", "s").collect()) == [("a", 2), ("b", 1), ("c", 1)]
+    assert sorted((r.id, r.v) for r in Silver(lake, "s").snapshot().collect()) == [("a", 2), ("b", 1), ("c", 1)]
+
+
+def _current(lake, source):
+    return sorted((r.id, r.v) for r in Silver(lake, source).snapshot().collect())
+
+
+def test_promotion_survives_a_failed_silver_write(lake, frame, monkeypatch):
+    schema = "id string, v int, loaded_at timestamp"
+    lake.write("raw", "s", frame([("a", 1, datetime(2024, 1, 1))], schema), NOW, "l1")
+    lake_pipeline(lake, {"s": "id"}, NOW)
+    lake.write("raw", "s", frame([("b", 1, datetime(2024, 1, 2))], schema), NOW, "l2")
+    with monkeypatch.context() as broken:
+        broken.setattr(Silver, "merge", lambda *a: 1 / 0)
+        assert lake_pipeline(lake, {"s": "id"}, NOW).first().status == "failed"
+    assert lake.read("bronze", "s").count() == 2 and _current(lake, "s") == [("a", 1)]
+    assert lake_pipeline(lake, {"s": "id"}, NOW).first().versions == 1
+    assert _current(lake, "s") == [("a", 1), ("b", 1)]
+
+
+def test_backfill_under_an_earlier_time_counts(lake, frame):
+    schema = "id string, v int, loaded_at timestamp"
+    lake.write("raw", "s", frame([("a", 1, datetime(2024, 1, 5))], schema), NOW, "l1")
+    lake_pipeline(lake, {"s": "id"}, NOW)
+    lake.write("raw", "s", frame([("b", 1, datetime(2024, 1, 1)), ("a", 0, datetime(2024, 1, 1))], schema), NOW, "l0")
+    lake_pipeline(lake, {"s": "id"}, datetime(2024, 1, 2, tzinfo=UTC))
+    assert _current(lake, "s") == [("a", 1), ("b", 1)]
+
+
+def test_promotion_rewrites_touched_buckets_and_rejects_rows_without_a_key(spark, lake, frame):
+    schema = "id string, v int, loaded_at timestamp"
+    rows = [(f"k{i}", 1, datetime(2024, 1, 1)) for i in range(300)] + [(None, 1, None), (None, 2, None), ("", 3, None)]
+    lake.write("raw", "s", frame(rows, schema), NOW, "l1")
+    status = lake_pipeline(lake, {"s": "id"}, NOW).first()
+    assert (status.rows, status.rejected, status.current) == (303, 3, 300)
+    assert lake.read("silver", "s_rejects").count() == 3
+    lake.write("raw", "s", frame([("k7", 2, datetime(2024, 1, 2)), ("k8", 0, datetime(2023, 1, 1))], schema), NOW, "l2")
+    assert lake_pipeline(lake, {"s": "id"}, NOW).first().current == 1
+    assert Silver(lake, "s").snapshot().count() == 300
+    assert lake.read("silver", "s").count() < 300 + 60  # the second version holds two buckets
+
+
+def test_latest_per_key_keeps_rows_without_a_key(frame):
+    rows = [(None, 1, NOW), (None, 2, NOW), ("a", 3, NOW)]
+    assert latest_per_key(frame(rows, "k string, v int, loaded_at timestamp"), "k").count() == 3
 
 
 def test_failing_source_does_not_stop_others(lake, sample):
@@ -175,6 +220,30 @@ def test_ingestion(spark, lake, sample, tmp_path):
     assert mixed.success and mixed.rows_total == 3 and mixed.error
 
 
+def test_equal_names_in_two_folders(spark, lake, sample, tmp_path):
+    for folder, n in (("a", 1), ("b", 2)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "t.csv").write_text("id\n" + "1\n" * n)
+        sample.limit(n).coalesce(1).write.parquet(str(tmp_path / "p" / folder))
+        part = next((tmp_path / "p" / folder).glob("part-*.parquet"))
+        part.rename(part.with_name("t.parquet"))
+    status = files.csv_dir_to_parquet(spark, str(tmp_path), str(tmp_path / "out")).collect()
+    assert sorted(spark.read.parquet(r.output_path).count() for r in status) == [1, 2]
+    done = files.ingest_directory(lake, "s", str(tmp_path / "p"), NOW).first()
+    assert (done.files_ingested, done.rows_total) == (2, 3) and lake.read("raw", "s").count() == 3
+
+
+def test_csv_quoting_and_rejects(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('id,text\n1,"two\nlines"\n2,"say ""hi"" x"\n3,plain\n')
+    out = spark.read.parquet(files.csv_to_parquet(spark, str(tmp_path / "q.csv")))
+    assert [(r.id, r.text) for r in out.orderBy("id").collect()] == [(1, "two\nlines"), (2, 'say "hi" x'), (3, "plain")]
+    (tmp_path / "r.csv").write_text("id,v\n1,2\nx,3\n")
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.IntegerType())])
+    dest = files.csv_to_parquet(spark, str(tmp_path / "r.csv"), schema=schema)
+    assert [tuple(r) for r in spark.read.parquet(dest).collect()] == [(1, 2)]
+    assert [r[0] for r in spark.read.parquet(f"{dest}.rejects").collect()] == ["x,3"]
+
+
 def test_count_rows_skips_corrupt(spark, sample, tmp_path):
     sample.coalesce(1).write.parquet(str(tmp_path / "d"))
     (tmp_path / "d" / "broken.parquet").write_text("not parquet at all")
