@@ -298,6 +298,8 @@ ORACLE: dict[str, str] = {
         FROM (VALUES (0), (1), (2)) loads(k) WHERE (SELECT count(*) FROM part) > 0""",
     "lake_datasets": """SELECT 'raw' AS layer, 'steam' AS source, CAST(TIMESTAMP '2024-01-20' + k * INTERVAL 5 DAY AS DATE) AS ingest_date,
         concat('load', k) AS name, (SELECT count(*) FROM part) AS row_count FROM (VALUES (0), (1), (2)) loads(k)""",
+    "lake_entries": "SELECT 'raw' AS layer, 'steam' AS source, CAST(3 * count(*) AS BIGINT) AS row_count, true AS sound FROM part",
+    "dataset_preview": "SELECT least(count(*), 100) AS shown, least(count(*), 100) AS known FROM part",
     "lake_promote": relation("steam_loads", "* EXCLUDE (k)"),
     "lake_pipeline": relation("steam_loads", "* EXCLUDE (k)", "WHERE k = 2"),
     "dataset_catalog": """
@@ -425,8 +427,11 @@ ORACLE: dict[str, str] = {
               concat(strftime(o_orderdate, '%Y/%-m/%-d'), CASE WHEN o_orderkey % 5 = 0 THEN 'x' ELSE '' END) AS day_text FROM orders)
         SELECT o_orderkey, TRY_CAST(s AS INTEGER) AS as_int, TRY_CAST(s AS DOUBLE) AS as_double, TRY_CAST(o_totalprice AS INTEGER) AS price_int,
                TRY_CAST(day_text AS DATE) AS as_date,
-               CASE WHEN o_orderkey % 7 IN (0, 2) THEN TRY_CAST(rtrim(s, 'df') AS DOUBLE) ELSE coalesce(TRY_CAST(s AS DOUBLE), -1.0) END AS as_default
+               coalesce(TRY_CAST(s AS DOUBLE), -1.0) AS as_default
         FROM d""",
+    "round_half_up": """SELECT l_orderkey, l_linenumber, round(x, 0) AS places_0, round(x, 2) AS places_2, round(x, 3) AS places_3 FROM (
+        SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 2 = 0 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END
+            * (l_extendedprice + 0.005::DOUBLE) * pow(10.0::DOUBLE, l_linenumber::DOUBLE * 2) AS x FROM lineitem)""",
     "calculate_growth": f"SELECT l_orderkey, l_linenumber, {growth('l_linenumber', '(l_orderkey % 5)')} AS growth_pct FROM lineitem",
     "surrogate_key": f"""
         WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS s FROM orders)
@@ -488,8 +493,9 @@ ORACLE: dict[str, str] = {
     ),
     "validate_records": """SELECT concat('tt', o_orderkey) AS id, concat_ws(',',
             CASE WHEN o_orderkey % 10 = 3 THEN 'missing:title' END,
+            CASE WHEN o_orderkey % 11 = 0 THEN 'type:votes' END,
             CASE WHEN o_orderkey % 14 - 1 < 0 OR o_orderkey % 14 - 1 > 10 THEN 'range:rating' END,
-            CASE WHEN o_custkey < 5 THEN 'range:votes' END) AS violations FROM orders""",
+            CASE WHEN o_custkey < 5 AND o_orderkey % 11 <> 0 THEN 'range:votes' END) AS violations FROM orders""",
     "reject_sentinel_keys": """SELECT o_orderkey % 5 = 2 AS usable, count(*) AS n_rows,
         count(*) FILTER (o_orderkey % 5 IN (0, 1, 2)) AS n_ids FROM orders GROUP BY 1""",
     "run_metrics": relation(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime, timedelta
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,7 +109,10 @@ def lake_versions(spark, sf):
 
 @query
 def lake_entries(spark, sf):
-    return _lake_with_steam_loads(spark, sf).entries("raw")
+    """Rows per source from the footers of all files; paths, times, sizes and the number of files differ from run to run."""
+    entries = _lake_with_steam_loads(spark, sf).entries("raw")
+    sound = F.col("filename").endswith(".parquet") & F.col("path").contains("/raw/steam/ingest_date=") & (F.col("size_bytes") > 0) & F.col("created_at").isNotNull()
+    return entries.groupBy("layer", "source").agg(F.sum("row_count").alias("row_count"), F.bool_and(sound).alias("sound"))
 
 
 @query
@@ -127,17 +130,20 @@ def lake_promote(spark, sf):
 
 @query
 def lake_pipeline(spark, sf):
-    """Two loads, a run, the third load, another run, and a run without news: silver is the latest row per key."""
+    """A run, a load whose run died after the bronze copy, the next run, a backfill under an earlier time, and a run without news."""
     lake, key = _lake(spark), {"steam": "app_id"}
     loads = [(fx.steam_load(spark, sf, k), at.replace(tzinfo=UTC), f"load{k}") for k, at in enumerate(fx.STEAM_LOADS)]
     at = fx.STEAM_LOADS[2].replace(tzinfo=UTC)
-    for df, when, version in loads[:2]:
-        lake.write("raw", "steam", df, when, version)
+    lake.write("raw", "steam", *loads[1])
     lake_ops.lake_pipeline(lake, key, at)
     lake.write("raw", "steam", *loads[2])
+    lake.copy_versions("raw", "bronze", "steam", [(loads[2][1].date(), "load2")])
     lake_ops.lake_pipeline(lake, key, at + timedelta(hours=1))
+    keyless = loads[0][0].limit(1).withColumn("app_id", F.lit(None).cast("string"))
+    lake.write("raw", "steam", loads[0][0].unionByName(keyless), *loads[0][1:])
+    lake_ops.lake_pipeline(lake, key, at - timedelta(days=2))
     lake_ops.lake_pipeline(lake, key, at + timedelta(hours=2))
-    return lake.latest_version("silver", "steam")
+    return lake_ops.Silver(lake, "steam").snapshot()
 
 
 @query
@@ -159,7 +165,11 @@ def dataset_catalog(spark, sf):
 
 @query
 def dataset_preview(spark, sf):
-    return _lake_with_steam_loads(spark, sf).preview("steam", "load1")
+    """Which 100 rows come is open: their number, and that each is a row of the dataset."""
+    shown = _lake_with_steam_loads(spark, sf).preview("steam", "load1")
+    whole = fx.steam_load(spark, sf, 1)
+    known = shown.join(whole.select(*[F.col(c).alias(f"_{c}") for c in whole.columns]), reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in whole.columns]), "left_semi")
+    return shown.agg(F.count("*").alias("shown")).withColumn("known", known.agg(F.count("*")).scalar())
 
 
 @query
@@ -512,19 +522,19 @@ def incr_schema_sync(spark, sf):
 
 @query
 def incr_content_events_stream(spark, sf):
+    """Several batches; the sources' clocks are weeks apart, and some rows come twice."""
     raw = work_dir(spark, "stream")
-    paths, streams = {}, {}
+    streams = {}
     for name, df in fx.raw_sources(spark, sf).items():
-        paths[name] = f"{raw}/raw/{name}"
-        df.write.parquet(paths[name])
-        streams[name] = event_log.read_raw_stream(spark, paths[name], spark.read.parquet(paths[name]).schema)
+        path = f"{raw}/raw/{name}"
+        late = F.pmod(F.xxhash64(SOURCES[name].key), F.lit(3)) == 0
+        df.where(~late).coalesce(1).write.parquet(path)
+        df.where(late | (F.pmod(F.xxhash64(SOURCES[name].key), F.lit(5)) == 0)).coalesce(1).write.mode("append").parquet(path)
+        streams[name] = event_log.read_raw_stream(spark, path, df.schema, max_files=1)
     unified = intermediate.int_content_unified(stage_all(streams, AS_OF))
     out = f"{raw}/log"
-    running = event_log.start_event_log(
-        event_log.incr_content_events_stream(unified, "60 days"), out, f"{raw}/checkpoint"
-    )
-    running.awaitTermination()
-    return spark.read.parquet(out)
+    event_log.start_event_log(event_log.incr_content_events_stream(unified), out, f"{raw}/checkpoint").awaitTermination()
+    return history.EventLog(spark, out).read()
 
 
 def _steam_history(spark, sf):
@@ -564,11 +574,17 @@ def scd2_apply(spark, sf):
 
 @query
 def scd2_stored(spark, sf):
-    """The same history as a stored table, one load at a time, the last one twice."""
+    """The same history as a stored table, one load at a time, the last one twice; the middle one cannot come again."""
     table = history.HistoryTable(spark, work_dir(spark, "history"), "app_id")
-    for k, load in enumerate(_steam_history(spark, sf)):
+    loads = _steam_history(spark, sf)
+    for k, load in enumerate(loads):
         table.apply(load, f"load{k}")
-    return table.apply(load, f"load{k}")
+    table.apply(load, f"load{k}")
+    try:
+        table.apply(loads[1], "load1")
+    except ValueError:
+        return table.read()
+    raise AssertionError("a load out of order was taken in")
 
 
 @query
@@ -612,6 +628,15 @@ def fn_safe_cast(spark, sf):
     )
 
 
+@query
+def fn_round_half_up(spark, sf):
+    """Values on both sides of 1e13, also negative ones and exact halves."""
+    sign = F.when(F.col("l_orderkey") % 2 == 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+    x = sign * (F.col("l_extendedprice") + F.lit(0.005)) * F.pow(F.lit(10.0), F.col("l_linenumber").cast("double") * 2)
+    items = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", x.alias("x"))
+    return items.select("l_orderkey", "l_linenumber", *[numbers.round_half_up(F.col("x"), p).alias(f"places_{p}") for p in (0, 2, 3)])
+
+
 @query
 def fn_calculate_growth(spark, sf):
     return fx.table(spark, sf, "lineitem").select(
@@ -818,7 +843,7 @@ def validate_records(spark, sf):
         F.concat(F.lit("tt"), F.col("o_orderkey").cast("string")).alias("id"),
         F.when(F.col("o_orderkey") % 10 != 3, F.col("o_orderpriority")).alias("title"),
         ((F.col("o_orderkey") % 14) - 1).cast("double").alias("rating"),
-        (F.col("o_custkey") - 5).alias("votes"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit("many")).otherwise((F.col("o_custkey") - 5).cast("string")).alias("votes"),
     )
     valid, rejected = quality.validate_records(records, quality.RECORD_RULES["imdb_title"])
     none = F.lit("").alias("violations")
