@@ -312,7 +312,8 @@ ORACLE: dict[str, str] = {
     "parquet_load": "SELECT * FROM customer",
     "parquet_load_dir": relation("steam_loads", "app_id, price, loaded_at"),
     "csv_to_parquet": "SELECT * FROM customer",
-    "csv_dir_to_parquet": "SELECT count(*) AS \"rows\", CAST(0 AS BIGINT) AS failed_files FROM customer",
+    "csv_dir_to_parquet": "SELECT * FROM customer",
+    "ingest_file_rows": "SELECT * FROM orders",
     "ingest_dataframe": "SELECT 'imdb' AS source, 'raw' AS layer, 1 AS files_ingested, count(*) AS rows_total, true AS success FROM orders",
     "ingest_file": "SELECT 'lineitem' AS source, 'raw' AS layer, 1 AS files_ingested, count(*) AS rows_total, true AS success FROM lineitem",
     "ingest_directory": "SELECT 'all' AS source, 'raw' AS layer, 14 AS files_ingested, "
@@ -567,6 +568,27 @@ ORACLE: dict[str, str] = {
                CAST(NULL AS VARCHAR) AS published, CAST(NULL AS VARCHAR) AS author, CAST(NULL AS VARCHAR) AS link FROM pieces""",
     "extract_text_links_images": f"""{PIECES}
         SELECT page_id, array_to_string(list_filter(menu, lambda x: x <> ''), ' ') AS text, array_to_string(links[1:5], ' ') AS links FROM pieces""",
+    "extract_preset_reddit": """
+        SELECT event_id AS page_id, concat('https://p.example/', event_id) AS url, item_no,
+               CASE WHEN item_no = 0 THEN concat('Post ', event_id) END AS title, CASE WHEN item_no = 0 THEN CAST(user_id AS VARCHAR) END AS score,
+               CASE WHEN item_no = 0 THEN event_type END AS author, CAST(NULL AS VARCHAR) AS subreddit,
+               CASE WHEN item_no = 0 THEN concat('/p/', event_id) ELSE '/q' END AS link, CAST(NULL AS VARCHAR) AS comments
+        FROM events, (VALUES (0), (1)) items(item_no)""",
+    "extract_preset_steam": """
+        SELECT p_partkey AS page_id, concat('https://p.example/', p_partkey) AS url, 0 AS item_no, trim(p_name) AS title,
+               concat(p_size, '€') AS price, CAST(NULL AS VARCHAR) AS release_date, p_type AS review_score, CAST(NULL AS VARCHAR) AS link,
+               concat(p_brand, '.png') AS thumbnail FROM part""",
+    "extract_preset_imdb": """
+        SELECT o_orderkey AS page_id, concat('https://p.example/', o_orderkey) AS url, 0 AS item_no, trim(o_orderpriority) AS title,
+               concat('(', o_orderstatus, ')') AS "year", CAST(o_custkey AS VARCHAR) AS rating, o_orderstatus AS genre,
+               CAST(NULL AS VARCHAR) AS votes, concat('/t/', o_orderkey) AS link FROM orders""",
+    "extract_preset_custom": """
+        SELECT n_nationkey AS page_id, concat('https://p.example/', n_nationkey) AS url, item_no,
+               CASE item_no WHEN 0 THEN concat('{"h2": {"text": "', n_name, '"}}') ELSE concat('{"p": {"text": "', n_regionkey, '"}}') END AS record
+        FROM nation, (VALUES (0), (1)) items(item_no)""",
+    "extract_images": """
+        SELECT p_partkey AS page_id, item_no, CASE item_no WHEN 0 THEN concat(trim(p_name), ' in') ELSE '' END AS "text",
+               CASE item_no WHEN 0 THEN concat('1 ', p_brand, ' 3') END AS images FROM part, (VALUES (0), (1)) items(item_no)""",
     "extract_cascading": f"""{PIECES}, parts AS (SELECT *,
             array_to_string(list_transform(list_zip(menu, links), lambda x:
                 '{{"li": {{"children": [{{"a": {{"text": ' || {quoted('x[1]')} || ', "attrs": {{"href": ' || {quoted('x[2]')} || '}}}}}}]}}}}'), ', ') AS menu_json,
@@ -630,6 +652,7 @@ def _columns_of(name: str, columns: str) -> str:
 
 
 ORACLE |= {
+    "pipeline_run_report": ORACLE["rpt_top_content_by_source"],
     "dataset_name": _columns_of("slugify", "doc_id, dataset_name, suggested_name"),
     "safe_cast_default": _columns_of("safe_cast", "o_orderkey, as_default"),
     "extract_app_id": _columns_of("url_ids", "o_orderkey, app_id"),

@@ -21,7 +21,7 @@ from lakeweave.plans import analyses, crawl, intermediate, marts, reports
 from lakeweave.plans.build import build_content, build_models, stage_all
 from lakeweave.plans.pipeline import run_pipeline
 from lakeweave.schemas import SOURCES
-from lakeweave.session import materialized, work_dir
+from lakeweave.session import child_names, materialized, replace_folder, work_dir
 from lakeweave.sources import files
 from lakeweave.sources.adapters import split_sentinel_keys
 from lakeweave.sources.seeds import content_categories, source_metadata
@@ -208,8 +208,17 @@ def csv_to_parquet(spark, sf):
 
 @query
 def csv_dir_to_parquet(spark, sf):
-    status = files.csv_dir_to_parquet(spark, _customer_csv(spark, sf), work_dir(spark, "converted"))
-    return status.agg(F.sum("rows").alias("rows"), F.count_if(~F.col("success")).alias("failed_files"))
+    """Two folders with a file of the same name each; what is stored, and how many files failed."""
+    folder, customer = work_dir(spark, "csv"), fx.table(spark, sf, "customer")
+    for k in range(2):
+        part = f"{folder}/part{k}"
+        customer.where(F.col("c_custkey") % 2 == k).coalesce(1).write.option("header", True).csv(part)
+        written = next(n for n in child_names(spark, part) if n.startswith("part-"))
+        replace_folder(spark, f"{part}/{written}", f"{part}/customer.csv")
+    status = files.csv_dir_to_parquet(spark, folder, work_dir(spark, "converted")).collect()
+    assert all(r.success for r in status), status
+    stored = [history.sync_columns(spark.read.parquet(r.output_path), customer.dtypes) for r in status]
+    return intermediate.union_frames(stored)
 
 
 INGEST_COLUMNS = ["source", "layer", "files_ingested", "rows_total", "success"]
@@ -225,6 +234,14 @@ def ingest_file(spark, sf):
     return files.ingest_file(_lake(spark), "lineitem", f"{sf}/lineitem.parquet", DAY1).select(*INGEST_COLUMNS)
 
 
+@query
+def ingest_file_rows(spark, sf):
+    """What the raw layer holds after a file was taken in."""
+    lake = _lake(spark)
+    files.ingest_file(lake, "orders", f"{sf}/orders.parquet", DAY1)
+    return lake.read("raw", "orders")
+
+
 @query
 def ingest_directory(spark, sf):
     return files.ingest_directory(_lake(spark), "all", sf, DAY1).select(*INGEST_COLUMNS)
@@ -462,6 +479,16 @@ def pipeline_run(spark, sf):
     return intermediate.union_frames(counted)
 
 
+@query
+def pipeline_run_report(spark, sf):
+    """The content of a report that a run has stored."""
+    lake, wh = _lake(spark), _warehouse(spark)
+    for name, df in fx.raw_sources(spark, sf).items():
+        lake.write("raw", name, df, DAY1)
+    run_pipeline(spark, lake, wh, AS_OF.replace(tzinfo=UTC))
+    return wh.table("rpt_top_content_by_source").select(*rpt_top_content_by_source(spark, sf).columns)
+
+
 # --- incremental log and history ---------------------------------------------------------------
 
 
@@ -1005,6 +1032,52 @@ def extract_source_preset(spark, sf):
     return extract.extract_source_preset(fx.table(spark, sf, "pages"), "news").drop("error")
 
 
+def _made_pages(spark, sf, name, key, html):
+    """Pages with markup for one preset, from the rows of a driver table."""
+    made = F.concat(*[F.lit(p[1:]) if p.startswith("=") else F.col(p).cast("string") for p in html])
+    return fx.table(spark, sf, name).select(F.col(key).alias("page_id"), F.concat(F.lit("https://p.example/"), F.col(key)).alias("url"), made.alias("html"))
+
+
+@query
+def extract_preset_reddit(spark, sf):
+    pages = _made_pages(spark, sf, "events", "event_id", [
+        "=<div class='Post'><h3> Post ", "event_id", "= </h3><span class='score'>", "user_id", "=</span><a class='title' href='/p/", "event_id",
+        "='>x</a><i class=author>", "event_type", "=</i></div><shreddit-post><a slot=full-post-link href=/q></a></shreddit-post>"])
+    return extract.extract_source_preset(pages, "reddit").drop("error")
+
+
+@query
+def extract_preset_steam(spark, sf):
+    pages = _made_pages(spark, sf, "part", "p_partkey", [
+        "=<a class=search_result_row><span class='title'>", "p_name", "=</span><div class=discount_final_price> ", "p_size",
+        "=&euro;</div><p class=search_reviewscore><span data-tooltip-html='", "p_type", "='></span></p><img src='", "p_brand", "=.png'><img src=no></a>"])
+    return extract.extract_source_preset(pages, "steam").drop("error")
+
+
+@query
+def extract_preset_imdb(spark, sf):
+    pages = _made_pages(spark, sf, "orders", "o_orderkey", [
+        "=<div class=lister-item><h3 class=lister-item-header><a href='/t/", "o_orderkey", "='>", "o_orderpriority", "=</a><b class=lister-item-year>(",
+        "o_orderstatus", "=)</b></h3><p class=ratings-imdb-rating><strong>", "o_custkey", "=</strong></p><i class=genre>",
+        "o_orderstatus", "=</i></div>"])
+    return extract.extract_source_preset(pages, "imdb").drop("error")
+
+
+@query
+def extract_preset_custom(spark, sf):
+    """No container of its own: one nested record per child of the body."""
+    pages = _made_pages(spark, sf, "nation", "n_nationkey", ["=<body><h2>", "n_name", "=</h2><p>", "n_regionkey", "=</p></body>"])
+    return extract.extract_source_preset(pages, "custom").drop("error")
+
+
+@query
+def extract_images(spark, sf):
+    """The first three of up to five images, and the text around them."""
+    pages = _made_pages(spark, sf, "part", "p_partkey", ["=<div>", "p_name", "=<img src=1><img src='", "p_brand", "='><b>in</b><img><img src=3><img src=4></div><div></div>"])
+    found = extract.extract_text_links_images(pages, "div")
+    return found.select("page_id", "item_no", "text", F.array_join("images", " ").alias("images"))
+
+
 @query
 def extract_cascading(spark, sf):
     return extract.extract_cascading(fx.table(spark, sf, "pages")).drop("error")
