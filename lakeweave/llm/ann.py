@@ -190,11 +190,10 @@ def nearest(
 
     index = shared.mapInArrow(_index_rows(forest, block_size), "tree int, part long, string long, cid long, v binary")
     # Dense prefixes make a part larger than a block: it is cut by id.
-    cuts = np.zeros((trees, int(forest.starts[:, -1].max() // block_size) + 1), dtype=np.int64)
-    tree, prefix = np.nonzero(forest.counts)
-    np.add.at(cuts, (tree, forest.block_of(tree, prefix, block_size)), forest.counts[tree, prefix])
-    sizes = [(int(t), int(p), math.ceil(int(cuts[t, p]) / (2 * block_size))) for t, p in zip(*np.nonzero(cuts), strict=True)]
-    parts = spark.createDataFrame(sizes, "tree int, part long, pieces long")
+    tree, prefix = np.nonzero(forest.counts)  # no more parts than prefixes
+    kinds, back = np.unique(np.stack((tree, forest.block_of(tree, prefix, block_size))), axis=1, return_inverse=True)
+    sizes = np.bincount(back.ravel(), weights=forest.counts[tree, prefix])
+    parts = spark.createDataFrame([(t, p, math.ceil(n / (2 * block_size))) for (t, p), n in zip(kinds.T.tolist(), sizes.tolist(), strict=True)], "tree int, part long, pieces long")
     blocks = packed(index.join(parts, ["tree", "part"]), ["tree", "part"], F.col("pieces"), "cid", ["string", "cid", "v"])
     queries = shared.join(members.select("cid").distinct(), "cid").select(F.col("cid").alias("qid"), "v")
     n = queries.count()

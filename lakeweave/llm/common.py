@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.session import work_dir
+from lakeweave.session import remove_folder, work_dir
 
 # ASCII white space separates words; everything else belongs to them. bytes.split() follows the same rule.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,10 +27,23 @@ def _shuffle_cleanup(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+_made: list[str] = []  # folders of the tables below, until they are released
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the intermediate tables made so far. For use once the results that read them are written."""
+    while _made:
+        remove_folder(spark, _made.pop())
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a Parquet table in the shared folder: computed once, independent of executors that get lost."""
+    """The frame as a Parquet table in the shared folder: computed once, independent of executors that get lost.
+
+    The table stays until ``release``.
+    """
     spark = df.sparkSession
     path = work_dir(spark, name)
+    _made.append(path)
     with _shuffle_cleanup(spark):
         df.write.option("compression", "zstd").parquet(path)
     # No schema inference, and a size the optimizer can compare with its broadcast threshold.
@@ -91,8 +104,10 @@ def components(edges: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        edges = stored(small, "links")
+        old, edges = _made[-1], stored(small, "links")
         before, mark = mark, _fingerprint(edges)
+        remove_folder(edges.sparkSession, old)  # the links of the round before
+        _made.remove(old)
         if mark == before:
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
