@@ -21,7 +21,7 @@ from lakeweave.plans import analyses, crawl, intermediate, marts, reports
 from lakeweave.plans.build import build_content, build_models, stage_all
 from lakeweave.plans.pipeline import run_pipeline
 from lakeweave.schemas import SOURCES
-from lakeweave.session import child_names, materialized, replace_folder, work_dir
+from lakeweave.session import as_table, child_names, materialized, replace_folder, work_dir
 from lakeweave.sources import files
 from lakeweave.sources.adapters import split_sentinel_keys
 from lakeweave.sources.seeds import content_categories, source_metadata
@@ -843,8 +843,11 @@ def test_event_unique(spark, sf):
 
 @query
 def dq_results(spark, sf):
-    """Every declared test on every relation; each reads only the columns it tests."""
-    return quality.run_tests(build_models(spark, fx.raw_sources(spark, sf), AS_OF), AS_OF)
+    """Every declared test on every relation; each reads only the columns it tests. What other relations are built from
+    is stored once, as a run does it."""
+    stored = ("int_content_unified", "fct_content", "fct_engagement_metrics")
+    models = build_models(spark, fx.raw_sources(spark, sf), AS_OF, lambda name, df: as_table(df, name) if name in stored else df)
+    return quality.run_tests(models, AS_OF)
 
 
 @query

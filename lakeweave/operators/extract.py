@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -43,8 +42,14 @@ def _ddl(fields: tuple[FieldSpec, ...]) -> str:
     return "struct<" + ", ".join(f"`{spec.name}`: {one(spec)}" for spec in fields) + ">"
 
 
-def _map_pages(pages: DataFrame, html: str, keep: list[str], make_scan, value_type: pa.DataType, value_ddl: str) -> DataFrame:
-    """Columns ``keep`` of every page with ``page`` (the scan's value) and ``error``."""
+def _map_pages(
+    pages: DataFrame, html: str, keep: list[str], make_scan, value_type: pa.DataType, value_ddl: str, finish=None
+) -> DataFrame:
+    """Columns ``keep`` of every page with ``page`` (the scan's value) and ``error``.
+
+    ``finish(value, url)`` may complete a value with the page's url. Spark bounds an input batch in bytes
+    (``spark.sql.execution.arrow.maxBytesPerBatch``), so pages of any size come in batches that fit.
+    """
     kept = [f for f in pages.schema if f.name in keep]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"page {value_ddl}", "error string"])
     names = [f.name for f in kept]
@@ -55,9 +60,11 @@ def _map_pages(pages: DataFrame, html: str, keep: list[str], make_scan, value_ty
             for start in range(0, batch.num_rows, PAGES_PER_BATCH):
                 part = batch.slice(start, PAGES_PER_BATCH)
                 values, errors = [], []
-                for text in part.column("__html").to_pylist():
+                urls = part.column("url").to_pylist() if finish else [None] * len(part)
+                for text, url in zip(part.column("__html").to_pylist(), urls, strict=True):
                     try:
-                        values.append(scan(text or ""))
+                        value = scan(text or "")
+                        values.append(finish(value, url or "") if finish else value)
                         errors.append(None)
                     except Exception as exc:  # noqa: BLE001 - reported in the row
                         values.append(None)
@@ -69,7 +76,9 @@ def _map_pages(pages: DataFrame, html: str, keep: list[str], make_scan, value_ty
     return pages.select(*names, F.col(html).alias("__html")).mapInArrow(run, schema)
 
 
-def scan_pages(pages: DataFrame, fields: list[FieldSpec], html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
+def scan_pages(
+    pages: DataFrame, fields: list[FieldSpec], html: str = "html", keep: tuple[str, ...] = ("page_id", "url"), finish=None
+) -> DataFrame:
     """What the fields match on each page: ``keep`` columns, struct ``page`` and ``error``.
 
     A single value is NULL when no element matches and empty when the element has no such
@@ -81,7 +90,7 @@ def scan_pages(pages: DataFrame, fields: list[FieldSpec], html: str = "html", ke
         plan = SelectPlan(fields)
         return lambda text: SelectScan(plan).scan(text).out
 
-    return _map_pages(pages, html, list(keep), make_scan, _arrow_type(fields), _ddl(fields))
+    return _map_pages(pages, html, list(keep), make_scan, _arrow_type(fields), _ddl(fields), finish)
 
 
 def _one(name: str, selector: str, attribute: str = "text") -> FieldSpec:
@@ -479,12 +488,11 @@ NEXT_LINK = "a[rel='next'], .next a, [aria-label='Next'], a.next, [aria-label='N
 def next_page_link(pages: DataFrame, html: str = "html") -> DataFrame:
     """Absolute url of the next page, NULL when the page links to none."""
 
-    @F.pandas_udf("string")
-    def absolute(base: pd.Series, href: pd.Series) -> pd.Series:
-        return pd.Series([urljoin(b, h) if h else None for b, h in zip(base, href, strict=True)])
+    def absolute(found: dict, url: str) -> dict:
+        return {"next": urljoin(url, found["next"]) if found["next"] else None}
 
-    scanned = scan_pages(pages, [_one("next", NEXT_LINK, "href")], html)
-    return scanned.select(*KEEP, absolute(F.col("url"), F.col("page")["next"]).alias("next_url"), "error")
+    scanned = scan_pages(pages, [_one("next", NEXT_LINK, "href")], html, finish=absolute)
+    return scanned.select(*KEEP, F.col("page")["next"].alias("next_url"), "error")
 
 
 def page_cursor(pages: DataFrame, selector: str, attribute: str = "data-cursor", html: str = "html") -> DataFrame:

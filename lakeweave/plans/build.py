@@ -43,7 +43,7 @@ def build_models(spark: SparkSession, raw: dict[str, DataFrame], as_of: datetime
         m["int_reddit_posts_enriched"] = intermediate.int_reddit_posts_enriched(staged["reddit"], categories)
     if "steam" in staged:
         m["int_steam_games_enriched"] = intermediate.int_steam_games_enriched(staged["steam"], categories)
-    m["int_content_unified"] = unified = intermediate.int_content_unified(staged)
+    m["int_content_unified"] = unified = keep("int_content_unified", intermediate.int_content_unified(staged))
     m["dim_sources"] = keep("dim_sources", marts.dim_sources(metadata, categories, as_of))
     m["dim_content_types"] = keep("dim_content_types", marts.dim_content_types(categories, as_of))
     m["fct_content"] = keep("fct_content", marts.fct_content(unified, m["dim_sources"], as_of))

@@ -87,6 +87,13 @@ def replace_folder(spark: SparkSession, new: str, dest: str) -> None:
     remove_folder(spark, old)
 
 
+def as_table(df: DataFrame, name: str) -> DataFrame:
+    """The frame computed once and kept as a Parquet table in the shared folder: readers get columns and pushed filters."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file exists on its file system."""
     system, hadoop_path = _hadoop(spark, path)
