@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeweave.functions.numbers import growth, round_half_up, stable_sum
-from lakeweave.session import materialized
+from lakeweave.session import as_table, materialized
 
 
 def score_histogram(content: DataFrame) -> DataFrame:
@@ -18,10 +18,20 @@ def score_histogram(content: DataFrame) -> DataFrame:
     return materialized(content.groupBy("source_name", "score").agg(F.count("*").alias("n")))
 
 
-def _score_slot(score: Column) -> Column:
-    """Logarithmic slot of a score: monotone, the same in every run, and at most a few thousand per source."""
-    slot = F.floor(F.signum(score) * F.log1p(F.abs(score)) * F.lit(64.0))
-    return F.when(F.isnan(score), F.lit(2**62)).otherwise(slot)
+SLOTS = 256
+
+
+def _with_slots(histogram: DataFrame) -> DataFrame:
+    """Add ``slot``: scores in ascending pieces of about equally many distinct values, wherever a source's scores lie.
+
+    The borders are approximate quantiles of the distinct scores, one row per source. As a stored table their size is
+    known, so the histogram stays where it is while they are small. Any borders give exact ranks.
+    """
+    shares = [k / SLOTS for k in range(1, SLOTS)]
+    borders = histogram.groupBy("source_name").agg(F.percentile_approx("score", shares, 4 * SLOTS).alias("__borders"))
+    placed = histogram.join(as_table(borders.withColumnRenamed("source_name", "__source"), "score_slots"), F.col("source_name").eqNullSafe(F.col("__source")))
+    slot = F.size(F.filter("__borders", lambda b: b < F.col("score")))
+    return placed.withColumn("slot", slot).drop("__source", "__borders")
 
 
 def _ranked_histogram(histogram: DataFrame) -> DataFrame:
@@ -30,7 +40,7 @@ def _ranked_histogram(histogram: DataFrame) -> DataFrame:
     Ranks are running totals inside (source, slot) plus the total of the slots below, so no
     task ever orders all distinct scores of one source.
     """
-    scored = histogram.where(F.col("score").isNotNull()).withColumn("slot", _score_slot(F.col("score")))
+    scored = _with_slots(histogram.where(F.col("score").isNotNull()))
     per_source = Window.partitionBy("source_name")
     slots = scored.groupBy("source_name", "slot").agg(F.sum("n").alias("slot_n"))
     earlier = per_source.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
