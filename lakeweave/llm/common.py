@@ -30,10 +30,17 @@ def _shuffle_cleanup(spark: SparkSession):
 _made: list[str] = []  # folders of the tables below, until they are released
 
 
-def release(spark: SparkSession) -> None:
-    """Remove the intermediate tables made so far. For use once the results that read them are written."""
-    while _made:
-        remove_folder(spark, _made.pop())
+def made_tables() -> list[str]:
+    """Folders of the intermediate tables made so far and not released."""
+    return list(_made)
+
+
+def release(spark: SparkSession, tables: list[str]) -> None:
+    """Remove intermediate tables. For use once the results that read them are written."""
+    for path in tables:
+        if path in _made:
+            _made.remove(path)
+            remove_folder(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
