@@ -170,4 +170,5 @@ def one_per_component(docs: DataFrame, width: int = SHINGLE, shard_size: int = S
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
     distinct = stored(fps.groupBy("fp").agg(F.min(place).alias("first")), "simhash_distinct")
     kept = component_labels(distinct, shard_size).select("label.uid").distinct()
-    return numbered.join(stored(kept, "simhash_kept"), "uid", "left_semi").select("doc.*")
+    # The kept ids grow with the documents: one plan for all sizes, and no broadcast that only small tables allow.
+    return numbered.join(stored(kept, "simhash_kept").hint("merge"), "uid", "left_semi").select("doc.*")
