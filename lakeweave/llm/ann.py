@@ -146,9 +146,8 @@ def _search(forest: Forest, k: int):
                     found.append(cids[a:b][near])
                     scores.append(exact)
             none = [np.empty(0, dtype=np.int64)], [np.empty(0)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(qids or none[0])), pa.array(np.concatenate(found or none[0])), pa.array(np.concatenate(scores or none[1]))], ["qid", "cid", "score"]
-            )
+            columns = [np.concatenate(qids or none[0]), np.concatenate(found or none[0]), np.concatenate(scores or none[1])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["qid", "cid", "score"])
 
     return run
 
@@ -193,7 +192,8 @@ def nearest(
     tree, prefix = np.nonzero(forest.counts)  # no more parts than prefixes
     kinds, back = np.unique(np.stack((tree, forest.block_of(tree, prefix, block_size))), axis=1, return_inverse=True)
     sizes = np.bincount(back.ravel(), weights=forest.counts[tree, prefix])
-    parts = spark.createDataFrame([(t, p, math.ceil(n / (2 * block_size))) for (t, p), n in zip(kinds.T.tolist(), sizes.tolist(), strict=True)], "tree int, part long, pieces long")
+    pieces = [(t, p, math.ceil(n / (2 * block_size))) for (t, p), n in zip(kinds.T.tolist(), sizes.tolist(), strict=True)]
+    parts = spark.createDataFrame(pieces, "tree int, part long, pieces long")
     blocks = packed(index.join(parts, ["tree", "part"]), ["tree", "part"], F.col("pieces"), "cid", ["string", "cid", "v"])
     queries = shared.join(members.select("cid").distinct(), "cid").select(F.col("cid").alias("qid"), "v")
     n = queries.count()

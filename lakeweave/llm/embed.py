@@ -135,20 +135,23 @@ def embedding_duplicates(
         visits = homes.select("cid", "n", "v", "cell").mapInArrow(_visits(pivots, radius, reach), "cid long, n long, v binary, cell int")
         placed = stored(homes.select("cid", "n", "v", "cell", F.lit(True).alias("home")).unionByName(visits.withColumn("home", F.lit(False))), "embed_placed")
         sizes = placed.groupBy("cell", "home").count().withColumn("blocks", F.ceil(F.col("count") / block_size)).drop("count")
-        blocks = stored(packed(placed.join(stored(sizes, "embed_sizes"), ["cell", "home"]), ["cell", "home"], F.col("blocks"), "cid", ["cid", "n", "v"]), "embed_blocks")
+        sized = placed.join(stored(sizes, "embed_sizes"), ["cell", "home"])
+        blocks = stored(packed(sized, ["cell", "home"], F.col("blocks"), "cid", ["cid", "n", "v"]), "embed_blocks")
         one, two = blocks.where("home").alias("one"), blocks.alias("two")
         pairs = one.join(two, F.expr("one.cell = two.cell and (not two.home or one.block <= two.block)"))
         same = F.expr("two.home and one.block = two.block")
-        found = pairs.select(F.col("one.rows").alias("x"), F.col("two.rows").alias("y"), same.alias("same")).mapInArrow(_block_links(dim, cosine), "a long, links long, b long")
-        found = stored(found, "embed_links")
+        pairs = pairs.select(F.col("one.rows").alias("x"), F.col("two.rows").alias("y"), same.alias("same"))
+        found = stored(pairs.mapInArrow(_block_links(dim, cosine), "a long, links long, b long"), "embed_links")
     else:
         found = spark.createDataFrame([], "a long, links long, b long")
     counts = found.groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
     roots = components(found.select("a", "b")).withColumnRenamed("node", "cid")
     known = classes.join(counts, "cid", "left").join(roots, "cid", "left")
-    known = stored(known.select("v", "first", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "cid").alias("root")), "embed_known")
+    n_links = F.coalesce("links", F.lit(0)) + F.col("n") - 1
+    known = stored(known.select("v", "first", n_links.alias("n_links"), F.coalesce("root", "cid").alias("root")), "embed_known")
     smallest = known.groupBy("root").agg(F.min("first").alias("component_id"))
     answer = known.join(smallest, "root").select("v", "n_links", "component_id")
     out = rows.join(answer, "v", "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+    kept = F.col("vec_id").eqNullSafe(component)
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), kept.alias("kept"))

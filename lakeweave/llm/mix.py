@@ -74,7 +74,8 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
     """
     spark = targets.sparkSession
     order, all_ = W.orderBy(_by_source()), W.partitionBy()
-    running = targets.where("target > 0").select("source", F.sum("target").over(order.rowsBetween(W.unboundedPreceding, 0)).alias("upto"), F.sum("target").over(all_).alias("total"))
+    upto = F.sum("target").over(order.rowsBetween(W.unboundedPreceding, 0))
+    running = targets.where("target > 0").select("source", upto.alias("upto"), F.sum("target").over(all_).alias("total"))
     shares = running.select(
         "source",
         F.coalesce(F.lag("upto").over(order) / F.col("total"), F.lit(0.0)).alias("low"),

@@ -67,8 +67,7 @@ WITH docs AS (
               ELSE least(top, weight * (SELECT max(level) FROM levels WHERE level <= per_weight)) END AS target
   FROM limits
 ), shares AS (
-  SELECT source, coalesce(sum(target) OVER w - target, 0) AS before, sum(target) OVER w AS upto, sum(target) OVER () AS total,
-         lag(source) OVER w IS NULL AS is_first, lead(source) OVER w IS NULL AND source IS NOT DISTINCT FROM last_value(source) OVER (ORDER BY encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS is_last
+  SELECT source, sum(target) OVER w AS upto, sum(target) OVER () AS total, lead(1) OVER w IS NULL AS is_last
   FROM targets WHERE target > 0 WINDOW w AS (ORDER BY encode(source) NULLS LAST)
 ), edges AS (
   SELECT source, coalesce(lag(upto) OVER (ORDER BY encode(source) NULLS LAST) / total, 0) AS low,

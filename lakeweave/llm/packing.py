@@ -116,10 +116,9 @@ def _encode(tokenizer_path: str, end_id: int):
                     lengths.append(len(found) + 1)
                     places.append(used.get(source, 0))
                     used[source] = places[-1] + lengths[-1]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([task] * len(part), pa.int32()), pa.array(places, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())],
-                    ["doc_id", "source", "task", "place", "n", "ids"],
-                )
+                tasks = pa.array([task] * len(part), pa.int32())
+                columns = [*part.columns[:2], tasks, pa.array(places, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "task", "place", "n", "ids"])
 
     return run
 
@@ -192,7 +191,8 @@ def pack_documents(
         return spark.createDataFrame([], f"doc_id {kind}, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     schedule = RoundRobin(np.array(lengths), np.array(weight), window, slot)
     queues = spark.createDataFrame([(r.source, i) for i, r in enumerate(largest)], "source string, queue int").withColumnRenamed("source", "_s")
-    by_queue = amounts.join(F.broadcast(queues), F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "task", "amount", F.coalesce("queue", F.lit(len(largest))).alias("queue"))
+    queue = F.coalesce("queue", F.lit(len(largest))).alias("queue")
+    by_queue = amounts.join(F.broadcast(queues), F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "task", "amount", queue)
     before = W.partitionBy("queue").orderBy("task", "source").rowsBetween(W.unboundedPreceding, -1)
     bases = by_queue.select(F.col("source").alias("_s"), F.col("task").alias("_t"), "queue", F.coalesce(F.sum("amount").over(before), F.lit(0)).alias("base"))
     # One row per task and source. As a stored table its size is known, so the ids stay where they are while it is small.

@@ -262,9 +262,8 @@ def read_token_files(manifest: DataFrame, doc_kind: str = "bigint") -> DataFrame
                         part = docs.column(0).slice(low, 1024)
                         bounds = offsets[at : at + len(part) + 1]
                         found = [ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                        yield pa.RecordBatch.from_arrays(
-                            [part, pa.array(bounds[:-1] + shard["first_id"]), pa.array(np.diff(bounds)), pa.array(found, pa.binary())], ["doc_id", "start", "n_tokens", "ids"]
-                        )
+                        columns = [part, pa.array(bounds[:-1] + shard["first_id"]), pa.array(np.diff(bounds)), pa.array(found, pa.binary())]
+                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids"])
                         at += len(part)
 
     # A shard is a task's work; the few manifest rows are dealt out again.

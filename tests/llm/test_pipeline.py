@@ -95,3 +95,17 @@ def test_run(spark, stages):
 
     got = corpus_pipeline.run(spark, SF_DIR).collect()
     assert ids_per_document(got) == ids_per_document(stages["mixture_packing"][1])
+
+
+@pytest.mark.parametrize("kind", ["odd", "empty"])
+def test_stages_take_odd_rows_and_empty_tables(spark, documents, odd_rows, tmp_path, kind):
+    docs = documents(odd_rows if kind == "odd" else [])
+    columns, before = docs.columns, None
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF_DIR).write.parquet(str(tmp_path / name))
+        before, docs = docs, spark.read.parquet(str(tmp_path / name))
+        if name != "mixture_packing":
+            assert docs.columns == columns
+    rows = [(r.doc_id, r.text) for r in before.collect()]
+    check_packing(rows, docs.collect())
+    assert bool(rows) == (kind == "odd")
