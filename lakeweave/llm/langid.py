@@ -19,7 +19,7 @@ CENTROIDS = 4
 ROUNDS = 8
 # A text is rejected when it is farther from its centroid than this share of the training texts times the slack.
 REJECT_QUANTILE = 0.999
-REJECT_SLACK = 1.25
+REJECT_SLACK = 1.4
 LETTER = re.compile(r"[^\W\d_]")
 _BYTES_AT_ONCE = 1 << 20
 
@@ -95,9 +95,12 @@ def _clusters(idf: np.ndarray, centroids: int, quantile: float, slack: float):
         far = np.array([np.quantile(1 - best[near == i], quantile) if (near == i).any() else np.quantile(1 - best, quantile) for i in range(len(centers))])
         far = np.maximum(far, np.quantile(1 - best, quantile))
         n = len(centers)
-        return pa.table(
-            {"lang": pa.array([key[0].as_py()] * n, pa.string()), "centroid": pa.array([c.astype("<f4").tobytes() for c in centers], pa.binary()), "far": pa.array(np.minimum(1.0, far * slack), pa.float64())}
-        )
+        columns = {
+            "lang": pa.array([key[0].as_py()] * n, pa.string()),
+            "centroid": pa.array([c.astype("<f4").tobytes() for c in centers], pa.binary()),
+            "far": pa.array(np.minimum(1.0, far * slack), pa.float64()),
+        }
+        return pa.table(columns)
 
     return run
 
@@ -108,8 +111,9 @@ def train(
     """Fit on ``(doc_id, text, lang)``: document frequencies over all training rows, centroids on ``sample`` of them per language.
 
     The sample holds the rows of smallest hash of each language, so it is the same whatever the partitions. Texts without a letter teach
-    nothing. None if there is nothing to learn from.
+    nothing. None if there is nothing to learn from. The driver holds one number per language.
     """
+    sizes = {r.lang: r.n for r in docs.where(labelled(docs) & F.col("text").isNotNull()).groupBy("lang").agg(F.count("*").alias("n")).collect()}
     lessons = docs.select("doc_id", "text", "lang").where(labelled(docs) & F.col("text").rlike(r"\p{L}"))
     total = lessons.select("text").mapInArrow(_document_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     if not len(total):
@@ -117,9 +121,14 @@ def train(
     counts = np.zeros(BUCKETS + 1, dtype=np.int64)
     counts[total.column("bucket").to_numpy()] = total.column("n").to_numpy()
     idf = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1.0
-    chance = F.xxhash64(F.lit("lesson"), F.col("doc_id"), F.col("text"))
-    ranked = lessons.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(chance, "doc_id"))).where(F.col("rank") <= sample)
-    fitted = ranked.select("lang", "rank", "text").groupBy("lang").applyInArrow(_clusters(idf, centroids, quantile, slack), "lang string, centroid binary, far double").toArrow().sort_by("lang")
+    # Hashes below a threshold that about twice the sample passes; so few texts travel, however many tasks there are.
+    chance = F.pmod(F.xxhash64(F.lit("lesson"), F.col("doc_id"), F.col("text")), F.lit(1 << 40))
+    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, (2.0 * sample + 100) / n))])
+    drawn = lessons.where(chance < share[F.col("lang")] * F.lit(float(1 << 40)))
+    ranked = drawn.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(chance, "doc_id"))).where(F.col("rank") <= sample)
+    by_language = ranked.select("lang", "rank", "text").groupBy("lang")
+    fitted = by_language.applyInArrow(_clusters(idf, centroids, quantile, slack), "lang string, centroid binary, far double")
+    fitted = fitted.toArrow().sort_by("lang")
     rows = np.array([np.frombuffer(x, dtype="<f4") for x in fitted.column("centroid").to_pylist()])
     return Model(idf, rows, fitted.column("lang").to_pylist(), fitted.column("far").to_numpy())
 
