@@ -57,6 +57,8 @@ def repeated_windows(lines: DataFrame) -> DataFrame:
     """
     here = F.struct("doc_id", "uid", "pos").alias("here")
     first = lines.groupBy("digest").agg(F.min(here).alias("name"), F.count("*").alias("n")).where("n > 1").select("digest", "name")
+    # As a table the names are a plain side of the join, so that Spark can split the rows of a very common line.
+    first = stored(first, "line_first")
     named = stored(lines.join(first, "digest").select("uid", "doc_id", "pos", "need", "name"), "line_names")
     found = named.where("need = 1").where(F.struct("doc_id", "uid", "pos") != F.col("name")).select("uid", "pos", "need")
     size = 1
