@@ -273,7 +273,7 @@ def latest_per_key(df: DataFrame, key: str, updated_at: str = "loaded_at") -> Da
 
 # --- silver: the current row of every key, in hash buckets ---------------------------------------
 
-SILVER_BUCKETS = 64
+SILVER_BUCKETS = 16  # fixed for the life of a silver source; more for larger ones
 VERSIONS_PER_RUN = 1000
 COMMIT_SCHEMA = "seq bigint, ingest_date date, version string, buckets array<int>, taken array<struct<ingest_date: date, version: string>>"
 
@@ -347,9 +347,10 @@ def promote_source(lake: Lake, source: str, key: str, at: datetime, placeholders
     while True:
         raw = lake.versions("raw", source).join(lake.versions("bronze", source), ["ingest_date", "version"], "left_anti")
         new = raw.orderBy(*oldest).limit(VERSIONS_PER_RUN).collect()
-        if not new:
+        if new:
+            lake.copy_versions("raw", "bronze", source, [(r.ingest_date, r.version) for r in new])
+        if len(new) < VERSIONS_PER_RUN:
             break
-        lake.copy_versions("raw", "bronze", source, [(r.ingest_date, r.version) for r in new])
     total = Promotion()
     while due := [(r.ingest_date, r.version) for r in silver.pending().orderBy(*oldest).limit(VERSIONS_PER_RUN).collect()]:
         paths = [lake.version_path("bronze", source, day, version) for day, version in due]
@@ -360,6 +361,8 @@ def promote_source(lake: Lake, source: str, key: str, at: datetime, placeholders
             lake.write("silver", f"{source}_rejects", rows.where(~usable), at, f"{version_name(at)}-{due[-1][1]}")
         current = silver.merge(rows.where(usable), key, at, due)
         total = Promotion(total.versions + len(due), total.rows + n, total.rejected + rejected, total.current + current)
+        if len(due) < VERSIONS_PER_RUN:
+            break
     return total
 
 
