@@ -71,20 +71,16 @@ def joint_labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Smallest node of each local component of nodes 0..n-1 under the given links."""
     label = np.arange(n, dtype=np.int64)
     while len(left):
-        low = np.minimum(label[left], label[right])
-        np.minimum.at(label, left, low)
-        np.minimum.at(label, right, low)
+        # Only roots get a new label, the larger one of a link the smaller: trees never lose a member, and a link inside a tree is done.
+        np.minimum.at(label, np.maximum(left, right), np.minimum(left, right))
         while True:  # follow labels to their own labels
             jump = label[label]
             if np.array_equal(jump, label):
                 break
             label = jump
-        open_ = label[left] != label[right]
+        left, right = label[left], label[right]
+        open_ = left != right
         left, right = left[open_], right[open_]
-        # Linked trees with different roots: hook the larger root under the smaller one.
-        if len(left):
-            a, b = label[left], label[right]
-            np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
     return label
 
 

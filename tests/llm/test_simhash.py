@@ -6,6 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lakeweave.llm import simhash
+from lakeweave.llm.common import joint_labels
 
 
 def brute_fingerprint(text):
@@ -87,6 +88,23 @@ def test_empty(documents):
     assert simhash.one_per_component(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("n", [6, 20, 75, 200])
+def test_joint_labels_of_paths(n):
+    """Paths, whole and with gaps, over nodes in random order: every link holds to the end."""
+    assert joint_labels(6, np.array([0, 4, 2, 3, 5]), np.array([4, 2, 3, 5, 1])).tolist() == [0] * 6
+    rng = np.random.default_rng(n)
+    for share in (1.0, 0.9, 0.5):
+        for _ in range(30):
+            order = rng.permutation(n)
+            links = [(a, b) for a, b in zip(order[:-1].tolist(), order[1:].tolist(), strict=True) if rng.random() < share]
+            rng.shuffle(links)
+            label = list(range(n))
+            for a, b in links:
+                label = [min(label[a], label[b]) if x in (label[a], label[b]) else x for x in label]
+            left, right = np.array(links, dtype=np.int64).reshape(-1, 2).T
+            assert joint_labels(n, left, right).tolist() == label
+
+
 @pytest.mark.parametrize("spread", [64, 6])
 def test_tree_finds_all_within_radius(spread):
     rng = np.random.default_rng(2)

@@ -83,6 +83,21 @@ def test_links_equal_brute_force(vectors, cell, block):
     assert got_links(embed.embedding_duplicates(vectors(rows), cell_size=cell, block_size=block)) == brute_links(rows)
 
 
+def test_chains_over_many_blocks(vectors):
+    """Paths of neighbours 20 degrees apart, in random order: one component each, whatever the blocks."""
+    rng = random.Random(3)
+    rows = []
+    for path in range(6):
+        for step in range(18 if path % 2 else 9):
+            v = [0.0] * 12
+            v[2 * path], v[2 * path + 1] = math.cos(math.radians(20 * step)), math.sin(math.radians(20 * step))
+            rows.append(v)
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    for cell, block in ((10_000, 10_000), (20, 8)):
+        assert got_links(embed.embedding_duplicates(vectors(rows), cell_size=cell, block_size=block)) == brute_links(rows)
+
+
 def test_many_copies_of_one_vector(vectors):
     rows = [(i, [1.0, 0.5, 0.0]) for i in range(400)] + [(1000 + i, [1.0, 0.5, 0.001 * i]) for i in range(200)] + [(5000, [0.0, 0.0, 1.0])]
     assert got_links(embed.embedding_duplicates(vectors(rows), cell_size=50, block_size=32)) == brute_links(rows)
