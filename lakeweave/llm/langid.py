@@ -17,9 +17,10 @@ BUCKETS = 1 << 13
 SAMPLE_PER_LANGUAGE = 800
 CENTROIDS = 4
 ROUNDS = 8
-# A text is rejected when it is farther from its centroid than this share of the training texts times the slack.
+# A text is rejected when it is farther from its centroid than this share of pieces, about as rich in n-grams, of texts that the centroids were not fitted on.
 REJECT_QUANTILE = 0.999
-REJECT_SLACK = 1.4
+CLASSES = BUCKETS.bit_length()
+PIECES_AT_LEAST = 200
 LETTER = re.compile(r"[^\W\d_]")
 _BYTES_AT_ONCE = 1 << 20
 
@@ -47,9 +48,14 @@ def vectors_of(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.sqrt((rows * rows).sum(axis=1, keepdims=True)), 1e-12)
 
 
+def richness(counts: np.ndarray) -> np.ndarray:
+    """Class of each row: the power of two below its number of different n-grams. Repeating a word adds nothing."""
+    return np.log2(np.maximum(1, (counts > 0).sum(axis=1))).astype(np.int64)
+
+
 @dataclass
 class Model:
-    """Centroids (unit rows), their language, and the largest distance that each accepts. Size: languages times centroids."""
+    """Centroids (unit rows), their language, and the largest distance that each accepts in each class. Size: languages times centroids."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -78,27 +84,60 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
 
 
-def _clusters(idf: np.ndarray, centroids: int, quantile: float, slack: float):
-    """Spherical k-means over the sample of one language, and how far its texts are from their centroid."""
+def _centers(rows: np.ndarray, centroids: int) -> np.ndarray:
+    """Spherical k-means."""
+    centers = rows[:1]
+    for _ in range(1, min(centroids, len(rows))):  # next start: the text farthest from all starts
+        centers = np.concatenate((centers, rows[[(rows @ centers.T).max(axis=1).argmin()]]))
+    for _ in range(ROUNDS):
+        near = (rows @ centers.T).argmax(axis=1)
+        sums = np.array([rows[near == i].sum(axis=0) if (near == i).any() else centers[i] for i in range(len(centers))])
+        centers = sums / np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+    return centers
+
+
+def _pieces(text: str, turn: int) -> list[str]:
+    """The text, and every third of its beginnings of 8, 16, 32, ... characters with a letter."""
+    upto = [8 << j for j in range(turn % 3, len(text).bit_length(), 3) if 8 << j < len(text)]
+    return [text, *[text[:n] for n in upto if LETTER.search(text[:n])]]
+
+
+def _limits(texts: list[str], rows: np.ndarray, idf: np.ndarray, centroids: int, quantile: float) -> np.ndarray:
+    """Largest accepted distance of each class: the quantile over pieces of each half of the texts, by centroids of the other half.
+
+    A class with few pieces takes those of the shorter classes too, which are farther away. Limits never grow with the class.
+    """
+    halves = [np.arange(i, len(texts), 2) for i in (0, 1)] if len(texts) > 1 else [np.array([0])] * 2
+    distance, kind = [], []
+    for one, other in (halves, halves[::-1]):
+        centers = _centers(rows[one], centroids)
+        pieces = [p for i in other.tolist() for p in _pieces(texts[i], i // 2)]
+        for at in range(0, len(pieces), 256):
+            counts = np.array([ngram_counts(p) for p in pieces[at : at + 256]])
+            distance.append(1 - (vectors_of(counts, idf) @ centers.T).max(axis=1))
+            kind.append(richness(counts))
+    distance, kind = np.concatenate(distance), np.concatenate(kind)
+    limits = np.empty(CLASSES)
+    for k in range(CLASSES):
+        low = next((j for j in range(k, 0, -1) if ((kind >= j) & (kind <= k)).sum() >= PIECES_AT_LEAST), 0)
+        near = distance[(kind >= low) & (kind <= k)]
+        limits[k] = np.quantile(near, quantile, method="higher") if len(near) else 1.0
+    return np.maximum.accumulate(limits[::-1])[::-1]
+
+
+def _clusters(idf: np.ndarray, centroids: int, quantile: float):
+    """Centroids of the sample of one language, and how far from them texts are accepted."""
 
     def run(key: tuple, sample: pa.Table) -> pa.Table:
-        rows = vectors_of(np.array([ngram_counts(t) for t in sample.sort_by("rank").column("text").to_pylist()]), idf)
-        centers = rows[:1]
-        for _ in range(1, min(centroids, len(rows))):  # next start: the text farthest from all starts
-            centers = np.concatenate((centers, rows[[(rows @ centers.T).max(axis=1).argmin()]]))
-        for _ in range(ROUNDS):
-            near = (rows @ centers.T).argmax(axis=1)
-            sums = np.array([rows[near == i].sum(axis=0) if (near == i).any() else centers[i] for i in range(len(centers))])
-            centers = sums / np.sqrt((sums * sums).sum(axis=1, keepdims=True))
-        cosine = rows @ centers.T
-        near, best = cosine.argmax(axis=1), cosine.max(axis=1)
-        far = np.array([np.quantile(1 - best[near == i], quantile) if (near == i).any() else np.quantile(1 - best, quantile) for i in range(len(centers))])
-        far = np.maximum(far, np.quantile(1 - best, quantile))
+        texts = sample.sort_by("rank").column("text").to_pylist()
+        rows = vectors_of(np.array([ngram_counts(t) for t in texts]), idf)
+        centers = _centers(rows, centroids)
+        limits = _limits(texts, rows, idf, centroids, quantile)
         n = len(centers)
         columns = {
             "lang": pa.array([key[0].as_py()] * n, pa.string()),
             "centroid": pa.array([c.astype("<f4").tobytes() for c in centers], pa.binary()),
-            "far": pa.array(np.minimum(1.0, far * slack), pa.float64()),
+            "far": pa.array([limits.tolist()] * n, pa.list_(pa.float64())),
         }
         return pa.table(columns)
 
@@ -106,7 +145,7 @@ def _clusters(idf: np.ndarray, centroids: int, quantile: float, slack: float):
 
 
 def train(
-    docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE, centroids: int = CENTROIDS, quantile: float = REJECT_QUANTILE, slack: float = REJECT_SLACK
+    docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE, centroids: int = CENTROIDS, quantile: float = REJECT_QUANTILE
 ) -> Model | None:
     """Fit on ``(doc_id, text, lang)``: document frequencies over all training rows, centroids on ``sample`` of them per language.
 
@@ -127,10 +166,10 @@ def train(
     drawn = lessons.where(chance < share[F.col("lang")] * F.lit(float(1 << 40)))
     ranked = drawn.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(chance, "doc_id"))).where(F.col("rank") <= sample)
     by_language = ranked.select("lang", "rank", "text").groupBy("lang")
-    fitted = by_language.applyInArrow(_clusters(idf, centroids, quantile, slack), "lang string, centroid binary, far double")
+    fitted = by_language.applyInArrow(_clusters(idf, centroids, quantile), "lang string, centroid binary, far array<double>")
     fitted = fitted.toArrow().sort_by("lang")
     rows = np.array([np.frombuffer(x, dtype="<f4") for x in fitted.column("centroid").to_pylist()])
-    return Model(idf, rows, fitted.column("lang").to_pylist(), fitted.column("far").to_numpy())
+    return Model(idf, rows, fitted.column("lang").to_pylist(), np.array(fitted.column("far").to_pylist()))
 
 
 def _predict(model: Model | None):
@@ -142,10 +181,11 @@ def _predict(model: Model | None):
                 language, score, accepted = [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
                 known = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
                 if known and model is not None:
-                    cosine = vectors_of(np.array([ngram_counts(texts[i]) for i in known]), model.idf) @ model.centroids.T
-                    for i, row, c in zip(known, cosine, cosine.argmax(axis=1).tolist(), strict=True):
+                    counts = np.array([ngram_counts(texts[i]) for i in known])
+                    cosine = vectors_of(counts, model.idf) @ model.centroids.T
+                    for i, row, c, k in zip(known, cosine, cosine.argmax(axis=1).tolist(), richness(counts).tolist(), strict=True):
                         language[i], score[i] = model.languages[c], float(min(1.0, max(0.0, row[c])))
-                        accepted[i] = bool(1 - row[c] <= model.limits[c])
+                        accepted[i] = bool(1 - row[c] <= model.limits[c, k])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(language, pa.string()), pa.array(score, pa.float64()), pa.array(accepted, pa.bool_())],
                     [*part.schema.names, "lang_pred", "score", "accepted"],
@@ -157,7 +197,8 @@ def _predict(model: Model | None):
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (cosine to the nearest centroid, 0 to 1) and ``accepted``.
 
-    Only ``text`` enters the prediction, and it is read whole. ``accepted`` is false beyond the distance limit of the centroid. Null texts, texts without a
+    Only ``text`` enters the prediction, and it is read whole. ``accepted`` is false beyond the distance limit of the centroid
+    for texts about as rich in n-grams. Null texts, texts without a
     letter, and all texts if there was nothing to learn from are ``und`` with score 0, and not accepted. Rows, also repeated ones, and
     other columns stay; an empty table stays empty. Equal cosines go to the language that sorts first.
     """

@@ -74,3 +74,20 @@ def test_far_texts_are_rejected(spark, documents):
     known = docs.where("lang = 'en' and n_chars > 300").orderBy("doc_id").first().text[:150]
     out = langid.predict(documents([(1, "漢字仮名交じり文の例です" * 5, None), (2, known, None)]), langid.train(docs)).collect()
     assert {r.doc_id: r.accepted for r in out} == {1: False, 2: True}
+
+
+def test_foreign_and_random_texts_in_latin_letters_are_rejected(spark, documents):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("lang is not null")
+    model = langid.train(docs)
+    rng = np.random.default_rng(6)
+    far = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+        *["".join(rng.choice(list(letters), 600)) for letters in ("abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz     ")],
+    ]
+    out = langid.predict(documents([(i, t) for i, t in enumerate(far)]), model).collect()
+    assert [r.accepted for r in out] == [False] * 4
+    held = [r.text for r in docs.where(langid.held_out(docs.doc_id) & docs.text.rlike(r"\p{L}")).collect()]
+    for upto in (40, 200, 1000, None):
+        out = langid.predict(documents([(i, t[:upto]) for i, t in enumerate(held) if langid.LETTER.search(t[:upto])]), model).collect()
+        assert np.mean([r.accepted for r in out]) > 0.98
