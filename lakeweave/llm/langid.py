@@ -152,7 +152,6 @@ def train(
     The sample holds the rows of smallest hash of each language, so it is the same whatever the partitions. Texts without a letter teach
     nothing. None if there is nothing to learn from. The driver holds one number per language.
     """
-    sizes = {r.lang: r.n for r in docs.where(labelled(docs) & F.col("text").isNotNull()).groupBy("lang").agg(F.count("*").alias("n")).collect()}
     lessons = docs.select("doc_id", "text", "lang").where(labelled(docs) & F.col("text").rlike(r"\p{L}"))
     total = lessons.select("text").mapInArrow(_document_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     if not len(total):
@@ -161,8 +160,11 @@ def train(
     counts[total.column("bucket").to_numpy()] = total.column("n").to_numpy()
     idf = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1.0
     # Hashes below a threshold that about twice the sample passes; so few texts travel, however many tasks there are.
+    # The smallest hash passes always: rows of the same id and text have one hash, so chance alone could draw none of them.
     chance = F.pmod(F.xxhash64(F.lit("lesson"), F.col("doc_id"), F.col("text")), F.lit(1 << 40))
-    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, (2.0 * sample + 100) / n))])
+    sizes = lessons.groupBy("lang").agg(F.count("*").alias("n"), F.min(chance).alias("low")).orderBy("lang").collect()
+    shares = [(r.lang, min(1.0, max((2.0 * sample + 100) / r.n, (r.low + 1) / (1 << 40)))) for r in sizes]
+    share = F.create_map(*[F.lit(x) for row in shares for x in row])
     drawn = lessons.where(chance < share[F.col("lang")] * F.lit(float(1 << 40)))
     ranked = drawn.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(chance, "doc_id"))).where(F.col("rank") <= sample)
     by_language = ranked.select("lang", "rank", "text").groupBy("lang")

@@ -91,3 +91,12 @@ def test_foreign_and_random_texts_in_latin_letters_are_rejected(spark, documents
     for upto in (40, 200, 1000, None):
         out = langid.predict(documents([(i, t[:upto]) for i, t in enumerate(held) if langid.LETTER.search(t[:upto])]), model).collect()
         assert np.mean([r.accepted for r in out]) > 0.98
+
+
+def test_rows_without_a_letter_do_not_thin_the_sample(documents):
+    """The few texts of a language are drawn, however many blank rows bear its label, and rows of one hash too."""
+    rows = small(documents) + [(1000 + i, "  42 !!" if i % 2 else "", "es", "s", 1) for i in range(4000)]
+    rows += [(9000 + i, "la casa y el jardín del hombre viejo", "es", "s", 1) for i in range(4)]
+    rows += [(9996, "a casa e o jardim do homem velho", "pt", "s", 1)] * 3000
+    model = langid.train(documents(rows), sample=5)
+    assert set(model.languages) == {"en", "de", "fr", "es", "pt"}
