@@ -55,7 +55,7 @@ def _visits(pivots: np.ndarray, radius: np.ndarray, reach: float):
             home = batch.column(3).to_numpy()
             distance = _chords(unit(matrix(batch.column(2), dim)) @ pivots.T)
             own = distance[np.arange(len(home)), home][:, None]
-            plane = (distance**2 - own**2) <= 2.0 * between[home] * (reach + SLACK)
+            plane = (distance**2 - own**2) <= 2.0 * between[home] * (reach + SLACK) + SLACK  # parallel pivots are 0 apart, up to rounding
             near = (distance <= radius[None, :] + reach + SLACK) & (distance <= own + 2 * reach + SLACK) & plane
             near &= np.arange(len(pivots))[None, :] < home[:, None]
             row, cell = np.nonzero(near)

@@ -98,6 +98,18 @@ def test_chains_over_many_blocks(vectors):
         assert got_links(embed.embedding_duplicates(vectors(rows), cell_size=cell, block_size=block)) == brute_links(rows)
 
 
+@pytest.mark.parametrize("cell", [1, 3])
+def test_pivots_of_one_direction(vectors, cell):
+    """Copies scaled so that they round differently are classes and pivots of their own, and still find each other."""
+    rng = random.Random(8)
+    rows = []
+    for _ in range(4):
+        v = [rng.gauss(0, 1) for _ in range(12)]
+        rows += [[s * x for x in v] for s in (1.0, 3.0, 0.1, 1 / 7, 1.7, 0.3, 11.0, 1 / 3, 7.1, 0.01)]
+    rows = list(enumerate(rows))
+    assert got_links(embed.embedding_duplicates(vectors(rows, "double"), cell_size=cell)) == brute_links(rows)
+
+
 def test_many_copies_of_one_vector(vectors):
     rows = [(i, [1.0, 0.5, 0.0]) for i in range(400)] + [(1000 + i, [1.0, 0.5, 0.001 * i]) for i in range(200)] + [(5000, [0.0, 0.0, 1.0])]
     assert got_links(embed.embedding_duplicates(vectors(rows), cell_size=50, block_size=32)) == brute_links(rows)
