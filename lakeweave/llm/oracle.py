@@ -123,12 +123,50 @@ WITH parts AS (
 SELECT s.page_id, s.host, s.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM split s LEFT JOIN fits f ON s.n = f.n
 """
 
+OP11 = r"""
+WITH turns AS (
+  SELECT conv_id AS c, turn, length(coalesce(text, ''))::BIGINT AS chars,
+         left(sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')), 32) AS key
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, list(key ORDER BY turn NULLS FIRST, key) AS keys, list(chars ORDER BY turn NULLS FIRST, key) AS chars FROM turns GROUP BY c
+), steps AS (
+  SELECT c, flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])) AS bits FROM convs
+), skips AS (
+  SELECT c, xor(list_reduce(list_prepend(4294967295::BIGINT, bits),
+                lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) ELSE xor(s >> 1, 3988292384::BIGINT * (s & 1)) END), 4294967295::BIGINT) % 6 AS h
+  FROM steps
+), rebuilt AS (
+  SELECT a.c, coalesce(b.keys[1:h], []) || a.keys[h + 1:] AS keys, coalesce(b.chars[1:h], []) || a.chars[h + 1:] AS chars
+  FROM convs a JOIN skips s ON a.c = s.c LEFT JOIN convs b ON b.c = a.c - a.c % 100
+), places AS (
+  SELECT c, keys, chars, unnest(range(0, len(keys) + 1)) AS depth FROM rebuilt
+), prefixes AS (
+  SELECT c, depth, depth = len(keys) AS is_end, keys[1:depth] AS line, chars[depth] AS chars, array_to_string(keys[1:depth], ',') AS node,
+         CASE WHEN depth > 0 THEN array_to_string(keys[1:depth - 1], ',') END AS parent
+  FROM places
+), nodes AS (
+  SELECT node, parent, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(line) AS line, coalesce(any_value(chars), 0) AS chars,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (is_end), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, parent, depth
+), children AS (
+  SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), handed AS (
+  SELECT n.line, n.chars, n.n_convs, c.n IS NULL AS is_leaf, unnest(range(0, n.depth + 1)) AS up FROM nodes n LEFT JOIN children c ON n.node = c.node
+), totals AS (
+  SELECT array_to_string(line[1:up], ',') AS node, count(*) FILTER (is_leaf) AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens FROM handed GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0)::BIGINT AS n_children, t.n_leaves, t.saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON n.node = t.node LEFT JOIN nodes p ON n.parent = p.node LEFT JOIN children c ON n.node = c.node
+"""
+
 ORACLE = {
     "op2_line_dedup": OP2,
     "op3_embedding_dedup": OP3,
     "op5_source_mix": OP5,
     "op7_substring_dedup": OP7,
     "op10_url_filter": OP10,
+    "op11_conversation_trie": OP11,
 }
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakeweave.llm import ann, embed, langid, lines, mix, packing, recompress, simhash, tokens, urls
+from lakeweave.llm import ann, embed, langid, licenses, lines, mix, packing, recompress, simhash, tokens, trie, urls, whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,5 +101,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    return licenses.license_labels(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 16 leading components, whitened."""
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
