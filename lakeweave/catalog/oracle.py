@@ -302,6 +302,8 @@ ORACLE: dict[str, str] = {
     "dataset_preview": "SELECT least(count(*), 100) AS shown, least(count(*), 100) AS known FROM part",
     "lake_promote": relation("steam_loads", "* EXCLUDE (k)"),
     "lake_pipeline": relation("steam_loads", "* EXCLUDE (k)", "WHERE k = 2"),
+    "silver_directory": """
+        SELECT o_orderkey, o_orderpriority, o_orderstatus, CASE WHEN o_totalprice > 400000 THEN o_totalprice / 2 ELSE o_totalprice END AS o_totalprice FROM orders""",
     "dataset_catalog": """
         SELECT 'raw' AS layer, 'steam' AS source, concat('load', k) AS name, (SELECT count(*) FROM part) AS row_count,
                CAST(NULL AS BIGINT) AS remote_size FROM (VALUES (0), (1), (2)) loads(k)

@@ -143,7 +143,23 @@ def lake_pipeline(spark, sf):
     lake.write("raw", "steam", loads[0][0].unionByName(keyless), *loads[0][1:])
     lake_ops.lake_pipeline(lake, key, at - timedelta(days=2))
     lake_ops.lake_pipeline(lake, key, at + timedelta(hours=2))
-    return lake_ops.Silver(lake, "steam").snapshot()
+    return lake_ops.Silver(lake, "steam").snapshot("app_id")
+
+
+@query
+def silver_directory(spark, sf):
+    """Orders loaded priority by priority into buckets of 2 000 rows, which split on the way, then corrections of the large ones."""
+    lake, key = _lake(spark), {"orders": "o_orderkey"}
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
+    at = datetime(2024, 1, 1, tzinfo=UTC)
+    for k, priority in enumerate(["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]):
+        load = orders.where(F.col("o_orderpriority") == priority).withColumn("loaded_at", F.lit(at).cast("timestamp"))
+        lake.write("raw", "orders", load, at + timedelta(hours=k), f"load{k}")
+        lake_ops.lake_pipeline(lake, key, at + timedelta(hours=k), bucket_rows=2000)
+    large = orders.where("o_totalprice > 400000").withColumn("o_totalprice", F.col("o_totalprice") / 2).withColumn("loaded_at", F.lit(at + timedelta(days=1)).cast("timestamp"))
+    lake.write("raw", "orders", large, at + timedelta(hours=5), "load5")
+    lake_ops.lake_pipeline(lake, key, at + timedelta(hours=5), bucket_rows=2000)
+    return lake_ops.Silver(lake, "orders").snapshot("o_orderkey").drop("loaded_at")
 
 
 @query

@@ -34,7 +34,7 @@ class RunResult:
 
 def load_silver(lake: Lake, warehouse: Warehouse, source: str, as_of: datetime) -> int:
     """Replace a source's raw table by the current silver snapshot; returns the rows loaded, 0 without data."""
-    silver = Silver(lake, source).snapshot()
+    silver = Silver(lake, source).snapshot(SOURCES[source].key)
     if silver is None:
         return 0
     return warehouse.load(SOURCES[source].raw_table, silver, as_of, "overwrite").rows_loaded

@@ -69,6 +69,39 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a pattern with ``*``, from a listing."""
+    system, glob = _hadoop(spark, pattern)
+    return sorted(s.getPath().toString() for s in system.globStatus(glob) or [])
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that appears whole or not at all; an error if there is one of that name already."""
+    jvm = spark.sparkContext._jvm
+    system, target = _hadoop(spark, path)
+    part = _hadoop(spark, f"{path}__new-{uuid.uuid4().hex[:12]}")[1]
+    out = system.create(part, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        # Without an option, this rename refuses to replace a file.
+        context.rename(part, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Exception as exc:
+        system.delete(part, False)
+        raise FileExistsError(path) if system.exists(target) else exc from None
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    system, source = _hadoop(spark, path)
+    stream = system.open(source)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that the library wrote and no longer needs."""
     system, folder = _hadoop(spark, path)

@@ -123,11 +123,11 @@ def test_promotion_is_idempotent(spark, lake, frame):
     lake_pipeline(lake, {"s": "id"}, later)
     lake_pipeline(lake, {"s": "id"}, later)
     assert lake.read("bronze", "s").count() == 4
-    assert sorted((r.id, r.v) for r in Silver(lake, "s").snapshot().collect()) == [("a", 2), ("b", 1), ("c", 1)]
+    assert sorted((r.id, r.v) for r in Silver(lake, "s").snapshot("id").collect()) == [("a", 2), ("b", 1), ("c", 1)]
 
 
 def _current(lake, source):
-    return sorted((r.id, r.v) for r in Silver(lake, source).snapshot().collect())
+    return sorted((r.id, r.v) for r in Silver(lake, source).snapshot("id").collect())
 
 
 def test_promotion_survives_a_failed_silver_write(lake, frame, monkeypatch):
@@ -161,7 +161,7 @@ def test_promotion_rewrites_touched_buckets_and_rejects_rows_without_a_key(spark
     assert lake.read("silver", "s_rejects").count() == 3
     lake.write("raw", "s", frame([("k7", 2, datetime(2024, 1, 2)), ("k8", 0, datetime(2023, 1, 1))], schema), NOW, "l2")
     assert lake_pipeline(lake, {"s": "id"}, NOW).first().current == 1
-    assert Silver(lake, "s").snapshot().count() == 300
+    assert Silver(lake, "s").snapshot("id").count() == 300
     assert lake.read("silver", "s").count() < 300 + 60  # the second version holds two buckets
 
 
