@@ -102,6 +102,26 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def file_size(spark: SparkSession, path: str) -> int | None:
+    """Bytes of a file; None for a folder or no file."""
+    system, source = _hadoop(spark, path)
+    if not system.exists(source):
+        return None
+    status = system.getFileStatus(source)
+    return status.getLen() if status.isFile() else None
+
+
+def file_bytes(spark: SparkSession, path: str, start: int, n: int) -> bytes:
+    """Up to ``n`` bytes of a file from ``start`` on."""
+    system, source = _hadoop(spark, path)
+    stream = system.open(source)
+    try:
+        stream.seek(start)
+        return bytes(stream.readNBytes(n))
+    finally:
+        stream.close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that the library wrote and no longer needs."""
     system, folder = _hadoop(spark, path)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeweave.operators.lake import Lake
-from lakeweave.session import materialized, or_none, path_exists
+from lakeweave.session import file_size, materialized, or_none, path_exists
+from lakeweave.sources.csv_ranges import RangedCsv, splittable
 
 CORRUPT = "_corrupt_record"
 JOBS_AT_ONCE = 8
@@ -32,19 +33,32 @@ def parquet_load_dir(spark: SparkSession, path: str, pattern: str = "*.parquet")
     return or_none(spark, path, lambda: reader.option("mergeSchema", True).parquet(path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, encoding: str = "UTF-8") -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, encoding: str = "UTF-8", rejects: bool = False) -> DataFrame:
     """CSV with a header. Types are inferred unless given; undecodable bytes become U+FFFD.
 
-    Quoted values may hold line ends and doubled quotes. So a file is read by one task: its records cannot be found
-    from the middle. Records that do not fit a given schema keep their text in ``_corrupt_record`` (see ``split_corrupt``).
+    Quoted values may hold line ends and doubled quotes. A file larger than one read partition is read by many tasks (``csv_ranges``: its records are
+    stored in the shared folder first), others by one. Records that do not fit a given schema, or with ``rejects`` the
+    inferred one, keep their text in ``_corrupt_record`` (see ``split_corrupt``).
     """
-    reader = spark.read.option("header", True).option("encoding", encoding).option("mode", "PERMISSIVE")
-    reader = reader.option("multiLine", True).option("quote", '"').option("escape", '"')
-    if schema:
-        reader = reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).option("columnNameOfCorruptRecord", CORRUPT)
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
+    if _is_large(spark, path) and splittable(spark, path, encoding):
+        ranged = RangedCsv(spark, path, encoding)
+        reader, path = reader.option("lineSep", ranged.store()), ranged.folder
     else:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+        reader = reader.option("multiLine", True).option("encoding", encoding)
+    if not schema:
+        inferred = reader.option("inferSchema", True).csv(path)
+        if not rejects:
+            return inferred
+        schema = inferred.schema
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return reader.schema(full).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+
+
+def _is_large(spark: SparkSession, path: str) -> bool:
+    """Whether a file would be more than one task's share of a splittable format."""
+    limit = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return (file_size(spark, path) or 0) > limit
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -60,16 +74,24 @@ def csv_to_parquet(
 ) -> str:
     """Convert one CSV file (or folder of equal files) and return the Parquet folder.
 
-    With a schema, records that do not fit it go to ``<dest>.rejects``.
+    Records that do not fit the schema, given or inferred, go to ``<dest>.rejects``.
     """
     dest = dest or path.removesuffix(".csv") + ".parquet"
-    good, bad = split_corrupt(read_csv(spark, path, schema, encoding))
-    good.write.mode("overwrite").parquet(dest)
-    if bad is not None and not bad.isEmpty():
-        bad.write.mode("overwrite").parquet(f"{dest}.rejects")
+    _convert_csv(spark, path, dest, schema, encoding)
     return dest
 
 
+def _convert_csv(spark: SparkSession, path: str, dest: str, schema: T.StructType | None, encoding: str) -> tuple[int, int]:
+    """Rows and rejects written."""
+    good, bad = split_corrupt(read_csv(spark, path, schema, encoding, rejects=True))
+    rows, left = Observation(), Observation()
+    good.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(dest)
+    if bad.isEmpty():
+        return rows.get["n"], 0
+    bad.observe(left, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{dest}.rejects")
+    return rows.get["n"], left.get["n"]
+
+
 def list_files(spark: SparkSession, path: str, pattern: str) -> list[str]:
     """Names of the matching files below a folder (a listing, no content)."""
     if not path_exists(spark, path):
@@ -78,7 +100,7 @@ def list_files(spark: SparkSession, path: str, pattern: str) -> list[str]:
     return sorted(row.path for row in found.load(path).select("path").collect())
 
 
-STATUS_SCHEMA = "path string, output_path string, rows bigint, success boolean, error string"
+STATUS_SCHEMA = "path string, output_path string, rows bigint, rejected bigint, success boolean, error string"
 
 
 def relative_name(path: str, root: str) -> str:
@@ -93,18 +115,18 @@ def _side_by_side(work: Callable, items: list) -> list:
         return list(pool.map(work, items))
 
 
-def csv_dir_to_parquet(spark: SparkSession, path: str, dest: str) -> DataFrame:
-    """Convert every CSV below a folder under its relative name; a bad file leaves a failed status row."""
+def csv_dir_to_parquet(spark: SparkSession, path: str, dest: str, schema: T.StructType | None = None, encoding: str = "UTF-8") -> DataFrame:
+    """Convert every CSV below a folder under its relative name; a bad file leaves a failed status row.
+
+    Each file has columns and types of its own, or all have the given schema. Records that do not fit go to ``<output_path>.rejects``.
+    """
 
     def convert(source: str) -> tuple:
-        seen = Observation()
         try:
             out = f"{dest}/{relative_name(source, path).removesuffix('.csv')}.parquet"
-            counted = read_csv(spark, source).observe(seen, F.count(F.lit(1)).alias("n"))
-            counted.write.mode("overwrite").parquet(out)
-            return source, out, seen.get["n"], True, None
+            return source, out, *_convert_csv(spark, source, out, schema, encoding), True, None
         except Exception as exc:  # noqa: BLE001 - reported in the status row
-            return source, None, 0, False, str(exc)
+            return source, None, 0, 0, False, str(exc)
 
     return spark.createDataFrame(_side_by_side(convert, list_files(spark, path, "*.csv")), STATUS_SCHEMA)
 
@@ -137,21 +159,25 @@ def ingest_dataframe(lake: Lake, source: str, df: DataFrame, at: datetime, versi
     return lake.spark.createDataFrame([_ingest(lake, source, lambda: df, at, version)], INGEST_SCHEMA)
 
 
+def version_of(name: str) -> str:
+    """A version name for a file name or relative path, one for each: other characters than ``A-Za-z0-9._-`` are escaped."""
+    return re.sub(r"[^A-Za-z0-9._-]", lambda m: "".join(f"+{b:02X}" for b in m.group().encode()), name)
+
+
 def ingest_file(lake: Lake, source: str, path: str, at: datetime) -> DataFrame:
     """Copy one Parquet file into the raw layer under its own name."""
     name = path.rstrip("/").rsplit("/", 1)[-1]
-    result = _ingest(lake, source, lambda: parquet_load(lake.spark, path), at, name)
+    result = _ingest(lake, source, lambda: parquet_load(lake.spark, path), at, version_of(name))
     return lake.spark.createDataFrame([result], INGEST_SCHEMA)
 
 
 def ingest_directory(lake: Lake, source: str, path: str, at: datetime) -> DataFrame:
     """Ingest every Parquet file below a folder as a version named by its relative path; one summary row, successful if
-    any file was or none existed."""
+    any file was or none existed. Different paths have different names: what a version name may not hold is written as ``+`` and its bytes in hexadecimal."""
     files = list_files(lake.spark, path, "*.parquet")
 
     def one(file: str) -> tuple:
-        name = re.sub(r"[^A-Za-z0-9._+-]", "_", relative_name(file, path).replace("/", "__"))
-        return _ingest(lake, source, lambda: parquet_load(lake.spark, file), at, name)
+        return _ingest(lake, source, lambda: parquet_load(lake.spark, file), at, version_of(relative_name(file, path)))
 
     results = _side_by_side(one, files)
     ok = [r for r in results if r[5]]
