@@ -476,6 +476,7 @@ ORACLE: dict[str, str] = {
         "content_events", "event_id, CAST(2 AS BIGINT) AS occurrence_count", f"WHERE loaded_at <= {SPLIT}"
     ),
     "dq_results": _declared_tests(),
+    "dq_results_from_state": _declared_tests(),
     "dq_summary": f"""{with_relations('stg_reddit_posts', 'stg_imdb_titles')}, results(failures) AS (
         SELECT count(*) FROM (SELECT id FROM stg_reddit_posts GROUP BY id HAVING count(*) > 1) UNION ALL
         SELECT count(*) FROM (SELECT author FROM stg_reddit_posts GROUP BY author HAVING count(*) > 1) UNION ALL
