@@ -356,6 +356,8 @@ ORACLE: dict[str, str] = {
             "rpt_top_content_by_source", "rpt_content_freshness", "rpt_daily_ingestion_summary",
         )
     },
+    "fct_engagement_metrics_from_state": relation("fct_engagement_metrics"),
+    "rpt_daily_ingestion_summary_from_state": relation("rpt_daily_ingestion_summary"),
     "union_frames": f"""{with_relations('reddit_posts', 'imdb_titles')}
         SELECT id, title, author, CAST(NULL AS VARCHAR) AS "year" FROM reddit_posts UNION ALL
         SELECT id, title, NULL, "year" FROM imdb_titles""",
