@@ -375,6 +375,7 @@ ORACLE: dict[str, str] = {
     + ", ".join(f"round(percentile_cont({p}) WITHIN GROUP (ORDER BY score), 6) AS {n}" for n, p in
                 {"p25": 0.25, "p50": 0.50, "p75": 0.75, "p90": 0.90, "p99": 0.99}.items())
     + " FROM fct_content WHERE score IS NOT NULL GROUP BY source_name",
+    "score_percentiles_sketch": f"{CONTENT} SELECT source_name, count(*) AS scored, true AS within_error FROM fct_content WHERE score IS NOT NULL GROUP BY source_name",
     "an_monthly_volume": f"""{CONTENT}
         SELECT CAST(date_trunc('month', created_at) AS TIMESTAMP) AS "month", source_name, count(*) AS items_published,
                round(avg(score), 2) AS avg_score FROM fct_content WHERE created_at IS NOT NULL GROUP BY 1, 2""",

@@ -486,6 +486,16 @@ def an_score_percentiles(spark, sf):
     return analyses.score_percentiles(_content(spark, sf)).orderBy("source_name")
 
 
+@query
+def score_percentiles_sketch(spark, sf):
+    """Percentiles from stored daily sketches: whether all ranks are within the stated error of the exact ones."""
+    content = as_table(_content(spark, sf), "fct_content")
+    sketches = as_table(analyses.daily_score_sketches(content), "score-sketches")
+    errors = analyses.percentile_rank_errors(content, analyses.percentiles_from_sketches(sketches))
+    worst = F.greatest(*[F.col(name) for name in analyses.PERCENTILES])
+    return errors.select("source_name", "scored", (worst <= analyses.SKETCH_RANK_ERROR).alias("within_error"))
+
+
 @query
 def an_monthly_volume(spark, sf):
     return analyses.monthly_volume(_content(spark, sf)).orderBy(F.desc("month"), "source_name")

@@ -85,36 +85,46 @@ def request_bodies(plan: DataFrame, template: dict, mode: str) -> DataFrame:
 
 
 def host_rules(rules: DataFrame, agent: str = "*") -> DataFrame:
-    """One row per host with its ordered rules for ``agent``.
+    """The rules that hold for ``agent``, one row per host and prefix: ``(host, path_prefix, rule_no, allow)``.
 
-    ``rules`` has (host, agent, rule_no, path_prefix, allow). The rules named for the agent win over
-    those for ``*``. One host's rules come from one robots file, so a row stays small.
+    ``rules`` has (host, agent, rule_no, path_prefix, allow). The rules of a host that name the agent win over those for
+    ``*``. Of equal prefixes the first rule counts. The prefix ``*`` fits every path, like the empty one.
     """
     token = agent.split("/")[0].lower()
     named = (F.col("agent") != "*") & F.contains(F.lit(token), F.lower("agent"))
-    relevant = rules.where((F.col("agent") == "*") | named)
-    rule = F.struct("rule_no", "path_prefix", "allow")
-    grouped = relevant.groupBy("host").agg(
-        F.array_sort(F.collect_list(F.when(named, rule))).alias("own"),
-        F.array_sort(F.collect_list(F.when(~named, rule))).alias("common"),
-    )
-    return grouped.select("host", F.when(F.size("own") > 0, F.col("own")).otherwise(F.col("common")).alias("rules"))
+    relevant = rules.where(((F.col("agent") == "*") | named) & F.col("host").isNotNull() & F.col("path_prefix").isNotNull())
+    relevant = relevant.select("host", "rule_no", "allow", F.when(F.col("path_prefix") == "*", "").otherwise(F.col("path_prefix")).alias("path_prefix"), named.alias("named"))
+    own = relevant.groupBy("host").agg(F.max("named").alias("own"))
+    held = relevant.join(own, "host").where("named = own")
+    return held.groupBy("host", "path_prefix").agg(F.min("rule_no").alias("rule_no"), F.min_by("allow", "rule_no").alias("allow"))
+
+
+def _key(*parts: Column) -> list[Column]:
+    """128 bits for a join: two hashes of the same texts that have nothing to do with each other."""
+    return [F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)]
 
 
 def robots_filter(urls: DataFrame, rules: DataFrame, agent: str = "*", enabled: bool = True, url: str = "url") -> DataFrame:
     """Add ``allowed``: the first rule whose prefix fits decides; no rule, or no file, allows.
 
-    Rules are folded to one row per host before the join, so the join keeps the number of urls and
-    a host with very many urls can be split by the adaptive skew join. Nothing is broadcast by hint.
+    Prefixes are join keys: a path is cut to the lengths that rules of its host have, and every cut meets the rules by hash. So a host with very many
+    rules costs a url no more than its distinct lengths, no row holds a list of rules, and paths do not travel: urls are hashes in
+    the joins, which the adaptive skew join splits where one host has most of them. Nothing is broadcast by hint.
     """
     if not enabled:
         return urls.withColumn("allowed", F.lit(True))
     parts = F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)", 1)
     path = F.when(parts.startswith("/"), parts).otherwise(F.concat(F.lit("/"), parts))
     host = F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)
-    joined = urls.withColumn("__host", host).join(
-        host_rules(rules, agent).withColumnRenamed("host", "__host"), "__host", "left"
-    )
-    fitting = F.filter("rules", lambda r: (r["path_prefix"] == "*") | F.startswith(path, r["path_prefix"]))
-    first = F.try_element_at(fitting, F.lit(1))["allow"]
-    return joined.withColumn("allowed", F.coalesce(first, F.lit(True))).drop("__host", "rules")
+    rules = host_rules(rules, agent)
+    lengths = rules.groupBy("host").agg(F.collect_set(F.length("path_prefix")).alias("lengths"))
+    u1, u2 = _key(host, path)
+    # One row per different url; only hosts with rules are cut.
+    wanted = urls.select(u1.alias("u1"), u2.alias("u2"), host.alias("host"), path.alias("path")).where(F.col("path").isNotNull()).dropDuplicates(["u1", "u2"])
+    cuts = wanted.join(lengths, "host").select("u1", "u2", "host", "path", F.explode(F.filter("lengths", lambda n: n <= F.length("path"))).alias("n"))
+    k1, k2 = _key(F.col("host"), F.left("path", F.col("n")))
+    r1, r2 = _key(F.col("host"), F.col("path_prefix"))
+    hits = cuts.select("u1", "u2", k1.alias("k1"), k2.alias("k2")).join(rules.select(r1.alias("k1"), r2.alias("k2"), "rule_no", "allow"), ["k1", "k2"])
+    first = hits.groupBy("u1", "u2").agg(F.min_by("allow", "rule_no").alias("__allow")).withColumnsRenamed({"u1": "__u1", "u2": "__u2"})
+    joined = urls.withColumns({"__u1": u1, "__u2": u2}).join(first, ["__u1", "__u2"], "left")
+    return joined.withColumn("allowed", F.coalesce("__allow", F.lit(True))).drop("__u1", "__u2", "__allow")

@@ -81,13 +81,46 @@ def score_percentiles(content: DataFrame) -> DataFrame:
 
 
 def score_percentiles_approx(content: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """Bounded-memory sketch of the same percentiles, for scores with very many distinct values."""
+    """Bounded-memory estimate of the same percentiles in one scan, for scores with very many distinct values."""
     scored = content.where(F.col("score").isNotNull())
     return scored.groupBy("source_name").agg(
         *[F.percentile_approx("score", p, accuracy).alias(name) for name, p in PERCENTILES.items()]
     )
 
 
+SKETCH_K = 400  # accuracy of a sketch; a larger one is more exact
+SKETCH_RANK_ERROR = 0.01  # the true rank of an estimated percentile is at most so far off, merged sketches included
+
+
+def daily_score_sketches(content: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """One KLL sketch of the scores per source and day of loading: a few kilobytes each, however many scores. To be stored: a new day adds its sketches."""
+    scored = content.where(F.col("score").isNotNull() & ~F.isnan(F.col("score").cast("double")))
+    return scored.groupBy("source_name", F.to_date("loaded_at").alias("loaded_on")).agg(F.kll_sketch_agg_double(F.col("score").cast("double"), k).alias("sketch"))
+
+
+def percentiles_from_sketches(sketches: DataFrame) -> DataFrame:
+    """Percentiles per source from stored sketches of any days, merged; no content is read. See ``SKETCH_RANK_ERROR``."""
+    merged = sketches.groupBy("source_name").agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    return merged.select(
+        "source_name", F.kll_sketch_get_n_double("sketch").alias("scored"),
+        *[F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(name) for name, p in PERCENTILES.items()],
+    )
+
+
+def percentile_rank_errors(content: DataFrame, estimated: DataFrame) -> DataFrame:
+    """How far each estimated percentile is from its rank: the distance to the range of ranks that its value has among all scores."""
+    histogram = score_histogram(content).where(F.col("score").isNotNull() & ~F.isnan(F.col("score").cast("double")))
+    joined = histogram.join(estimated, "source_name")
+    n = F.sum("n")
+
+    def error(name: str, p: float) -> Column:
+        below = F.coalesce(F.sum(F.when(F.col("score") < F.col(name), F.col("n"))), F.lit(0)) / n
+        upto = F.coalesce(F.sum(F.when(F.col("score") <= F.col(name), F.col("n"))), F.lit(0)) / n
+        return F.greatest(below - F.lit(p), F.lit(p) - upto, F.lit(0.0)).alias(name)
+
+    return joined.groupBy("source_name").agg(n.alias("scored"), *[error(name, p) for name, p in PERCENTILES.items()])
+
+
 def content_distribution(content: DataFrame) -> DataFrame:
     """Count, share, mean, median and range of the score per source, all from the score histogram."""
     histogram = score_histogram(content)
