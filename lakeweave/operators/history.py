@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lakeweave.functions.keys import surrogate_key
 from lakeweave.operators.lake import latest_per_key
-from lakeweave.session import child_names, materialized, or_none, path_exists, remove_folder, replace_folder
+from lakeweave.session import child_names, materialized, or_none, path_exists, read_text, remove_folder, replace_folder, write_once
 
 EVENT_COLUMNS = ["content_id", "source_name", "natural_key", "title", "score", "created_at", "loaded_at"]
 
@@ -64,6 +64,9 @@ class EventLog:
 
     Its columns are those of the last write, kept beside the data, so no file footer is opened to learn them: a column
     that a later run adds is NULL in older rows, one that it drops is gone from the log.
+
+    Corrected days are staged as a whole, then announced by one small file, then moved in day by day. Once announced they count: until all are in place, readers take
+    them from the staging folder, and the next writer finishes the work of one that stopped.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -75,8 +78,30 @@ class EventLog:
         return None if stored is None else T.StructType.fromJson(json.loads(stored.first()[0]))
 
     def read(self) -> DataFrame | None:
-        columns = self.columns()
-        return None if columns is None else self.spark.read.schema(columns).parquet(self.path)
+        columns, announced = self.columns(), self._announced()
+        if columns is None:
+            return None
+        log = self.spark.read.schema(columns).parquet(self.path)
+        if announced is None:
+            return log
+        staged = sync_columns(self._staged(announced), columns_of(columns))
+        return log.where(~_on_days(announced["days"])).unionByName(staged)
+
+    def _announced(self) -> dict | None:
+        """Corrected days that are complete but perhaps not all in place."""
+        path = f"{self.path}__announced.json"
+        return json.loads(read_text(self.spark, path)) if path_exists(self.spark, path) else None
+
+    def _staged(self, announced: dict) -> DataFrame:
+        return self.spark.read.schema(T.StructType.fromJson(announced["columns"])).parquet(announced["folder"])
+
+    def finish(self) -> None:
+        """Move announced days in; doing it twice changes nothing. Every writer does so first."""
+        announced = self._announced()
+        if announced is not None:
+            self._write(self._staged(announced), "overwrite", "dynamic")
+            remove_folder(self.spark, f"{self.path}__announced.json")
+            remove_folder(self.spark, announced["folder"])
 
     def _write(self, events: DataFrame, mode: str, partitions: str = "static", path: str | None = None) -> None:
         """Write by day. Rebalancing gathers a day's rows into few files and splits a crowded day over tasks."""
@@ -107,6 +132,7 @@ class EventLog:
         An event id covers the load time, so an id above the mark cannot be stored yet: appending is
         the upsert, and a repeated run appends nothing. ``columns`` is the model's column list of this run.
         """
+        self.finish()
         newest = None if full_refresh else self.newest_day()
         events = content_events_increment(unified, newest, columns)
         if newest is None:
@@ -120,6 +146,7 @@ class EventLog:
 
         An id covers the load time, so only the days of the given events are searched. Repeating a batch adds nothing.
         """
+        self.finish()
         events = materialized(events.dropDuplicates(["event_id"]))
         stored = self.read()
         if stored is None:
@@ -132,22 +159,34 @@ class EventLog:
     def upsert(self, events: DataFrame) -> DataFrame:
         """Replace stored events by corrected ones of the same id and add the rest.
 
-        Only the days of the given events are rewritten; they are staged first because a folder
-        cannot be read and replaced at once.
+        Only the days of the given events are rewritten, all of them or, if the writer stops before they are announced, none.
         """
+        self.finish()
         stored = self.read()
         if stored is None:
             self._replace(events)
             return self.read()
-        days = events.select("event_date").distinct()
-        touched = sync_columns(stored.join(days, "event_date", "left_semi"), events.dtypes)
+        days = [r[0] for r in events.select("event_date").distinct().collect()]  # calendar days of one batch
+        touched = sync_columns(stored.where(_on_days(days)), events.dtypes)
         staging = f"{self.path}__staging-{uuid.uuid4().hex[:12]}"
         upsert_by_key(touched, events, "event_id").write.parquet(staging)
-        self._write(self.spark.read.schema(events.schema).parquet(staging), "overwrite", "dynamic")
-        remove_folder(self.spark, staging)
+        known = {"folder": staging, "days": [None if d is None else str(d) for d in days], "columns": events.schema.jsonValue()}
+        write_once(self.spark, f"{self.path}__announced.json", json.dumps(known))
+        self.finish()
         return self.read()
 
 
+def columns_of(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
+def _on_days(days: list) -> Column:
+    """Rows of some calendar days; None stands for rows without one."""
+    known = [F.lit(str(d)).cast("date") for d in days if d is not None]
+    some = F.coalesce(F.col("event_date").isin(known), F.lit(False)) if known else F.lit(False)
+    return some | F.col("event_date").isNull() if None in days else some
+
+
 # --- type-2 history ----------------------------------------------------------------------------
 
 STEAM_TRACKED = ["app_id", "name", "price", "rating", "developer", "genres", "loaded_at"]
@@ -266,7 +305,8 @@ def scd2_as_of(snapshot: DataFrame, at: Column) -> DataFrame:
 
 
 HISTORY_BUCKETS = 64
-HISTORY_COMMIT = "load string, folder string, buckets array<int>"
+HISTORY_COMMIT = "load string, folder string, buckets array<int>, merged string, columns string"
+CLOSED_FOLDERS = 16  # so many folders of closed versions are merged to one
 
 
 class HistoryTable:
@@ -275,7 +315,9 @@ class HistoryTable:
     ``closed/<folder>`` holds the versions that a load closed, ``open/<folder>/bucket=<n>`` the open versions of the key buckets that it
     touched; the newest load of a bucket holds its current ones. ``commits`` has one row per load, written last: what is not named there does
     not count, so a load that dies half-way changes nothing. Every version knows the load that opened it, so any earlier
-    state can be read without keeping earlier open sets: those are removed once two newer loads no longer need them.
+    state can be read without keeping earlier open sets: those are removed once two newer loads no longer need them. A new load opens
+    no closed file. From time to time one merges the closed folders of the loads before it (``merged`` in its commit). The columns are kept in the commits, so
+    no footer is opened to learn them.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, updated_at: str = "loaded_at"):
@@ -294,15 +336,34 @@ class HistoryTable:
     def _open_folders(commits: list) -> dict[int, str]:
         return {bucket: r.folder for r in commits for bucket in r.buckets}
 
-    def _parts(self, paths: list[str]) -> DataFrame | None:
-        paths = [p for p in paths if path_exists(self.spark, p)]
-        return self.spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(*paths) if paths else None
+    def _parts(self, paths: list[str], commits: list) -> DataFrame | None:
+        columns = [r.columns for r in commits if r.columns]
+        if not paths:
+            return None
+        return self.spark.read.option("recursiveFileLookup", True).schema(T.StructType.fromJson(json.loads(columns[-1]))).parquet(*paths)
+
+    def _closed_folders(self, commits: list) -> list[str]:
+        """The newest merged folder and those of the loads since then."""
+        start = max((i for i, r in enumerate(commits) if r.merged), default=0)
+        merged = [commits[start].merged] if commits and commits[start].merged else []
+        return merged + [r.folder for r in commits[start:]]
+
+    def _open(self, commits: list, buckets: list[int] | None = None) -> DataFrame | None:
+        """Open versions (of some buckets). Which buckets a folder has comes from its listing."""
+        held, there = self._open_folders(commits), {}
+        paths = []
+        for bucket, folder in sorted(held.items()):
+            if buckets is None or bucket in buckets:
+                if folder not in there:
+                    there[folder] = set(child_names(self.spark, f"{self.path}/open/{folder}"))
+                if f"bucket={bucket}" in there[folder]:
+                    paths.append(f"{self.path}/open/{folder}/bucket={bucket}")
+        return self._parts(paths, commits)
 
     def _versions(self, commits: list, before: str | None, buckets: list[int] | None = None) -> DataFrame | None:
         """All versions with the load that opened them, as they were before a load."""
-        closed = self._parts([f"{self.path}/closed/{r.folder}" for r in commits])
-        held = self._open_folders(commits)
-        current = self._parts([f"{self.path}/open/{held[b]}/bucket={b}" for b in sorted(held) if buckets is None or b in buckets])
+        closed = self._parts([f"{self.path}/closed/{f}" for f in self._closed_folders(commits)], commits)
+        current = self._open(commits, buckets)
         if closed is None or current is None:
             return closed if current is None else current
         if buckets is not None:
@@ -342,7 +403,8 @@ class HistoryTable:
         repeated = commits and load == commits[-1].load
         touched = {r[0] for r in batch.select(self._bucket()).distinct().collect()}
         touched |= set(commits[-1].buckets) if repeated else set()
-        before = self._versions(commits, load if repeated else None, sorted(touched)) if commits else None
+        # Only a repeated load reopens what it had closed; a new one needs the open versions alone.
+        before = self._versions(commits, load, sorted(touched)) if repeated else self._open(commits, sorted(touched)) if commits else None
         mark = {"__opened_by": F.lit(load), "__closed_by": F.lit(None).cast("string")}
         if before is None:
             after = scd2_from_history(latest_per_key(batch, self.key, self.updated_at), self.key, self.updated_at).withColumns(mark)
@@ -357,11 +419,24 @@ class HistoryTable:
         after.where(~F.col("dbt_is_current")).write.parquet(f"{self.path}/closed/{folder}")
         rows = after.where(F.col("dbt_is_current")).withColumn("bucket", self._bucket()).hint("rebalance", F.col("bucket"))
         rows.write.partitionBy("bucket").parquet(f"{self.path}/open/{folder}")
-        commit = self.spark.createDataFrame([(load, folder, sorted(touched))], HISTORY_COMMIT)
+        earlier = [r for r in commits if r.load < load]
+        columns = rows.drop("bucket").schema
+        known = T.StructType.fromJson(json.loads(earlier[-1].columns)) if earlier else columns
+        columns = T.StructType([*columns, *[f for f in known if f.name not in columns.names]])
+        commit = self.spark.createDataFrame([(load, folder, sorted(touched), self._merge_closed(earlier), columns.json())], HISTORY_COMMIT)
         commit.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/at-{load}")
         self._tidy()
         return self.read()
 
+    def _merge_closed(self, commits: list) -> str | None:
+        """Closed versions of all loads so far in one folder, if they lie in many. The folders stay, for readers that have begun."""
+        folders = self._closed_folders(commits)
+        if len(folders) <= CLOSED_FOLDERS:
+            return None
+        name = f"upto-{commits[-1].load}-{uuid.uuid4().hex[:8]}"
+        self._parts([f"{self.path}/closed/{f}" for f in folders], commits).coalesce(max(1, len(folders) // 4)).write.parquet(f"{self.path}/closed/{name}")
+        return name
+
     def _tidy(self) -> None:
         """Remove open buckets that neither the state after the newest load nor the one before it needs."""
         commits = self._commits()

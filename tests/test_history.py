@@ -230,3 +230,61 @@ def test_history_refuses_loads_out_of_order_and_grows_by_changes(spark, frame):
     bucket = [r for r in table._versions(table._commits(), None, None).collect() if r.dbt_is_current]
     stored = spark.read.option("recursiveFileLookup", True).parquet(f"{path}/open").count()
     assert len(bucket) == 200 and stored < 200 + 2 * 20
+
+
+def test_new_loads_open_no_closed_file_and_closed_folders_are_merged(spark, frame, monkeypatch):
+    monkeypatch.setattr(history, "CLOSED_FOLDERS", 3)
+    schema = "id string, v int, loaded_at timestamp"
+    path = work_dir(spark, "test-lean")
+    table = history.HistoryTable(spark, path, "id")
+    table.apply(frame([("a", 0, START), ("b", 0, START)], schema), "l00")
+    for day in range(1, 10):
+        with monkeypatch.context() as watched:
+            read = []
+            parts = history.HistoryTable._parts
+            watched.setattr(history.HistoryTable, "_parts", lambda self, paths, commits: read.extend(paths) or parts(self, paths, commits))
+            watched.setattr(history.HistoryTable, "_merge_closed", lambda self, commits: None) if day != 6 else None
+            watched.setattr(history.HistoryTable, "read", lambda self: None)
+            table.apply(frame([("a", day, START + timedelta(days=day))], schema), f"l{day:02d}")
+        assert day == 6 or not [p for p in read if "/closed/" in p]
+    folders = table._closed_folders(table._commits())
+    assert folders[0].startswith("upto-l05") and len(folders) == 1 + 4
+    got = sorted((r.id, r.v, r.dbt_is_current) for r in table.read().collect())
+    assert got == [("a", v, v == 9) for v in range(10)] + [("b", 0, True)]
+    assert sorted((r.id, r.v) for r in table.read(before="l03").where("dbt_is_current").collect()) == [("a", 2), ("b", 0)]
+    # Repeating the newest load replaces it, what it closed is open again.
+    again = table.apply(frame([("b", 5, START + timedelta(days=9))], schema), "l09")
+    assert sorted((r.id, r.v) for r in again.where("dbt_is_current").collect()) == [("a", 8), ("b", 5)]
+
+
+def test_a_writer_that_stops_between_two_days_leaves_no_mixed_log(spark, monkeypatch):
+    schema = "event_id string, v int, event_date date"
+    rows = [(f"e{k}", 0, (START + timedelta(days=k % 3)).date()) for k in range(9)] + [("none", 0, None)]
+    log = history.EventLog(spark, work_dir(spark, "test-upsert") + "/log")
+    log.upsert(spark.createDataFrame(rows, schema))
+    fixed = spark.createDataFrame([(i, 1, d) for i, _, d in rows if i in ("e0", "e1", "none")], schema)
+
+    def values():
+        return {r.event_id: r.v for r in log.read().collect()}
+
+    with monkeypatch.context() as broken:
+        broken.setattr(history, "write_once", lambda *a: 1 / 0)  # stops before the days are announced
+        with pytest.raises(ZeroDivisionError):
+            log.upsert(fixed)
+    assert set(values().values()) == {0} and len(values()) == 10
+    with monkeypatch.context() as broken:
+
+        def half(self, events, mode, partitions="static", path=None):
+            one_day = events.where(F.col("event_date") == rows[0][2])
+            one_day.write.mode("overwrite").partitionBy("event_date").option("partitionOverwriteMode", "dynamic").parquet(self.path)
+            raise OSError("lost")
+
+        broken.setattr(history.EventLog, "_write", half)  # stops with one of three days in place
+        with pytest.raises(OSError, match="lost"):
+            log.upsert(fixed)
+    expected = {i: int(i in ("e0", "e1", "none")) for i, _, _ in rows}
+    assert values() == expected  # announced: the correction counts as a whole
+    log.finish()
+    assert values() == expected and log._announced() is None
+    stored = spark.read.schema(schema).parquet(log.path)
+    assert {r.event_id: r.v for r in stored.collect()} == expected
