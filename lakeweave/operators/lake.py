@@ -7,6 +7,7 @@ and a reader of one day touches one partition.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import re
@@ -68,23 +69,53 @@ class Lake:
             raise ValueError(f"version name {version!r} is not usable as a folder name")
         dest = self.version_path(layer, source, at.astimezone(UTC).date(), version)
         df.write.mode("overwrite").parquet(dest)
+        self.note_columns(layer, source, df.schema)
         return dest
 
+    # --- columns ---
+
+    def _columns_path(self, layer: str, source: str) -> str:
+        return f"{self.base}/_columns/{check_layer(layer)}/{source}"
+
+    def note_columns(self, layer: str, source: str, schema: T.StructType) -> None:
+        """Keep a list of columns beside the data, a small file for each different list. Writing the same one twice does no harm."""
+        text = json.dumps([f.jsonValue() for f in schema], sort_keys=True)
+        mark, names = hashlib.sha256(text.encode()).hexdigest()[:16], child_names(self.spark, self._columns_path(layer, source))
+        if not any(n.endswith(f"-{mark}.json") for n in names):
+            write_once(self.spark, f"{self._columns_path(layer, source)}/{len(names):06d}-{mark}.json", text)
+
+    def columns(self, layer: str, source: str) -> T.StructType | None:
+        """The union of the columns of all versions, in the order they came; None where none are kept, because another tool wrote the files."""
+        fields: dict[str, T.StructField] = {}
+        for name in child_names(self.spark, self._columns_path(layer, source)):
+            if re.fullmatch(r"\d+-[0-9a-f]+\.json", name):
+                for described in json.loads(read_text(self.spark, f"{self._columns_path(layer, source)}/{name}")):
+                    field = T.StructField.fromJson(described)
+                    known = fields.setdefault(field.name, field)
+                    if known.dataType != field.dataType:
+                        raise ValueError(f"column {field.name!r} of {layer}/{source} is {known.dataType.simpleString()} and {field.dataType.simpleString()} in different versions")
+        return T.StructType(list(fields.values())) if fields else None
+
     # --- reading ---
 
     def read(
         self, layer: str, source: str, day: date | None = None, schema: T.StructType | None = None,
         with_version: bool = False,
     ) -> DataFrame | None:
-        """All versions (or those of one day) with the union of their columns; None when there are none.
+        """All versions (or those of one day) with the columns of the source; None when there are none.
 
-        Pass ``schema`` to skip merging the footers of every file.
+        No footer is opened to learn the columns, unless another tool wrote the files.
         """
         root = self.path(layer, source)
         scan = f"{root}/ingest_date={day.isoformat()}" if day else root
-        return self._read_paths(root, [scan], schema, with_version)
+        return self._read_paths(layer, source, [scan], schema, with_version)
+
+    def _read_paths(self, layer: str, source: str, paths: list[str], schema=None, with_version: bool = False) -> DataFrame | None:
+        if not matching_paths(self.spark, paths[0]):
+            return None
+        return self._read_files(paths, schema or self.columns(layer, source), with_version)
 
-    def _read_paths(self, root: str, paths: list[str], schema=None, with_version: bool = False) -> DataFrame | None:
+    def _read_files(self, paths: list[str], schema: T.StructType | None, with_version: bool = False) -> DataFrame | None:
         reader = self.spark.read.option("recursiveFileLookup", True)
         reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
         df = or_none(self.spark, paths[0], lambda: reader.parquet(*paths))
@@ -99,7 +130,7 @@ class Lake:
 
     def read_legacy(self, path: str) -> DataFrame | None:
         """A tree dated as ``YYYY/MM/DD/*.parquet``, written by other tools."""
-        return self._read_paths(path, [path])
+        return self._read_files([path], None)
 
     def _files(self, root: str) -> DataFrame | None:
         """One row per Parquet file below ``root``; the listing reads no file content."""
@@ -248,7 +279,7 @@ class Lake:
         have = self.versions(source_layer, source)
         pending = have.join(self.versions(dest_layer, source), ["ingest_date", "version"], "left_anti").collect()
         paths = [self.version_path(source_layer, source, r.ingest_date, r.version) for r in pending]
-        return self._read_paths(self.path(source_layer, source), paths, None, with_version) if paths else None
+        return self._read_paths(source_layer, source, paths, None, with_version) if paths else None
 
     def copy_versions(self, source_layer: str, dest_layer: str, source: str, versions: list[tuple[date, str]]) -> DataFrame:
         """Copy whole versions to another layer in one job and return the copied rows.
@@ -256,20 +287,19 @@ class Lake:
         Only the folders of these versions are replaced, so a repeated copy changes nothing.
         """
         paths = [self.version_path(source_layer, source, day, version) for day, version in versions]
-        rows = self._read_paths(self.path(source_layer, source), paths, None, with_version=True)
+        rows = self._read_paths(source_layer, source, paths, None, with_version=True)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("ingest_date", "version").parquet(self.path(dest_layer, source))
+        self.note_columns(dest_layer, source, T.StructType([f for f in rows.schema if f.name not in ("ingest_date", "version")]))
         copies = [self.version_path(dest_layer, source, day, version) for day, version in versions]
-        return self._read_paths(self.path(dest_layer, source), copies)
+        return self._read_paths(dest_layer, source, copies)
 
     def latest_version(self, layer: str, source: str) -> DataFrame | None:
         """Rows of the newest version only: the current snapshot of a layer that stores snapshots."""
         newest = self.versions(layer, source).orderBy(F.desc("ingest_date"), F.desc("version")).limit(1).collect()
         if not newest:
             return None
-        return self._read_paths(
-            self.path(layer, source), [self.version_path(layer, source, newest[0].ingest_date, newest[0].version)]
-        )
+        return self._read_paths(layer, source, [self.version_path(layer, source, newest[0].ingest_date, newest[0].version)])
 
 
 def _newest_first(df: DataFrame, key: str, updated_at: str, leave_out: tuple[str, ...] = ()) -> WindowSpec:
@@ -365,7 +395,6 @@ class Silver:
     def __init__(self, lake: Lake, source: str, bucket_rows: int = BUCKET_ROWS):
         self.lake, self.spark, self.source, self.bucket_rows = lake, lake.spark, source, bucket_rows
         self.commits_path = f"{lake.base}/_commits/{source}"  # beside the layers, so no catalog lists it
-        self.root = lake.path("silver", source)
 
     # --- state ---
 
@@ -400,7 +429,7 @@ class Silver:
 
     def _rows(self, state: Directory, buckets: list[Bucket]) -> DataFrame:
         """All stored rows of some buckets, with the number of the commit that wrote them. The stored columns spare the footers."""
-        rows = self.lake._read_paths(self.root, self._folders(buckets), state.columns, with_version=True)
+        rows = self.lake._read_files(self._folders(buckets), state.columns, with_version=True)
         return rows.withColumn("__seq", F.regexp_extract("version", r"-(\d+)(\.split)?$", 1).cast("long")).select(*[f"`{c}`" for c in state.columns.names], "__seq")
 
     def _current(self, state: Directory, buckets: list[Bucket], key: str) -> DataFrame:
@@ -408,7 +437,7 @@ class Silver:
         merged, open_ = [[b for b in buckets if (len(b.folders) > 1) == added] for added in (False, True)]
         frames = []
         if merged:
-            frames.append(self.lake._read_paths(self.root, self._folders(merged), state.columns))
+            frames.append(self.lake._read_files(self._folders(merged), state.columns))
         if open_:
             frames.append(_last_written(self._rows(state, open_), key).drop("__seq"))
         return reduce(DataFrame.unionByName, frames)
@@ -435,6 +464,7 @@ class Silver:
     def _write(self, rows: DataFrame, day: date, version: str) -> str:
         path = self.lake.version_path("silver", self.source, day, version)
         rows.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(path)
+        self.lake.note_columns("silver", self.source, T.StructType([f for f in rows.schema if f.name != "bucket"]))
         return path
 
     def _counts(self, path: str) -> dict[str, int]:
@@ -500,7 +530,7 @@ class Silver:
         if full:
             again = (folder[0], f"{folder[1]}.split")
             children = [child for b in full for child in self._children(b)]
-            parts = self.lake._read_paths(self.root, self._folders(full), columns)
+            parts = self.lake._read_files(self._folders(full), columns)
             children = _counted(children, self._counts(self._write(self._placed(parts, key, children), *again)), again)
             made = [b for b in made if b not in full] + children
         self._commit(state, made, self._replaced(list(state.buckets.values()), made), taken, columns)
@@ -567,15 +597,17 @@ def promote_source(lake: Lake, source: str, key: str, at: datetime, placeholders
     new = sorted(lake.listed_versions("raw", source) - bronze - state.taken)
     for i in range(0, len(new), VERSIONS_PER_RUN):
         lake.copy_versions("raw", "bronze", source, new[i : i + VERSIONS_PER_RUN])
+    bronze = lake.listed_versions("bronze", source) if new else bronze
     total = Promotion()
     due = sorted((bronze | set(new)) - state.taken)
     for i in range(0, len(due), VERSIONS_PER_RUN):
         step = due[i : i + VERSIONS_PER_RUN]
-        rows = lake._read_paths(lake.path("bronze", source), [lake.version_path("bronze", source, day, version) for day, version in step])
-        if rows is None:  # versions without a row have no file in bronze
+        held = [lake.version_path("bronze", source, day, version) for day, version in step if (day, version) in bronze]
+        if not held:  # versions without a row have no file in bronze
             silver.merge(None, key, at, step, 0, state if i == 0 else None)
             total = replace(total, versions=total.versions + len(step))
             continue
+        rows = lake._read_paths("bronze", source, held)
         usable = F.col(key).isNotNull() & ~F.col(key).cast("string").isin(*placeholders)
         n, rejected = rows.agg(F.count("*"), F.count_if(~usable)).first()
         if rejected:

@@ -192,6 +192,7 @@ def save_records(df: DataFrame, lake: Lake, name: str) -> str:
     """Replace the records of one named dataset in the raw layer."""
     dest = f"{lake.path('raw', name)}/data.parquet"
     df.write.mode("overwrite").parquet(dest)
+    lake.note_columns("raw", name, df.schema)
     return dest
 
 

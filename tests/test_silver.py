@@ -149,3 +149,27 @@ def test_load_without_usable_rows_and_empty_load(lake):
     assert load(lake, [], 1, 10).current == 0
     assert load(lake, [("a", 1, datetime(2024, 1, 1))], 2, 10).current == 1
     assert Silver(lake, "s").snapshot("id").count() == 1
+
+
+def test_an_empty_version_beside_others(lake, spark):
+    for k, rows in enumerate([[("a", 1, datetime(2024, 1, 1))], [], [("b", 1, datetime(2024, 1, 1))]]):
+        lake.write("raw", "s", spark.createDataFrame(rows, SCHEMA), NOW + timedelta(hours=k), f"l{k}")
+    status = lake_pipeline(lake, {"s": "id"}, NOW).first()
+    assert (status.versions, status.rows, status.current) == (3, 2, 2)
+    assert lake_pipeline(lake, {"s": "id"}, NOW).first().status == "skipped"
+
+
+def test_reads_open_no_footer_for_columns(lake, spark):
+    lake.write("raw", "s", spark.createDataFrame([("a", 1)], "id string, v int"), NOW, "l0")
+    lake.write("raw", "s", spark.createDataFrame([("b", "x")], "id string, extra string"), NOW, "l1")
+    lake.write("raw", "s", spark.createDataFrame([("c", 1)], "id string, v int"), NOW, "l2")
+    assert lake.columns("raw", "s").names == ["id", "v", "extra"]
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("columns", "read")
+    read = lake.read("raw", "s")
+    spark.sparkContext.setJobGroup("other", "x")
+    assert not jobs.getJobIdsForGroup("columns")  # merging footers would be a job
+    assert sorted(map(tuple, read.collect()), key=repr) == [("a", 1, None), ("b", None, "x"), ("c", 1, None)]
+    lake.write("raw", "s", spark.createDataFrame([("d", "text")], "id string, v string"), NOW, "l3")
+    with pytest.raises(ValueError, match="'v'"):
+        lake.read("raw", "s")
