@@ -42,46 +42,56 @@ def _short(expression: Column) -> Column:
 
 
 def expand_rules(rules: DataFrame) -> DataFrame:
-    """Rules ``(host, path, verdict)`` with their folder expression, digest, and short key. Incomplete rules fit nothing."""
+    """Rules ``(host, path, verdict)`` with their folder expression's digest and short key, and its shape: labels of the host, folders of the path.
+    Incomplete rules fit nothing."""
     host, path = _ascii_lower(F.col("host")), F.col("path")
-    expression = F.concat(host, F.lit("\n"), _folder(path))
+    folder = _folder(path)
+    expression = F.concat(host, F.lit("\n"), folder)
     return rules.where("host is not null and path is not null and verdict is not null").select(
-        host.alias("rule_host"), path.alias("rule_path"), F.col("verdict").alias("rule_verdict"),
-        _short(expression).alias("short"), _digest(expression).alias("digest"),
+        host.alias("rule_host"), path.alias("rule_path"), F.col("verdict").alias("rule_verdict"), _short(expression).alias("short"), _digest(expression).alias("digest"),
+        F.struct(_marks(host, ".").alias("dots"), _marks(folder, "/").alias("slashes")).alias("shape"),
     )
 
 
+def _marks(text: Column, mark: str) -> Column:
+    """How often a character occurs."""
+    return (F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))).cast("int")
+
+
+def _expression(host: Column, path: Column, shape: Column) -> Column:
+    """The host's last labels and the path's first folders, as many as a shape has. With fewer of them it is the whole host or path,
+    which no rule of that shape equals or, as the path is compared in full at the end, fits."""
+    suffix = F.expr("substring_index(host, '.', -(shape.dots + 1))")
+    prefix = F.when(shape["slashes"] == 0, "").otherwise(F.concat(F.expr("substring_index(path, '/', shape.slashes)"), F.lit("/")))
+    return F.concat(suffix, F.lit("\n"), prefix)
+
+
 def matched_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Each distinct url that some rule fits, with the winning rule: ``(url, rule, rule_verdict)``.
+    """Each distinct url that some rule fits, with the winning rule: ``(url_id, rule, rule_verdict)``; the id is the SHA-256 of the url.
 
-    Host suffixes are the host and every part of it after a dot; path prefixes are the empty one and every part up to
-    a slash. An expression is a suffix and a prefix. Rules enter with the folder of their path, meet expressions on 32 bits of a hash, are
-    confirmed by SHA-256 of the whole expression, and then have to be a prefix of the whole path. The longest rule
+    A url is expanded into pairs of a host suffix and a path prefix, but only of the shapes (numbers of labels and folders) that rules have, so a url costs
+    no more than their number, however many dots and slashes it has. Rules enter with the folder of their path and meet expressions on
+    32 bits of a hash, are confirmed by SHA-256 of the whole expression, and then have to be a prefix of the whole path. Only ids and
+    hashes travel until a rule is confirmed. The longest rule
     text wins; equal lengths go to the longer host, then to block, then to the greater text.
     """
-    urls = pages.select("url").where("url is not null").distinct().select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."))
-    steps = F.split("path", "/")
-    prefixes = F.transform(
-        F.sequence(F.lit(0), F.size(steps) - 1),
-        lambda i: F.when(i == 0, F.lit("")).otherwise(F.concat(F.array_join(F.slice(steps, 1, i), "/"), F.lit("/"))),
-    )
-    # Two explodes, so that a url with many labels and many folders never holds their product at once.
-    expressions = (
-        urls.select("url", "path", F.explode(suffixes).alias("suffix"))
-        .select("url", "path", "suffix", F.explode(prefixes).alias("prefix"))
-        .withColumn("expression", F.concat("suffix", F.lit("\n"), "prefix"))
-        .withColumn("short", _short(F.col("expression")))
-    )
     rules = expand_rules(rules)
-    hits = expressions.join(rules, "short").where((_digest(F.col("expression")) == F.col("digest")) & F.startswith("path", "rule_path"))
+    shapes = rules.agg(F.collect_set("shape")).scalar()  # as many as rules differ in labels and folders
+    urls = pages.select("url").where(F.instr("url", "://") > 0).select(_digest(F.col("url")).alias("url_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    expression = _expression(F.col("host"), F.col("path"), F.col("shape"))
+    expressions = (
+        urls.withColumn("shape", F.explode(shapes)).withColumn("expression", expression)
+        .select("url_id", _short(F.col("expression")).alias("short"), _digest(F.col("expression")).alias("digest")).distinct()
+    )
+    hits = expressions.join(rules.drop("shape"), ["short", "digest"]).drop("short", "digest")
+    paths = urls.select("url_id", "path").join(hits.select("url_id").distinct(), "url_id", "left_semi").dropDuplicates(["url_id"])
+    hits = hits.join(paths, "url_id").where(F.startswith("path", "rule_path"))
     rule = F.concat("rule_host", "rule_path")
     best = F.max_by(
         F.struct(rule.alias("rule"), "rule_verdict"),
         F.struct(F.length(rule), F.length("rule_host"), F.col("rule_verdict") == BLOCK, rule),
     )
-    return hits.groupBy("url").agg(best.alias("b")).select("url", "b.rule", "b.rule_verdict")
+    return hits.groupBy("url_id").agg(best.alias("b")).select("url_id", "b.rule", "b.rule_verdict")
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame:
@@ -93,6 +103,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> Data
     pages = pages.select("page_id", "url")
     found = matched_rules(pages, rules)
     return (
-        pages.join(found, "url", "left")
+        pages.withColumn("url_id", _digest(F.col("url"))).join(found, "url_id", "left")
         .select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "rule", F.coalesce("rule_verdict", F.lit(default)).alias("verdict"))
     )

@@ -122,5 +122,14 @@ def test_verdicts(spark):
     assert {r.verdict for r in urls.judge_urls(pages, rules.limit(0), default="block").collect()} == {"block"}
 
 
+def test_very_long_urls(spark):
+    """A megabyte of slashes, of dots, and of both, beside rules of several depths."""
+    rules = spark.createDataFrame([*RULES, ("x.y.z.w", "/", "block"), ("net", "/" * 20, "allow")], "host string, path string, verdict string")
+    n = 1 << 20
+    pages = [(1, "http://x.net" + "/" * n), (2, "http://" + "." * n + "net/a"), (3, "http://" + "a." * (n // 4) + "org/fr/" + "b/" * (n // 4)), (4, "http://" + "y" * n), (5, "/" * n)]
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), rules).collect()}
+    assert got == {1: ("net" + "/" * 20, "allow"), 2: ("net/", "block"), 3: ("org/fr/", "allow"), 4: (None, "allow"), 5: (None, "allow")}
+
+
 def test_share_of_all_words():
     assert math.isclose(sum(water({"a": 100, "b": 100, "c": 1}).values()), 1.5 * 201)
