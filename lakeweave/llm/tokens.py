@@ -11,6 +11,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.ipc
 from pyspark import TaskContext
@@ -29,7 +30,8 @@ _WORD = re.compile(f"[^{SPACE}]+")
 # Plain searches for single marks are far faster than a pattern.
 _UNUSUAL = ["  ", " \n", "\n ", "\n\n", "\x00", *"\t\x0b\x0c\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B))]
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
-_TEXT_AT_ONCE = 1 << 21
+_WIDE = [m for m in _UNUSUAL if len(m) == 1 and ord(m) > 127]  # white space beyond ASCII
+_TEXT_AT_ONCE = 1 << 23
 
 
 def spaced_chunks(text: str) -> list[str]:
@@ -46,6 +48,16 @@ def bare_words(text: str) -> list[str]:
     return _WORD.findall(text) if any(mark in text for mark in _SEPARATORS) else text.split()
 
 
+def spaced_column(texts: pa.Array) -> pa.Array:
+    """The same for a column of texts without unusual marks."""
+    return pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, "\n", "\x00\n"), " ", "\x00 "), "\x00")
+
+
+def bare_column(texts: pa.Array) -> pa.Array:
+    """The same for a column of texts whose white space is ASCII; ends of a text may leave empty words, which have no ids."""
+    return pc.ascii_split_whitespace(texts)
+
+
 @dataclass(frozen=True)
 class Cut:
     """How texts are cut for a tokenizer, and the cuts whose parts (line end, word, punctuation) it always keeps apart.
@@ -56,11 +68,13 @@ class Cut:
     split: Callable[[str], list[str]]
     simple: re.Pattern
     lower: bool
+    column: Callable[[pa.Array], pa.Array]  # cuts whole columns, for texts with none of the marks
+    marks: tuple[str, ...]
 
 
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-SPACED = Cut(spaced_chunks, re.compile(f"(\n?)( ?[{_LETTERS}]+)([.,;:!?|]*)"), lower=False)
-BARE = Cut(bare_words, re.compile(f"()([{_LETTERS}]+)([.,;:!?|]*)"), lower=True)
+SPACED = Cut(spaced_chunks, re.compile(f"(\n?)( ?[{_LETTERS}]+)([.,;:!?|]*)"), lower=False, column=spaced_column, marks=tuple(_UNUSUAL))
+BARE = Cut(bare_words, re.compile(f"()([{_LETTERS}]+)([.,;:!?|]*)"), lower=True, column=bare_column, marks=(*_SEPARATORS, *_WIDE))
 
 
 class TokenCache:
@@ -101,13 +115,14 @@ class TokenCache:
         self.starts = np.zeros(1 << 14, dtype=np.int64)  # of the ids of a row; the next row's start ends them
         self.used = 0
 
-    def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.row]
+    def _learn(self, words: set[str], needed: list[str]) -> bool:
+        """Add words. A full cache starts again, with those and the needed ones; says whether it did, as rows are others then."""
+        new, again = [w for w in words if w not in self.row], False
         if not new:
-            return
+            return False
         if len(self.row) + len(new) > self.LIMIT:
             self._clear()
-            new = list(words)
+            new, again = list(words.union(needed)), True
         found = self._simple(new)
         rest = [i for i, ids in enumerate(found) if ids is None]
         for i, encoded in zip(rest, self.tokenizer.encode_batch_fast([new[i] for i in rest], add_special_tokens=False), strict=True):
@@ -120,6 +135,7 @@ class TokenCache:
         self.starts[first : first + len(new) + 1] = self.used + np.concatenate(([0], np.cumsum(lengths)))
         self.used = upto
         self.row.update(zip(new, range(first, first + len(new)), strict=True))
+        return again
 
     def _simple(self, words: list[str]) -> list[list[int] | None]:
         """Ids of the simple cuts; None for all others."""
@@ -140,22 +156,47 @@ class TokenCache:
         return found
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text, as the tokenizer gives them for the whole text."""
+        """Ids of each text, as the tokenizer gives them for the whole text.
+
+        Texts are cut and their words numbered as columns: only different words become Python strings. Texts with unusual white space are cut one by one.
+        """
         at = 0
         while at < len(texts):
-            cuts, size = [], 0
-            while at < len(texts) and (size < _TEXT_AT_ONCE or not cuts):
-                cuts.append(self.cut.split(texts[at]))
+            start, size = at, 0
+            while at < len(texts) and (size < _TEXT_AT_ONCE or at == start):
                 size += len(texts[at])
                 at += 1
-            self._learn(set().union(*cuts))
-            for words in cuts:
-                rows = np.fromiter(map(self.row.__getitem__, words), dtype=np.int64, count=len(words))
-                starts = self.starts[rows]
-                lengths = self.starts[rows + 1] - starts
-                ends = np.cumsum(lengths)
-                total = int(ends[-1]) if len(ends) else 0
-                yield self.ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+            yield from self._encode_some(texts[start:at])
+
+    def _encode_some(self, texts: list[str]) -> Iterator[np.ndarray]:
+        marks = self.cut.marks
+        plain = [not any(mark in text for mark in marks) for text in texts]
+        cuts = self.cut.column(pa.array([t for t, p in zip(texts, plain, strict=True) if p], pa.large_string()))
+        numbered = cuts.flatten().dictionary_encode()
+        known, other = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), [self.cut.split(t) for t, p in zip(texts, plain, strict=True) if not p]
+        rows = list(map(self.row.get, known))
+        new = [w for w, r in zip(known, rows, strict=True) if r is None]
+        again = self._learn({*new}.union(*other), known)
+        row = self.row.__getitem__
+        if again:
+            rows = list(map(row, known))
+        elif new:
+            rows = [row(w) if r is None else r for w, r in zip(known, rows, strict=True)]
+        by_number = np.array(rows, dtype=np.int64)
+        columns = self._ids(by_number[numbered.indices.to_numpy()] if known else by_number, cuts.offsets.to_numpy() - cuts.offsets[0].as_py())
+        singles = (self._ids(np.fromiter(map(row, words), dtype=np.int64, count=len(words)), np.array([0, len(words)])) for words in other)
+        for p in plain:
+            yield next(columns) if p else next(next(singles))
+
+    def _ids(self, rows: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+        """Ids of the words between neighbouring offsets, gathered at once."""
+        starts = self.starts[rows]
+        lengths = self.starts[rows + 1] - starts
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        flat = self.ids[np.repeat(starts - ends[:-1], lengths) + np.arange(int(ends[-1]))]
+        cuts = ends[offsets]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield flat[a:b]
 
 
 def _room(array: np.ndarray, size: int) -> np.ndarray:
