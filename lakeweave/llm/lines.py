@@ -15,39 +15,53 @@ from lakeweave.llm.common import stored, text_bytes
 MIN_WORDS = 8
 
 
+def _windows(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the shortest windows of ``min_words`` words: one from every line on and one up to every line, where the text allows."""
+    upto = np.cumsum(words)
+    before = np.concatenate(([0], upto[:-1]))
+    here = np.arange(len(words))
+    # A window has one line at least, also when min_words is 0.
+    last = np.maximum(np.searchsorted(upto, before + min_words), here)
+    first = np.minimum(np.searchsorted(before, upto - min_words, side="right") - 1, here)
+    onward = last < len(words)
+    back = (first >= 0) & (last[first] != here)  # others are the window from their first line on
+    starts = np.concatenate((here[onward], first[back]))
+    lengths = np.concatenate((last[onward], here[back])) - starts + 1
+    order = np.argsort(starts, kind="stable")
+    return starts[order], lengths[order]
+
+
 def _lines_of(min_words: int):
-    """One row per line: position, digest, and how many lines from here reach ``min_words`` words (0: the text ends first)."""
+    """One row per line: position, digest, and the lengths of the windows that start there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, positions, digests, needs = [], [], [], []
+            rows, positions, digests, needs, counts = [], [], [], [], []
             for i, text in enumerate(text_bytes(batch.column(2))):
                 if not batch.column(2)[i].is_valid:
                     continue
                 lines = text.split(b"\n")
-                upto = np.cumsum([len(x.split()) for x in lines])
-                before = np.concatenate(([0], upto[:-1]))
-                last = np.searchsorted(upto, before + min_words)
-                here = np.arange(len(lines))
-                # A window has one line at least, also when min_words is 0.
-                needs.append(np.where(last < len(lines), np.maximum(last, here) - here + 1, 0))
+                starts, lengths = _windows(np.array([len(x.split()) for x in lines]), min_words)
+                needs.append(lengths)
+                counts.append(np.bincount(starts, minlength=len(lines)))
                 rows.append(np.full(len(lines), i))
-                positions.append(here)
+                positions.append(np.arange(len(lines)))
                 digests += [hashlib.blake2b(x, digest_size=16).digest() for x in lines]
             if not rows:
                 continue
             row = pa.array(np.concatenate(rows))
+            offsets = np.concatenate(([0], np.cumsum(np.concatenate(counts)))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(needs).astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(row), batch.column(1).take(row), pa.array(np.concatenate(positions).astype(np.int32)),
-                 pa.array(digests, pa.binary()), pa.array(np.concatenate(needs).astype(np.int32))],
-                ["uid", "doc_id", "pos", "digest", "need"],
-            )
+                [batch.column(0).take(row), batch.column(1).take(row), pa.array(np.concatenate(positions).astype(np.int32)), pa.array(digests, pa.binary()), lists],
+                ["uid", "doc_id", "pos", "digest", "needs"],
+            )
 
     return run
 
 
 def repeated_windows(lines: DataFrame) -> DataFrame:
-    """Later copies ``(uid, pos, need)`` among windows of ``need`` lines, from ``(uid, doc_id, pos, digest, need)``.
+    """Later copies ``(uid, pos, need)`` among windows of ``need`` lines, from ``(uid, doc_id, pos, digest, needs)``.
 
     Suffixes of the line sequences are grouped by ever longer prefixes. The name of a block of lines is the place of
     its first copy, so equal names mean equal blocks and need no check. Round k knows the names of all blocks of
@@ -59,22 +73,24 @@ def repeated_windows(lines: DataFrame) -> DataFrame:
     first = lines.groupBy("digest").agg(F.min(here).alias("name"), F.count("*").alias("n")).where("n > 1").select("digest", "name")
     # As a table the names are a plain side of the join, so that Spark can split the rows of a very common line.
     first = stored(first, "line_first")
-    named = stored(lines.join(first, "digest").select("uid", "doc_id", "pos", "need", "name"), "line_names")
-    found = named.where("need = 1").where(F.struct("doc_id", "uid", "pos") != F.col("name")).select("uid", "pos", "need")
+    longest = F.coalesce(F.array_max("needs"), F.lit(0)).alias("longest")
+    named = stored(lines.join(first, "digest").select("uid", "doc_id", "pos", "needs", longest, "name"), "line_names")
+    found = named.where(F.array_contains("needs", 1)).where(F.struct("doc_id", "uid", "pos") != F.col("name")).select("uid", "pos", F.lit(1).alias("need"))
     size = 1
-    while named.where(F.col("need") > size).limit(1).count():
+    while named.where(F.col("longest") > size).limit(1).count():
         # Windows of up to twice the block: their first and their last block overlap or touch.
         ends = named.select(F.col("uid").alias("u"), F.col("pos").alias("p"), F.col("name").alias("end"))
-        due = named.where((F.col("need") > size) & (F.col("need") <= 2 * size))
+        due = named.where(F.col("longest") > size).select("uid", "doc_id", "pos", "name", F.explode("needs").alias("need"))
+        due = due.where((F.col("need") > size) & (F.col("need") <= 2 * size))
         whole = due.join(ends, (F.col("uid") == F.col("u")) & (F.col("pos") + F.col("need") - size == F.col("p"))).drop("u", "p")
         heads = whole.groupBy("need", "name", "end").agg(F.min(here).alias("first"))
         later = whole.join(heads, ["need", "name", "end"]).where(F.struct("doc_id", "uid", "pos") != F.col("first"))
         found = found.unionByName(later.select("uid", "pos", "need"))
         # Names of blocks of twice the size, for windows that are longer still.
-        longer = named.where(F.col("need") > 2 * size).select("uid").distinct()
+        longer = named.where(F.col("longest") > 2 * size).select("uid").distinct()
         pairs = named.join(longer, "uid", "left_semi").join(ends, (F.col("uid") == F.col("u")) & (F.col("pos") + size == F.col("p"))).drop("u", "p")
         twice = pairs.groupBy("name", "end").agg(F.min(here).alias("next"), F.count("*").alias("n")).where("n > 1").drop("n")
-        named = stored(pairs.join(twice, ["name", "end"]).select("uid", "doc_id", "pos", "need", F.col("next").alias("name")), "line_names")
+        named = stored(pairs.join(twice, ["name", "end"]).select("uid", "doc_id", "pos", "needs", "longest", F.col("next").alias("name")), "line_names")
         size *= 2
     return found
 
@@ -82,12 +98,15 @@ def repeated_windows(lines: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without repeated line runs, plus ``n_lines`` and ``n_removed``.
 
-    Lines end at ``\\n`` and are compared byte for byte. A run is the fewest whole lines from a line on that hold
-    ``min_words`` words; every line of a run that also starts earlier (smaller ``doc_id``, or same document and earlier
-    line) is removed, so that maximal repeats go except for a tail of fewer words. Windows are judged on the input.
+    Lines end at ``\\n`` and are compared byte for byte. A run is any number of consecutive whole lines of one text that hold
+    ``min_words`` words or more. Every line of a run whose lines also start earlier (smaller ``doc_id``, or same document and earlier
+    line) is removed: maximal repeats go from their first to their last line. Runs are judged on the input.
+
+    A maximal run is the union of its shortest windows of ``min_words`` words, those from its lines on and those up to its lines: the former reach from
+    its first line to the last that leaves enough words behind it, the latter cover each line after that. So only they are looked up.
     Kept lines are joined by ``\\n`` again.
 
-    All columns and rows stay; a text whose lines all go is empty, a null text stays null with 0 lines, an empty text is
+    All columns and rows stay, an empty table stays empty; a text whose lines all go is empty, a null text stays null with 0 lines, an empty text is
     one empty line. Null ids come first; repeated rows are ordered by their place in the input. ``n_chars``, if there,
     follows the text.
     """
@@ -95,7 +114,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     numbered = stored(docs.select(F.monotonically_increasing_id().alias("uid"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), "line_docs")
     text_at, doc_at = f"c{names.index('text')}", f"c{names.index('doc_id')}"
     lines = numbered.select("uid", doc_at, text_at).mapInArrow(
-        _lines_of(min_words), f"uid long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, pos int, digest binary, need int"
+        _lines_of(min_words), f"uid long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, pos int, digest binary, needs array<int>"
     )
     covered = stored(repeated_windows(stored(lines, "lines")), "line_windows")
     gone = covered.groupBy("uid").agg(F.collect_list(F.struct("pos", "need")).alias("gone"))

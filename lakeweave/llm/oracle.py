@@ -11,14 +11,13 @@ WITH docs AS (
   SELECT *, list_transform(range(1, len(words) + 1), lambda i: list_sum(words[1:i])) AS upto FROM counted
 ), places AS (
   SELECT uid, lines, upto, words, unnest(range(1, len(lines) + 1)) AS pos FROM summed
-), needs AS (
-  SELECT uid, pos, lines, 1 + len(list_filter(upto[pos:], lambda x: x < upto[pos] - words[pos] + 8)) AS need, len(lines) AS n FROM places
 ), windows AS (
-  SELECT uid, pos, need, lines[pos:pos + need - 1] AS span FROM needs WHERE pos + need - 1 <= n
+  SELECT uid, pos, lines, upto, words, unnest(range(pos, len(lines) + 1)) AS last FROM places
 ), later AS (
-  SELECT uid, pos, need, row_number() OVER (PARTITION BY span ORDER BY uid, pos) > 1 AS copy FROM windows
+  SELECT uid, pos, last, row_number() OVER (PARTITION BY lines[pos:last] ORDER BY uid, pos) > 1 AS copy
+  FROM windows WHERE upto[last] - upto[pos] + words[pos] >= 8
 ), gone AS (
-  SELECT uid, list(DISTINCT line) AS removed FROM (SELECT uid, unnest(range(pos, pos + need)) AS line FROM later WHERE copy) GROUP BY uid
+  SELECT uid, list(DISTINCT line) AS removed FROM (SELECT uid, unnest(range(pos, last + 1)) AS line FROM later WHERE copy) GROUP BY uid
 )
 SELECT d.doc_id, coalesce(len(d.lines), 0)::BIGINT AS n_lines, coalesce(len(g.removed), 0)::BIGINT AS n_removed,
        md5(CASE WHEN g.removed IS NULL THEN d.text

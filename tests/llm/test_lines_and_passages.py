@@ -16,18 +16,15 @@ def brute_lines(rows, min_words):
         parts = text.split("\n")
         gone = [False] * len(parts)
         for p in range(len(parts)):
-            words, q = 0, p
-            while q < len(parts):
-                words += len(parts[q].encode().split())
-                q += 1
-                if words >= min_words:
-                    break
-            if words < min_words:
-                continue
-            window = tuple(parts[p:q])
-            if window in seen:
-                gone[p:q] = [True] * (q - p)
-            seen.add(window)
+            words = 0
+            for q in range(p + 1, len(parts) + 1):
+                words += len(parts[q - 1].encode().split())
+                if words < min_words:
+                    continue
+                window = tuple(parts[p:q])
+                if window in seen:
+                    gone[p:q] = [True] * (q - p)
+                seen.add(window)
         out[i] = (rows[i][0], len(parts), sum(gone), "\n".join(x for x, g in zip(parts, gone, strict=True) if not g))
     return sorted(out, key=repr)
 
@@ -57,6 +54,15 @@ def test_long_windows_of_short_lines(documents):
     assert got_lines(lines.dedup_lines(documents(rows), 17)) == brute_lines(rows, 17)
 
 
+def test_short_tails_go_with_their_run(documents):
+    """A last line of few words, blank lines and a short first line belong to the maximal run."""
+    run = "Hello\n\none line of quite a few words that repeats\n\nbye now\n"
+    rows = [(1, run + "alone"), (2, "before\n" + run + "after"), (3, run), (4, "bye now"), (5, "Hello\nbye now")]
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.dedup_lines(documents(rows)).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("before\nafter", 5), 3: ("", 5), 4: ("bye now", 0), 5: (rows[4][1], 0)}
+    assert got_lines(lines.dedup_lines(documents(rows))) == brute_lines(rows, 8)
+
+
 def brute_passages(rows, window):
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, i))
     seen, out = set(), []
