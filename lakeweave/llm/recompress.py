@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -35,25 +36,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class WordNames:
-    """128-bit names of words, remembered up to a bound (a full memory starts again; names do not change)."""
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in a row, and the number of words of each text. Arrow cuts at ASCII white space; no word becomes a Python object."""
+    lists = pc.ascii_split_whitespace(texts.cast(pa.large_binary()).view(pa.large_string()))
+    words = lists.flatten()
+    full = pc.binary_length(words).to_numpy() > 0  # white space at the ends of a text leaves empty parts
+    upto = np.concatenate(([0], np.cumsum(full)))
+    offsets = lists.offsets.to_numpy()
+    return words.filter(pa.array(full)), np.diff(upto[offsets - offsets[0]])
 
-    LIMIT = 600_000
 
-    def __init__(self):
-        self.row: dict[bytes, int] = {}
-        self.names = np.empty((0, 2), dtype=np.uint64)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        known = set(words)
-        new = [w for w in known if w not in self.row]
-        if len(self.row) + len(new) > self.LIMIT:
-            self.row, self.names, new = {}, self.names[:0], list(known)
-        if new:
-            raw = b"".join([xxhash.xxh3_128_digest(w) for w in new])
-            self.row.update(zip(new, range(len(self.row), len(self.row) + len(new)), strict=True))
-            self.names = np.concatenate((self.names, np.frombuffer(raw, dtype=np.uint64).reshape(-1, 2)))
-        return self.names[np.fromiter(map(self.row.__getitem__, words), dtype=np.int64, count=len(words))]
+def word_names(words: pa.Array) -> np.ndarray:
+    """128-bit names of words; each different one is hashed once."""
+    numbered = words.dictionary_encode()
+    raw = b"".join(map(xxhash.xxh3_128_digest, numbered.dictionary.view(pa.large_binary()).to_pylist()))
+    return np.frombuffer(raw, dtype=np.uint64).reshape(-1, 2)[numbered.indices.to_numpy()]
 
 
 def borders(names: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -111,18 +108,16 @@ class Passages:
     sides. All that decides lies inside the window, so equal windows have equal anchors.
     """
 
-    def __init__(self, texts: list[bytes], names: WordNames, window: int):
-        self.window, self.words = window, [t.split() for t in texts]
-        counts = np.array([len(w) for w in self.words], dtype=np.int64)
-        self.ends = np.cumsum(counts)
-        self.starts = self.ends - counts
-        every = names.of([w for words in self.words for w in words])
-        self.names = every
+    def __init__(self, texts: pa.Array, window: int):
+        words, counts = words_of(texts)
+        ends = np.cumsum(counts)
+        every = word_names(words)
+        self.window, self.names = window, every
         n = len(every)
         first = np.zeros(n + 1, dtype=bool)
-        first[self.starts] = True
+        first[ends - counts] = True
         # Windows: places with enough words left in their document.
-        left = np.repeat(self.ends, counts) - np.arange(n)
+        left = np.repeat(ends, counts) - np.arange(n)
         self.windows = np.nonzero(left >= window)[0]
         side = (window - WIDEST) // 2
         if not len(self.windows):
@@ -177,20 +172,15 @@ def _judge(earlier: bool):
         hit = first[back] != np.arange(len(keys)) if earlier else np.bincount(back, minlength=len(distinct))[back] > 1
         cuts = np.cumsum(counts)[:-1]
         bits = [np.packbits(x).tobytes() for x in np.split(hit, cuts)]
-        return pa.table({"group": table.column("group"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
+        return pa.table({"group": table.column("group"), "bucket": table.column("bucket"), "n": pa.array(counts, pa.int32()), "bits": pa.array(bits, pa.binary())})
 
     return run
 
 
-def _answers(keys: np.ndarray, buckets: int, marks: list[dict] | None) -> np.ndarray:
-    """The bits that came back for a group, in the order of its keys."""
-    order, bucket = _dealt(keys, buckets)
-    out = np.zeros(len(keys), dtype=bool)
-    low = np.searchsorted(bucket, [m["bucket"] for m in marks or []])
-    high = np.searchsorted(bucket, [m["bucket"] for m in marks or []], side="right")
-    for m, a, b in zip(marks or [], low, high, strict=True):
-        out[order[a:b]] = np.unpackbits(np.frombuffer(m["bits"], dtype=np.uint8), count=b - a).astype(bool)
-    return out
+def _answers(marks: list[dict] | None) -> np.ndarray:
+    """The bits that came back for a group: of its keys in the order that ``_dealt`` gives them."""
+    bits = [np.unpackbits(np.frombuffer(m["bits"], dtype=np.uint8), count=m["n"]) for m in sorted(marks or [], key=lambda m: m["bucket"])]
+    return np.concatenate(bits).astype(bool) if bits else np.empty(0, dtype=bool)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,15 +205,11 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-_memory = WordNames()  # of the worker process
-
-
 def _ask_anchors(window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group, texts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                passages = Passages(text_bytes(texts.values), _memory, window)
-                yield _asked(_rows_by_bucket(group, np.unique(passages.anchor_keys), buckets))
+                yield _asked(_rows_by_bucket(group, np.unique(Passages(texts.values, window).anchor_keys), buckets))
 
     return run
 
@@ -233,48 +219,56 @@ def _asked(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(group, pa.int64()), pa.array(keys, pa.binary())], ["bucket", "group", "keys"])
 
 
-def _candidate_windows(texts: pa.Array, window: int, buckets: int, marks: list[dict] | None):
-    """Passages of a group, its candidate windows, and their names: distinct ones, first index of each, row of every window."""
-    passages = Passages(text_bytes(texts), _memory, window)
-    keys, first, back = _distinct(passages.anchor_keys)
-    repeated = (_answers(keys, buckets, marks) | (np.bincount(back, minlength=len(keys)) > 1))[back] if len(keys) else np.empty(0, dtype=bool)
-    at, names = passages.candidates(repeated)
-    return passages, at, _distinct(names)
+PLACES = -1  # in place of a bucket: the row holds where a group's windows are, not what it asks
 
 
 def _ask_windows(window: int, buckets: int):
+    """The names of a group's candidate windows by bucket, and one row with their places.
+
+    Places are three rows of 32-bit integers: first words, the number of the name among those asked, and whether the group holds the window earlier.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group, texts, marks in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                keys = _candidate_windows(texts.values, window, buckets, marks)[2][0]
-                yield _asked(_rows_by_bucket(group, keys, buckets))
+                passages = Passages(texts.values, window)
+                keys, _, back = _distinct(passages.anchor_keys)
+                keys = keys[:, 0]
+                elsewhere = np.empty(len(keys), dtype=bool)
+                elsewhere[_dealt(keys, buckets)[0]] = _answers(marks)
+                repeated = (elsewhere | (np.bincount(back, minlength=len(keys)) > 1))[back]
+                at, names = passages.candidates(repeated)
+                keys, first, back = _distinct(names)
+                number = np.empty(len(keys), dtype=np.int64)
+                number[_dealt(keys, buckets)[0]] = np.arange(len(keys))
+                places = np.stack([at, number[back], first[back] != np.arange(len(at))]).astype(np.int32)
+                yield _asked([*_rows_by_bucket(group, keys, buckets), (PLACES, group, places.tobytes())])
 
     return run
 
 
-def _removed(window: int, buckets: int, with_text: bool):
+def _removed(window: int, with_text: bool):
     """Kept and removed words of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, texts, anchors, windows in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                passages, at, (keys, first, back) = _candidate_windows(texts.values, window, buckets, anchors)
-                cover = np.zeros(len(passages.names) + 1, dtype=np.int64)
+            for docs, texts, places, marks in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                words, counts = words_of(texts.values)
+                at, number, known = np.frombuffer(places, dtype=np.int32).reshape(3, -1)
+                cover = np.zeros(len(words) + 1, dtype=np.int64)
                 if len(at):
-                    later = at[(first[back] != np.arange(len(at))) | _answers(keys, buckets, windows)[back]]
+                    later = at[(known == 1) | _answers(marks)[number]]
                     np.add.at(cover, later, 1)
                     np.add.at(cover, later + window, -1)
-                gone = np.cumsum(cover)[:-1] > 0
-                kept_text, removed = [], []
-                for words, a, b in zip(passages.words, passages.starts.tolist(), passages.ends.tolist(), strict=True):
-                    drop = gone[a:b]
-                    removed.append(int(drop.sum()))
-                    kept_text.append(b" ".join(words if not removed[-1] else [w for w, d in zip(words, drop.tolist(), strict=True) if not d]))
-                columns = [docs.values, pa.array([len(w) for w in passages.words], pa.int64()), pa.array(removed, pa.int64())]
-                columns.append(pa.array([hashlib.sha256(t).hexdigest() for t in kept_text], pa.string()))
+                kept = np.cumsum(cover)[:-1] == 0
+                upto, ends = np.concatenate(([0], np.cumsum(kept))), np.concatenate(([0], np.cumsum(counts)))
+                lists = pa.LargeListArray.from_arrays(pa.array(upto[ends]), words.filter(pa.array(kept)))
+                joined = pc.binary_join(lists, pa.scalar(" ", pa.large_string())).view(pa.large_binary())
+                digests = [hashlib.sha256(t).hexdigest() for t in joined.to_pylist()]
+                columns = [docs.values, pa.array(counts, pa.int64()), pa.array(counts - np.diff(upto[ends]), pa.int64()), pa.array(digests, pa.string())]
                 names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
                 if with_text:
-                    columns, names = [*columns, pa.array([t.decode() for t in kept_text], pa.string())], [*names, "kept"]
+                    columns, names = [*columns, joined.cast(pa.binary()).cast(pa.string())], [*names, "kept"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
@@ -303,14 +297,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
 
     asked = "bucket int, group long, keys binary"
-    answer = "group long, bucket int, bits binary"
+    answer = "group long, bucket int, n int, bits binary"
 
     def by_group(answers: DataFrame, into: str) -> DataFrame:
-        return answers.groupBy("group").agg(F.collect_list(F.struct("bucket", "bits")).alias(into))
+        return answers.groupBy("group").agg(F.collect_list(F.struct("bucket", "n", "bits")).alias(into))
 
     anchors = groups.select("group", "texts").mapInArrow(_ask_anchors(window, buckets), asked).groupBy("bucket").applyInArrow(_judge(False), answer)
     marked = groups.join(stored(by_group(anchors, "anchors"), "repeat_anchors"), "group", "left")
-    windows = marked.select("group", "texts", "anchors").mapInArrow(_ask_windows(window, buckets), asked).groupBy("bucket").applyInArrow(_judge(True), answer)
-    marked = marked.join(stored(by_group(windows, "windows"), "repeat_windows"), "group", "left")
+    # As a table, because the places are wanted again when the answers are there.
+    windows = stored(marked.select("group", "texts", "anchors").mapInArrow(_ask_windows(window, buckets), asked), "repeat_asked")
+    judged = windows.where(F.col("bucket") != PLACES).groupBy("bucket").applyInArrow(_judge(True), answer)
+    places = windows.where(F.col("bucket") == PLACES).select("group", F.col("keys").alias("places"))
+    marked = groups.join(places, "group").join(stored(by_group(judged, "windows"), "repeat_windows"), "group", "left")
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"
-    return marked.select("ids", "texts", "anchors", "windows").mapInArrow(_removed(window, buckets, with_text), schema + (", kept string" if with_text else ""))
+    return marked.select("ids", "texts", "places", "windows").mapInArrow(_removed(window, with_text), schema + (", kept string" if with_text else ""))
