@@ -622,6 +622,22 @@ ORACLE: dict[str, str] = {
     "next_page_link": r"""SELECT page_id, CASE page_id % 4 WHEN 0 THEN concat('https://next.example/', page_id)
             WHEN 1 THEN concat(regexp_extract(url, '^(https?://[^/]+)', 1), '/n/', page_id)
             WHEN 2 THEN concat(regexp_replace(url, '[?#].*$', ''), '?page=', page_id) END AS next_url FROM pages""",
+    "page_chains": """
+        WITH RECURSIVE aimed AS (
+            SELECT url, CASE WHEN page_id % 50 = 49 AND (page_id // 50) % 3 = 0 THEN page_id - 49 WHEN page_id % 50 = 49 THEN NULL
+                WHEN page_id % 11 = 5 AND page_id % 50 < 47 THEN page_id + 2 ELSE page_id + 1 END AS target FROM pages),
+        links AS (SELECT a.url, min(n.url) AS next_url FROM aimed a LEFT JOIN pages n ON n.page_id = a.target GROUP BY a.url),
+        prior AS (SELECT next_url AS url, min(url) AS before FROM links WHERE next_url <> url GROUP BY next_url),
+        back AS (
+            SELECT url AS page, url AS node, 0 AS steps FROM links
+            UNION ALL SELECT b.page, p.before, b.steps + 1 FROM back b JOIN prior p ON b.node = p.url WHERE p.before <> b.page),
+        ends AS (SELECT page, arg_max(node, steps) AS first, max(steps) AS far, min(node) AS low, arg_min(steps, node) AS low_at FROM back GROUP BY page),
+        placed AS (
+            SELECT page, CASE WHEN p.url IS NULL THEN first ELSE low END AS listing, (CASE WHEN p.url IS NULL THEN far ELSE low_at END + 1)::BIGINT AS position
+            FROM ends e LEFT JOIN prior p ON p.url = e.first)
+        SELECT l.url, l.next_url, a.listing, a.position, CASE WHEN l.next_url IS NULL THEN NULL WHEN t.page IS NULL THEN 'outside'
+                WHEN t.listing <> a.listing THEN 'merge' WHEN t.position = a.position + 1 THEN 'next' ELSE 'loop' END AS link
+        FROM links l JOIN placed a ON a.page = l.url LEFT JOIN placed t ON t.page = l.next_url""",
     "page_urls": f"""{URL_PARTS} SELECT page_id, n AS page_no, CASE WHEN n = 1 THEN url
             WHEN regexp_matches(base, '[?&]page=') THEN concat(regexp_replace(base, '([?&]page=)[^&]*', concat('\\1', n)), fragment)
             WHEN contains(base, '?') THEN concat(base, '&page=', n, fragment) ELSE concat(base, '?page=', n, fragment) END AS page_url

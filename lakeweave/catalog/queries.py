@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lakeweave.catalog import fixtures as fx
 from lakeweave.catalog.fixtures import AS_OF, SPLIT
 from lakeweave.functions import casts, keys, numbers, rows, text
-from lakeweave.operators import extract, history, json_records, lake as lake_ops, monitor, quality, quality_state, urls
+from lakeweave.operators import chains, extract, history, json_records, lake as lake_ops, monitor, quality, quality_state, urls
 from lakeweave.functions.html_select import FieldSpec
 from lakeweave.operators.lake import Lake
 from lakeweave.operators.warehouse import Warehouse, register_view, stamp_loaded_at
@@ -1193,6 +1193,20 @@ def next_page_link(spark, sf):
     return extract.next_page_link(_pages_with_next(spark, sf)).select("page_id", "next_url")
 
 
+@query
+def page_chains(spark, sf):
+    """Listings of up to 50 pages, found by the links in the pages; some pages skip one, some listings end where they began."""
+    pages = fx.table(spark, sf, "pages")
+    n, last = F.col("page_id"), F.col("page_id") % 50 == 49
+    ring = F.floor(n / 50) % 3 == 0
+    target = F.when(last & ring, n - 49).when(last, None).when((n % 11 == 5) & (n % 50 < 47), n + 2).otherwise(n + 1)
+    targets = fx.table(spark, sf, "pages").select(F.col("page_id").alias("target"), F.col("url").alias("href"))
+    linked = pages.withColumn("target", target).join(targets, "target", "left")
+    link = F.concat(F.lit('<div class="next"><a href="'), F.replace("href", F.lit("&"), F.lit("&amp;")), F.lit('">more</a></div>'))
+    found = extract.next_page_link(linked.withColumn("html", F.concat("html", F.coalesce(link, F.lit("")))))
+    return chains.page_chains(found.select("url", "next_url"))
+
+
 @query
 def page_urls(spark, sf):
     return urls.page_urls(fx.table(spark, sf, "pages"), 4).select("page_id", "page_no", "page_url")
