@@ -649,6 +649,11 @@ ORACLE: dict[str, str] = {
         WITH p AS (SELECT page_id, url, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, regexp_extract(url, '^https?://[^/?#]+([^#]*)', 1) AS path FROM pages)
         SELECT page_id, url, CASE WHEN length(host) % 2 = 1 THEN true WHEN starts_with(path, '/en/') THEN true
             WHEN starts_with(path, '/fr') THEN false WHEN starts_with(path, '/e') THEN false ELSE true END AS allowed FROM p""",
+    "flatten_json": """
+        SELECT event_id, CASE WHEN ok THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS props_k, CASE WHEN ok THEN CAST(user_id AS BIGINT) END AS user_id,
+            CASE WHEN ok THEN event_type END AS user_last_type, CASE WHEN ok AND event_id % 3 = 0 THEN concat(event_id, ',1') END AS tags,
+            CASE WHEN ok AND event_id % 5 = 0 THEN concat('"r', event_id, '"') WHEN ok AND event_id % 5 = 1 THEN concat('{"no":', event_id, '}') END AS ref
+        FROM (SELECT *, event_id % 7 <> 0 AS ok FROM events)""",
     "json_records": """
         WITH e AS (SELECT event_id, event_id % 8 AS shape, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
         SELECT event_id, 0 AS record_no, k FROM e WHERE shape <> 7

@@ -787,6 +787,20 @@ def fn_flatten_struct(spark, sf):
     return rows.flatten_struct(parsed, "_")
 
 
+@query
+def flatten_json(spark, sf):
+    """Event objects whose fields differ from row to row; names and types are found in the texts."""
+    n = F.col("event_id").cast("string")
+    body = F.concat(
+        F.lit('{"props": '), "props", F.lit(', "user": {"id": '), F.col("user_id").cast("string"), F.lit(', "last": {"type": "'), "event_type", F.lit('"}}'),
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(', "tags": ['), n, F.lit(", 1]"))).otherwise(""),
+        F.when(F.col("event_id") % 5 == 0, F.concat(F.lit(', "ref": "r'), n, F.lit('"'))).when(F.col("event_id") % 5 == 1, F.concat(F.lit(', "ref": {"no": '), n, F.lit("}"))).otherwise(""),
+        F.lit("}"),
+    )
+    texts = fx.table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 7 != 0, body).otherwise("no JSON").alias("body"))
+    return json_records.flatten_json(texts, "body", "_").withColumn("tags", F.array_join("tags", ","))
+
+
 @query
 def fn_chunk_rows(spark, sf):
     """Chunks of 7 events per type, in id order."""

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Keys that may hold the record list, keys below data.*, and flat cursor keys, in order.
 LIST_KEYS = ["data", "results", "items", "records", "hits", "posts", "content", "list"]
@@ -77,3 +80,72 @@ def json_cursor(response: Column) -> Column:
     parsed = F.when(F.ltrim(response).startswith("{"), F.from_json(response, fields))
     # A lambda over one element holds the parsed value, so that no use of it parses again.
     return F.element_at(F.transform(F.array(parsed), cursor), 1)
+
+
+# --- nested objects without a declared schema -----------------------------------------------------
+
+
+def _readable(kind: T.DataType) -> T.DataType:
+    """The type with text in place of nothing: a field that is null everywhere has no type of its own."""
+    if isinstance(kind, T.NullType):
+        return T.StringType()
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_readable(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _readable(f.dataType)) for f in kind])
+    return kind
+
+
+def _numbered(kind: T.DataType) -> T.DataType:
+    """The same struct with numbers for names: names that differ in case only cannot be told apart when a field is taken."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f"f{i}", _numbered(f.dataType)) for i, f in enumerate(kind)])
+    return kind
+
+
+def _mixed(kind: T.DataType) -> bool:
+    """Whether values of more than one kind meet somewhere below."""
+    if isinstance(kind, T.ArrayType):
+        return _mixed(kind.elementType)
+    return isinstance(kind, T.VariantType) or (isinstance(kind, T.StructType) and any(_mixed(f.dataType) for f in kind))
+
+
+def json_type(df: DataFrame, column: str) -> T.DataType:
+    """The type that all JSON texts of a column fit, merged from every row: one aggregation with partial results, one row to the driver."""
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(f"`{column}`"))).alias("t")).first().t
+    # Spark names an object's type OBJECT where a column's is STRUCT; quoted names are left alone.
+    parts = re.split(r"(`(?:[^`]|``)*`)", found)
+    return _readable(T._parse_datatype_string("".join(p if p.startswith("`") else p.replace("OBJECT<", "STRUCT<") for p in parts)))
+
+
+def flatten_json(df: DataFrame, column: str, sep: str = ".", kind: T.DataType | None = None) -> DataFrame:
+    """``df`` with one column per leaf of the JSON objects in ``column``, in place of it; names are paths joined by ``sep``.
+
+    The leaves are found from the data (``json_type``), at any depth, or given as ``kind``. Numbers of different widths widen. Arrays stay arrays, of
+    structs where they hold objects. Where values of different kinds meet (a number here, an object there), and for arrays that hold such values, the column
+    is JSON text. A field that is null everywhere is a text column of nulls. A text that is no JSON and a null give
+    nulls. Where no top is an object the column keeps its name and gets its type (JSON text if tops differ in kind). An empty object has no leaf. A name that is taken,
+    whatever its case, gets ``_2``, ``_3``, ... in the order of paths.
+    """
+    kind = kind or json_type(df, column)
+    # Parsed once per row, whatever the number of leaves.
+    source = "__json"
+    while source in df.columns:
+        source += "_"
+    value = F.try_parse_json(F.col(f"`{column}`"))
+    parsed = df.withColumn(source, value if isinstance(kind, T.VariantType) else value.try_cast(kind).cast(_numbered(kind)))
+
+    def leaves(kind: T.DataType, here: Column, path: tuple[str, ...]) -> list[tuple[str, Column]]:
+        if isinstance(kind, T.StructType):
+            return [leaf for i, f in enumerate(kind) for leaf in leaves(f.dataType, here.getField(f"f{i}"), (*path, f.name))]
+        return [(sep.join(path) or column, F.to_json(here) if _mixed(kind) else here)]
+
+    others = [c for c in df.columns if c != column]
+    taken, columns = {c.lower() for c in others}, []
+    for name, leaf in leaves(kind, F.col(source), ()):
+        free, n = name, 2
+        while free.lower() in taken:
+            free, n = f"{name}_{n}", n + 1
+        taken.add(free.lower())
+        columns.append(leaf.alias(free))
+    return parsed.select(*[F.col(f"`{c}`") for c in others], *columns)
