@@ -1,4 +1,4 @@
-"""Near-duplicates by similarity: banded MinHash draws the candidates, the Jaccard similarity of the shingle sets decides."""
+"""Near-duplicates by similarity: SimHash trees and MinHash bands draw the candidates, the Jaccard similarity of the shingle sets decides."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeweave.llm.common import components, joint_labels, stored, text_bytes
-from lakeweave.llm.simhash import shingle_hashes
+from lakeweave.llm.simhash import SHARD_SIZE, component_labels, fingerprint_of, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -37,13 +37,15 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def _described(width: int):
-    """Digest, number of shingles and band keys of every row's set."""
+    """Digest, number of shingles, SimHash fingerprint and band keys of every row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, width) for t in text_bytes(batch.column(2))]
             columns = [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns, pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))], ["uid", "doc_id", "digest", "n", "keys"])
+            columns.append(pa.array(np.array([fingerprint_of(s) for s in sets], dtype=np.uint64).view(np.int64)))
+            columns.append(pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["uid", "doc_id", "digest", "n", "fp", "keys"])
 
     return run
 
@@ -100,23 +102,35 @@ def _block_links(least: float):
     return run
 
 
-def one_per_component(docs: DataFrame, width: int = SHINGLE, least: float = SIMILARITY, block_size: int = BLOCK_SIZE) -> DataFrame:
+def _tree_keys(classes: DataFrame, shard_size: int) -> DataFrame:
+    """``(cid, n, key)``: one key for all classes of a component of fingerprints, as the BK-trees link them."""
+    some = classes.where("n > 0")
+    labels = component_labels(stored(some.groupBy("fp").agg(F.min("cid").alias("first")), "near_fingerprints"), shard_size)
+    return some.join(labels.hint("merge"), "fp").select("cid", "n", F.xxhash64(F.lit("tree"), "label").alias("key"))
+
+
+def one_per_component(
+    docs: DataFrame, width: int = SHINGLE, least: float = SIMILARITY, block_size: int = BLOCK_SIZE, shard_size: int = SHARD_SIZE
+) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their near-duplicate component (null ids last), one for each component.
 
     Documents are linked if their sets of ``width``-word shingles (words in ASCII lower case; a shorter text is one shingle) have a
-    Jaccard similarity of ``least`` or more. Equal sets are one class. Classes that share a band key are compared in blocks of
+    Jaccard similarity of ``least`` or more. Equal sets are one class. Candidates are the classes of one component of SimHash
+    fingerprints (of the sets, three bits, found by the BK-trees of ``simhash``) and those that share a band of MinHash values, for
+    most pairs near 0.8 are more than three bits apart. Both are compared in blocks of
     bounded size, all pairs of a group, so that a large group is many tasks; a block emits one local root per set, never pairs.
-    A pair is missed only if it shares no band, and it counts all the same where other documents connect it. Texts
-    without words are one component. Of rows with the same id the first one read stays.
+    A pair is missed only if it shares neither, and it counts all the same where other documents connect it. Null texts and texts
+    without words are one component. Of rows with the same id the first one read stays. An empty table gives an empty one.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     numbered = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("uid")), "near_docs")
     texts = numbered.select("uid", "doc.doc_id", "doc.text")
-    described = stored(texts.mapInArrow(_described(width), f"uid long, doc_id {kind}, digest binary, n long, keys array<long>"), "near_sets")
+    described = stored(texts.mapInArrow(_described(width), f"uid long, doc_id {kind}, digest binary, n long, fp long, keys array<long>"), "near_sets")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
-    merged = described.groupBy("digest").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    classes = stored(merged.select(F.col("first.uid").alias("cid"), "first", "n", "keys"), "near_classes")
-    rows = stored(classes.select("cid", "n", F.explode("keys").alias("key")), "near_keys")
+    merged = described.groupBy("digest").agg(F.min(place).alias("first"), *[F.first(c).alias(c) for c in ("n", "fp", "keys")])
+    classes = stored(merged.select(F.col("first.uid").alias("cid"), "first", "n", "fp", "keys"), "near_classes")
+    rows = classes.select("cid", "n", F.explode("keys").alias("key")).unionByName(_tree_keys(classes, shard_size))
+    rows = stored(rows, "near_keys")
     groups = rows.groupBy("key").agg(F.count("*").alias("members"), F.ceil(F.sum("n") / block_size).alias("blocks")).where("members > 1")
     groups = stored(groups.select("key", "blocks"), "near_groups")
     members = rows.join(groups, "key").select("cid", "key", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block"))

@@ -69,6 +69,20 @@ def test_blocks_of_a_large_group(documents):
     assert kept(resemblance.one_per_component(documents(rows), block_size=1000)) == brute_kept(rows)
 
 
+def test_trees_alone_find_what_three_bits_hold(documents, monkeypatch):
+    """Without bands the fingerprints' trees still draw candidates: near copies far above 0.8, in shards of many sizes."""
+    monkeypatch.setattr(resemblance, "band_keys", lambda hashes: [])
+    rng = random.Random(5)
+    rows = []
+    for i in range(20):
+        text = [f"w{rng.randrange(9000)}" for _ in range(2000)]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join([*text[:1000], "new", *text[1000:]]))]
+    fps = [resemblance.fingerprint_of(resemblance.shingle_set(t.encode())) for _, t in rows]
+    within = sum((a ^ b).bit_count() <= 3 for a, b in zip(fps[::2], fps[1::2], strict=True))
+    found = len(rows) - len(kept(resemblance.one_per_component(documents(rows), shard_size=4)))
+    assert found == within >= 18
+
+
 def test_odd_rows_and_empty(documents, odd_rows):
     docs = documents(odd_rows)
     out = resemblance.one_per_component(docs)
