@@ -680,6 +680,7 @@ def _columns_of(name: str, columns: str) -> str:
 
 ORACLE |= {
     "pipeline_run_report": ORACLE["rpt_top_content_by_source"],
+    "incr_content_events_keyed": ORACLE["incr_content_events_stream"],
     "dataset_name": _columns_of("slugify", "doc_id, dataset_name, suggested_name"),
     "safe_cast_default": _columns_of("safe_cast", "o_orderkey, as_default"),
     "extract_app_id": _columns_of("url_ids", "o_orderkey, app_id"),
@@ -687,6 +688,15 @@ ORACLE |= {
     "extract_votes": _columns_of("url_ids", "o_orderkey, votes, year_text"),
 }
 
+# The SQL functions give what the column functions and tests give.
+ORACLE |= {
+    f"sql_{name}": ORACLE[name]
+    for name in (
+        "normalize_text", "clean_html", "trim_strings", "safe_cast", "calculate_growth", "surrogate_key", "test_unique", "test_not_null",
+        "test_accepted_values", "test_relationships", "test_positive_score", "test_not_future_date", "test_orphans", "test_event_unique",
+    )
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

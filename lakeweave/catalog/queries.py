@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeweave.catalog import fixtures as fx
 from lakeweave.catalog.fixtures import AS_OF, SPLIT
-from lakeweave.functions import casts, keys, numbers, rows, text
+from lakeweave.functions import casts, keys, numbers, rows, sql_forms, text
 from lakeweave.operators import chains, extract, history, json_records, lake as lake_ops, monitor, quality, quality_state, urls
 from lakeweave.functions.html_select import FieldSpec
 from lakeweave.operators.lake import Lake
@@ -25,7 +25,7 @@ from lakeweave.session import as_table, child_names, materialized, replace_folde
 from lakeweave.sources import files
 from lakeweave.sources.adapters import split_sentinel_keys
 from lakeweave.sources.seeds import content_categories, source_metadata
-from lakeweave.streaming import event_log
+from lakeweave.streaming import event_log, keyed_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -598,21 +598,32 @@ def incr_schema_sync(spark, sf):
     return history.sync_columns(stored, [("id", "string"), ("score", "string"), ("flair", "string")])
 
 
-@query
-def incr_content_events_stream(spark, sf):
-    """Several batches; the sources' clocks are weeks apart, and some rows come twice."""
-    raw = work_dir(spark, "stream")
+def _late_events(spark, sf, folder: str) -> DataFrame:
+    """Streaming events of several batches; the sources' clocks are weeks apart, and some rows come twice."""
     streams = {}
     for name, df in fx.raw_sources(spark, sf).items():
-        path = f"{raw}/raw/{name}"
+        path = f"{folder}/raw/{name}"
         late = F.pmod(F.xxhash64(SOURCES[name].key), F.lit(3)) == 0
         df.where(~late).coalesce(1).write.parquet(path)
         df.where(late | (F.pmod(F.xxhash64(SOURCES[name].key), F.lit(5)) == 0)).coalesce(1).write.mode("append").parquet(path)
         streams[name] = event_log.read_raw_stream(spark, path, df.schema, max_files=1)
-    unified = intermediate.int_content_unified(stage_all(streams, AS_OF))
-    out = f"{raw}/log"
-    event_log.start_event_log(event_log.incr_content_events_stream(unified), out, f"{raw}/checkpoint").awaitTermination()
-    return history.EventLog(spark, out).read()
+    return event_log.incr_content_events_stream(intermediate.int_content_unified(stage_all(streams, AS_OF)))
+
+
+@query
+def incr_content_events_stream(spark, sf):
+    raw = work_dir(spark, "stream")
+    event_log.start_event_log(_late_events(spark, sf, raw), f"{raw}/log", f"{raw}/checkpoint").awaitTermination()
+    return history.EventLog(spark, f"{raw}/log").read()
+
+
+@query
+def incr_content_events_keyed(spark, sf):
+    """The same batches through keyed state with a clock per source and a horizon of three days."""
+    raw = work_dir(spark, "keyed")
+    events = _late_events(spark, sf, raw)
+    keyed_state.start_keyed_log(events, f"{raw}/log", f"{raw}/checkpoint", horizon_seconds=3 * 86_400).awaitTermination()
+    return keyed_state.KeyedEventLog(spark, f"{raw}/log").read(events.schema)
 
 
 def _steam_history(spark, sf):
@@ -691,17 +702,23 @@ def fn_trim_strings(spark, sf):
     return fx.table(spark, sf, "part").select("p_partkey", text.trim_text(padded).alias("value"))
 
 
-@query
-def fn_safe_cast(spark, sf):
+def _dirty_orders(spark, sf) -> DataFrame:
+    """Orders with prices and days as dirty text."""
     dirty = F.concat(
         F.lit(" "), F.round(F.col("o_totalprice") / 100, 1).cast("string"),
         F.when(F.col("o_orderkey") % 7 == 0, F.lit("d")).when(F.col("o_orderkey") % 7 == 1, F.lit("e1"))
         .when(F.col("o_orderkey") % 7 == 2, F.lit("f")).when(F.col("o_orderkey") % 7 == 3, F.lit("x")).otherwise(F.lit(" ")),
     )
     day = F.concat(F.date_format("o_orderdate", "yyyy/M/d"), F.when(F.col("o_orderkey") % 5 == 0, F.lit("x")).otherwise(F.lit("")))
-    return fx.table(spark, sf, "orders").select(
+    return fx.table(spark, sf, "orders").withColumns({"dirty": dirty, "day": day})
+
+
+@query
+def fn_safe_cast(spark, sf):
+    dirty = F.col("dirty")
+    return _dirty_orders(spark, sf).select(
         "o_orderkey", casts.safe_int(dirty).alias("as_int"), casts.safe_double(dirty).alias("as_double"),
-        casts.safe_int_from_double(F.col("o_totalprice")).alias("price_int"), casts.safe_date(day).alias("as_date"),
+        casts.safe_int_from_double(F.col("o_totalprice")).alias("price_int"), casts.safe_date(F.col("day")).alias("as_date"),
         casts.cast_or_default(dirty, "double", -1.0).alias("as_default"),
     )
 
@@ -753,6 +770,48 @@ def fn_dataset_name(spark, sf):
     return fn_slugify(spark, sf).select("doc_id", "dataset_name", "suggested_name")
 
 
+def _sql_call(spark, df: DataFrame, columns: str) -> DataFrame:
+    """Calls of the SQL functions over a temporary view."""
+    sql_forms.register_macros(spark)
+    name = f"calls_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(name)
+    return spark.sql(f"SELECT {columns} FROM {name}")
+
+
+@query
+def sql_normalize_text(spark, sf):
+    return _sql_call(spark, fx.table(spark, sf, "documents"), "doc_id, normalize_text(text) AS value")
+
+
+@query
+def sql_clean_html(spark, sf):
+    return _sql_call(spark, fx.table(spark, sf, "pages"), "page_id, clean_html(html) AS value")
+
+
+@query
+def sql_trim_strings(spark, sf):
+    return _sql_call(spark, fx.table(spark, sf, "part"), "p_partkey, trim_text(concat('\u00a0 \u3000', p_name, '  ')) AS value")
+
+
+@query
+def sql_safe_cast(spark, sf):
+    return _sql_call(
+        spark, _dirty_orders(spark, sf), "o_orderkey, safe_int(dirty) AS as_int, safe_double(dirty) AS as_double, "
+        "safe_int_from_double(o_totalprice) AS price_int, safe_date(day) AS as_date, coalesce(safe_double(dirty), -1.0D) AS as_default",
+    )
+
+
+@query
+def sql_calculate_growth(spark, sf):
+    return _sql_call(spark, fx.table(spark, sf, "lineitem"), "l_orderkey, l_linenumber, calculate_growth(l_linenumber, l_orderkey % 5) AS growth_pct")
+
+
+@query
+def sql_surrogate_key(spark, sf):
+    parts = "array(string(o_orderkey), CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END)"
+    return _sql_call(spark, fx.table(spark, sf, "orders"), f"o_orderkey, surrogate_key({parts}) AS key, surrogate_key_fallback({parts}) AS fallback_key")
+
+
 @query
 def fn_safe_cast_default(spark, sf):
     return fn_safe_cast(spark, sf).select("o_orderkey", "as_default")
@@ -906,6 +965,61 @@ def test_event_unique(spark, sf):
     return quality.test_event_unique(history.content_events(first).unionByName(history.content_events(everything)))
 
 
+def _sql_test(spark, df: DataFrame, test: str, columns: str, column: str = "", argument: str = "", parent: DataFrame | None = None, parent_column: str = ""):
+    """The failing rows of a test, through its SQL function on a temporary view."""
+    name = f"test_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(f"{name}_rows")
+    if parent is not None:
+        parent.createOrReplaceTempView(f"{name}_parent")
+    sql_forms.register_test(spark, name, test, f"{name}_rows", column, "" if parent is None else f"{name}_parent", parent_column)
+    return spark.sql(f"SELECT {columns} FROM {name}({argument})")
+
+
+@query
+def sql_test_unique(spark, sf):
+    return _sql_test(spark, fx.reddit_posts(spark, sf), "unique", "author, n_records", "author")
+
+
+@query
+def sql_test_not_null(spark, sf):
+    return _sql_test(spark, _staged(spark, sf, "reddit"), "not_null", "id", "score")
+
+
+@query
+def sql_test_accepted_values(spark, sf):
+    return _sql_test(spark, fx.reddit_posts(spark, sf), "accepted_values", "subreddit, n_records", "subreddit", "array('view', 'click')")
+
+
+@query
+def sql_test_relationships(spark, sf):
+    customers = fx.table(spark, sf, "customer").where(F.col("c_acctbal") > 0)
+    orders = fx.table(spark, sf, "orders")
+    return _sql_test(spark, orders, "relationships", "o_orderkey, o_custkey", "o_custkey", parent=customers, parent_column="c_custkey")
+
+
+@query
+def sql_test_positive_score(spark, sf):
+    return _sql_test(spark, fx.table(spark, sf, "customer"), "positive_score", "c_custkey, c_acctbal", "c_acctbal")
+
+
+@query
+def sql_test_not_future_date(spark, sf):
+    return _sql_test(spark, _staged(spark, sf, "reddit"), "not_future_date", "id, created_at", "created_at", "timestamp'2024-01-15 00:00:00'")
+
+
+@query
+def sql_test_orphans(spark, sf):
+    dims = _dim_sources(spark).where(F.col("source_name") != "news")
+    return _sql_test(spark, _content(spark, sf), "orphans", "content_id, source_name", parent=dims)
+
+
+@query
+def sql_test_event_unique(spark, sf):
+    first, everything = _two_batches(spark, sf)
+    both = history.content_events(first).unionByName(history.content_events(everything))
+    return _sql_test(spark, both, "event_unique", "event_id, occurrence_count")
+
+
 @query
 def dq_results(spark, sf):
     """Every declared test on every relation; each reads only the columns it tests. What other relations are built from
