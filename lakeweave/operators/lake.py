@@ -82,7 +82,10 @@ class Lake:
         text = json.dumps([f.jsonValue() for f in schema], sort_keys=True)
         mark, names = hashlib.sha256(text.encode()).hexdigest()[:16], child_names(self.spark, self._columns_path(layer, source))
         if not any(n.endswith(f"-{mark}.json") for n in names):
-            write_once(self.spark, f"{self._columns_path(layer, source)}/{len(names):06d}-{mark}.json", text)
+            try:
+                write_once(self.spark, f"{self._columns_path(layer, source)}/{len(names):06d}-{mark}.json", text)
+            except FileExistsError:  # a write at the same time noted the same columns: the name holds their hash
+                pass
 
     def columns(self, layer: str, source: str) -> T.StructType | None:
         """The union of the columns of all versions, in the order they came; None where none are kept, because another tool wrote the files."""

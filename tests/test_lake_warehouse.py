@@ -309,3 +309,14 @@ def test_log_lines(spark, frame):
     assert [tuple(r) for r in got] == [
         ("2024-01-01", "ERROR", "m", "p1"), ("t2", "debug", "plain", None), ("", "INFO", '{"a": 1}', None),
     ]
+
+
+def test_two_writers_note_the_same_columns(spark, lake, sample, monkeypatch):
+    """Both have listed the column files before either wrote one."""
+    from lakeweave.operators import lake as lake_ops
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lake_ops, "child_names", lambda *_: [])
+        for _ in range(2):
+            lake.note_columns("raw", "twice", sample.schema)
+    assert lake.columns("raw", "twice") == sample.schema
