@@ -108,8 +108,8 @@ def _encode(tokenizer_path: str, end_id: int):
         cache = TokenCache.of(tokenizer_path, SPACED)
         task, used = TaskContext.get().partitionId(), {}
         for batch in batches:
-            for low in range(0, len(batch), 512):
-                part = batch.slice(low, 512)
+            for low in range(0, len(batch), 1024):
+                part = batch.slice(low, 1024)
                 ids, lengths, places = [], [], []
                 for source, found in zip(part.column(1).to_pylist(), cache.encode(texts_of(part.column(2))), strict=True):
                     ids.append(np.append(found, np.uint32(end_id)).astype(cache.width).tobytes())

@@ -171,3 +171,14 @@ def test_schedule_covers_every_place_once():
             for a, m in zip(place, length, strict=True):
                 used[a : a + m] += 1
         assert (used == 1).all()
+
+
+def test_words_are_cut_off_from_their_stops():
+    """One word with several stops is one word to learn; cuts join to the text and ids stay those of the whole."""
+    texts = ["one two, two. two; two! Two:two?", "", "a.b,c é, 1.5 it's. x|y <|endoftext|>, end", " ", ".", "two\ntwo,\n.two", "ü.x"]
+    column = tokens.spaced_column(tokens.pa.array(["skipped here", *texts], tokens.pa.large_string()).slice(1))
+    assert ["".join(x) for x in column.to_pylist()] == texts
+    assert {w for words in column.slice(0, 1).to_pylist() for w in words} == {"one", " two", " Two", ",", ".", ";", "!", ":two", "?"}
+    cache = tokens.TokenCache(BYTE, tokens.SPACED)
+    assert [x.tolist() for x in cache.encode(texts)] == [ids_of(BYTE, t) for t in texts]
+    assert cache.encode([]) is not None and tokens.spaced_column(tokens.pa.array([], tokens.pa.large_string())).to_pylist() == []
