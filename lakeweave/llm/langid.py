@@ -23,6 +23,7 @@ CLASSES = BUCKETS.bit_length()
 PIECES_AT_LEAST = 200
 LETTER = re.compile(r"[^\W\d_]")
 _BYTES_AT_ONCE = 1 << 20
+_ROWS_AT_ONCE = 64
 
 
 def ngram_counts(text: str) -> np.ndarray:
@@ -44,8 +45,11 @@ def ngram_counts(text: str) -> np.ndarray:
 
 def vectors_of(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Rows of log counts times IDF, scaled to length 1."""
-    rows = np.log1p(counts) * idf
-    return rows / np.maximum(np.sqrt((rows * rows).sum(axis=1, keepdims=True)), 1e-12)
+    rows = np.empty(counts.shape)
+    for at in range(0, len(counts), _ROWS_AT_ONCE):  # the intermediate arrays are of a few rows
+        part = np.log1p(counts[at : at + _ROWS_AT_ONCE]) * idf
+        rows[at : at + _ROWS_AT_ONCE] = part / np.maximum(np.sqrt((part * part).sum(axis=1, keepdims=True)), 1e-12)
+    return rows
 
 
 def richness(counts: np.ndarray) -> np.ndarray:
@@ -112,8 +116,8 @@ def _limits(texts: list[str], rows: np.ndarray, idf: np.ndarray, centroids: int,
     for one, other in (halves, halves[::-1]):
         centers = _centers(rows[one], centroids)
         pieces = [p for i in other.tolist() for p in _pieces(texts[i], i // 2)]
-        for at in range(0, len(pieces), 256):
-            counts = np.array([ngram_counts(p) for p in pieces[at : at + 256]])
+        for at in range(0, len(pieces), _ROWS_AT_ONCE):
+            counts = np.array([ngram_counts(p) for p in pieces[at : at + _ROWS_AT_ONCE]])
             distance.append(1 - (vectors_of(counts, idf) @ centers.T).max(axis=1))
             kind.append(richness(counts))
     distance, kind = np.concatenate(distance), np.concatenate(kind)
@@ -130,7 +134,9 @@ def _clusters(idf: np.ndarray, centroids: int, quantile: float):
 
     def run(key: tuple, sample: pa.Table) -> pa.Table:
         texts = sample.sort_by("rank").column("text").to_pylist()
-        rows = vectors_of(np.array([ngram_counts(t) for t in texts]), idf)
+        rows = np.empty((len(texts), BUCKETS))
+        for at in range(0, len(texts), _ROWS_AT_ONCE):
+            rows[at : at + _ROWS_AT_ONCE] = vectors_of(np.array([ngram_counts(t) for t in texts[at : at + _ROWS_AT_ONCE]]), idf)
         centers = _centers(rows, centroids)
         limits = _limits(texts, rows, idf, centroids, quantile)
         n = len(centers)
@@ -182,10 +188,11 @@ def _predict(model: Model | None):
                 texts = part.column("text").to_pylist()
                 language, score, accepted = [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
                 known = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
-                if known and model is not None:
-                    counts = np.array([ngram_counts(texts[i]) for i in known])
+                for at in range(0, len(known) if model is not None else 0, _ROWS_AT_ONCE):
+                    some = known[at : at + _ROWS_AT_ONCE]
+                    counts = np.array([ngram_counts(texts[i]) for i in some])
                     cosine = vectors_of(counts, model.idf) @ model.centroids.T
-                    for i, row, c, k in zip(known, cosine, cosine.argmax(axis=1).tolist(), richness(counts).tolist(), strict=True):
+                    for i, row, c, k in zip(some, cosine, cosine.argmax(axis=1).tolist(), richness(counts).tolist(), strict=True):
                         language[i], score[i] = model.languages[c], float(min(1.0, max(0.0, row[c])))
                         accepted[i] = bool(1 - row[c] <= model.limits[c, k])
                 yield pa.RecordBatch.from_arrays(

@@ -100,3 +100,19 @@ def test_rows_without_a_letter_do_not_thin_the_sample(documents):
     rows += [(9996, "a casa e o jardim do homem velho", "pt", "s", 1)] * 3000
     model = langid.train(documents(rows), sample=5)
     assert set(model.languages) == {"en", "de", "fr", "es", "pt"}
+
+
+def test_prediction_holds_few_vectors_at_once():
+    """A vector has 8192 numbers; those of a whole slice of the batch, several times over, are most of a worker's memory."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    model = langid.Model(np.ones(langid.BUCKETS), np.ones((2, langid.BUCKETS)), ["a", "b"], np.ones((2, langid.CLASSES)))
+    batch = pa.RecordBatch.from_pydict({"text": [f"some words and the number {i}" for i in range(256)]})
+    tracemalloc.start()
+    try:
+        assert sum(len(b) for b in langid._predict(model)(iter([batch]))) == 256
+        assert tracemalloc.get_traced_memory()[1] < 24e6
+    finally:
+        tracemalloc.stop()
