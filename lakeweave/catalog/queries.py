@@ -600,13 +600,14 @@ def incr_schema_sync(spark, sf):
 
 def _late_events(spark, sf, folder: str) -> DataFrame:
     """Streaming events of several batches; the sources' clocks are weeks apart, and some rows come twice."""
-    streams = {}
+    streams, files_at_once = {}, spark.sparkContext.defaultParallelism
     for name, df in fx.raw_sources(spark, sf).items():
         path = f"{folder}/raw/{name}"
         late = F.pmod(F.xxhash64(SOURCES[name].key), F.lit(3)) == 0
-        df.where(~late).coalesce(1).write.parquet(path)
-        df.where(late | (F.pmod(F.xxhash64(SOURCES[name].key), F.lit(5)) == 0)).coalesce(1).write.mode("append").parquet(path)
-        streams[name] = event_log.read_raw_stream(spark, path, df.schema, max_files=1)
+        df.where(~late).repartition(files_at_once).write.parquet(path)
+        again = df.where(late | (F.pmod(F.xxhash64(SOURCES[name].key), F.lit(5)) == 0))
+        again.repartition(files_at_once).write.mode("append").parquet(path)
+        streams[name] = event_log.read_raw_stream(spark, path, df.schema, max_files=files_at_once)
     return event_log.incr_content_events_stream(intermediate.int_content_unified(stage_all(streams, AS_OF)))
 
 

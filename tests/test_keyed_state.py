@@ -63,3 +63,64 @@ def test_a_repeated_batch_adds_nothing_and_slots_are_fixed(spark):
     assert len(feed.stored()) == 3
     with pytest.raises(ValueError, match="slots"):
         keyed_state.start_keyed_log(feed.events, f"{feed.folder}/log", f"{feed.folder}/checkpoint", slots=3)
+
+
+def test_the_store_is_asked_by_hour_not_by_row():
+    """A call goes to another process; a batch makes one of a kind for each hour, however many rows it has."""
+    import pandas as pd
+
+    class Store:
+        def __init__(self):
+            self.held, self.calls = {}, 0
+
+        def call(self, value=None):
+            self.calls += 1
+            return value
+
+        def exists(self):
+            return self.call("value" in self.held)
+
+        def get(self):
+            return self.call(self.held["value"])
+
+        def update(self, value):
+            self.held["value"] = self.call(value)
+
+        def containsKey(self, key):
+            return self.call(key in self.held)
+
+        def getValue(self, key):
+            return self.call(self.held[key])
+
+        def updateValue(self, key, value):
+            self.held[key] = self.call(value)
+
+        def keys(self):
+            return self.call(iter(list(self.held)))
+
+        def iterator(self):
+            return self.call(iter(list(self.held.items())))
+
+        def removeKey(self, key):
+            self.call(self.held.pop(key))
+
+    class Handle:
+        def __init__(self):
+            self.stores = []
+
+        def getMapState(self, *_):
+            self.stores.append(Store())
+            return self.stores[-1]
+
+        getValueState = getMapState
+
+    handle, state = Handle(), keyed_state.SeenEvents(86_400)
+    state.init(handle)
+
+    def batch(n):
+        at = [1_700_000_000_000_000 + i % 4 * 3_600_000_000 for i in range(n)]
+        rows = pd.DataFrame({"event_id": [f"e{i}" for i in range(n)], "at": at, "slot": 0})
+        return pd.concat(state.handleInputRows(("s", 0), iter([rows[: n // 2], rows[n // 2 :], rows[:5]]), None))
+
+    assert len(batch(2000)) == 2000 and len(batch(2100)) == 100
+    assert sum(s.calls for s in handle.stores) < 60
