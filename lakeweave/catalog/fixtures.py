@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 AS_OF = datetime(2024, 2, 1)
 SPLIT = datetime(2024, 1, 20)
+PAGES_PER_TASK = 20_000
 
 
 # Declared schemas save a footer-reading job per table and query.
@@ -132,8 +133,11 @@ def reddit_load(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
 
 
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """The test tables are one file with one row group; spread the narrow rows before pages are built from them."""
-    return df.repartition(spark.sparkContext.defaultParallelism)
+    """The test tables are one file with one row group; spread the narrow rows before pages are built from them.
+
+    A task gets so many rows at most, however large the table is. The count comes from the footers.
+    """
+    return df.repartition(max(spark.sparkContext.defaultParallelism, -(-df.count() // PAGES_PER_TASK)))
 
 
 def _html(*parts: str | Column) -> Column:

@@ -307,3 +307,14 @@ def test_monitoring(frame):
     assert monitor.dataset_kpis(datasets.limit(0), runs, datetime(2024, 2, 1)).first().freshness == 0
     lines = frame([(i, f"line {i} {'error' if i % 2 else 'info'}") for i in range(300)], "line_no int, line string")
     assert monitor.log_tail_contains(lines, "ERROR").count() == 100 and monitor.log_tail_contains(lines).count() == 200
+
+
+def test_made_pages_are_many_tasks_when_the_table_is_large(spark, monkeypatch):
+    from lakeweave.catalog import fixtures as fx
+
+    orders = fx.table(spark, "/root/testdata/sf0.001", "orders")
+    monkeypatch.setattr(fx, "PAGES_PER_TASK", 10, raising=False)
+    spread = fx._spread(spark, orders)
+    assert spread.rdd.getNumPartitions() == -(-orders.count() // 10) and spread.count() == orders.count()
+    monkeypatch.setattr(fx, "PAGES_PER_TASK", 10**9, raising=False)
+    assert fx._spread(spark, orders).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
