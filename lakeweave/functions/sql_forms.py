@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from lakeweave.functions.keys import NULL_TOKEN, NULL_TOKEN_FALLBACK
-from lakeweave.functions.text import SPACE_SEPARATORS
+from lakeweave.functions.text import SPACE_SEPARATORS, WHITE_SPACE
 
 # Name and parameters -> (type, body). Each gives what the column function of that name gives; later ones call earlier ones. Parts of keys
 # are cast by the caller: an array of mixed types would not be one of texts.
@@ -18,7 +18,7 @@ MACROS: dict[str, tuple[str, str]] = {
     "normalize_text(value STRING)": ("STRING", "lower(trim(regexp_replace(value, '[^a-zA-Z0-9 ]', '')))"),
     "clean_html(value STRING)": ("STRING", "regexp_replace(value, '<[^>]+>', '')"),
     "trim_text(value STRING)": ("STRING", f"btrim(value, '{SPACE_SEPARATORS}')"),
-    "strip_whitespace(value STRING)": ("STRING", r"regexp_replace(value, r'(?U)^\s+|\s+$', '')"),
+    "strip_whitespace(value STRING)": ("STRING", "btrim(value, '" + "".join(f"\\u{ord(c):04x}" for c in WHITE_SPACE) + "')"),
     "slugify(value STRING)": ("STRING", "btrim(regexp_replace(lower(strip_whitespace(value)), '[^a-z0-9]+', '_'), '_')"),
     "dataset_name(source STRING)": ("STRING", "concat(btrim(regexp_replace(lower(source), '[^a-z0-9]+', '_'), '_'), '_dataset')"),
     "truncate_string(value STRING, max_len INT DEFAULT 200)": (

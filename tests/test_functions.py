@@ -59,6 +59,17 @@ def test_slugify_and_names(values):
     ]
 
 
+def test_trimming_takes_white_space_alone_and_no_longer_for_blanks_inside(values):
+    from time import monotonic
+
+    texts = [f"{chr(c)}a{chr(c)}b{chr(c)}{chr(c)}" for c in [*range(0x3100), 0xFEFF, 0x1F600]]
+    by_pattern = values(texts, lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
+    assert values(texts, text.strip_whitespace) == by_pattern
+    start, inside = monotonic(), "a" + " " * 300_000 + "b"
+    assert values([f"\n{inside}\t"], text.strip_whitespace) == [inside]
+    assert values([inside], text.slugify) == ["a_b"] and monotonic() - start < 20
+
+
 def test_truncate(values):
     assert values(["a" * 300, "short", None], lambda c: text.truncate_string(c, 10)) == ["a" * 7 + "...", "short", None]
 
