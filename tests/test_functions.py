@@ -70,6 +70,14 @@ def test_trimming_takes_white_space_alone_and_no_longer_for_blanks_inside(values
     assert values([inside], text.slugify) == ["a_b"] and monotonic() - start < 20
 
 
+def test_a_suggested_name_is_cut_before_its_characters_are_replaced(spark, values, capsys):
+    texts = ["\u0130" * 30 + "x" * 30, "\U0001f600" * 41 + "a", " " + "-" * 39 + "b" * 9, "Ä_ö" * 20]
+    late = lambda c: F.btrim(F.substring(F.regexp_replace(F.lower(text.strip_whitespace(c)), "[^a-z0-9_]", "_"), 1, 40), F.lit("_"))
+    assert values(texts, lambda c: text.suggested_dataset_name(c, F.lit("s"))) == [n or "s_dataset" for n in values(texts, late)]
+    spark.range(1).select(text.suggested_dataset_name(F.col("id").cast("string"), F.lit("s"))).explain()
+    assert "regexp_replace(substring(" in capsys.readouterr().out
+
+
 def test_truncate(values):
     assert values(["a" * 300, "short", None], lambda c: text.truncate_string(c, 10)) == ["a" * 7 + "...", "short", None]
 
