@@ -318,3 +318,11 @@ def test_made_pages_are_many_tasks_when_the_table_is_large(spark, monkeypatch):
     assert spread.rdd.getNumPartitions() == -(-orders.count() // 10) and spread.count() == orders.count()
     monkeypatch.setattr(fx, "PAGES_PER_TASK", 10**9, raising=False)
     assert fx._spread(spark, orders).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_made_pages_are_spread(spark, monkeypatch):
+    from lakeweave.catalog import fixtures as fx, queries
+
+    monkeypatch.setattr(fx, "PAGES_PER_TASK", 10)
+    made = queries._made_pages(spark, "/root/testdata/sf0.001", "part", "p_partkey", ["=<div>", "p_name", "=</div>"])
+    assert made.rdd.getNumPartitions() == -(-made.count() // 10)
