@@ -326,3 +326,31 @@ def test_made_pages_are_spread(spark, monkeypatch):
     monkeypatch.setattr(fx, "PAGES_PER_TASK", 10)
     made = queries._made_pages(spark, "/root/testdata/sf0.001", "part", "p_partkey", ["=<div>", "p_name", "=</div>"])
     assert made.rdd.getNumPartitions() == -(-made.count() // 10)
+
+
+def test_whole_tags_are_found_as_piece_by_piece():
+    import random
+
+    from lakeweave.functions.html_select import Markup
+
+    def pieces(html, slow):
+        markup, found, position = Markup(html), [], 0
+        if slow:
+            markup.gone.add("\0")  # the short form is left as soon as something is gone
+        while piece := markup.next(position):
+            found.append(piece)
+            position = piece[1]
+        return found
+
+    rng, parts = random.Random(7), ["<a", "<b ", "</a", ">", "=", '"', "'", " ", "x", "/", "<!--", "-->", "<!d", "<?", "<", "\n", 'h="v>"', "k='<i>'"]
+    for _ in range(20_000):
+        html = "".join(rng.choices(parts, k=rng.randint(1, 14)))
+        assert pieces(html, False) == pieces(html, True), html
+
+
+def test_elements_alike_are_matched_once_whatever_their_other_attributes():
+    plan = SelectPlan((FieldSpec("v", "div.thing", multiple=True, children=(FieldSpec("id", ":scope", "data-id"), FieldSpec("t", ".title > a"))),))
+    for k in range(3000):
+        out = SelectScan(plan).scan(f'<div class="thing odd" data-id="{k}"><p class=title><a href="/{k}">t{k}</a></p></div>').out
+        assert out == {"v": [{"id": str(k), "t": f"t{k}"}]}
+    assert len(plan.selected) == 4  # the page, div, p and a
