@@ -438,7 +438,7 @@ def fct_engagement_metrics(spark, sf):
 def _kept_metrics(spark, sf):
     """Metrics from a state that was built with faults: scores of every month's 7th are doubled, the 8th is missing, the 9th has its rows twice.
     Three changes correct them."""
-    content = as_table(_content(spark, sf), "fct_content")
+    content = as_table(_content(spark, sf).select(*metrics_state.READ_COLUMNS), "fct_content")
     day, state = F.dayofmonth("created_at"), metrics_state.MetricsState(spark, work_dir(spark, "metrics-state"))
     on = {k: content.where(day == k) for k in (7, 8, 9)}
     doubled = on[7].withColumn("score", F.col("score") * 2)

@@ -17,6 +17,11 @@ from lakeweave.session import as_table, child_names, matching_paths, read_text,
 PARTIAL_SCHEMA = "source_name string, n bigint, scored bigint, odd bigint, total decimal(38,12), odd_total double, high double, low double, loaded_at timestamp, activity_date date"
 _COLUMNS = ["source_name", "n", "scored", "odd", "total", "odd_total", "high", "low", "loaded_at", "activity_date"]
 
+# Days that one task writes: every day is a file, and files are what the writing costs.
+DAYS_PER_TASK = 64
+# What the state reads of the content: a caller that stores the content for it needs no others.
+READ_COLUMNS = ["source_name", "score", "created_at", "loaded_at"]
+
 
 def _day() -> Column:
     return F.to_date("created_at")
@@ -64,18 +69,18 @@ class MetricsState:
             return self.spark.createDataFrame([], PARTIAL_SCHEMA)
         return self.spark.read.schema(PARTIAL_SCHEMA).option("basePath", self.path).parquet(*paths).select(*_COLUMNS)
 
-    def _store(self, rows: DataFrame, now: dict, touched: set[str]) -> None:
-        """Write whole days and commit; a touched day without rows is gone."""
+    def _store(self, rows: DataFrame, now: dict, touched: set[str], n_days: int) -> None:
+        """Write whole days, ``n_days`` at most, and commit; a touched day without rows is gone."""
         folder = f"days={uuid.uuid4().hex[:12]}"
-        rows.hint("rebalance", F.col("activity_date")).write.partitionBy("activity_date").parquet(f"{self.path}/{folder}")
+        rows.repartition(max(1, -(-n_days // DAYS_PER_TASK)), "activity_date").write.partitionBy("activity_date").parquet(f"{self.path}/{folder}")
         written = {p.rsplit("=", 1)[1]: folder for p in matching_paths(self.spark, f"{self.path}/{folder}/activity_date=*")}
         kept = {day: f for day, f in now["days"].items() if day not in touched}
         write_once(self.spark, f"{self.path}/commits/{now['seq'] + 1:09d}.json", json.dumps({"seq": now["seq"] + 1, "days": kept | written}))
 
     def rebuild(self, content: DataFrame) -> None:
         """From the whole content."""
-        now = self._newest()
-        self._store(partials(content), now, set(now["days"]))
+        now, rows = self._newest(), as_table(partials(content), "metrics-partials")
+        self._store(rows, now, set(now["days"]), rows.select("activity_date").distinct().count())
 
     def apply(self, came: DataFrame, went: DataFrame, content: DataFrame) -> set[date]:
         """Take a change in; ``content`` is the fact after it, read only for pairs that cannot be derived. Returns the days rewritten."""
@@ -114,7 +119,7 @@ class MetricsState:
             near = content.where(_day().isin(days) & (F.col("created_at") >= F.lit(min(days)).cast("timestamp")))
             anew = near.join(pairs, F.col("source_name").eqNullSafe(F.col("s")) & (_day() == F.col("d")), "left_semi")
             derived = derived.unionByName(partials(anew))
-        self._store(derived, now, touched)
+        self._store(derived, now, touched, len(touched))
         return {date.fromisoformat(d) for d in touched}
 
     def partials(self) -> DataFrame:

@@ -104,3 +104,27 @@ def test_a_run_that_dies_leaves_the_days_as_they_were(spark, state, monkeypatch)
         with pytest.raises(ZeroDivisionError):
             state.rebuild(spark.createDataFrame([], SCHEMA))
     check(spark, state, rows)
+
+
+def test_many_days_are_written_by_many_tasks(spark, state, monkeypatch):
+    from lakeweave.plans import metrics_state
+    from lakeweave.session import matching_paths
+
+    monkeypatch.setattr(metrics_state, "DAYS_PER_TASK", 2, raising=False)
+    rows = [(f"c{k}", "news", 1.0 * k, DAY0 + timedelta(days=k % 40), DAY0) for k in range(200)]
+    state.rebuild(spark.createDataFrame(rows, SCHEMA))
+    names = [p.rsplit("/", 1)[1] for p in matching_paths(spark, f"{state.path}/days=*/activity_date=*/part-*")]
+    assert len(names) == 40 and len({n.split("-")[1] for n in names}) > 5
+    check(spark, state, rows)
+
+
+def test_the_columns_read_are_enough(spark, state):
+    from lakeweave.plans import metrics_state
+
+    rng = random.Random(4)
+    rows = [row(rng, k) for k in range(60)]
+    content = spark.createDataFrame(rows, SCHEMA).select(*metrics_state.READ_COLUMNS)
+    state.rebuild(content)
+    state.apply(content.limit(0), content.where("source_name = 'news'").limit(3), content)
+    state.rebuild(content)
+    check(spark, state, rows)
