@@ -78,3 +78,23 @@ def test_other_declarations_have_their_own_state(spark):
     path = work_dir(spark, "state")
     QualityState(spark, path, {"people": TableTests(("pid",))}).add("v0", {"people": spark.createDataFrame([(1,), (1,)], "pid int")}, AS_OF)
     assert QualityState(spark, path, {"people": TableTests((), ("pid",))}).versions() == []
+
+
+def test_a_compacted_state_is_not_shuffled_by_value(spark, capsys):
+    from datetime import datetime
+
+    from lakeweave.operators.quality import TableTests
+    from lakeweave.operators.quality_state import QualityState
+    from lakeweave.session import work_dir
+
+    at = datetime(2024, 1, 1)
+    state = QualityState(spark, work_dir(spark, "compacted"), {"t": TableTests(("id",), ("id",))})
+    for k in range(2):
+        state.add(f"v{k}", {"t": spark.range(5 * k, 5 * k + 6).selectExpr("id")}, at)
+    before = sorted(map(tuple, state.results(at).collect()))
+    state.compact()
+    found = state.results(at)
+    assert sorted(map(tuple, found.collect())) == before and ("t", "unique", "id", 1) in before
+    capsys.readouterr()
+    state.results(at).explain()
+    assert "hashpartitioning(test_no" in (plan := capsys.readouterr().out) and ", h1#" not in "".join(x for x in plan.splitlines() if "hashpartitioning" in x)
