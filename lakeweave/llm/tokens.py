@@ -32,7 +32,9 @@ _UNUSUAL = ["  ", " \n", "\n ", "\n\n", "\x00", *"\t\x0b\x0c\r\x85\xa0\u1680\u20
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _WIDE = [m for m in _UNUSUAL if len(m) == 1 and ord(m) > 127]  # white space beyond ASCII
 _TEXT_AT_ONCE = 1 << 22
-_STOP, _ASCII_LETTER = (np.isin(np.arange(256), list(x)) for x in (b".,;:!?", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
+_STOP, _ASCII_LETTER, _SPACED_AT, _BARE_AT = (
+    np.isin(np.arange(256), list(x)) for x in (b".,;:!?", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", b" \n", b" \t\n\x0b\x0c\r")
+)
 
 
 def spaced_chunks(text: str) -> list[str]:
@@ -49,15 +51,15 @@ def bare_words(text: str) -> list[str]:
     return _WORD.findall(text) if any(mark in text for mark in _SEPARATORS) else text.split()
 
 
-def spaced_column(texts: pa.Array) -> pa.Array:
-    """The same for a column of texts without unusual marks, cut also between an ASCII letter and a stop: those are never one token,
-    and far fewer words differ without their stops. The cuts share the bytes of the texts."""
+def _cut_column(texts: pa.Array, space: np.ndarray) -> pa.Array:
+    """Texts cut before every byte of ``space``, and between an ASCII letter and a stop: those are never one token, and far fewer words
+    differ without their stops. The cuts share the bytes of the texts."""
     bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     low, high = (int(bounds[0]), int(bounds[-1])) if len(texts) else (0, 0)
     if low == high:
         return pa.LargeListArray.from_arrays(np.zeros(len(texts) + 1, dtype=np.int64), pa.array([], pa.large_string()))
     raw = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[low:high]
-    first = (raw == 32) | (raw == 10)
+    first = space[raw]
     first[1:] |= _STOP[raw[1:]] & _ASCII_LETTER[raw[:-1]]
     first[bounds[:-1][bounds[:-1] < bounds[1:]] - low] = True
     starts = np.append(np.flatnonzero(first), high - low)
@@ -65,9 +67,14 @@ def spaced_column(texts: pa.Array) -> pa.Array:
     return pa.LargeListArray.from_arrays(np.searchsorted(starts, bounds - low), words)
 
 
+def spaced_column(texts: pa.Array) -> pa.Array:
+    """The same for a column of texts without unusual marks."""
+    return _cut_column(texts, _SPACED_AT)
+
+
 def bare_column(texts: pa.Array) -> pa.Array:
-    """The same for a column of texts whose white space is ASCII; ends of a text may leave empty words, which have no ids."""
-    return pc.ascii_split_whitespace(texts)
+    """The same for a column of texts whose white space is ASCII; a cut keeps the white space before it, which has no ids."""
+    return _cut_column(texts, _BARE_AT)
 
 
 @dataclass(frozen=True)
@@ -86,7 +93,7 @@ class Cut:
 
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 SPACED = Cut(spaced_chunks, re.compile(f"(\n?)( ?[{_LETTERS}]+)([.,;:!?|]*)"), lower=False, column=spaced_column, marks=tuple(_UNUSUAL))
-BARE = Cut(bare_words, re.compile(f"()([{_LETTERS}]+)([.,;:!?|]*)"), lower=True, column=bare_column, marks=(*_SEPARATORS, *_WIDE))
+BARE = Cut(bare_words, re.compile(f"[ \t-\r]?()([{_LETTERS}]+)([.,;:!?|]*)"), lower=True, column=bare_column, marks=(*_SEPARATORS, *_WIDE))
 
 
 class TokenCache:

@@ -182,3 +182,11 @@ def test_words_are_cut_off_from_their_stops():
     cache = tokens.TokenCache(BYTE, tokens.SPACED)
     assert [x.tolist() for x in cache.encode(texts)] == [ids_of(BYTE, t) for t in texts]
     assert cache.encode([]) is not None and tokens.spaced_column(tokens.pa.array([], tokens.pa.large_string())).to_pylist() == []
+
+
+def test_bare_words_are_cut_off_from_their_stops():
+    cache, texts = tokens.TokenCache(WORD, tokens.BARE), ["word word, word. word", "", "\tword\r\nword!  ", "it's. a.'s", " naïve, ß. a.́b"]
+    assert [x.tolist() for x in cache.encode(texts)] == [ids_of(WORD, t) for t in texts]
+    column = tokens.bare_column(tokens.pa.array(texts[:2], tokens.pa.large_string()))
+    assert column.to_pylist() == [["word", " word", ",", " word", ".", " word"], []]
+    assert tokens.bare_column(tokens.pa.array([], tokens.pa.large_string())).to_pylist() == []
