@@ -31,7 +31,7 @@ _WORD = re.compile(f"[^{SPACE}]+")
 _UNUSUAL = ["  ", " \n", "\n ", "\n\n", "\x00", *"\t\x0b\x0c\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B))]
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _WIDE = [m for m in _UNUSUAL if len(m) == 1 and ord(m) > 127]  # white space beyond ASCII
-_TEXT_AT_ONCE = 1 << 22
+_TEXT_AT_ONCE = 1 << 20
 _STOP, _ASCII_LETTER, _SPACED_AT, _BARE_AT = (
     np.isin(np.arange(256), list(x)) for x in (b".,;:!?", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", b" \n", b" \t\n\x0b\x0c\r")
 )

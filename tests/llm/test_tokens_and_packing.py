@@ -1,5 +1,6 @@
 import random
 import zlib
+from dataclasses import replace
 
 import numpy as np
 import public_tokenizers
@@ -190,3 +191,11 @@ def test_bare_words_are_cut_off_from_their_stops():
     column = tokens.bare_column(tokens.pa.array(texts[:2], tokens.pa.large_string()))
     assert column.to_pylist() == [["word", " word", ",", " word", ".", " word"], []]
     assert tokens.bare_column(tokens.pa.array([], tokens.pa.large_string())).to_pylist() == []
+
+
+def test_texts_are_encoded_a_few_at_once():
+    """What a worker makes of texts stays small, however many come in one batch."""
+    cut, sizes = tokens.SPACED.column, []
+    watched = replace(tokens.SPACED, column=lambda column: sizes.append(sum(map(len, column.to_pylist()))) or cut(column))
+    assert [len(x) for x in tokens.TokenCache(BYTE, watched).encode(["some words " * 30_000] * 8)] == [len(ids_of(BYTE, "some words " * 30_000))] * 8
+    assert sum(sizes) == 8 * 330_000 and max(sizes) < 1 << 21
