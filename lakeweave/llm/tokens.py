@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,10 @@ _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _WIDE = [m for m in _UNUSUAL if len(m) == 1 and ord(m) > 127]  # white space beyond ASCII
 _TEXT_AT_ONCE = 1 << 20
 _STOP, _ASCII_LETTER, _SPACED_AT, _BARE_AT = (
-    np.isin(np.arange(256), list(x)) for x in (b".,;:!?", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", b" \n", b" \t\n\x0b\x0c\r")
+    np.isin(np.arange(256), list(x)) for x in (b".,;:!?#$%&*", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", b" \n", b" \t\n\x0b\x0c\r")
 )
+# Second bytes of the letters from U+00C0 to U+00FF, whose first byte is C3; the other two there are signs.
+_LATIN_LEAD, _LATIN_TAIL = 0xC3, np.isin(np.arange(256), [b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)])
 
 
 def spaced_chunks(text: str) -> list[str]:
@@ -52,15 +55,18 @@ def bare_words(text: str) -> list[str]:
 
 
 def _cut_column(texts: pa.Array, space: np.ndarray) -> pa.Array:
-    """Texts cut before every byte of ``space``, and between an ASCII letter and a stop: those are never one token, and far fewer words
-    differ without their stops. The cuts share the bytes of the texts."""
+    """Texts cut before every byte of ``space``, behind line ends, and between a Latin letter and a stop: those are never one token, and far
+    fewer words differ without their stops. The cuts share the bytes of the texts."""
     bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     low, high = (int(bounds[0]), int(bounds[-1])) if len(texts) else (0, 0)
     if low == high:
         return pa.LargeListArray.from_arrays(np.zeros(len(texts) + 1, dtype=np.int64), pa.array([], pa.large_string()))
     raw = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[low:high]
     first = space[raw]
-    first[1:] |= _STOP[raw[1:]] & _ASCII_LETTER[raw[:-1]]
+    first[1:] |= raw[:-1] == 10
+    stops = np.flatnonzero(_STOP[raw[1:]]) + 1
+    last, before = raw[stops - 1], raw[np.maximum(stops - 2, 0)]
+    first[stops[_ASCII_LETTER[last] | _LATIN_TAIL[last] & (before == _LATIN_LEAD)]] = True
     first[bounds[:-1][bounds[:-1] < bounds[1:]] - low] = True
     starts = np.append(np.flatnonzero(first), high - low)
     words = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts + low), texts.buffers()[2])
@@ -79,21 +85,21 @@ def bare_column(texts: pa.Array) -> pa.Array:
 
 @dataclass(frozen=True)
 class Cut:
-    """How texts are cut for a tokenizer, and the cuts whose parts (line end, word, punctuation) it always keeps apart.
+    """How texts are cut for a tokenizer, and the cuts that it always keeps whole.
 
-    ``simple`` holds Latin letters only: the tokenizer's normalizer does no more to them than ``lower`` says.
+    ``simple`` matches one word of Latin letters only (first group), which the tokenizer's normalizer does no more to than ``lower`` says.
     """
 
     split: Callable[[str], list[str]]
-    simple: re.Pattern
+    simple: str
     lower: bool
     column: Callable[[pa.Array], pa.Array]  # cuts whole columns, for texts with none of the marks
     marks: tuple[str, ...]
 
 
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-SPACED = Cut(spaced_chunks, re.compile(f"(\n?)( ?[{_LETTERS}]+)([.,;:!?|]*)"), lower=False, column=spaced_column, marks=tuple(_UNUSUAL))
-BARE = Cut(bare_words, re.compile(f"[ \t-\r]?()([{_LETTERS}]+)([.,;:!?|]*)"), lower=True, column=bare_column, marks=(*_SEPARATORS, *_WIDE))
+SPACED = Cut(spaced_chunks, f"( ?[{_LETTERS}]+)", lower=False, column=spaced_column, marks=tuple(_UNUSUAL))
+BARE = Cut(bare_words, f"[ \\t-\\r]?([{_LETTERS}]+)", lower=True, column=bare_column, marks=(*_SEPARATORS, *_WIDE))
 
 
 class TokenCache:
@@ -110,9 +116,12 @@ class TokenCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.cut = cut
         # The model's alphabet for single characters, as the tokenizer itself maps them.
-        letters = [c for c in map(chr, range(256)) if c in "\n .,;:!?|" or re.fullmatch(f"[{_LETTERS}]", c)]
+        letters = [c for c in map(chr, range(256)) if c == " " or re.fullmatch(f"[{_LETTERS}]", c)]
         mapped = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c) for c in letters}
         self.alphabet = {ord(c): found[0][0] for c, found in mapped.items() if len(found) == 1}
+        if self.cut.lower:  # white space before a word is dropped
+            self.alphabet |= dict.fromkeys(map(ord, " \t\n\x0b\x0c\r"))
+        self.bytewise = self._by_bytes()
         self._clear()
 
     @classmethod
@@ -123,6 +132,18 @@ class TokenCache:
             cls._open[key] = cls(path, cut)
         return cls._open[key]
 
+    def _by_bytes(self) -> str:
+        """The alphabet by bytes of UTF-8, which is mapped faster; empty if it is none."""
+        table = list(map(chr, range(256)))
+        for c, to in self.alphabet.items():
+            if to:
+                if len(to) != len(raw := chr(c).encode()):
+                    return ""
+                for b, x in zip(raw, to, strict=True):
+                    table[b] = x
+        whole = "".join(table)
+        return whole if all(codecs.charmap_decode(chr(c).encode(), "strict", whole)[0] == to for c, to in self.alphabet.items() if to) else ""
+
     @property
     def width(self) -> np.dtype:
         """Smallest unsigned type that holds every id."""
@@ -159,25 +180,20 @@ class TokenCache:
 
     def _simple(self, words: list[str]) -> tuple[list[str], list[str], list[int], list[int]]:
         """The simple cuts, all others, the ids of the simple ones after each other, and how many each has."""
-        match, model = self.cut.simple.fullmatch, self.tokenizer.model.tokenize
-        parts = list(map(match, words))
-        simple, rest = [w for w, p in zip(words, parts, strict=True) if p], [w for w, p in zip(words, parts, strict=True) if not p]
-        split = [p.groups() for p in parts if p]
-        letters = "\0".join([x[1] for x in split])  # mapped all at once: no letter is mapped to the separator
-        mapped = (letters.lower() if self.cut.lower else letters).translate(self.alphabet).split("\0")
-        marks = {"": []}  # ids of line ends and punctuation
-        for mark in {x[0] for x in split} | {x[2] for x in split}:
-            if mark:
-                marks[mark] = [t.id for t in model(mark.translate(self.alphabet))]
-        flat: list[int] = []
-        lengths = []
-        for (before, _, after), word in zip(split, mapped if split else [], strict=True):
-            ids = [t.id for t in model(word)]
-            if before or after:
-                ids = marks[before] + ids + marks[after]
-            flat += ids
-            lengths.append(len(ids))
-        return simple, rest, flat, lengths
+        fits = pc.match_substring_regex(pa.array(words, pa.large_string()), f"\\A{self.cut.simple}\\z").to_numpy(zero_copy_only=False)
+        simple, rest = list(compress(words, fits)), list(compress(words, ~fits))
+        if not simple:
+            return simple, rest, [], []
+        letters = "\0".join(simple)  # mapped all at once: no letter is mapped to the separator
+        found = list(map(self.tokenizer.model.tokenize, self._mapped(letters.lower() if self.cut.lower else letters).split("\0")))
+        return simple, rest, [t.id for tokens in found for t in tokens], list(map(len, found))
+
+    def _mapped(self, letters: str) -> str:
+        """Letters in the model's alphabet."""
+        if not self.bytewise:
+            return letters.translate(self.alphabet)
+        raw = letters.encode()
+        return codecs.charmap_decode(raw.translate(None, b" \t\n\x0b\x0c\r") if self.cut.lower else raw, "strict", self.bytewise)[0]
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, as the tokenizer gives them for the whole text.
@@ -198,15 +214,15 @@ class TokenCache:
         cuts = self.cut.column(pa.array([t for t, p in zip(texts, plain, strict=True) if p], pa.large_string()))
         numbered = cuts.flatten().dictionary_encode()
         known, other = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), [self.cut.split(t) for t, p in zip(texts, plain, strict=True) if not p]
-        rows = list(map(self.row.get, known))
-        new = [w for w, r in zip(known, rows, strict=True) if r is None]
+        by_number = np.fromiter(map(self.row.get, known, repeat(-1)), dtype=np.int64, count=len(known))
+        missing = by_number < 0
+        new = list(compress(known, missing))
         again = self._learn(new, known, other)
         row = self.row.__getitem__
         if again:
-            rows = list(map(row, known))
+            by_number = np.fromiter(map(row, known), dtype=np.int64, count=len(known))
         elif new:
-            rows = [row(w) if r is None else r for w, r in zip(known, rows, strict=True)]
-        by_number = np.array(rows, dtype=np.int64)
+            by_number[missing] = np.fromiter(map(row, new), dtype=np.int64, count=len(new))
         columns = self._ids(by_number[numbered.indices.to_numpy()] if known else by_number, cuts.offsets.to_numpy() - cuts.offsets[0].as_py())
         singles = (self._ids(np.fromiter(map(row, words), dtype=np.int64, count=len(words)), np.array([0, len(words)])) for words in other)
         for p in plain:

@@ -199,3 +199,19 @@ def test_texts_are_encoded_a_few_at_once():
     watched = replace(tokens.SPACED, column=lambda column: sizes.append(sum(map(len, column.to_pylist()))) or cut(column))
     assert [len(x) for x in tokens.TokenCache(BYTE, watched).encode(["some words " * 30_000] * 8)] == [len(ids_of(BYTE, "some words " * 30_000))] * 8
     assert sum(sizes) == 8 * 330_000 and max(sizes) < 1 << 21
+
+
+@pytest.mark.parametrize("path,cut", [(BYTE, tokens.SPACED), (WORD, tokens.BARE)])
+def test_words_are_learnt_without_marks_and_line_ends(path, cut):
+    text = " ".join(f"été{a} rest{a}" for a in ",.;:!?#$%&*") + " été$$$ rest%%% rest\nrest ×. ÷, Ö*"
+    cache = tokens.TokenCache(path, cut)
+    assert [x.tolist() for x in cache.encode([text])] == [ids_of(path, text)]
+    assert {w for w in cache.row if "rest" in w.lower() or "t" in w} <= {"été", " été", "rest", " rest", "\nrest"}
+
+
+@pytest.mark.parametrize("path,cut", [(BYTE, tokens.SPACED), (WORD, tokens.BARE)])
+def test_letters_are_mapped_by_bytes_as_by_characters(path, cut):
+    cache = tokens.TokenCache(path, cut)
+    letters = "\0".join([" Aß", "ÀÖØöøÿ", "z"])
+    by_bytes = cache._mapped(letters)
+    assert cache.bytewise and (by_bytes, len(by_bytes.split("\0"))) == (letters.translate(cache.alphabet), 3)
