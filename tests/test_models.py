@@ -263,3 +263,12 @@ def test_pipeline_twice_leaves_the_marts_unchanged(spark):
     lake.write("raw", "imdb", fx.imdb_titles(spark, SF_DIR).withColumn("title", F.lit(None).cast("string")), at, "bad")
     third = run_pipeline(spark, lake, warehouse, at + timedelta(hours=2))
     assert third.status == "FAILED" and third.tests.where("failures > 0").count() > 0
+
+
+def test_values_of_any_length_are_counted_by_hash(frame):
+    df = frame([("a" * 5000,), ("a" * 5000,), ("a" * 4999 + "b",), (None,)], "k string")
+    tests = q.TableTests(("k",), ("k",))
+    entries = q.table_entries(q.TestPlan(), "t", df, tests, {}, AS_OF)
+    assert {kind for e in entries for _, kind in e.dtypes} <= {"int", "bigint"}
+    results = q.run_tests({"t": df}, AS_OF, {"t": tests})
+    assert sorted((r.test, r.failures) for r in results.collect()) == [("not_null", 1), ("unique", 1)]
