@@ -354,3 +354,93 @@ def test_elements_alike_are_matched_once_whatever_their_other_attributes():
         out = SelectScan(plan).scan(f'<div class="thing odd" data-id="{k}"><p class=title><a href="/{k}">t{k}</a></p></div>').out
         assert out == {"v": [{"id": str(k), "t": f"t{k}"}]}
     assert len(plan.selected) == 4  # the page, div, p and a
+
+
+def _random_pages(rng, n):
+    tags = "div p ul li a b td tr table h1 article script style Style template br img option select dl dt".split()
+    marks = ['class="thing link odd"', "class='x y'", "class=x", 'id="d"', 'href="/title/tt12/?a&amp;b"', "href=z/", 'data-k="v>"', "checked", "CLASS=X Class=q",
+             '="', "'", '"', 'a=\' k="x"', "/"]
+    loose = ["t", " ", "a < b", "&amp;", "<!-- <p> -->", "<!-->", "<!--", "<!DOCTYPE html>", "<?x", "</", "</script", "</STYLE >", "if (a<b && '</p>')", "</\u017fcript>"]
+    for _ in range(n):
+        page = []
+        for _ in range(rng.randint(0, 30)):
+            kind = rng.random()
+            if kind < 0.5:
+                page.append(f"<{rng.choice(tags)}" + "".join(" " + m for m in rng.sample(marks, rng.choice([0, 0, 1, 1, 2]))) + rng.choice([">"] * 9 + ["/>", ""]))
+            else:
+                page.append(f"</{rng.choice(tags)}>" if kind < 0.8 else rng.choice(loose))
+        yield "".join(page)
+
+
+MIXED = (
+    FieldSpec("a", "div > p.x, ul li", "text", True, (FieldSpec("t", ":scope"), FieldSpec("k", ":scope", "class"), FieldSpec("h", "a[href*='title']", "href"),
+                                                      FieldSpec("n", "b", children=(FieldSpec("z", "a", multiple=True), FieldSpec("q", "*", "class", True))))),
+    FieldSpec("r", ":root", separator="|"), FieldSpec("u", "td, tr p", "text", True), FieldSpec("e", "table .x div > .thing", "data-k"),
+)
+
+
+@pytest.mark.parametrize(("depth", "states", "seen"), [(256, 8192, 4096), (5, 20, 3)])
+def test_pages_are_read_by_states_as_piece_by_piece(monkeypatch, depth, states, seen):
+    import random
+
+    import pyarrow as pa
+
+    from lakeweave.functions import html_select as hs
+
+    for name, value in (("MAX_DEPTH", depth), ("MAX_STATES", states), ("MAX_SEEN", seen)):
+        monkeypatch.setattr(hs, name, value)
+    whole = 0
+    plans = [SelectPlan(tuple(f)) for f in (MIXED, x.REDDIT_FIELDS, x.STEAM_FIELDS, x.IMDB_FIELDS, x.NEWS_FIELDS)]
+    for html in _random_pages(random.Random(3), 1500):
+        for plan in plans:
+            want = SelectScan(plan).scan_pieces(html).out
+            whole += plan.scan(html) is not None
+            record = plan.record(html)
+            assert plan.group.named(record) == want and plan.group.listed(want) == record, html
+            kind = x._arrow_type(plan.fields)
+            assert hs.struct_array(plan.group, [record, None]).equals(pa.array([want, None], kind)), html
+    assert whole > 1500
+
+
+def test_states_do_not_grow_with_the_pages():
+    plan = SelectPlan(tuple(x.REDDIT_FIELDS))
+    sizes = []
+    for k in range(300):
+        post = f'<div class="thing link" data-fullname="t3_{k}" id="p{k}"><p class="title"><a class="title" href="/r/{k}">T{k}</a></p></div>'
+        things = plan.group.named(plan.record(f"<body>{post * (k % 7 + 1)}</body>"))["things"]
+        assert [(t["fullname"], t["element_id"], t["title"], t["inner_title_href"]) for t in things] == [(f"t3_{k}", f"p{k}", f"T{k}", f"/r/{k}")] * (k % 7 + 1)
+        sizes.append(plan.size)
+    assert sizes[0] == sizes[-1] < 20
+
+
+def test_deep_pages_are_read():
+    plan = SelectPlan((FieldSpec("n", "div > b"), FieldSpec("d", "div", "id", True)))
+    out = plan.group.named(plan.record("<div id=i>" * 2000 + "<b>x</b>" + "</div>" * 2000))
+    assert out["n"] == "x" and out["d"] == ["i"] * 2000
+
+
+def test_records_are_made_after_they_have_rows_of_their_own(pages):
+    for extract in (x.extract_reddit_posts, x.extract_steam_games, x.extract_imdb_titles):
+        assert "transform(" not in extract(pages(("u", "<p>")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_failing_page_has_no_record_made(pages, monkeypatch):
+    def broken(self, html):
+        raise ValueError("broken page")
+
+    monkeypatch.setattr(x.SelectPlan, "record", broken)
+    for extract in (x.extract_reddit_posts, x.extract_steam_games, x.extract_imdb_titles):
+        row = extract(pages(("u", "<p>"))).first().asDict()
+        assert {k: row.pop(k) for k in ("page_id", "url", "item_no", "error")} == {"page_id": 0, "url": "u", "item_no": 0, "error": "ValueError: broken page"}
+        assert set(row.values()) == {None}
+
+
+def test_counts_that_are_none_are_not_cast(values, frame):
+    from lakeweave.functions.casts import count_or_zero
+
+    texts = ["2,700", " 5 ", "\t7\n", "+3", "-4", "1.5", "5.", ".", "", "no", "\u2022", "12a", "9" * 20, "9223372036854775807", "- 1", "\x0112", "1 2", "\u0661", None, "5\n\n"]
+    want = [r.v for r in frame([(i, t) for i, t in enumerate(texts)], "i int, t string").selectExpr(
+        "i", "coalesce(try_cast(trim(replace(t, ',', '')) as bigint), 0L) as v").orderBy("i").collect()]
+    assert values(texts, count_or_zero) == want
+    plan = frame([("x",)], "t string").select(count_or_zero(F.col("t")))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "rlike" in plan or plan.startswith("localrelation")
